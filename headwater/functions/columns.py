@@ -17,34 +17,53 @@ def version_clean(version: Column) -> Column:
     return F.regexp_replace(version, r"\b0+([0-9])", "$1")
 
 
-SEMVER = r"^(\d+)\.(\d+)\.(\d+)(?:-[0-9A-Za-z.-]+)?(?:\+[0-9A-Za-z.-]+)?$"
+SEMVER = r"^\d+\.\d+\.\d+(?:-[0-9A-Za-z.-]+)?(?:\+[0-9A-Za-z.-]+)?$"
 
 
-def version_part(version: Column, index: int) -> Column:
-    """Major (1), minor (2) or patch (3) number; NULL when the text is not a version."""
-    return F.regexp_extract(version_clean(version), SEMVER, index).try_cast("int")
+def version_parts(version: Column) -> Column:
+    """``[major, minor, patch]`` of a version text, NULL when the text is not a version."""
+    clean = version_clean(version)
+    return F.when(clean.rlike(SEMVER), F.transform(F.slice(F.split(clean, "[.+-]"), 1, 3), lambda x: x.try_cast("bigint")))
 
 
-def version_int(version: Column) -> Column:
-    """Sortable number ``major*1e6 + minor*1e3 + patch``, NULL when the text is not a version.
+def parts_int(parts: Column) -> Column:
+    """Sortable number ``major*1e6 + minor*1e3 + patch``.
 
     Versions with a minor or patch of 1000 and more collide, and pre-release tags are ignored:
     kept on purpose, stored tables use this coding.
     """
-    major, minor, patch = (version_part(version, i).cast("bigint") for i in (1, 2, 3))
-    return major * 1_000_000 + minor * 1_000 + patch
+    return parts[0] * 1_000_000 + parts[1] * 1_000 + parts[2]
+
+
+def version_int(version: Column) -> Column:
+    """:func:`parts_int` of a version text, NULL when the text is not a version."""
+    return bind(version_parts(version), parts_int)
 
 
 # --- metadata lists ---------------------------------------------------------------------------
 
+META = "array<struct<key:string,value:string>>"
+
+
+def bind(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once, however often the body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def last_value(meta: Column, key: str) -> Column:
+    hits = F.filter(meta, lambda x: x["key"] == key)
+    return F.try_element_at(hits, F.lit(-1))["value"]
+
+
 def meta_map(meta: Column) -> Column:
     """``array<struct<key,value>>`` to a map where the *last* entry of a repeated key wins."""
-    last = F.filter(
-        meta,
-        lambda x, i: x["key"].isNotNull()
-        & ~F.exists(F.slice(meta, i + 2, F.size(meta)), lambda later: later["key"] == x["key"]),
-    )
-    return F.map_from_entries(F.coalesce(last, F.array().cast("array<struct<key:string,value:string>>")))
+
+    def build(listed: Column) -> Column:
+        keys = F.array_distinct(F.transform(listed, lambda x: x["key"]))
+        return F.map_from_arrays(keys, F.transform(keys, lambda k: F.element_at(F.filter(listed, lambda x: x["key"] == k), -1)["value"]))
+
+    keyed = F.filter(F.coalesce(meta, F.array().cast(META)), lambda x: x["key"].isNotNull())
+    return bind(keyed, build)
 
 
 def normal_key(key: Column) -> Column:
@@ -60,7 +79,7 @@ def normal_meta_map(meta: Column) -> Column:
 def first_entry(meta: Column, keys: Sequence[str]) -> Column:
     """Value of the *first* list entry whose key is one of ``keys``."""
     hits = F.filter(meta, lambda x: x["key"].isin(list(keys)))
-    return F.try_element_at(hits, F.lit(1))["value"]
+    return F.get(hits, F.lit(0))["value"]
 
 
 # Key names under which projects carry their watershed code and model version.
@@ -81,11 +100,12 @@ def huc_of(meta: Column, rule: str, keys: Sequence[str] = ("HUC10", "huc10", "HU
     if rule == "normal":
         return F.try_element_at(normal_meta_map(meta), F.lit("huc"))
     if rule in ("ordered", "length"):
-        values = meta_map(meta)
-        picks = [F.try_element_at(values, F.lit(k)) for k in keys]
-        if rule == "length":
-            picks = [F.when(F.length(p) == length, p) for p in picks]
-        return F.coalesce(*picks)
+
+        def pick(listed: Column) -> Column:
+            last = [last_value(listed, k) for k in keys]
+            return F.coalesce(*([F.when(F.length(v) == length, v) for v in last] if rule == "length" else last))
+
+        return bind(meta, pick)
     if rule == "scan":
         return first_entry(meta, HUC_SCAN_KEYS)
     if rule == "digits":

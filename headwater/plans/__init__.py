@@ -5,7 +5,7 @@ Importing this package fills :data:`headwater.plans.registry.REGISTRY`.
 
 from importlib import import_module
 
-MODULES = ("reporting",)
+MODULES = ("reporting", "catalogue", "matching")
 
 for _name in MODULES:
     import_module(f"headwater.plans.{_name}")

@@ -11,7 +11,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headwater.functions.columns import to_ms
+from headwater.functions.columns import meta_map, to_ms, version_int
 
 PROJECT_TYPES = ["context", "metrics", "valley", "riparian"]
 METRIC_IDS = [4, 5, 16, 19, 20, 21, 23, 35, 36, 37, 38, 39, 40, 41, 42]
@@ -455,3 +455,35 @@ class Tables:
         return self.dgos.groupBy("huc10", "level_path", "seg_distance").agg(
             F.min("dgoid").alias("igoid"), (F.min("dgoid") * 0.01).alias("lon"), (F.max("dgoid") * 0.02).alias("lat")
         )
+
+    @cached_property
+    def meta_long(self) -> DataFrame:
+        """Every metadata entry, repeated keys included."""
+        return self.meta_array.select("project_id", F.posexplode("meta").alias("pos", "e")).select("project_id", "pos", "e.key", "e.value")
+
+    @cached_property
+    def search_index(self) -> DataFrame:
+        """Projects as a search index holds them: tag list, metadata map, GUID owner and collection ids."""
+        p = self.meta_array
+        zeros = "00000000-0000-0000-0000-"
+        return p.select(
+            "project_id", "name", "project_type_id", "created_on", "updated_on", "owner_type", "visibility", "archived",
+            "bounds_id", "xmin", "ymin", "xmax", "ymax", "attributed_org_id",
+            F.concat(F.lit(zeros), F.lpad("owner_id", 12, "0")).alias("owner_id"),
+            F.when(F.col("collection_id").isNotNull(), F.concat(F.lit(zeros + "00000000000"), F.substring("collection_id", 2, 1))).alias("collection_id"),
+            F.split("tags", r"\|").alias("tags"),
+            meta_map(F.col("meta")).alias("meta_map"),
+            version_int(F.col("model_version")).alias("model_version_int"),
+        )
+
+
+CTES["v_meta_last"] = ("v_meta", "SELECT project_id, key, arg_max(value, pos) AS value FROM v_meta GROUP BY project_id, key")
+CTES["v_version_int"] = ("v_projects", """
+SELECT project_id, CASE WHEN regexp_matches(model_version, '^[0-9]+[.][0-9]+[.][0-9]+(-.*)?$') THEN
+  CAST(regexp_extract(model_version, '^([0-9]+)[.]([0-9]+)[.]([0-9]+)', 1) AS BIGINT) * 1000000
+  + CAST(regexp_extract(model_version, '^([0-9]+)[.]([0-9]+)[.]([0-9]+)', 2) AS BIGINT) * 1000
+  + CAST(regexp_extract(model_version, '^([0-9]+)[.]([0-9]+)[.]([0-9]+)', 3) AS BIGINT) END AS model_version_int FROM v_projects""")
+CTES["v_search"] = ("v_projects v_version_int", """
+SELECT p.* EXCLUDE (owner_id, collection_id), '00000000-0000-0000-0000-' || lpad(owner_id, 12, '0') AS owner_id,
+  '00000000-0000-0000-0000-00000000000' || substr(collection_id, 2, 1) AS collection_id, v.model_version_int
+FROM v_projects p JOIN v_version_int v ON p.project_id = v.project_id""")

@@ -59,8 +59,7 @@ def compare(spark, con, query, sf_dir: str) -> tuple[str, str]:
     a, b = rows_of(got), rows_of(want)
     if a == b:
         return ("ok" if a else "FAIL"), f"{len(a)} rows"
-    only_a = [r for r in a if r not in set(b)][:2]
-    only_b = [r for r in b if r not in set(a)][:2]
+    only_a, only_b = sorted(set(a) - set(b))[:2], sorted(set(b) - set(a))[:2]
     return "FAIL", f"{len(a)}/{len(b)} rows\n   cols  {sorted(got.columns)}\n   spark {only_a}\n   sql   {only_b}"
 
 
@@ -79,7 +78,7 @@ def main() -> int:
     spark = build_session("compare", "local[8]", 8, spark__driver__memory="8g", **dict(c.split("=") for c in args.conf))
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
-    names = [n for n in REGISTRY if not args.names or any(n == a or n.startswith(a + "*") for a in args.names)]
+    names = [n for n in REGISTRY if not args.names or any(n == a or (a[-1] == "*" and n.startswith(a[:-1])) for a in args.names)]
     bad = 0
     for name in names:
         start = time.time()
