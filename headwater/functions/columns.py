@@ -60,7 +60,9 @@ def meta_map(meta: Column) -> Column:
 
     def build(listed: Column) -> Column:
         keys = F.array_distinct(F.transform(listed, lambda x: x["key"]))
-        return F.map_from_arrays(keys, F.transform(keys, lambda k: F.element_at(F.filter(listed, lambda x: x["key"] == k), -1)["value"]))
+        picked = F.map_from_arrays(keys, F.transform(keys, lambda k: F.element_at(F.filter(listed, lambda x: x["key"] == k), -1)["value"]))
+        # few rows repeat a key, only those pay for the lookups
+        return F.when(F.size(keys) == F.size(listed), F.map_from_entries(listed)).otherwise(picked)
 
     keyed = F.filter(F.coalesce(meta, F.array().cast(META)), lambda x: x["key"].isNotNull())
     return bind(keyed, build)

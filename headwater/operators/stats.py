@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from headwater.functions.columns import day_floor, ms_text
@@ -231,11 +231,16 @@ def group_counts(df: DataFrame, dims: dict[str, int | None]) -> DataFrame:
     """
     pairs = F.array(*[F.struct(F.lit(d).alias("dim"), F.col(d).cast("string").alias("value")) for d in dims])
     counts = df.select(F.explode(pairs).alias("p")).groupBy("p.dim", "p.value").agg(F.count(F.lit(1)).alias("n"))
-    tops = []
-    for dim, k in dims.items():
-        part = counts.filter(F.col("dim") == dim)
-        tops.append(part if k is None else part.orderBy(F.desc("n"), F.asc_nulls_first("value")).limit(k))
-    return reduce(DataFrame.unionByName, tops)
+    limits = {dim: k for dim, k in dims.items() if k is not None}
+    unlimited = counts.filter(F.col("dim").isin([d for d in dims if d not in limits]))
+    if not limits:
+        return unlimited
+    # the row-number limit is applied before the shuffle too, so a dimension with many values
+    # sends a few rows per task
+    place = F.row_number().over(Window.partitionBy("dim").orderBy(F.desc("n"), F.asc_nulls_first("value")))
+    longest = counts.filter(F.col("dim").isin(list(limits))).withColumn("place", place).filter(F.col("place") <= max(limits.values()))
+    allowed = F.create_map(*[F.lit(x) for pair in limits.items() for x in pair])
+    return longest.filter(F.col("place") <= F.element_at(allowed, F.col("dim"))).drop("place").unionByName(unlimited)
 
 
 def missing_totals(df: DataFrame, is_missing: Column) -> DataFrame:
