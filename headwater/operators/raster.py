@@ -144,7 +144,7 @@ def overviews(cells: DataFrame, headers: DataFrame, blocksize: int, how: str = "
     block's valid cells. The factors of a raster follow from its own size.
     """
     side = F.least("n_rows", "n_cols")
-    steps = F.filter(F.transform(F.sequence(F.lit(1), F.lit(30)), lambda k: F.shiftleft(F.lit(1), k)), lambda f: F.floor(side / f) > blocksize)
+    steps = F.filter(F.transform(F.sequence(F.lit(1), F.lit(30)), lambda k: F.pow(F.lit(2), k).cast("int")), lambda f: F.floor(side / f) > blocksize)
     leveled = cells.join(headers.select("raster_id", steps.alias("factors")), "raster_id").withColumn("factor", F.explode("factors")).drop("factors")
     factor = F.col("factor")
     up = lambda c: F.floor(F.col(c) / factor).cast("bigint").alias(c)
