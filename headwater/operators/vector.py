@@ -297,9 +297,16 @@ def dissolved_counts(df: DataFrame, keys: Sequence[str], geom: str = "geom") ->
     return per_key.agg(F.count(F.lit(1)).alias("n_keys"), F.count_if(F.col("parts") == 1).alias("n_single"), F.count_if(F.col("parts") > 1).alias("n_multi"))
 
 
-def bounds_rollup(df: DataFrame, keys: Sequence[str], geom: str = "geom", tolerance: float | None = None) -> DataFrame:
-    """Outline parts of each key's polygons with the key's bounding box and area-weighted centroid."""
-    layer = df if tolerance is None else simplify_coverage(df.withColumn("__id", F.monotonically_increasing_id()), "__id", tolerance, keys, geom).withColumn(geom, F.col(f"{geom}_simplified"))
+def bounds_rollup(df: DataFrame, keys: Sequence[str], geom: str = "geom", tolerance: float | None = None, feature: str | None = None) -> DataFrame:
+    """Outline parts of each key's polygons with the key's bounding box and area-weighted centroid.
+
+    With a ``tolerance`` the coverage is simplified first; ``feature`` is its unique id then.
+    """
+    layer = df
+    if tolerance is not None:
+        if feature is None:
+            raise ValueError("simplifying needs the feature id column")
+        layer = simplify_coverage(df, feature, tolerance, keys, geom).withColumn(geom, F.col(f"{geom}_simplified"))
     totals = measures_by(df, keys, geom).drop("area", "n_features")
     return dissolve(layer, keys, geom=geom).join(totals, list(keys))
 

@@ -154,7 +154,7 @@ SELECT l_orderkey AS jid, l_linenumber AS task_no, l_partkey AS task_ref, CAST(l
        epoch_ms(l_shipdate) AS started_on, epoch_ms(l_shipdate) + CAST(l_quantity * 60250 AS BIGINT) AS ended_on FROM lineitem""")
 
 CTES["v_feed"] = ("", """
-SELECT event_id AS project_id, ts, epoch_ms(ts) AS created_on, user_id AS owner_id, event_type AS project_type_id, props FROM events""")
+SELECT event_id AS project_id, ts, epoch_us(ts) // 1000 AS created_on, user_id AS owner_id, event_type AS project_type_id, props FROM events""")
 
 _SIDES = {
     "desc": "count(*) AS n_obs, min(l_shipdate) AS first_obs",

@@ -49,8 +49,12 @@ def _shared_root(spark: SparkSession) -> str:
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder name below ``spark.checkpoint.dir`` (a local folder in local mode)."""
-    return f"{_shared_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    """A fresh folder name below ``spark.checkpoint.dir`` (a local folder in local mode).
+
+    The name has no digits, so it cannot be taken for a watershed code in a path.
+    """
+    letters = uuid.uuid4().hex[:12].translate(str.maketrans("0123456789", "ghijklmnop"))
+    return f"{_shared_root(spark)}/{label}-{letters}"
 
 
 def cut_lineage(df, label: str):
