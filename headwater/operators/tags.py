@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from headwater.functions.columns import bind
 
 
 def _texts(values: Sequence[str]) -> Column:
@@ -64,21 +65,22 @@ OWN_PREFIXES = ("CHAMP_", "CHaMP_")
 KINDS = ["watershed", "site", "year", "visit"]
 
 
-def _first_text(*keys: str) -> Column:
-    return F.coalesce(*[F.nullif(F.try_element_at("meta_map", F.lit(k)), F.lit("")) for k in keys])
+def _facts(meta: Column) -> dict[str, Column]:
+    """The four tag facts of a metadata map; a number of zero counts as not given."""
 
+    def first_text(*keys: str) -> Column:
+        return F.coalesce(*[F.nullif(F.try_element_at(meta, F.lit(k)), F.lit("")) for k in keys])
 
-def _facts() -> dict[str, Column]:
-    watershed = F.try_element_at("meta_map", F.lit("Watershed"))
-    fixed = watershed
-    for wrong, right in WATERSHED_NAMES.items():
-        fixed = F.when(watershed == wrong, right).otherwise(fixed)
-    number = lambda c: F.nullif(c.try_cast("bigint"), F.lit(0)).cast("string")
+    def number(text: Column) -> Column:
+        return F.nullif(text.try_cast("bigint"), F.lit(0)).cast("string")
+
+    names = F.create_map(*[F.lit(x) for pair in WATERSHED_NAMES.items() for x in pair])
+    watershed = F.try_element_at(meta, F.lit("Watershed"))
     return {
-        "watershed": fixed,
-        "site": _first_text("Site", "SiteName"),
-        "year": number(_first_text("Year", "FieldSeason")),
-        "visit": number(_first_text("Visit", "VisitNumber", "VisitID")),
+        "watershed": F.coalesce(F.try_element_at(names, watershed), watershed),
+        "site": first_text("Site", "SiteName"),
+        "year": number(first_text("Year", "FieldSeason")),
+        "visit": number(first_text("Visit", "VisitNumber", "VisitID")),
     }
 
 
@@ -88,9 +90,12 @@ def _required(rules: dict[str, Sequence[str]], kind: str) -> Column:
 
 def required_meta(df: DataFrame, rules: dict[str, Sequence[str]] = REQUIRED_KINDS) -> DataFrame:
     """Projects of the ruled types with the required metadata kinds they lack (``missing``)."""
-    facts = _facts()
-    lacking = F.array_compact(F.array(*[F.when(_required(rules, k) & facts[k].isNull(), k) for k in KINDS]))
-    return df.filter(F.col("project_type_id").isin(list(rules))).withColumn("missing", lacking)
+
+    def lacking(meta: Column) -> Column:
+        facts = _facts(meta)
+        return F.array_compact(F.array(*[F.when(_required(rules, k) & facts[k].isNull(), k) for k in KINDS]))
+
+    return df.filter(F.col("project_type_id").isin(list(rules))).withColumn("missing", bind(F.col("meta_map"), lacking))
 
 
 def pad4(text: Column) -> Column:
@@ -104,20 +109,23 @@ def tags_canonical(df: DataFrame, rules: dict[str, Sequence[str]] = REQUIRED_KIN
     Foreign tags are kept, own tags rebuilt from the metadata; ``added_<kind>`` is 1 where a
     kind's tag was not there yet, ``changed`` whether any was added.
     """
-    facts = _facts()
-    texts = {
-        "watershed": F.concat(F.lit(f"{prefix}Watershed_"), F.translate(facts["watershed"], " ()", "_")),
-        "site": F.concat(F.lit(f"{prefix}Site_"), F.translate(facts["site"], " ", "_")),
-        "year": F.concat(F.lit(f"{prefix}Year_"), facts["year"]),
-        "visit": F.concat(F.lit(f"{prefix}Visit_"), pad4(facts["visit"])),
-    }
+    def texts(meta: Column) -> Column:
+        facts = _facts(meta)
+        texts = {
+            "watershed": F.concat(F.lit(f"{prefix}Watershed_"), F.translate(facts["watershed"], " ()", "_")),
+            "site": F.concat(F.lit(f"{prefix}Site_"), F.translate(facts["site"], " ", "_")),
+            "year": F.concat(F.lit(f"{prefix}Year_"), facts["year"]),
+            "visit": F.concat(F.lit(f"{prefix}Visit_"), pad4(facts["visit"])),
+        }
+        return F.struct(*[F.when(_required(rules, k), texts[k]).alias(k) for k in KINDS])
+
     complete = required_meta(df, rules).filter(F.size("missing") == 0).drop("missing")
-    tagged = complete.withColumns({f"__{k}": F.when(_required(rules, k), texts[k]) for k in KINDS})
+    tagged = complete.withColumn("__new", bind(F.col("meta_map"), texts))
     foreign = F.filter("tags", lambda t: ~F.coalesce(*[F.when(t.startswith(p), True) for p in own], F.lit(False)))
-    added = {f"added_{k}": F.coalesce((~F.array_contains("tags", F.col(f"__{k}"))).cast("int"), F.lit(0)) for k in KINDS}
-    out = tagged.withColumn("new_tags", F.concat(foreign, F.array_compact(F.array(*[F.col(f"__{k}") for k in KINDS])))).withColumns(added)
+    added = {f"added_{k}": F.coalesce((~F.array_contains("tags", F.col(f"__new.{k}"))).cast("int"), F.lit(0)) for k in KINDS}
+    out = tagged.withColumn("new_tags", F.concat(foreign, F.array_compact(F.array(*[F.col(f"__new.{k}") for k in KINDS])))).withColumns(added)
     changed = F.greatest(*[F.col(f"added_{k}") for k in KINDS]) > 0
-    return out.withColumn("changed", changed).drop(*[f"__{k}" for k in KINDS])
+    return out.withColumn("changed", changed).drop("__new")
 
 
 def tag_additions(canonical: DataFrame) -> DataFrame:

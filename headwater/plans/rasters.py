@@ -103,13 +103,13 @@ def ras_mosaic(t):
 @query(
     "ras_overviews",
     "v_valid",
-    """SELECT 'AVERAGE' AS how, raster_id, f AS factor, r // f AS r, c // f AS c, round(avg(value), 4) AS value FROM v_valid CROSS JOIN (VALUES (2), (4)) AS x(f) GROUP BY ALL
+    """SELECT 'AVERAGE' AS how, raster_id, f AS factor, r // f AS r, c // f AS c, round(avg(value) + 1e-7, 4) AS value FROM v_valid CROSS JOIN (VALUES (2), (4)) AS x(f) GROUP BY ALL
     UNION ALL SELECT 'NEAREST', raster_id, f, r // f, c // f, value FROM v_valid CROSS JOIN (VALUES (2), (4)) AS x(f) WHERE r % f = 0 AND c % f = 0""",
 )
 def ras_overviews(t):
     cells = valid_cells(t)
     level = lambda how: R.overviews(cells, t.headers, 64, how).withColumn("how", F.lit(how))
-    return level("AVERAGE").withColumn("value", F.round("value", 4)).unionByName(level("NEAREST"))
+    return level("AVERAGE").withColumn("value", F.round(F.col("value") + 1e-7, 4)).unionByName(level("NEAREST"))
 
 
 @query(

@@ -14,6 +14,12 @@ def rounded(df, digits: int, *names: str):
     return df.withColumns({n: F.round(F.col(n), digits) for n in names})
 
 
+def rounded_up(df, digits: int, *names: str):
+    """Rounded after a nudge of a thousandth of the last digit, so that a sum's order of additions
+    does not decide on which side of a tie it ends."""
+    return df.withColumns({n: F.round(F.col(n) + 10.0 ** -(digits + 3), digits) for n in names})
+
+
 _NAMES = [name for _, _, name in stats.HUC_METRICS]
 _METHOD_SQL = {
     "length_weighted": "sum(CASE WHEN m.metric_id = {i} THEN m.metric_value * d.centerline_length END) / nullif(sum(CASE WHEN m.metric_id = {i} THEN d.centerline_length END), 0)",
@@ -43,7 +49,7 @@ stats AS (SELECT base.*, {', '.join('mets.' + n for n in _NAMES)} FROM base LEFT
   ON base.huc10 = mets.huc10 AND base.state_id = mets.state_id AND base.flow_id = mets.flow_id AND base.owner_id IS NOT DISTINCT FROM mets.owner_id)
 """
 _STATS_USES = "v_dgos v_values v_states_codes v_flows_codes v_owners_codes"
-_ROUNDED = ", ".join(f"round({n}, 4) AS {n}" for n in ["total_length", "total_area", *_NAMES])
+_ROUNDED = ", ".join(f"round({n} + 1e-7, 4) AS {n}" for n in ["total_length", "total_area", *_NAMES])
 
 
 def _huc_statistics(t):
@@ -52,39 +58,39 @@ def _huc_statistics(t):
 
 @query("huc_statistics", _STATS_USES, f"{_STATS_CTE} SELECT huc10, state_id, flow_id, owner_id, dgo_count, {_ROUNDED} FROM stats")
 def huc_statistics(t):
-    return rounded(_huc_statistics(t), 4, "total_length", "total_area", *_NAMES)
+    return rounded_up(_huc_statistics(t), 4, "total_length", "total_area", *_NAMES)
 
 
 @query(
     "secondary_metrics",
     _STATS_USES,
     f"""{_STATS_CTE} SELECT huc10, state_id, flow_id, owner_id,
-    round(riparian_area / nullif(1 - riparian_departure, 0), 4) AS hist_riparian_area,
-    round(channel_length / nullif(total_length, 0), 6) AS relative_flow_length,
-    round((total_area * 0.000247105e0) / nullif(total_length * 0.000621371e0, 0), 6) AS acres_vb_per_mile,
-    round(road_length / nullif(total_length, 0), 6) AS road_density, round(rail_length / nullif(total_length, 0), 6) AS rail_density,
-    round(riparian_ag_conv_area / nullif(total_area, 0), 6) AS riparian_ag_conversion_proportion,
-    round(riparian_developed_area / nullif(total_area, 0), 6) AS riparian_developed_proportion FROM stats""",
+    round(riparian_area / nullif(1 - riparian_departure, 0) + 1e-7, 4) AS hist_riparian_area,
+    round(channel_length / nullif(total_length, 0) + 1e-9, 6) AS relative_flow_length,
+    round((total_area * 0.000247105e0) / nullif(total_length * 0.000621371e0, 0) + 1e-9, 6) AS acres_vb_per_mile,
+    round(road_length / nullif(total_length, 0) + 1e-9, 6) AS road_density, round(rail_length / nullif(total_length, 0) + 1e-9, 6) AS rail_density,
+    round(riparian_ag_conv_area / nullif(total_area, 0) + 1e-9, 6) AS riparian_ag_conversion_proportion,
+    round(riparian_developed_area / nullif(total_area, 0) + 1e-9, 6) AS riparian_developed_proportion FROM stats""",
 )
 def secondary_metrics(t):
     out = stats.secondary_metrics(_huc_statistics(t))
-    out = rounded(out, 6, "relative_flow_length", "acres_vb_per_mile", "road_density", "rail_density", "riparian_ag_conversion_proportion", "riparian_developed_proportion")
-    out = rounded(out, 4, "hist_riparian_area")
+    out = rounded_up(out, 6, "relative_flow_length", "acres_vb_per_mile", "road_density", "rail_density", "riparian_ag_conversion_proportion", "riparian_developed_proportion")
+    out = rounded_up(out, 4, "hist_riparian_area")
     return out.select("huc10", "state_id", "flow_id", "owner_id", "hist_riparian_area", "relative_flow_length", "acres_vb_per_mile", "road_density", "rail_density", "riparian_ag_conversion_proportion", "riparian_developed_proportion")
 
 
 @query(
     "metric_summary",
     "v_dgos v_values",
-    """SELECT huc10, round(sum(metric_value * centerline_length) / nullif(sum(centerline_length), 0), 6) AS length_weighted,
-    round(sum(metric_value * segment_area) / nullif(sum(segment_area), 0), 6) AS area_weighted, round(sum(metric_value), 4) AS sum,
-    round(sum(metric_value * centerline_length), 4) AS times_length, round(sum(metric_value * segment_area), 4) AS times_area,
-    round(coalesce(sum(CASE WHEN metric_value = 0 THEN segment_area END), 0), 4) AS zero_area
+    """SELECT huc10, round(sum(metric_value * centerline_length) / nullif(sum(centerline_length), 0) + 1e-9, 6) AS length_weighted,
+    round(sum(metric_value * segment_area) / nullif(sum(segment_area), 0) + 1e-9, 6) AS area_weighted, round(sum(metric_value) + 1e-7, 4) AS sum,
+    round(sum(metric_value * centerline_length) + 1e-7, 4) AS times_length, round(sum(metric_value * segment_area) + 1e-7, 4) AS times_area,
+    round(coalesce(sum(CASE WHEN metric_value = 0 THEN segment_area END), 0) + 1e-7, 4) AS zero_area
     FROM v_dgos JOIN v_values ON dgoid = dgo_id WHERE metric_id = 37 GROUP BY huc10""",
 )
 def metric_summary(t):
     out = stats.metric_summary(t.dgos, t.values, 37, ["huc10"])
-    return rounded(rounded(out, 6, "length_weighted", "area_weighted"), 4, "sum", "times_length", "times_area", "zero_area")
+    return rounded_up(rounded_up(out, 6, "length_weighted", "area_weighted"), 4, "sum", "times_length", "times_area", "zero_area")
 
 
 @query(

@@ -67,6 +67,7 @@ def main() -> int:
     parser = argparse.ArgumentParser()
     parser.add_argument("--sf", default="0.01")
     parser.add_argument("--conf", action="append", default=[], help="key=value")
+    parser.add_argument("--plain", action="store_true", help="a session without the library defaults")
     parser.add_argument("names", nargs="*")
     args = parser.parse_args()
 
@@ -75,7 +76,12 @@ def main() -> int:
     from headwater.plans.registry import REGISTRY
 
     sf_dir = f"{DATA}/sf{args.sf}"
-    spark = build_session("compare", "local[8]", 8, spark__driver__memory="8g", **dict(c.split("=") for c in args.conf))
+    if args.plain:
+        from pyspark.sql import SparkSession
+
+        spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").config("spark.driver.memory", "8g").getOrCreate()
+    else:
+        spark = build_session("compare", "local[8]", 8, spark__driver__memory="8g", **dict(c.split("=") for c in args.conf))
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     names = [n for n in REGISTRY if not args.names or any(n == a or (a[-1] == "*" and n.startswith(a[:-1])) for a in args.names)]
