@@ -1,4 +1,5 @@
-"""Map projections as NumPy closed forms (Snyder 1987, USGS Professional Paper 1395), GRS80."""
+"""Map projections as NumPy closed forms on GRS80: Albers (Snyder 1987, USGS Professional Paper
+1395) and transverse Mercator."""
 
 from __future__ import annotations
 
@@ -14,7 +15,7 @@ E1 = E2**0.5
 
 # EPSG:5070 (Albers equal area, CONUS) and EPSG:2193 (transverse Mercator, New Zealand).
 ALBERS = {"lat0": 23.0, "lon0": -96.0, "lat1": 29.5, "lat2": 45.5}
-NZTM = {"lat0": 0.0, "lon0": 173.0, "scale": 0.9996, "east": 1_600_000.0, "north": 10_000_000.0}
+NZTM = {"lon0": 173.0, "scale": 0.9996, "east": 1_600_000.0, "north": 10_000_000.0}
 
 
 def _q(sin_lat):
@@ -55,50 +56,58 @@ def albers_inverse(x, y):
     return np.degrees(theta / _N + _LON0), np.degrees(lat)
 
 
-def _meridian(lat):
-    e4, e6 = E2**2, E2**3
-    return A * (
-        (1 - E2 / 4 - 3 * e4 / 64 - 5 * e6 / 256) * lat
-        - (3 * E2 / 8 + 3 * e4 / 32 + 45 * e6 / 1024) * np.sin(2 * lat)
-        + (15 * e4 / 256 + 45 * e6 / 1024) * np.sin(4 * lat)
-        - (35 * e6 / 3072) * np.sin(6 * lat)
-    )
+# Transverse Mercator by the Krueger series in the third flattening (Karney 2011, to order n^4).
+_T = F / (2 - F)
+_RADIUS = A / (1 + _T) * (1 + _T**2 / 4 + _T**4 / 64)
+# Series coefficients to and from the conformal sphere.
+_TO = (
+    _T / 2 - 2 * _T**2 / 3 + 5 * _T**3 / 16 + 41 * _T**4 / 180,
+    13 * _T**2 / 48 - 3 * _T**3 / 5 + 557 * _T**4 / 1440,
+    61 * _T**3 / 240 - 103 * _T**4 / 140,
+    49561 * _T**4 / 161280,
+)
+_FROM = (
+    _T / 2 - 2 * _T**2 / 3 + 37 * _T**3 / 96 - _T**4 / 360,
+    _T**2 / 48 + _T**3 / 15 - 437 * _T**4 / 1440,
+    17 * _T**3 / 480 - 37 * _T**4 / 840,
+    4397 * _T**4 / 161280,
+)
 
 
-_EP2 = E2 / (1 - E2)
+def _series(coefficients, xi, eta):
+    along = sum(c * np.sin(2 * j * xi) * np.cosh(2 * j * eta) for j, c in enumerate(coefficients, 1))
+    across = sum(c * np.cos(2 * j * xi) * np.sinh(2 * j * eta) for j, c in enumerate(coefficients, 1))
+    return along, across
+
+
+def _conformal(tau):
+    """Tangent of the conformal latitude from that of the latitude."""
+    root = np.sqrt(1 + tau**2)
+    sigma = np.sinh(E1 * np.arctanh(E1 * tau / root))
+    return tau * np.sqrt(1 + sigma**2) - sigma * root
 
 
 def nztm_forward(lon, lat):
-    phi, k = np.radians(lat), NZTM["scale"]
-    v = A / np.sqrt(1 - E2 * np.sin(phi) ** 2)
-    t, c = np.tan(phi) ** 2, _EP2 * np.cos(phi) ** 2
-    a = (np.radians(lon) - np.radians(NZTM["lon0"])) * np.cos(phi)
-    x = k * v * (a + (1 - t + c) * a**3 / 6 + (5 - 18 * t + t**2 + 72 * c - 58 * _EP2) * a**5 / 120)
-    m = _meridian(phi) - _meridian(np.radians(NZTM["lat0"]))
-    y = k * (m + v * np.tan(phi) * (a**2 / 2 + (5 - t + 9 * c + 4 * c**2) * a**4 / 24 + (61 - 58 * t + t**2 + 600 * c - 330 * _EP2) * a**6 / 720))
-    return NZTM["east"] + x, NZTM["north"] + y
+    turn = np.radians(np.asarray(lon) - NZTM["lon0"])
+    t = _conformal(np.tan(np.radians(lat)))
+    xi, eta = np.arctan2(t, np.cos(turn)), np.arcsinh(np.sin(turn) / np.hypot(t, np.cos(turn)))
+    along, across = _series(_TO, xi, eta)
+    scale = NZTM["scale"] * _RADIUS
+    return NZTM["east"] + scale * (eta + across), NZTM["north"] + scale * (xi + along)
 
 
 def nztm_inverse(x, y):
-    k = NZTM["scale"]
-    m = _meridian(np.radians(NZTM["lat0"])) + (y - NZTM["north"]) / k
-    mu = m / (A * (1 - E2 / 4 - 3 * E2**2 / 64 - 5 * E2**3 / 256))
-    e1 = (1 - np.sqrt(1 - E2)) / (1 + np.sqrt(1 - E2))
-    phi = (
-        mu + (3 * e1 / 2 - 27 * e1**3 / 32) * np.sin(2 * mu) + (21 * e1**2 / 16 - 55 * e1**4 / 32) * np.sin(4 * mu)
-        + (151 * e1**3 / 96) * np.sin(6 * mu) + (1097 * e1**4 / 512) * np.sin(8 * mu)
-    )
-    sin_phi = np.sin(phi)
-    c, t = _EP2 * np.cos(phi) ** 2, np.tan(phi) ** 2
-    v = A / np.sqrt(1 - E2 * sin_phi**2)
-    r = A * (1 - E2) / (1 - E2 * sin_phi**2) ** 1.5
-    d = (x - NZTM["east"]) / (v * k)
-    lat = phi - (v * np.tan(phi) / r) * (
-        d**2 / 2 - (5 + 3 * t + 10 * c - 4 * c**2 - 9 * _EP2) * d**4 / 24
-        + (61 + 90 * t + 298 * c + 45 * t**2 - 252 * _EP2 - 3 * c**2) * d**6 / 720
-    )
-    lon = (d - (1 + 2 * t + c) * d**3 / 6 + (5 - 2 * c + 28 * t - 3 * c**2 + 8 * _EP2 + 24 * t**2) * d**5 / 120) / np.cos(phi)
-    return NZTM["lon0"] + np.degrees(lon), np.degrees(lat)
+    scale = NZTM["scale"] * _RADIUS
+    xi, eta = (np.asarray(y) - NZTM["north"]) / scale, (np.asarray(x) - NZTM["east"]) / scale
+    along, across = _series(_FROM, xi, eta)
+    xi, eta = xi - along, eta - across
+    t = np.sin(xi) / np.hypot(np.sinh(eta), np.cos(xi))
+    tau = t / (1 - E2)
+    for _ in range(6):
+        now = _conformal(tau)
+        slope = (1 - E2) * np.sqrt(1 + now**2) * np.sqrt(1 + tau**2) / (1 + (1 - E2) * tau**2)
+        tau = tau + (t - now) / slope
+    return NZTM["lon0"] + np.degrees(np.arctan2(np.sinh(eta), np.cos(xi))), np.degrees(np.arctan(tau))
 
 
 TRANSFORMS: dict[tuple[int, int], Callable] = {

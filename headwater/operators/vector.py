@@ -172,22 +172,29 @@ def _undirected(edges: DataFrame) -> DataFrame:
 
 
 def outline_edges(df: DataFrame, keys: Sequence[str], geom: str = "geom", digits: int = DIGITS) -> DataFrame:
-    """Edges on the outline of each key's union: those not run both ways by polygons of the key."""
+    """Edges on the outline of each key's union: those not run both ways by polygons of the key.
+
+    ``overlap`` marks edges that several polygons run the same way.
+    """
     net = _undirected(explode_edges(df, keys, geom, digits)).groupBy(*keys, "lo", "hi").agg(F.sum("dir").alias("net"))
     forward = F.col("net") > 0
     a, b = F.when(forward, F.col("lo")).otherwise(F.col("hi")), F.when(forward, F.col("hi")).otherwise(F.col("lo"))
     return net.filter("net <> 0").select(*keys, a.alias("a"), b.alias("b"), (F.abs("net") > 1).alias("overlap"))
 
 
-def _ring_labels(outline: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _ring_labels(outline: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Number the rings of the outline edges: adds ``id`` and the ring's smallest edge id, ``ring``.
 
+    Also returns the keys with overlapping polygons, whose edges are left out.
+
     Every edge first finds the next edge of its ring: of the edges leaving its end the first one
     met when turning clockwise from the way back, which keeps areas that touch in a point apart.
     Then each edge looks twice as far along its ring per round, so the rounds grow with the
     logarithm of the longest ring. Each round is written to the shared folder.
     """
     edges = cut_lineage(outline.withColumn("id", F.monotonically_increasing_id()), "edges")
+    overlapping = edges.filter("overlap").select(*keys).distinct()
+    edges = edges.join(overlapping, list(keys), "left_anti")
     angle = lambda p, q: F.atan2(q["y"] - p["y"], q["x"] - p["x"])
     a, b = F.col("a"), F.col("b")
     leaving = edges.groupBy(*keys, a.alias("node")).agg(F.collect_list(F.struct(angle(a, b).alias("angle"), "id")).alias("leaving"))
@@ -208,7 +215,7 @@ def _ring_labels(outline: DataFrame, keys: Sequence[str]) -> DataFrame:
         )
         changed = state.agg(F.coalesce(F.sum("moved"), F.lit(0)).alias("n")).first()["n"]
         state = state.drop("moved")
-    return edges.join(state.select("id", "ring"), "id")
+    return edges.join(state.select("id", "ring"), "id").drop("overlap"), overlapping
 
 
 _RING = T.StructType([T.StructField("ring", T.ArrayType(_POINT)), *_doubles("signed_area", "px", "py")[0].fields])
@@ -221,7 +228,11 @@ def _assemble(edges: pa.Array) -> pa.Array:
     for listed in edges.to_pylist():
         table = np.array([(e["a"]["x"], e["a"]["y"], e["b"]["x"], e["b"]["y"]) for e in listed])
         rings = []
-        for ring in G.walk_rings(table):
+        try:
+            walked = G.walk_rings(table)
+        except G.Bad:
+            walked = []
+        for ring in walked:
             px, py = G.inner_point(ring)
             rings.append({"ring": [{"x": x, "y": y} for x, y in ring.tolist()], "signed_area": G.signed_area(ring), "px": px, "py": py})
         out.append(rings)
@@ -231,13 +242,13 @@ def _assemble(edges: pa.Array) -> pa.Array:
 def outline_rings(df: DataFrame, keys: Sequence[str], geom: str = "geom", digits: int = DIGITS) -> DataFrame:
     """Rings of each key's union; shells have positive, holes negative ``signed_area``.
 
-    ``overlap`` marks rings with edges that several polygons run the same way: such input is not
-    an edge-matched coverage.
+    A key whose polygons overlap, so that the input is no coverage, has a row without ring.
     """
-    labeled = _ring_labels(outline_edges(df, keys, geom, digits), keys)
-    loops = labeled.groupBy(*keys, "ring").agg(F.collect_list(F.struct("a", "b")).alias("edges"), F.bool_or("overlap").alias("overlap"))
-    rings = loops.select(*keys, "overlap", F.inline(_assemble(F.col("edges"))))
-    return rings.withColumn("ring_id", F.xxhash64(F.to_json(F.struct(*keys)), F.col("ring")))
+    labeled, overlapping = _ring_labels(outline_edges(df, keys, geom, digits), keys)
+    loops = labeled.groupBy(*keys, "ring").agg(F.collect_list(F.struct("a", "b")).alias("edges"))
+    rings = loops.select(*keys, F.col("ring").alias("label"), F.inline_outer(_assemble(F.col("edges"))))
+    rings = rings.withColumn("ring_id", F.xxhash64(F.col("label"), F.to_json("ring"))).drop("label")
+    return rings.unionByName(overlapping, allowMissingColumns=True)
 
 
 @F.arrow_udf(T.BooleanType())
@@ -256,13 +267,16 @@ def dissolve(df: DataFrame, keys: Sequence[str], single_part: bool = False, geom
     """Union of the polygons of each key, for edge-matched coverages: one row per connected part.
 
     ``part_count`` says how many parts the key has; ``single_part`` keeps keys with one part only.
+    Keys with overlapping polygons are reported as one row with ``overlap`` and no geometry.
     Every hole goes to the smallest shell of its key around it. Shells are listed under the few
     cells, of their own size, that they reach, and a hole looks in its cell of every size in use.
     """
-    rings = cut_lineage(outline_rings(df, keys, geom, digits), "outline")
+    found = cut_lineage(outline_rings(df, keys, geom, digits), "outline")
+    flawed = found.filter("ring IS NULL").select(*keys).distinct().withColumn("overlap", F.lit(True))
+    rings = found.join(flawed.select(*keys), list(keys), "left_anti")
     shells = rings.filter("signed_area > 0").withColumn("xs", F.transform("ring", lambda p: p["x"])).withColumn("ys", F.transform("ring", lambda p: p["y"]))
     shells = shells.select(
-        *keys, "ring_id", "ring", "overlap", F.col("signed_area").alias("shell_area"),
+        *keys, "ring_id", "ring", F.col("signed_area").alias("shell_area"),
         F.array_min("xs").alias("xmin"), F.array_max("xs").alias("xmax"), F.array_min("ys").alias("ymin"), F.array_max("ys").alias("ymax"),
     )
     level = F.ceil(F.log2(F.greatest(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin")))).cast("int")
@@ -281,14 +295,15 @@ def dissolve(df: DataFrame, keys: Sequence[str], single_part: bool = False, geom
     parts = shells.join(held, [*keys, "ring_id"], "left").join(counts, list(keys))
     if single_part:
         parts = parts.filter("part_count = 1")
-    return parts.select(
+    whole = parts.select(
         *keys,
         "part_count",
-        "overlap",
+        F.lit(False).alias("overlap"),
         (F.col("shell_area") + F.coalesce("hole_area", F.lit(0.0))).alias("area"),
         F.coalesce(F.size("holes"), F.lit(0)).alias("hole_count"),
         _polygon(F.col("ring"), F.col("holes")).alias(geom),
     )
+    return whole.unionByName(flawed, allowMissingColumns=True)
 
 
 def dissolved_counts(df: DataFrame, keys: Sequence[str], geom: str = "geom") -> DataFrame:
