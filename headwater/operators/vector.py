@@ -13,7 +13,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,8 +30,8 @@ def _doubles(*names: str) -> tuple[T.StructType, pa.DataType]:
     return T.StructType([T.StructField(n, T.DoubleType()) for n in names]), pa.struct([(n, pa.float64()) for n in names])
 
 
-_POINT, _POINT_ARROW = _doubles("x", "y")
-_EDGE, _EDGE_ARROW = _doubles("x1", "y1", "x2", "y2")
+_EDGE_FIELDS = ("x1", "y1", "x2", "y2")
+_EDGE, _EDGE_ARROW = _doubles(*_EDGE_FIELDS)
 _NUMBERS, _NUMBERS_ARROW = _doubles("xmin", "ymin", "xmax", "ymax", "area", "centroid_x", "centroid_y")
 _MEASURES = T.StructType([T.StructField("geometry_type", T.StringType()), *_NUMBERS.fields])
 _MEASURES_ARROW = pa.struct([pa.field("geometry_type", pa.string()), *_NUMBERS_ARROW])
@@ -148,18 +148,38 @@ def reproject_layer(df: DataFrame, src: int, dst: int, geom: str = "geom") -> Da
 def _edge_arrays(digits: int):
     @F.arrow_udf(T.ArrayType(_EDGE))
     def split(geom: pa.Array) -> pa.Array:
-        rows = []
+        found = []
         for g in geom.to_pylist():
             try:
-                found = np.empty((0, 4)) if g is None else G.directed_edges(g, digits)
+                found.append(np.empty((0, 4)) if g is None else G.directed_edges(g, digits))
             except G.Bad:
-                found = np.empty((0, 4))
-            rows.append([dict(zip(("x1", "y1", "x2", "y2"), e)) for e in found.tolist()])
-        return pa.array(rows, type=pa.list_(_EDGE_ARROW))
+                found.append(np.empty((0, 4)))
+        offsets = np.cumsum([0, *map(len, found)])
+        table = np.concatenate([*found, np.empty((0, 4))])
+        edges = pa.StructArray.from_arrays([pa.array(table[:, i]) for i in range(4)], names=list(_EDGE_FIELDS))
+        return pa.ListArray.from_arrays(pa.array(offsets, type=pa.int32()), edges)
 
     return split
 
 
+def _lists(column: pa.ListArray, names: Sequence[str]) -> Iterator[np.ndarray]:
+    """The number fields of each list of structs as a table."""
+    offsets = column.offsets.to_numpy()
+    values = column.values
+    table = np.column_stack([values.field(n).to_numpy(zero_copy_only=False) for n in names])
+    for start, stop in zip(offsets[:-1], offsets[1:]):
+        yield table[start:stop]
+
+
+def _pack(points: np.ndarray) -> bytes:
+    """A line or ring as plain bytes: little-endian coordinate pairs."""
+    return np.ascontiguousarray(points, dtype="<f8").tobytes()
+
+
+def _unpack(packed: bytes) -> np.ndarray:
+    return np.frombuffer(packed, dtype="<f8").reshape(-1, 2)
+
+
 def explode_edges(df: DataFrame, columns: Sequence[str], geom: str = "geom", digits: int = DIGITS) -> DataFrame:
     """One row per polygon edge, interior on the left."""
     return df.select(*columns, _edge_arrays(digits)(F.col(geom)).alias("e")).select(*columns, F.inline("e"))
@@ -206,27 +226,26 @@ def _ring_labels(outline: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Da
         return F.struct(F.when(clockwise < 1e-12, two_pi).otherwise(clockwise).alias("turn"), option["id"].alias("id"))
 
     state = arriving.join(leaving, [*keys, "node"]).select("id", F.array_min(F.transform("leaving", turn))["id"].alias("next"), F.col("id").alias("ring"))
-    changed = 1
-    while changed:
+    moved = 1
+    while moved:
+        # the count of changed labels rides along with the write
+        seen = Observation()
         ahead = state.select(F.col("id").alias("next"), F.col("next").alias("after"), F.col("ring").alias("ring_ahead"))
-        state = cut_lineage(
-            state.join(ahead, "next").select("id", F.col("after").alias("next"), F.least("ring", "ring_ahead").alias("ring"), (F.col("ring_ahead") < F.col("ring")).cast("int").alias("moved")),
-            "rings",
-        )
-        changed = state.agg(F.coalesce(F.sum("moved"), F.lit(0)).alias("n")).first()["n"]
-        state = state.drop("moved")
+        looked = state.join(ahead, "next").observe(seen, F.count_if(F.col("ring_ahead") < F.col("ring")).alias("n"))
+        state = cut_lineage(looked.select("id", F.col("after").alias("next"), F.least("ring", "ring_ahead").alias("ring")), "rings")
+        moved = seen.get["n"]
     return edges.join(state.select("id", "ring"), "id").drop("overlap"), overlapping
 
 
-_RING = T.StructType([T.StructField("ring", T.ArrayType(_POINT)), *_doubles("signed_area", "px", "py")[0].fields])
-_RING_ARROW = pa.struct([pa.field("ring", pa.list_(_POINT_ARROW)), *_doubles("signed_area", "px", "py")[1]])
+_RING_NUMBERS, _RING_NUMBERS_ARROW = _doubles("signed_area", "px", "py", "xmin", "ymin", "xmax", "ymax")
+_RING = T.StructType([T.StructField("ring", T.BinaryType()), *_RING_NUMBERS.fields])
+_RING_ARROW = pa.struct([pa.field("ring", pa.binary()), *_RING_NUMBERS_ARROW])
 
 
 @F.arrow_udf(T.ArrayType(_RING))
 def _assemble(edges: pa.Array) -> pa.Array:
     out = []
-    for listed in edges.to_pylist():
-        table = np.array([(e["a"]["x"], e["a"]["y"], e["b"]["x"], e["b"]["y"]) for e in listed])
+    for table in _lists(edges, _EDGE_FIELDS):
         rings = []
         try:
             walked = G.walk_rings(table)
@@ -234,7 +253,8 @@ def _assemble(edges: pa.Array) -> pa.Array:
             walked = []
         for ring in walked:
             px, py = G.inner_point(ring)
-            rings.append({"ring": [{"x": x, "y": y} for x, y in ring.tolist()], "signed_area": G.signed_area(ring), "px": px, "py": py})
+            (xmin, ymin), (xmax, ymax) = ring.min(axis=0), ring.max(axis=0)
+            rings.append({"ring": _pack(ring), "signed_area": G.signed_area(ring), "px": px, "py": py, "xmin": xmin, "ymin": ymin, "xmax": xmax, "ymax": ymax})
         out.append(rings)
     return pa.array(out, type=pa.list_(_RING_ARROW))
 
@@ -245,22 +265,23 @@ def outline_rings(df: DataFrame, keys: Sequence[str], geom: str = "geom", digits
     A key whose polygons overlap, so that the input is no coverage, has a row without ring.
     """
     labeled, overlapping = _ring_labels(outline_edges(df, keys, geom, digits), keys)
-    loops = labeled.groupBy(*keys, "ring").agg(F.collect_list(F.struct("a", "b")).alias("edges"))
+    edge = F.struct(F.col("a.x").alias("x1"), F.col("a.y").alias("y1"), F.col("b.x").alias("x2"), F.col("b.y").alias("y2"))
+    loops = labeled.groupBy(*keys, "ring").agg(F.collect_list(edge).alias("edges"))
     rings = loops.select(*keys, F.col("ring").alias("label"), F.inline_outer(_assemble(F.col("edges"))))
-    rings = rings.withColumn("ring_id", F.xxhash64(F.col("label"), F.to_json("ring"))).drop("label")
+    rings = rings.withColumn("ring_id", F.xxhash64("label", "ring")).drop("label")
     return rings.unionByName(overlapping, allowMissingColumns=True)
 
 
 @F.arrow_udf(T.BooleanType())
 def _covers(ring: pa.Array, x: pa.Array, y: pa.Array) -> pa.Array:
-    pairs = zip(ring.to_pylist(), x.to_pylist(), y.to_pylist())
-    return pa.array([G.contains(np.array([(p["x"], p["y"]) for p in r]), px, py) for r, px, py in pairs], type=pa.bool_())
+    rows = zip(ring.to_pylist(), x.to_pylist(), y.to_pylist())
+    return pa.array([G.contains(_unpack(r), px, py) for r, px, py in rows], type=pa.bool_())
 
 
 @F.arrow_udf(T.BinaryType())
 def _polygon(shell: pa.Array, holes: pa.Array) -> pa.Array:
-    ring = lambda r: np.array([(p["x"], p["y"]) for p in r])
-    return pa.array([G.polygon_wkb([ring(s), *map(ring, sorted(h or [], key=lambda r: (r[0]["x"], r[0]["y"])))]) for s, h in zip(shell.to_pylist(), holes.to_pylist())], type=pa.binary())
+    rows = zip(shell.to_pylist(), holes.to_pylist())
+    return pa.array([G.polygon_wkb([_unpack(s), *sorted(map(_unpack, h or []), key=lambda r: tuple(r[0]))]) for s, h in rows], type=pa.binary())
 
 
 def dissolve(df: DataFrame, keys: Sequence[str], single_part: bool = False, geom: str = "geom", digits: int = DIGITS) -> DataFrame:
@@ -274,21 +295,18 @@ def dissolve(df: DataFrame, keys: Sequence[str], single_part: bool = False, geom
     found = cut_lineage(outline_rings(df, keys, geom, digits), "outline")
     flawed = found.filter("ring IS NULL").select(*keys).distinct().withColumn("overlap", F.lit(True))
     rings = found.join(flawed.select(*keys), list(keys), "left_anti")
-    shells = rings.filter("signed_area > 0").withColumn("xs", F.transform("ring", lambda p: p["x"])).withColumn("ys", F.transform("ring", lambda p: p["y"]))
-    shells = shells.select(
-        *keys, "ring_id", "ring", F.col("signed_area").alias("shell_area"),
-        F.array_min("xs").alias("xmin"), F.array_max("xs").alias("xmax"), F.array_min("ys").alias("ymin"), F.array_max("ys").alias("ymax"),
-    )
+    shells = rings.filter("signed_area > 0").select(*keys, "ring_id", "ring", F.col("signed_area").alias("shell_area"), "xmin", "ymin", "xmax", "ymax")
     level = F.ceil(F.log2(F.greatest(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin")))).cast("int")
     leveled = shells.withColumn("level", level)
     cell = lambda c: F.floor(c / F.pow(F.lit(2.0), F.col("level"))).cast("bigint")
-    placed = leveled.select(*keys, "level", "ring_id", "ring", "shell_area", F.explode(F.sequence(cell(F.col("xmin")), cell(F.col("xmax")))).alias("cx"), "ymin", "ymax")
-    placed = placed.withColumn("cy", F.explode(F.sequence(cell(F.col("ymin")), cell(F.col("ymax"))))).drop("ymin", "ymax")
+    placed = leveled.withColumn("cx", F.explode(F.sequence(cell(F.col("xmin")), cell(F.col("xmax")))))
+    placed = placed.withColumn("cy", F.explode(F.sequence(cell(F.col("ymin")), cell(F.col("ymax")))))
     # one row per size class, some tens in all
     levels = leveled.groupBy(*keys).agg(F.collect_set("level").alias("levels"))
     holes = rings.filter("signed_area < 0").select(*keys, F.col("ring").alias("hole"), F.col("signed_area").alias("hole_area"), F.col("ring_id").alias("hole_id"), "px", "py")
     looking = holes.join(levels, list(keys)).withColumn("level", F.explode("levels")).withColumn("cx", cell(F.col("px"))).withColumn("cy", cell(F.col("py")))
-    around = looking.join(placed, [*keys, "level", "cx", "cy"]).filter((F.col("shell_area") > -F.col("hole_area")) & _covers(F.col("ring"), F.col("px"), F.col("py")))
+    boxed = F.col("px").between(F.col("xmin"), F.col("xmax")) & F.col("py").between(F.col("ymin"), F.col("ymax")) & (F.col("shell_area") > -F.col("hole_area"))
+    around = looking.join(placed, [*keys, "level", "cx", "cy"]).filter(boxed).filter(_covers(F.col("ring"), F.col("px"), F.col("py")))
     owner = around.groupBy(*keys, "hole_id").agg(F.min_by(F.struct("ring_id", "hole", "hole_area"), F.struct("shell_area", "ring_id")).alias("o"))
     held = owner.groupBy(*keys, F.col("o.ring_id").alias("ring_id")).agg(F.collect_list("o.hole").alias("holes"), F.sum("o.hole_area").alias("hole_area"))
     counts = shells.groupBy(*keys).agg(F.count(F.lit(1)).alias("part_count"))
@@ -329,34 +347,34 @@ def bounds_rollup(df: DataFrame, keys: Sequence[str], geom: str = "geom", tolera
 # --- coverage simplification ------------------------------------------------------------------
 
 def _arc_udf(min_area: float):
-    @F.arrow_udf(T.ArrayType(T.ArrayType(_POINT)))
+    @F.arrow_udf(T.ArrayType(T.BinaryType()))
     def arcs(edges: pa.Array) -> pa.Array:
         out = []
-        for listed in edges.to_pylist():
-            after = {(e["a"]["x"], e["a"]["y"]): [] for e in listed}
-            stops, arrivals = set(), set()
-            for e in listed:
-                a, b = (e["a"]["x"], e["a"]["y"]), (e["b"]["x"], e["b"]["y"])
-                after[a].append(b)
-                arrivals.add(b)
-                stops.update(p for p, junction in ((a, e["ja"]), (b, e["jb"])) if junction)
+        for table in _lists(edges, (*_EDGE_FIELDS, "ja", "jb")):
+            after: dict[tuple, list[tuple]] = {}
+            stops = set()
+            for x1, y1, x2, y2, ja, jb in table.tolist():
+                after.setdefault((x1, y1), []).append((x2, y2))
+                if ja:
+                    stops.add((x1, y1))
+                if jb:
+                    stops.add((x2, y2))
             lines = []
             # open arcs start at junctions, what then is left are closed lines without one
-            for start in sorted(p for p in after if p in stops) + sorted(p for p in after if p not in stops):
+            for start in [*sorted(p for p in after if p in stops), *sorted(p for p in after if p not in stops)]:
                 while after[start]:
                     line = [start]
                     while True:
                         line.append(after[line[-1]].pop())
                         if line[-1] in stops or line[-1] == start:
                             break
-                    points = np.array(line)
-                    closed = line[0] == line[-1]
                     # both neighbours run an arc in opposite directions but must see the same one
-                    flip = tuple(line[0]) > tuple(line[-1])
-                    kept = G.simplify_line(points[::-1] if flip else points, min_area, closed)
-                    lines.append([{"x": x, "y": y} for x, y in (kept[::-1] if flip else kept).tolist()])
+                    flip = line[0] > line[-1]
+                    points = np.array(line[::-1] if flip else line)
+                    kept = G.simplify_line(points, min_area, line[0] == line[-1])
+                    lines.append(_pack(kept[::-1] if flip else kept))
             out.append(lines)
-        return pa.array(out, type=pa.list_(pa.list_(_POINT_ARROW)))
+        return pa.array(out, type=pa.list_(pa.binary()))
 
     return arcs
 
@@ -364,9 +382,9 @@ def _arc_udf(min_area: float):
 @F.arrow_udf(T.BinaryType())
 def _rebuild(arcs: pa.Array) -> pa.Array:
     out = []
-    for lines in arcs.to_pylist():
-        edges = np.concatenate([np.array([(p["x"], p["y"], q["x"], q["y"]) for p, q in zip(line[:-1], line[1:])]) for line in lines])
-        rings = [r for r in G.walk_rings(edges) if len(r) > 3]
+    for listed in arcs.to_pylist():
+        lines = [_unpack(item["arc"])[:: -1 if item["back"] else 1] for item in listed]
+        rings = [r for r in G.walk_rings(np.concatenate([np.hstack([line[:-1], line[1:]]) for line in lines])) if len(r) > 3]
         shells = sorted((r for r in rings if G.signed_area(r) > 0), key=G.signed_area)
         parts: list[list[np.ndarray]] = [[s] for s in shells]
         for hole in (r for r in rings if G.signed_area(r) <= 0):
@@ -382,7 +400,7 @@ def _rebuild(arcs: pa.Array) -> pa.Array:
 def coverage_arcs(df: DataFrame, key: str, tolerance: float, within: Sequence[str] = (), geom: str = "geom", digits: int = DIGITS) -> DataFrame:
     """Simplified arcs of a polygon coverage, each shared border once: (within, owner, other, arc).
 
-    ``owner`` runs the arc with its interior on the left; ``other`` is the polygon across, or NULL.
+    Arcs are packed coordinate pairs. ``owner`` runs the arc with its interior on the left; ``other`` is the polygon across, or NULL.
     """
     sides = _undirected(explode_edges(df, [*within, key], geom, digits))
     feature = F.col(key)
@@ -397,7 +415,9 @@ def coverage_arcs(df: DataFrame, key: str, tolerance: float, within: Sequence[st
     forward = F.col("first.dir") > 0
     pick = lambda x, y: F.when(forward, x).otherwise(y)
     j_lo, j_hi = F.coalesce("j_lo", F.lit(False)), F.coalesce("j_hi", F.lit(False))
-    edge = F.struct(pick(F.col("lo"), F.col("hi")).alias("a"), pick(F.col("hi"), F.col("lo")).alias("b"), pick(j_lo, j_hi).alias("ja"), pick(j_hi, j_lo).alias("jb"))
+    lo, hi = F.col("lo"), F.col("hi")
+    ends_of = {"x1": pick(lo["x"], hi["x"]), "y1": pick(lo["y"], hi["y"]), "x2": pick(hi["x"], lo["x"]), "y2": pick(hi["y"], lo["y"])}
+    edge = F.struct(*[c.alias(n) for n, c in ends_of.items()], pick(j_lo, j_hi).cast("double").alias("ja"), pick(j_hi, j_lo).cast("double").alias("jb"))
     owner, other = F.col("first.id"), F.when(F.col("n") > 1, F.col("last"))
     # the edges two polygons share: no more than one polygon has
     pairs = flagged.groupBy(*within, owner.alias("owner"), other.alias("other")).agg(F.collect_list(edge).alias("edges"))
@@ -411,9 +431,9 @@ def simplify_coverage(df: DataFrame, key: str, tolerance: float, within: Sequenc
     Visvalingam–Whyatt with triangles below ``tolerance`` squared removed; cut nodes stay.
     """
     arcs = coverage_arcs(df, key, tolerance, within, geom, digits)
-    mine = arcs.select(*within, F.col("owner").alias(key), "arc")
-    theirs = arcs.filter("other IS NOT NULL").select(*within, F.col("other").alias(key), F.reverse("arc").alias("arc"))
-    rebuilt = mine.unionByName(theirs).groupBy(*within, key).agg(F.collect_list("arc").alias("arcs")).select(*within, key, _rebuild(F.col("arcs")).alias(f"{geom}_simplified"))
+    side = lambda who, back: F.struct(F.col(who).alias("who"), F.lit(back).alias("back"))
+    sides = arcs.select(*within, "arc", F.explode(F.array(side("owner", False), side("other", True))).alias("s")).filter("s.who IS NOT NULL")
+    rebuilt = sides.groupBy(*within, F.col("s.who").alias(key)).agg(F.collect_list(F.struct("arc", "s.back")).alias("arcs")).select(*within, key, _rebuild(F.col("arcs")).alias(f"{geom}_simplified"))
     return df.join(rebuilt, [*within, key], "left")
 
 
@@ -428,7 +448,8 @@ def _touched(wkb: bytes, first: int, last: int, head: dict) -> list[tuple[int, i
     edges = np.concatenate([np.hstack([r[:-1], r[1:]]) for rings in G.polygons_of(wkb) for r in rings])
     col = (edges[:, [0, 2]] - head["left_x"]) / head["cell_width"]
     row = (edges[:, [1, 3]] - head["top_y"]) / head["cell_height"]
-    for r in range(max(first, 0), min(last, head["n_rows"] - 1) + 1):
+    first, last = max(first, 0, int(np.floor(row.min()))), min(last, head["n_rows"] - 1, int(np.floor(row.max())))
+    for r in range(first, last + 1):
         lo, hi = row.min(axis=1), row.max(axis=1)
         hit = (lo < r + 1) & (hi > r)
         spans = []
