@@ -1,7 +1,7 @@
 """Times the headline queries and prints one JSON line.
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_RUNS (default 3), BENCH_QUERIES (comma separated names, or ``all``).
+BENCH_RUNS (default 2), BENCH_QUERIES (comma separated names, or ``all``).
 Each query runs once to warm up and then BENCH_RUNS times into the noop sink; the median counts.
 """
 
@@ -32,7 +32,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     wanted = os.environ.get("BENCH_QUERIES", "")
     names = list(REGISTRY) if wanted == "all" else wanted.split(",") if wanted else HEADLINE
 

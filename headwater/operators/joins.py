@@ -217,8 +217,12 @@ def huc_has_project(hucs: DataFrame, meta: DataFrame, projects: DataFrame, key:
     """Watersheds with the metadata values and projects naming them, flagged 1 when there is one."""
     if key is not None:
         meta = meta.filter(F.col("key") == key)
-    named = meta.select("project_id", "key", F.col("value").alias("huc10"))
-    joined = hucs.select("huc10").distinct().join(named, "huc10", "left").join(projects.select("project_id", "project_type_id", "owner_name"), "project_id", "left")
+    wanted = hucs.select("huc10").distinct()
+    # matched and unmatched apart: a watershed with very many projects can be split in an inner
+    # join, but not on the inner side of a left join
+    named = meta.select("project_id", "key", F.col("value").alias("huc10")).join(wanted, "huc10")
+    alone = wanted.join(named.select("huc10").distinct(), "huc10", "left_anti")
+    joined = named.unionByName(alone, allowMissingColumns=True).join(projects.select("project_id", "project_type_id", "owner_name"), "project_id", "left")
     if type_id is not None:
         joined = joined.filter(F.col("project_type_id") == type_id)
     return joined.withColumn("has_project", F.col("key").isNotNull().cast("int"))

@@ -99,7 +99,7 @@ DAY = 86_400_000
 # Named periods of a created-within search, in days.
 PERIOD_DAYS = {"ONE_DAY": 1, "ONE_WEEK": 7, "ONE_MONTH": 30, "SIX_MONTHS": 182}
 SEARCH_KEYS = {
-    "keywords", "name", "excludeArchived", "createdOn", "updatedOn", "createdWithin", "collection", "bbox",
+    "keywords", "name", "editableOnly", "excludeArchived", "createdOn", "updatedOn", "createdWithin", "collection", "bbox",
     "projectTypeId", "meta", "tags", "ownedBy", "boundsId", "visibility", "attributedOrgId",
 }
 OWNER_TYPES = ("USER", "ORGANIZATION")
@@ -136,7 +136,8 @@ def check_search(params: dict) -> dict:
     p = {k: v for k, v in params.items() if v is not None}
     for key in ("keywords", "name", "projectTypeId", "boundsId", "attributedOrgId"):
         _need(isinstance(p.get(key, ""), str), f"{key} must be a string")
-    _need(isinstance(p.get("excludeArchived", True), bool), "excludeArchived must be a boolean")
+    for key in ("excludeArchived", "editableOnly"):
+        _need(isinstance(p.get(key, True), bool), f"{key} must be a boolean")
     for key in ("createdOn", "updatedOn"):
         if key in p:
             p[key] = _range(p[key], key)
@@ -160,10 +161,16 @@ def check_search(params: dict) -> dict:
     return p
 
 
-def search_condition(params: dict, now_ms: int | None = None) -> Column:
-    """All conditions of a search as one predicate; simple comparisons reach the Parquet scan."""
+def search_condition(params: dict, now_ms: int | None = None, me: str | None = None) -> Column:
+    """All conditions of a search as one predicate; simple comparisons reach the Parquet scan.
+
+    ``editableOnly`` needs ``me``: what a user may edit is what the user owns.
+    """
     p = check_search(params)
     tests: list[Column] = []
+    if p.get("editableOnly"):
+        _need(me is not None, "editableOnly needs to know the user")
+        tests.append(F.col("owner_id") == me)
     if p.get("excludeArchived", True):
         tests.append(~F.col("archived"))
     if "projectTypeId" in p:
@@ -200,9 +207,9 @@ def search_condition(params: dict, now_ms: int | None = None) -> Column:
     return condition
 
 
-def search_projects(index: DataFrame, params: dict, now_ms: int | None = None) -> DataFrame:
+def search_projects(index: DataFrame, params: dict, now_ms: int | None = None, me: str | None = None) -> DataFrame:
     """Projects that meet every given condition; archived ones only when asked for."""
-    return index.filter(search_condition(params, now_ms))
+    return index.filter(search_condition(params, now_ms, me))
 
 
 # sort name -> (column, descending); every order ends with the project id

@@ -40,10 +40,10 @@ def content_hash(df: DataFrame) -> DataFrame:
 
 def same_content(a: DataFrame, b: DataFrame) -> DataFrame:
     """One row: both counts and whether the contents are equal as multisets of rows."""
-    left = content_hash(a).select(F.lit("x").alias("k"), *[F.col(c).alias(f"a_{c}") for c in ("n", "hash_sum", "hash_xor")])
-    right = content_hash(b).select(F.lit("x").alias("k"), *[F.col(c).alias(f"b_{c}") for c in ("n", "hash_sum", "hash_xor")])
-    equal = (F.col("a_n") == F.col("b_n")) & (F.col("a_hash_sum") == F.col("b_hash_sum")) & (F.col("a_hash_xor") == F.col("b_hash_xor"))
-    return left.join(right, "k").select(F.col("a_n").alias("rows_a"), F.col("b_n").alias("rows_b"), equal.alias("equal"))
+    both = content_hash(a).withColumn("side", F.lit("a")).unionByName(content_hash(b).withColumn("side", F.lit("b")))
+    distinct = F.count_distinct("n", "hash_sum", "hash_xor")
+    rows = lambda side: F.max(F.when(F.col("side") == side, F.col("n")))
+    return both.agg(rows("a").alias("rows_a"), rows("b").alias("rows_b"), (distinct == 1).alias("equal"))
 
 
 def content_difference(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -80,8 +80,8 @@ def schema_diff(files: DataFrame) -> DataFrame:
     found = file_schemas(files)
     per_type = found.groupBy("column_name", "column_type").agg(F.count(F.lit(1)).alias("n_files"), F.min("path").alias("example"))
     per_column = per_type.groupBy("column_name").agg(F.count(F.lit(1)).alias("n_types"), F.sum("n_files").alias("n_with"))
-    total = files.agg(F.count(F.lit(1)).alias("n_total")).withColumn("k", F.lit(1))
-    uneven = per_column.withColumn("k", F.lit(1)).join(total, "k").filter((F.col("n_types") > 1) | (F.col("n_with") < F.col("n_total")))
+    total = files.agg(F.count(F.lit(1))).scalar()
+    uneven = per_column.withColumn("n_total", total).filter((F.col("n_types") > 1) | (F.col("n_with") < F.col("n_total")))
     return per_type.join(uneven.select("column_name", "n_types", "n_total"), "column_name")
 
 

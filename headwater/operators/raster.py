@@ -6,7 +6,7 @@ Work is keyed by cell or by bin, never gathered per raster: a raster may hold mo
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from headwater.functions.columns import nearly_equal
@@ -61,16 +61,8 @@ def bin_categorical(cells: DataFrame) -> DataFrame:
     counted = cells.groupBy("raster_id", F.col("value").cast("bigint").alias("category")).agg(
         F.count(F.lit(1)).alias("cell_count"), F.min("value").alias("lo"), F.max("value").alias("hi")
     )
-    raster = Window.partitionBy("raster_id")  # one row per category by now
-    return counted.select(
-        "raster_id",
-        F.min("lo").over(raster).alias("min"),
-        F.max("hi").over(raster).alias("max"),
-        F.sum("cell_count").over(raster).alias("value_count"),
-        F.lit("categorical").alias("hist_type"),
-        "category",
-        "cell_count",
-    )
+    heads = counted.groupBy("raster_id").agg(F.min("lo").alias("min"), F.max("hi").alias("max"), F.sum("cell_count").alias("value_count"))
+    return counted.join(heads, "raster_id").select("raster_id", "min", "max", "value_count", F.lit("categorical").alias("hist_type"), "category", "cell_count")
 
 
 def nest_bins(binned: DataFrame, label: str) -> DataFrame:

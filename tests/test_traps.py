@@ -255,10 +255,17 @@ def test_no_search_parameters_is_no_filter_but_archived(spark):
     assert P.search_projects(df, {"excludeArchived": False}).count() == 2
 
 
+def test_editable_only_needs_the_user(spark):
+    df = spark.createDataFrame([("a", False, "me"), ("b", False, "you")], "project_id string, archived boolean, owner_id string")
+    assert rows(P.search_projects(df, {"editableOnly": True}, me="me").select("project_id")) == [("a",)]
+    with pytest.raises(ValueError):
+        P.search_projects(df, {"editableOnly": True})
+
+
 @pytest.mark.parametrize(
     "bad",
     [
-        {"color": "red"}, {"keywords": 3}, {"excludeArchived": "yes"}, {"createdOn": {"from": "soon"}}, {"createdOn": {"from": "2024-02-01", "to": "2024-01-01"}}, {"createdOn": {}},
+        {"color": "red"}, {"keywords": 3}, {"editableOnly": 1}, {"excludeArchived": "yes"}, {"createdOn": {"from": "soon"}}, {"createdOn": {"from": "2024-02-01", "to": "2024-01-01"}}, {"createdOn": {}},
         {"createdOn": {"from": "2024-01-01"}, "createdWithin": "ONE_DAY"}, {"createdWithin": "A_YEAR"}, {"collection": "no"}, {"tags": "a"}, {"meta": {"a": 1}},
         {"ownedBy": {"id": "x", "type": "USER"}}, {"ownedBy": {"id": "0" * 36, "type": "GROUP"}}, {"bbox": [1, 2, 3]}, {"bbox": [3, 0, 1, 1]}, {"visibility": "OPEN"},
     ],
