@@ -1,5 +1,5 @@
 """Watershed project analytics as Spark jobs over whole tables."""
 
-from headwater.session import build_session, scratch_dir
+from headwater.session import build_session, scratch_dir, ship
 
-__all__ = ["build_session", "scratch_dir"]
+__all__ = ["build_session", "scratch_dir", "ship"]

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from headwater.plans.bindings import CTES, Tables
+from headwater.session import ship
 
 
 @dataclass(frozen=True)
@@ -17,7 +18,7 @@ class Query:
     sql: str | None
 
     def run(self, spark: SparkSession, sf_dir: str) -> DataFrame:
-        return self.build(Tables(spark, sf_dir))
+        return self.build(Tables(ship(spark), sf_dir))
 
 
 REGISTRY: dict[str, Query] = {}

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -34,7 +36,30 @@ def build_session(app: str = "headwater", master: str | None = None, partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(partitions))
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
-    return builder.getOrCreate()
+    return ship(builder.getOrCreate())
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Send this package to the Python workers, once per application.
+
+    Arrow UDFs and the GeoPackage source import it there; workers do not see the driver's path.
+    """
+    application = spark.sparkContext.applicationId
+    if application not in _shipped:
+        package = os.path.dirname(os.path.abspath(__file__))
+        archive = os.path.join(tempfile.mkdtemp(prefix="headwater-py-"), "headwater.zip")
+        with zipfile.ZipFile(archive, "w") as target:
+            for folder, _, names in os.walk(package):
+                for name in sorted(names):
+                    if name.endswith(".py"):
+                        path = os.path.join(folder, name)
+                        target.write(path, os.path.relpath(path, os.path.dirname(package)))
+        spark.sparkContext.addPyFile(archive)
+        _shipped.add(application)
+    return spark
 
 
 def _shared_root(spark: SparkSession) -> str:
