@@ -8,7 +8,6 @@ from combinable aggregates that are joined back; lists of a whole group are neve
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -313,7 +312,3 @@ def sync_compare(local: DataFrame, remote: DataFrame, key: str, fields: Sequence
         .otherwise("same")
     )
     return both.select(key, status.alias("status"), F.when(status == "update", first_change).alias("first_change"))
-
-
-def union_all(frames: Sequence[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

@@ -43,14 +43,12 @@ def read_rs_context(spark: SparkSession, path: str, schema: str, hucs: DataFrame
     The code is taken from the path. Unreadable files, and watersheds of ``hucs`` without a file,
     give an empty document.
     """
-    kind = f"struct<rs_context:struct<{schema}>>"
     files = spark.read.option("wholetext", True).text(path).select(F.regexp_extract(_file(), HUC_IN_PATH, 1).alias("huc"), "value")
     parsed = F.from_json("value", f"rs_context struct<{schema}>, _corrupt string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
     docs = files.select("huc", parsed.alias("d")).select("huc", F.col("d.rs_context").alias("rs_context"), (F.col("d._corrupt").isNull() & F.col("d").isNotNull()).alias("readable"))
     if hucs is not None:
         docs = hucs.select("huc").distinct().join(docs, "huc", "left")
-    empty = F.from_json(F.lit('{"rs_context":{}}'), kind[7:-1].replace("rs_context:", "rs_context ", 1))["rs_context"]
-    return docs.select("huc", F.coalesce("rs_context", empty).alias("rs_context"), F.coalesce("readable", F.lit(False)).alias("readable"))
+    return docs.select("huc", F.coalesce("rs_context", F.from_json(F.lit("{}"), schema)).alias("rs_context"), F.coalesce("readable", F.lit(False)).alias("readable"))
 
 
 _DATASET = T.StructType([T.StructField(n, T.StringType()) for n in ("kind", "id", "name", "path", "layer", "layer_name")])
