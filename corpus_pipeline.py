@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headwater.llm import decontaminate, quality, toxicity
+from headwater.llm import decontaminate, jaccard, quality, toxicity
 from headwater.llm.tables import fold, table
 from headwater.session import cut_lineage
 
@@ -23,6 +23,11 @@ def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.classify(docs, model).where("predicted = 1").select(*docs.columns)
 
 
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that with the smallest id, of each group of near copies."""
+    return jaccard.one_of_each(docs)
+
+
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that benchmark passages do not contaminate."""
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
@@ -31,6 +36,7 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("toxicity", drop_toxic),
     ("quality", drop_poor),
+    ("near_copies", drop_copies),
     ("decontamination", drop_benchmark),
 ]
 #: Learned scores and packing are not expressible in SQL.

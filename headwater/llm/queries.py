@@ -7,10 +7,11 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from headwater.llm import decontaminate, quality, toxicity
+from headwater.llm import decontaminate, jaccard, quality, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": quality.op1_quality_classifier,
+    "op2_ngram_jaccard_join": jaccard.op2_ngram_jaccard_join,
     "op7_decontamination": decontaminate.op7_decontamination,
     "op9_toxicity": toxicity.op9_toxicity,
     "pipeline": corpus_pipeline.run,
