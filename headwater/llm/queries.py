@@ -7,13 +7,19 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from headwater.llm import decontaminate, jaccard, quality, toxicity
+from headwater.llm import chat, decontaminate, html_text, jaccard, quality, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": quality.op1_quality_classifier,
     "op2_ngram_jaccard_join": jaccard.op2_ngram_jaccard_join,
+    "op3_token_output": token_files.op3_token_output,
+    "op6_html_extraction": html_text.op6_html_extraction,
     "op7_decontamination": decontaminate.op7_decontamination,
     "op9_toxicity": toxicity.op9_toxicity,
+    "op10_chat_format": chat.op10_chat_format,
     "pipeline": corpus_pipeline.run,
 }
-SQL: dict[str, str] = {"op7_decontamination": decontaminate.OP7_SQL}
+SQL: dict[str, str] = {
+    "op7_decontamination": decontaminate.OP7_SQL,
+    "op10_chat_format": chat.OP10_SQL,
+}
