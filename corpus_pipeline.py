@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headwater.llm import decontaminate, jaccard, quality, toxicity
+from headwater.llm import decontaminate, jaccard, packing, quality, toxicity
 from headwater.llm.tables import fold, table
 from headwater.session import cut_lineage
 
@@ -33,11 +33,17 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
+def pack_bins(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The bin and place of every piece of the documents that are left."""
+    return packing.pack_documents(docs)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("toxicity", drop_toxic),
     ("quality", drop_poor),
     ("near_copies", drop_copies),
     ("decontamination", drop_benchmark),
+    ("packing", pack_bins),
 ]
 #: Learned scores and packing are not expressible in SQL.
 ORACLE_SQL = None
