@@ -28,7 +28,7 @@ from headwater.llm import words as W
 from headwater.llm.tables import append_columns, table
 
 CAPACITY = 2048
-PER_SOURCE = 2
+PER_SOURCE = 4
 SHARD_ROWS = 4096
 _PACKED = "doc_id long, piece int, start long, n_tokens long, bin_id long, bin_start long"
 _SCHEMA = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("bin_id", pa.int64()), ("bin_start", pa.int64())])
