@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from headwater.llm import chat, decontaminate, html_text, jaccard, packing, quality, token_files, toxicity
+from headwater.llm import chat, decontaminate, html_text, jaccard, neardup, packing, quality, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": quality.op1_quality_classifier,
@@ -16,11 +16,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_best_fit_packing": packing.op5_best_fit_packing,
     "op6_html_extraction": html_text.op6_html_extraction,
     "op7_decontamination": decontaminate.op7_decontamination,
+    "op8_embedding_neardup": neardup.op8_embedding_neardup,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_chat_format": chat.op10_chat_format,
     "pipeline": corpus_pipeline.run,
 }
 SQL: dict[str, str] = {
     "op7_decontamination": decontaminate.OP7_SQL,
+    "op8_embedding_neardup": neardup.OP8_SQL,
     "op10_chat_format": chat.OP10_SQL,
 }
