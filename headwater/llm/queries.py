@@ -7,12 +7,13 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from headwater.llm import chat, decontaminate, html_text, jaccard, neardup, packing, quality, token_files, toxicity
+from headwater.llm import chat, decontaminate, html_text, jaccard, lm, neardup, packing, quality, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": quality.op1_quality_classifier,
     "op2_ngram_jaccard_join": jaccard.op2_ngram_jaccard_join,
     "op3_token_output": token_files.op3_token_output,
+    "op4_lm_scoring": lm.op4_lm_scoring,
     "op5_best_fit_packing": packing.op5_best_fit_packing,
     "op6_html_extraction": html_text.op6_html_extraction,
     "op7_decontamination": decontaminate.op7_decontamination,
