@@ -9,20 +9,20 @@ the width. The width is the cheapest of those that fit the smallest value, half,
 
 Documents are dealt to files by ranges of ``doc_id`` and sorted there, so all files in order have all ids
 in ascending document order. Ties (repeated ids) are ordered by text; null ids come first and are written as -1. A null or
-empty text is the end id alone. Encoding splits texts where the tokenizer's own pattern always does (after
-a run of visible characters), and encodes each distinct piece once a worker.
+empty text is the end id alone. Strings of special tokens in a text are ordinary text.
 """
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -37,72 +37,124 @@ BLOCK = 512
 MAGIC = b"HWPF"
 PERCENTILES = (0, 50, 75, 90, 95, 98, 100)
 _HEAD = np.dtype([("least", "<u4"), ("count", "<u2"), ("exceptions", "<u2"), ("width", "u1")])
-_SPACE = r"\t-\r \x85\xa0  -     　"
-_PIECE = regex.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
 #: Pieces that one worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 3_000_000
 
 
 class Encoder:
-    """Encodes texts with a tokenizer file, remembering pieces."""
+    """Encodes texts with a byte-level tokenizer file, each distinct piece once.
 
-    def __init__(self, path: str, pattern: str | None) -> None:
+    The tokenizer's pattern never crosses the pieces that ``_piece_starts`` cuts, so encoding pieces and
+    joining is encoding the text. Pieces are remembered by a 64-bit hash in sorted arrays.
+    """
+
+    def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.pattern = regex.compile(pattern) if pattern else None
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.small: dict[str, tuple[int, ...]] = {}
-
-    def _learn(self, pieces: list[str]) -> None:
-        if len(self.known) + len(pieces) > REMEMBERED or len(self.small) > REMEMBERED:
-            self.clear()
-        parts = [self.pattern.findall(p) for p in pieces] if self.pattern else [[p] for p in pieces]
-        new = list(dict.fromkeys(x for p in parts for x in p if x not in self.small))
-        for x, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.small[x] = tuple(e.ids)
-        for piece, p in zip(pieces, parts, strict=True):
-            self.known[piece] = self.small[p[0]] if len(p) == 1 else tuple(i for x in p for i in self.small[x])
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids one after the other, each text with the end id, and the number of ids of each text."""
-        pieces, owners = [], np.zeros(len(texts), np.int64)
-        for i, text in enumerate(texts):
-            own = _PIECE.findall(text)
-            owners[i] = len(own) + 1
-            pieces += own
-            pieces.append("")
-        coded = pa.array(pieces, pa.large_string()).dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        missing = [p for p in distinct if p not in self.known and p]
-        if missing:
-            self._learn(missing)
-            if any(p not in self.known for p in distinct if p):
-                self._learn([p for p in distinct if p and p not in self.known])
-        ids = [self.known[p] if p else (END_ID,) for p in distinct]
-        length = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((i for x in ids for i in x), np.uint32, int(length.sum()))
-        place = np.cumsum(length) - length
-        index = coded.indices.to_numpy()
-        n = length[index]
-        ends = np.cumsum(n)
-        out = flat[np.repeat(place[index] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
-        per_text = np.add.reduceat(n, np.cumsum(owners) - owners) if len(texts) else np.zeros(0, np.int64)
-        return out, per_text
-
-
-_encoders: dict[tuple[str, str | None], Encoder] = {}
-
-
-def encoder(path: str, pattern: str | None) -> Encoder:
+        self.hash = np.zeros(1, np.uint64)  # of remembered pieces, sorted; a zero stands first
+        self.place = self.size = np.zeros(1, np.int64)
+        self.ids = np.zeros(1 << 16, np.uint32)
+        self.used = 0
+
+    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        size = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(size.sum())), size
+
+    def _remember(self, hashes: np.ndarray, pieces: list[str]) -> None:
+        ids, size = self._encode(pieces)
+        if self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate((self.ids, np.zeros(max(len(self.ids), len(ids)), np.uint32)))
+        self.ids[self.used : self.used + len(ids)] = ids
+        place = self.used + np.cumsum(size) - size
+        self.used += len(ids)
+        at = np.searchsorted(self.hash, hashes)
+        self.hash, self.place, self.size = np.insert(self.hash, at, hashes), np.insert(self.place, at, place), np.insert(self.size, at, size)
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts one after the other, each text with the end id, and the number of ids of each text."""
+        if not len(data):
+            return np.full(len(offsets) - 1, END_ID, np.uint32), np.ones(len(offsets) - 1, np.int64)
+        starts = _piece_starts(data, offsets)
+        ends = np.append(starts[1:], len(data))
+        hashes = W.run_hashes(W.BYTE_VALUES[data], starts, ends)
+        distinct, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+        at = np.searchsorted(self.hash, distinct)
+        new = self.hash[np.minimum(at, len(self.hash) - 1)] != distinct
+        if new.any():
+            raw = data.tobytes()
+            text = lambda k: raw[starts[k] : ends[k]].decode()
+            if len(self.hash) + new.sum() > REMEMBERED:
+                self.clear()
+                new[:] = True
+            self._remember(distinct[new], [text(k) for k in first[new]])
+            at = np.searchsorted(self.hash, distinct)
+        place, size = self.place[at][which], self.size[at][which]
+        per_text = np.bincount(np.searchsorted(offsets, starts, "right") - 1, weights=size, minlength=len(offsets) - 1).astype(np.int64)
+        total = np.cumsum(size)
+        ids = self.ids[np.repeat(place - (total - size), size) + np.arange(total[-1])]
+        return np.insert(ids, np.cumsum(per_text), END_ID), per_text + 1
+
+
+# Byte classes of the pieces: 0 a blank or line feed, 1 a letter, 2 a digit, 3 another ASCII byte, 4 any other byte.
+_KIND = np.full(256, 3, np.uint8)
+_KIND[[0x20, 0x0A]] = 0
+_KIND[0x41:0x5B] = _KIND[0x61:0x7B] = 1
+_KIND[0x30:0x3A] = 2
+_KIND[0x80:] = _KIND[0x27] = 4
+# White space besides the blank and the line feed, as UTF-8.
+_OTHER_SPACE = re.compile(rb"[\t\x0b\x0c\r]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
+
+_SPACE_LEADS = np.zeros(256, bool)
+_SPACE_LEADS[[0x09, 0x0B, 0x0C, 0x0D, 0xC2, 0xE1, 0xE2, 0xE3]] = True
+
+
+def _piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where pieces begin. The pattern takes a run of letters, digits or other signs with one blank before it, and of
+    a run of white space all but the last character. Words with apostrophes or bytes beyond ASCII, but for Latin-1
+    letters, are one piece; so is a text with other white space than blanks and line feeds."""
+    kind = _KIND[data]
+    # letters of two bytes from C3 80 to C3 BF, without the signs C3 97 and C3 B7
+    lead = np.flatnonzero((data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7))
+    kind[lead] = kind[lead + 1] = 1
+    blank = kind == 0
+    before = np.empty(len(data), bool)
+    before[0], before[1:] = False, blank[:-1]
+    text_start = np.zeros(len(data) + 1, bool)
+    text_start[offsets] = True
+    text_start = text_start[:-1]
+    word_start = text_start | (blank & ~before)
+    begins = np.flatnonzero(word_start)
+    odd = np.maximum.reduceat(kind, begins) == 4
+    last_blank = np.zeros(len(data), bool)
+    last_blank[:-1] = blank[:-1] & ~blank[1:] & ~text_start[1:]
+    cut = word_start | last_blank
+    cut[1:] |= ~blank[1:] & (data[:-1] == 0x0A)
+    change = np.flatnonzero((kind[1:] != kind[:-1]) & ~blank[1:] & ~blank[:-1]) + 1
+    if odd.any():
+        change = change[~odd[np.searchsorted(begins, change, "right") - 1]]
+    cut[change] = True
+    if _SPACE_LEADS[data].any():
+        raw = data.tobytes()
+        for a, b in pairwise(offsets):
+            if _OTHER_SPACE.search(raw, a, b):
+                cut[a + 1 : b] = False
+    return np.flatnonzero(cut)
+
+
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
     """The worker's encoder; kept between tasks."""
-    if (path, pattern) not in _encoders:
-        _encoders[path, pattern] = Encoder(path, pattern)
-    return _encoders[path, pattern]
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
 
 
 def _pack(values: np.ndarray, width: int) -> np.ndarray:
@@ -139,11 +191,11 @@ def encode_blocks(ids: np.ndarray) -> list[bytes]:
     rows = padded.reshape(count, BLOCK)
     least = rows.min(axis=1)
     delta = rows - least[:, None]
-    bits = np.frexp(delta.astype(np.float64))[1].astype(np.int64)  # bit length
-    ordered = np.sort(bits, axis=1)
-    choices = ordered[:, [(BLOCK - 1) * p // 100 for p in PERCENTILES]]
-    over = (bits[:, None, :] > choices[:, :, None]).sum(axis=2)
-    width = np.take_along_axis(choices, (choices * BLOCK + over * 48).argmin(axis=1)[:, None], axis=1)[:, 0]
+    bits = np.frexp(delta.astype(np.float64))[1].astype(np.uint8)  # bit length
+    fits = np.cumsum(np.bincount((np.arange(count) * 33)[:, None].repeat(BLOCK, 1).ravel() + bits.ravel(), minlength=count * 33).reshape(count, 33), axis=1)
+    choices = np.stack([(fits <= (BLOCK - 1) * p // 100).sum(axis=1) for p in PERCENTILES], axis=1)
+    cost = choices * BLOCK + (BLOCK - np.take_along_axis(fits, choices, axis=1)) * 48
+    width = np.take_along_axis(choices, cost.argmin(axis=1)[:, None], axis=1)[:, 0]
     out: list[bytes] = [b""] * count
     for w in np.unique(width):
         own = np.flatnonzero(width == w)
@@ -237,7 +289,7 @@ class TokenFile:
         return decode_blocks(data, self.places[a:b] - low)[first - a * BLOCK : end - a * BLOCK]
 
 
-def write_tokens(docs: DataFrame, tokenizer: str, pattern: str | None) -> DataFrame:
+def write_tokens(docs: DataFrame, tokenizer: str) -> DataFrame:
     """Writes ``docs`` (doc_id, text) as token files; returns one row a file: shard, path, documents, ids, bytes."""
     folder = new_folder(docs.sparkSession, "tokens")
     shards = max(1, docs.rdd.getNumPartitions())
@@ -247,20 +299,19 @@ def write_tokens(docs: DataFrame, tokenizer: str, pattern: str | None) -> DataFr
         system, root = open_folder(folder)
         system.create_dir(root, recursive=True)
         path = f"{root}/{attempt_name(f'part-{shard:06d}', 'pfor')}"
-        code, writer = encoder(tokenizer, pattern), None
+        code, writer = encoder(tokenizer), None
         with system.open_output_stream(path) as stream:
             writer = Writer(stream)
             for batch in batches:
                 ids = batch.column("doc_id").fill_null(-1).to_numpy()
-                texts = batch.column("text")
-                for first, end, _, _ in W.text_chunks(texts):
-                    tokens, lengths = code.encode(texts.slice(first, end - first).to_pylist())
+                for first, end, data, offsets in W.text_chunks(batch.column("text")):
+                    tokens, lengths = code.encode(data, offsets)
                     writer.add(ids[first:end], lengths, tokens)
             documents, total, size = writer.close()
         yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in ((shard, pa.int32()), (path, pa.string()), (documents, pa.int64()), (total, pa.int64()), (size, pa.int64()))], ["shard", "path", "documents", "ids", "bytes"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    dealt = rows.repartitionByRange(shards, "doc_id", "text") if shards > 1 else rows.repartition(1)
+    dealt = rows.repartitionByRange(shards, "doc_id") if shards > 1 else rows.repartition(1)
     written = dealt.sortWithinPartitions("doc_id", "text").mapInArrow(run, "shard int, path string, documents long, ids long, bytes long")
     return cut_lineage(written, "manifest").withColumn("folder", F.lit(folder))
 
@@ -304,5 +355,5 @@ def _digests(file: TokenFile, base: int, piece: int = 1 << 20) -> Iterator[pa.Re
 def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    files = write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    files = write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return read_tokens(files)

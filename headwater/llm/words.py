@@ -37,8 +37,8 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_BYTE = mix(np.arange(1, 257, dtype=np.uint64))
-_BYTE_LOWER = _BYTE[LOWER]
+BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64))
+_BYTE_LOWER = BYTE_VALUES[LOWER]
 
 
 class _Powers:
@@ -125,7 +125,7 @@ def words_of(data: np.ndarray, offsets: np.ndarray, classes: np.ndarray = NOT_SP
     starts, ends = cuts[:-1], cuts[1:]
     real = kind[starts] > 0
     starts, ends = starts[real], ends[real]
-    hashes = run_hashes((_BYTE_LOWER if lower else _BYTE)[data], starts, ends)
+    hashes = run_hashes((_BYTE_LOWER if lower else BYTE_VALUES)[data], starts, ends)
     return Words(hashes, starts, ends, np.searchsorted(offsets, starts, "right") - 1, offsets, data)
 
 
