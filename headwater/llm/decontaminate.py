@@ -170,26 +170,28 @@ def _runs(hit: str):
     """First and end of each run of consecutive numbers in a sorted array."""
     firsts = f"filter({hit}, x -> NOT array_contains({hit}, x - 1))"
     ends = f"transform(filter({hit}, x -> NOT array_contains({hit}, x + 1)), x -> x + 1)"
-    return F.expr(f"flatten(transform(arrays_zip({firsts} AS a, {ends} AS b), p -> array(p.a, p.b)))")
+    return F.expr(f"flatten(zip_with({firsts}, {ends}, (a, b) -> array(a, b)))")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, mode: str = "documents", window: int = WINDOW, share: int = 20) -> DataFrame:
     """``docs`` without contaminated documents (mode ``documents``) or without all hit words (mode ``spans``)."""
-    marked = annotate(docs, benchmark, window, share)
+    # the findings travel in one column, so that columns of the same names stay as they are
+    found = ["n_words", "n_hit", "items", "runs", "contaminated"]
+    own = docs.select(F.struct(*docs.columns).alias("__own"), F.col("text"))
+    marked = annotate(own, benchmark, window, share).select("__own.*", F.struct(*found).alias("__found"))
     if mode == "documents":
-        return marked.where(~F.col("contaminated")).select(*docs.columns)
+        return marked.where(~F.col("__found.contaminated")).select(*docs.columns)
     if mode != "spans":
         raise ValueError(f"unknown mode {mode!r}")
     names = docs.columns
 
     def run(batches):
         for batch in batches:
-            at = batch.schema.get_field_index("text")
-            texts = [cut_words(t, r) for t, r in zip(batch.column(at).to_pylist(), batch.column("runs").to_pylist(), strict=True)]
-            columns = [pa.array(texts, pa.string()) if n == "text" else batch.column(batch.schema.get_field_index(n)) for n in names]
-            yield pa.RecordBatch.from_arrays(columns, names)
+            at = names.index("text")
+            texts = [cut_words(t, r) for t, r in zip(batch.column(at).to_pylist(), batch.column(len(names)).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:at], pa.array(texts, pa.string()), *batch.columns[at + 1 : len(names)]], names)
 
-    return marked.select(*names, "runs").mapInArrow(run, docs.schema)
+    return marked.select(*names, F.col("__found.runs").alias("__runs")).mapInArrow(run, docs.schema)
 
 
 def cut_words(text: str | None, runs: list[int]) -> str | None:

@@ -44,7 +44,7 @@ LOOKALIKES = {
 SIGNS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i"}
 INVISIBLE = "­​‌‍⁠﻿"
 
-_SIGN_IN_WORD = re.compile(r"(?<=[a-z])[0134@$!5789]+(?=[a-z])|(?<![^\W\d_])[0134@$5789]+(?=[a-z]{2})|(?<=[a-z])[0134@5789]+(?![^\W_])")
+_SIGN_IN_WORD = re.compile(r"(?<=[a-z])[0134@$!5789]+(?=[a-z])|(?<![^\W\d_])[0134@$5789]+(?=[a-z][a-z0134@$5789])|(?<=[a-z]{2})[0134@5789]+(?![^\W_])")
 _HAS_SIGN = re.compile(r"[a-z][0-9@$!]|[0-9@$][a-z]")
 _SIGN_TABLE = str.maketrans(SIGNS)
 
@@ -119,15 +119,17 @@ def _entries(folded: str, prefixes: range) -> set[str]:
     return {f" {w} " for w in words} | {f" {w[:n]}" for n in prefixes for w in words if len(w) > n}
 
 
-def _one_of_near_copies(texts: Iterator[str], hashes: int = 4) -> Iterator[str]:
-    """The texts whose long words have no min-hash in common with an earlier text."""
-    seen: set[tuple[int, int]] = set()
-    for text in texts:
+def _one_of_near_copies(texts: Iterator[str], hashes: int = 6, same: int = 3) -> Iterator[str]:
+    """The texts whose long words do not have ``same`` of their min-hashes in common with an earlier text."""
+    seen: dict[tuple[int, int], list[int]] = {}
+    for number, text in enumerate(texts):
         words = {w.encode() for w in text.split() if len(w) > 5} or {w.encode() for w in text.split()} or {b""}
-        own = {(k, min(zlib.crc32(w, k) for w in words)) for k in range(hashes)}
-        if not own & seen:
+        own = [(k, min(zlib.crc32(w, k) for w in words)) for k in range(hashes)]
+        shared = Counter(i for h in own for i in seen.get(h, ()))
+        if not shared or max(shared.values()) < same:
+            for h in own:
+                seen.setdefault(h, []).append(number)
             yield text
-        seen |= own
 
 
 def learn(batches: Iterator[pa.RecordBatch], exceptions: tuple[str, ...] = (), least: float = 0.008, odds: float = 30.0, prefixes: range = range(4, 7)) -> Lexicon:
