@@ -13,8 +13,8 @@ DAY_MS = 86_400_000
 # --- versions ---------------------------------------------------------------------------------
 
 def version_clean(version: Column) -> Column:
-    """Drop leading zeros of each number: ``03.01.05`` becomes ``3.1.5``."""
-    return F.regexp_replace(version, r"\b0+([0-9])", "$1")
+    """Drop blanks around and leading zeros of each number: `` 03.01.05 `` becomes ``3.1.5``."""
+    return F.regexp_replace(F.trim(version), r"\b0+([0-9])", "$1")
 
 
 SEMVER = r"^\d+\.\d+\.\d+(?:-[0-9A-Za-z.-]+)?(?:\+[0-9A-Za-z.-]+)?$"

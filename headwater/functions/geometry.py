@@ -125,7 +125,7 @@ def _number(v: float) -> str:
 
 
 def wkt(wkb: bytes) -> str:
-    """Text form of points, lines and (multi)polygons."""
+    """Text form of points, lines and polygons, single or several; anything else is :class:`Bad`."""
     pair = lambda p: f"{_number(p[0])} {_number(p[1])}"
     ring = lambda r: "(" + ", ".join(pair(p) for p in r) + ")"
     kind = kind_of(wkb)
@@ -134,8 +134,12 @@ def wkt(wkb: bytes) -> str:
         if not bodies:
             return f"{kind.upper()} EMPTY"
         return "POLYGON " + bodies[0] if kind == "Polygon" else "MULTIPOLYGON (" + ", ".join(bodies) + ")"
-    points = np.concatenate([points_of(wkb, o, n, d) for _, _, o, n, d in scan(wkb)])
-    return ("POINT " if kind == "Point" else "LINESTRING ") + ring(points)
+    if kind not in ("Point", "LineString", "MultiPoint", "MultiLineString"):
+        raise Bad(f"no text form for {kind}")
+    parts = [ring(points_of(wkb, o, n, d)) for _, _, o, n, d in scan(wkb) if n]
+    if not parts:
+        return f"{kind.upper()} EMPTY"
+    return f"{kind.upper()} " + (f"({', '.join(parts)})" if kind.startswith("Multi") else parts[0])
 
 
 def geojson(wkb: bytes) -> dict:
@@ -144,8 +148,13 @@ def geojson(wkb: bytes) -> dict:
         return {"type": kind, "coordinates": [r.tolist() for r in (polygons_of(wkb) or [[]])[0]]}
     if kind == "MultiPolygon":
         return {"type": kind, "coordinates": [[r.tolist() for r in rings] for rings in polygons_of(wkb)]}
-    points = np.concatenate([points_of(wkb, o, n, d) for _, _, o, n, d in scan(wkb)])
-    return {"type": kind, "coordinates": points[0].tolist() if kind == "Point" else points.tolist()}
+    parts = [points_of(wkb, o, n, d).tolist() for _, _, o, n, d in scan(wkb)]
+    if kind == "MultiLineString":
+        return {"type": kind, "coordinates": parts}
+    if kind not in ("Point", "LineString", "MultiPoint"):
+        raise Bad(f"no document form for {kind}")
+    points = [p for part in parts for p in part]
+    return {"type": kind, "coordinates": (points or [[]])[0] if kind == "Point" else points}
 
 
 def signed_area(ring: np.ndarray) -> float:

@@ -167,14 +167,16 @@ def bounds_mismatch(matches: DataFrame) -> DataFrame:
 
 
 def unmatched(source: DataFrame, matches: DataFrame) -> DataFrame:
-    """Details of projects that have no match, with UNKNOWN_* for what is not known."""
+    """Details of projects that have no match, with UNKNOWN_* for what is not known or blank."""
+    known = lambda c, unknown: F.when(C.is_blank(F.col(c)), unknown).otherwise(F.col(c))
     alone = source.join(matches.select("project_id"), "project_id", "left_anti")
     return alone.select(
-        F.coalesce("project_id", F.lit("UNKNOWN_ID")).alias("project_id"),
+        known("project_id", "UNKNOWN_ID").alias("project_id"),
         "name",
-        F.coalesce(F.nullif("owner_name", F.lit("")), F.lit("UNKNOWN_OWNER")).alias("owner"),
-        F.coalesce("project_type_id", F.lit("UNKNOWN_TYPE")).alias("project_type"),
-        F.coalesce("huc10", F.lit("UNKNOWN_HUC")).alias("huc"),
+        known("owner_name", "UNKNOWN_OWNER").alias("owner"),
+        known("project_type_id", "UNKNOWN_TYPE").alias("project_type"),
+        known("huc10", "UNKNOWN_HUC").alias("huc"),
+        *(["tags"] if "tags" in source.columns else []),
         "created_on",
         "updated_on",
     )
@@ -235,43 +237,45 @@ def lookup_labels(df: DataFrame, lookups: dict[str, DataFrame]) -> DataFrame:
     return df
 
 
-VISITS_SQL = """
-SELECT v.visit_id, s.site_name, w.watershed_name, v.visit_year, p.guid
-FROM {visits} v
-JOIN {sites} s ON v.site_id = s.site_id
-JOIN {watersheds} w ON s.watershed_id = w.watershed_id
-JOIN {projects} p ON v.visit_id = p.visit_id
-WHERE v.program_id = :program AND p.project_type = :type AND p.guid IS NOT NULL AND v.aux_uploaded IS NULL
-  AND (:visit IS NULL OR v.visit_id = :visit)
-  AND (:watershed IS NULL OR w.watershed_name = :watershed)
-  AND (:year IS NULL OR v.visit_year = :year)
-ORDER BY w.watershed_name, s.site_name, v.visit_year, v.visit_id
-"""
-
-
-def visits_to_load(spark: SparkSession, visits: DataFrame, sites: DataFrame, watersheds: DataFrame, projects: DataFrame, *, program: int = 1, project_type: int = 1,
+def visits_to_load(visits: DataFrame, sites: DataFrame, watersheds: DataFrame, projects: DataFrame, *, program: int = 1, project_type: int = 1,
                    visit: int | None = None, watershed: str | None = None, year: int | None = None) -> DataFrame:
     """Visits with a project whose measurements are not loaded yet; each filter is optional.
 
-    Parameter markers are literals to Catalyst, so an absent filter folds away.
+    Each table is narrowed by the filters that concern it before the tables meet.
     """
-    args = {"program": program, "type": project_type, "visit": visit, "watershed": watershed, "year": year}
-    return spark.sql(VISITS_SQL, args=args, visits=visits, sites=sites, watersheds=watersheds, projects=projects)
+
+    def narrowed(table: DataFrame, **wanted: object) -> DataFrame:
+        for column, value in wanted.items():
+            table = table if value is None else table.filter(F.col(column) == value)
+        return table
+
+    todo = narrowed(visits, program_id=program, visit_id=visit, visit_year=year).filter(F.col("aux_uploaded").isNull())
+    loaded = narrowed(projects, project_type=project_type, visit_id=visit).filter(F.col("guid").isNotNull())
+    places = sites.select("site_id", "watershed_id", "site_name").join(narrowed(watersheds, watershed_name=watershed).select("watershed_id", "watershed_name"), "watershed_id")
+    found = todo.select("visit_id", "site_id", "visit_year").join(places, "site_id").join(loaded.select("visit_id", "guid"), "visit_id")
+    place = ["watershed_name", "site_name", "visit_year", "visit_id"]
+    return found.select("visit_id", "site_name", "watershed_name", "visit_year", "guid").orderBy(*place)
 
 
 def within_bounds(points: DataFrame, boxes: DataFrame, cell: float, x: str = "x", y: str = "y") -> DataFrame:
     """(point, box) pairs with the point strictly inside the box.
 
-    A bucketed equi-join: boxes are listed under each grid cell they reach, points under their
-    own. ``cell`` should be near the usual box size.
+    A bucketed equi-join by size class: a box is listed under the at most four cells it reaches on the
+    grid of its class, whose cells are ``cell`` times a power of two and no smaller than the box. Points
+    are listed under their own cell of every class that has boxes.
     """
-    cx = lambda c: F.floor(c / cell).cast("bigint")
-    reach = boxes.withColumn("__gx", F.explode(F.sequence(cx(F.col("xmin")), cx(F.col("xmax"))))).withColumn(
-        "__gy", F.explode(F.sequence(cx(F.col("ymin")), cx(F.col("ymax"))))
+    side = F.greatest(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin"), F.lit(cell))
+    boxes = boxes.withColumn("__class", F.ceil(F.log2(side / cell)).cast("int"))
+    # one entry for each size class, of which there are as many as powers of two between the sizes
+    classes = sorted(r[0] for r in boxes.select("__class").distinct().collect() if r[0] is not None)
+    at = lambda c: F.floor(c / (cell * F.pow(F.lit(2.0), F.col("__class")))).cast("bigint")
+    reach = boxes.withColumn("__gx", F.explode(F.sequence(at(F.col("xmin")), at(F.col("xmax"))))).withColumn(
+        "__gy", F.explode(F.sequence(at(F.col("ymin")), at(F.col("ymax"))))
     )
-    placed = points.withColumn("__gx", cx(F.col(x))).withColumn("__gy", cx(F.col(y)))
+    listed = points.withColumn("__class", F.explode(F.array(*map(F.lit, classes)).cast("array<int>")))
+    placed = listed.withColumn("__gx", at(F.col(x))).withColumn("__gy", at(F.col(y)))
     inside = (F.col(x) > F.col("xmin")) & (F.col(x) < F.col("xmax")) & (F.col(y) > F.col("ymin")) & (F.col(y) < F.col("ymax"))
-    return placed.join(reach, ["__gx", "__gy"]).filter(inside).drop("__gx", "__gy")
+    return placed.join(reach, ["__class", "__gx", "__gy"]).filter(inside).drop("__class", "__gx", "__gy")
 
 
 # --- merging and syncing ----------------------------------------------------------------------

@@ -98,67 +98,94 @@ def meta_extract(catalogue: DataFrame, keys: dict[str, str], required: str, tag:
 DAY = 86_400_000
 # Named periods of a created-within search, in days.
 PERIOD_DAYS = {"ONE_DAY": 1, "ONE_WEEK": 7, "ONE_MONTH": 30, "SIX_MONTHS": 182}
-SEARCH_KEYS = {
-    "keywords", "name", "editableOnly", "excludeArchived", "createdOn", "updatedOn", "createdWithin", "collection", "bbox",
-    "projectTypeId", "meta", "tags", "ownedBy", "boundsId", "visibility", "attributedOrgId",
-}
 OWNER_TYPES = ("USER", "ORGANIZATION")
 VISIBILITIES = ("PUBLIC", "PRIVATE", "SECRET")
 _GUID = re.compile(r"[a-f0-9-]{36}")
 
 
-def _need(ok: bool, text: str) -> None:
-    if not ok:
-        raise ValueError(text)
+def _moment(value) -> int | None:
+    """Milliseconds of a date, a date and time or their ISO text (UTC unless it says otherwise); None if it is none."""
+    try:
+        moment = value if isinstance(value, datetime) else datetime.fromisoformat(str(value))
+    except ValueError:
+        return None
+    return int((moment if moment.tzinfo else moment.replace(tzinfo=timezone.utc)).timestamp() * 1000)
 
 
-def _range(value, name: str) -> dict[str, int]:
-    """{'from': ms, 'to': ms} of a {from, to} mapping of ISO dates."""
-    _need(isinstance(value, dict) and value and set(value) <= {"from", "to"}, f"{name} takes 'from' and 'to'")
-    bounds = {}
-    for end, text in value.items():
-        try:
-            moment = text if isinstance(text, datetime) else datetime.fromisoformat(str(text))
-        except ValueError as exc:
-            raise ValueError(f"{name}.{end} is not a date: {text}") from exc
-        if moment.tzinfo is None:
-            moment = moment.replace(tzinfo=timezone.utc)
-        bounds[end] = int(moment.timestamp() * 1000)
-    _need(len(bounds) < 2 or bounds["from"] <= bounds["to"], f"{name}.from must not be after {name}.to")
-    return bounds
+def _text(value) -> bool:
+    return isinstance(value, str)
+
+
+def _flag(value) -> bool:
+    return isinstance(value, bool)
+
+
+def _guid(value) -> bool:
+    return _text(value) and bool(_GUID.fullmatch(value))
+
+
+def _period(value) -> bool:
+    ends = [_moment(value[e]) for e in ("from", "to") if e in value] if isinstance(value, dict) else []
+    return bool(ends) and len(ends) == len(value) and None not in ends and ends == sorted(ends)
+
+
+def _texts(value) -> bool:
+    return isinstance(value, list) and all(map(_text, value))
+
+
+def _text_map(value) -> bool:
+    return isinstance(value, dict) and all(map(_text, [*value, *value.values()]))
+
+
+def _owner(value) -> bool:
+    return isinstance(value, dict) and _guid(value.get("id")) and value.get("type") in OWNER_TYPES
+
+
+def _box(value) -> bool:
+    numbers = isinstance(value, list) and len(value) == 4 and all(isinstance(x, (int, float)) for x in value)
+    return numbers and value[0] < value[2] and value[1] < value[3]
+
+
+#: What each search field takes: a test, and the words for it.
+SEARCH_FIELDS = {
+    "attributedOrgId": (_text, "text"),
+    "bbox": (_box, "west, south, east and north with west < east and south < north"),
+    "boundsId": (_text, "text"),
+    "collection": (_guid, "a GUID"),
+    "createdOn": (_period, "dates under 'from' and 'to', or one of them, in order"),
+    "createdWithin": (PERIOD_DAYS.__contains__, f"one of {', '.join(PERIOD_DAYS)}"),
+    "editableOnly": (_flag, "true or false"),
+    "excludeArchived": (_flag, "true or false"),
+    "keywords": (_text, "text"),
+    "meta": (_text_map, "texts under text keys"),
+    "name": (_text, "text"),
+    "ownedBy": (_owner, f"a GUID under 'id' and one of {', '.join(OWNER_TYPES)} under 'type'"),
+    "projectTypeId": (_text, "text"),
+    "tags": (_texts, "a list of texts"),
+    "updatedOn": (_period, "dates under 'from' and 'to', or one of them, in order"),
+    "visibility": (VISIBILITIES.__contains__, f"one of {', '.join(VISIBILITIES)}"),
+}
 
 
 def check_search(params: dict) -> dict:
-    """The parameters, checked, with date ranges as milliseconds. Unknown keys raise."""
-    _need(isinstance(params, dict), "search parameters must be a dictionary")
-    unknown = set(params) - SEARCH_KEYS
-    _need(not unknown, f"unknown search parameters: {sorted(unknown)}")
-    p = {k: v for k, v in params.items() if v is not None}
-    for key in ("keywords", "name", "projectTypeId", "boundsId", "attributedOrgId"):
-        _need(isinstance(p.get(key, ""), str), f"{key} must be a string")
-    for key in ("excludeArchived", "editableOnly"):
-        _need(isinstance(p.get(key, True), bool), f"{key} must be a boolean")
-    for key in ("createdOn", "updatedOn"):
-        if key in p:
-            p[key] = _range(p[key], key)
-    _need(not ("createdOn" in p and "createdWithin" in p), "createdWithin cannot be combined with createdOn")
-    _need(p.get("createdWithin", "ONE_DAY") in PERIOD_DAYS, f"createdWithin must be one of {list(PERIOD_DAYS)}")
-    _need(p.get("visibility", "PUBLIC") in VISIBILITIES, f"visibility must be one of {VISIBILITIES}")
-    if "collection" in p:
-        _need(isinstance(p["collection"], str) and bool(_GUID.fullmatch(p["collection"])), "collection must be a GUID")
-    if "tags" in p:
-        _need(isinstance(p["tags"], list) and all(isinstance(t, str) for t in p["tags"]), "tags must be a list of strings")
-    if "meta" in p:
-        _need(isinstance(p["meta"], dict) and all(isinstance(x, str) for kv in p["meta"].items() for x in kv), "meta must map strings to strings")
-    if "ownedBy" in p:
-        owner = p["ownedBy"]
-        _need(isinstance(owner, dict) and bool(_GUID.fullmatch(str(owner.get("id", "")))), "ownedBy.id must be a GUID")
-        _need(owner.get("type") in OWNER_TYPES, f"ownedBy.type must be one of {OWNER_TYPES}")
-    if "bbox" in p:
-        box = p["bbox"]
-        _need(isinstance(box, list) and len(box) == 4 and all(isinstance(x, (int, float)) for x in box), "bbox must be [minLng, minLat, maxLng, maxLat]")
-        _need(box[0] < box[2] and box[1] < box[3], "bbox minimum must be below its maximum")
-    return p
+    """The fields that are given, with periods as milliseconds. All that is wrong with them is raised at once."""
+    if not isinstance(params, dict):
+        raise ValueError(f"a search is a dict of fields, not {type(params).__name__}")
+    given = {k: v for k, v in params.items() if v is not None}
+    wrong = [f"no field {k!r}" for k in params if k not in SEARCH_FIELDS]
+    for field, value in given.items():
+        test, wanted = SEARCH_FIELDS.get(field, (lambda _: True, ""))
+        try:
+            fits = test(value)
+        except TypeError:  # a value that cannot be looked up
+            fits = False
+        if not fits:
+            wrong.append(f"{field} takes {wanted}, got {value!r}")
+    if "createdOn" in given and "createdWithin" in given:
+        wrong.append("createdOn and createdWithin exclude each other")
+    if wrong:
+        raise ValueError("; ".join(wrong))
+    return {k: {end: _moment(v) for end, v in value.items()} if SEARCH_FIELDS[k][0] is _period else value for k, value in given.items()}
 
 
 def search_condition(params: dict, now_ms: int | None = None, me: str | None = None) -> Column:
@@ -169,7 +196,8 @@ def search_condition(params: dict, now_ms: int | None = None, me: str | None = N
     p = check_search(params)
     tests: list[Column] = []
     if p.get("editableOnly"):
-        _need(me is not None, "editableOnly needs to know the user")
+        if me is None:
+            raise ValueError("without a user nothing is editable: give me")
         tests.append(F.col("owner_id") == me)
     if p.get("excludeArchived", True):
         tests.append(~F.col("archived"))

@@ -79,7 +79,7 @@ def watermark(df: DataFrame, column: str = "created_on") -> DataFrame:
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
-    """The attributes of the row with the smallest ``order`` value per key."""
+    """The attributes of the row with the smallest ``order`` value per key; NULL comes last."""
     rest = [c for c in df.columns if c not in keys]
-    picked = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.col(order)).alias("__row"))
+    picked = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(F.col(order).isNull(), F.col(order))).alias("__row"))
     return picked.select(*keys, "__row.*")

@@ -6,12 +6,14 @@ Work is keyed by cell or by bin, never gathered per raster: a raster may hold mo
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headwater.functions.columns import nearly_equal
 
 NODATA_TOLERANCE = 0.001
+# more bins than this come from a fill value that was not masked
+MOST_BINS = 10_000_000
 
 
 def mask_nodata(cells: DataFrame, headers: DataFrame) -> DataFrame:
@@ -29,19 +31,21 @@ def bin_continuous(cells: DataFrame, width: float = 100, float32: bool = False)
 
     Edges run from ``floor(min/width)*width`` to ``ceil(max/width)*width``; the last bin includes its
     upper edge. A raster whose only value is a multiple of the width has no bins (``bin`` is NULL)
-    but a value count. Rasters without values give no row.
+    but a value count. Rasters without values give no row; NULL and NaN are no values. A range of more
+    than ``MOST_BINS`` bins is an error.
 
     Cells are counted per bin first, min and max included, so the second step sees bins only.
     """
     value = F.col("value").cast("float").cast("double") if float32 else F.col("value")
     counted = (
         cells.withColumn("value", value)
+        .filter(F.col("value").isNotNull() & ~F.isnan("value"))
         .groupBy("raster_id", F.floor(F.col("value") / width).alias("i"))
         .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
     )
     heads = counted.groupBy("raster_id").agg(F.min("lo").alias("min"), F.max("hi").alias("max"), F.sum("n").alias("value_count"))
     first, last = F.floor(F.col("min") / width), F.ceil(F.col("max") / width) - 1
-    dense = heads.withColumn("last", last).withColumn("i", F.explode_outer(F.when(last >= first, F.sequence(first, last))))
+    dense = heads.withColumn("last", last).withColumn("i", F.explode_outer(F.when(last - first >= MOST_BINS, F.raise_error(F.lit("the range of a raster has too many bins; is a fill value left?"))).when(last >= first, F.sequence(first, last))))
     # a maximum on the top edge belongs to the bin below it
     placed = counted.join(heads.select("raster_id", last.alias("last")), "raster_id").groupBy("raster_id", F.least("i", "last").alias("i")).agg(F.sum("n").alias("cell_count"))
     return dense.join(placed, ["raster_id", "i"], "left").select(
@@ -57,7 +61,11 @@ def bin_continuous(cells: DataFrame, width: float = 100, float32: bool = False)
 
 
 def bin_categorical(cells: DataFrame) -> DataFrame:
-    """Cell counts per whole-number category (values cut toward zero) with the raster's min, max and count."""
+    """Cell counts per whole-number category (values cut toward zero) with the raster's min, max and count.
+
+    NULL and NaN are no values.
+    """
+    cells = cells.filter(F.col("value").isNotNull() & ~F.isnan(F.col("value").cast("double")))
     counted = cells.groupBy("raster_id", F.col("value").cast("bigint").alias("category")).agg(
         F.count(F.lit(1)).alias("cell_count"), F.min("value").alias("lo"), F.max("value").alias("hi")
     )
@@ -113,7 +121,16 @@ def mosaic(cells: DataFrame, headers: DataFrame) -> DataFrame:
     """Rasters of one dataset on their common grid; where several have a value the last wins.
 
     Headers carry ``dataset`` and ``priority`` (later input = larger). Cells must be masked before.
+    Rasters of a dataset with other cell sizes, or off the common grid by over a hundredth of a cell, are an error.
     """
+    grid = headers.groupBy("dataset").agg(*[F.min_by(c, "raster_id").alias(f"__{c}") for c in ("left_x", "top_y", "cell_width", "cell_height")])
+
+    def off(edge: str, size: str) -> Column:
+        steps = (F.col(edge) - F.col(f"__{edge}")) / F.col(f"__{size}")
+        return (F.abs(steps - F.round(steps)) > 0.01) | ~nearly_equal(F.col(size), F.col(f"__{size}"), rel=1e-6)
+
+    fits = F.when(off("left_x", "cell_width") | off("top_y", "cell_height"), F.raise_error(F.concat(F.lit("not on the grid of its dataset: raster "), F.col("raster_id").cast("string"))))
+    headers = headers.join(grid, "dataset").withColumn("priority", F.coalesce(fits.cast(headers.schema["priority"].dataType), "priority"))
     merged = cells.join(headers.select("raster_id", "dataset", "priority", "left_x", "top_y", "cell_width", "cell_height"), "raster_id")
     column = F.round(F.col("left_x") / F.col("cell_width")).cast("bigint") + F.col("c")
     row = F.round(F.col("top_y") / F.col("cell_height")).cast("bigint") + F.col("r")

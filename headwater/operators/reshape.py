@@ -68,14 +68,30 @@ def typed(column: Column, dtype: str) -> Column:
     return column.cast(target) if target else column
 
 
-def eav_to_wide(values: DataFrame, metrics: Sequence[tuple[int, str, str, bool]], key: str = "dgo_id") -> DataFrame:
-    """Entity-attribute-value rows as one row per key, one typed column per *active* metric.
+def eav_to_wide(values: DataFrame, metrics: Sequence[tuple[int, str, str, bool]], *keys: str) -> DataFrame:
+    """Entity-attribute-value rows as one row per key (``dgo_id``), one typed column per *active* metric.
 
     ``metrics`` are (metric_id, field_name, dtype, is_active). Of repeated values the largest counts.
     """
     active = [(i, name, dtype) for i, name, dtype, on in metrics if on]
     picked = values.filter(F.col("metric_id").isin([i for i, _, _ in active]))
-    return picked.groupBy(key).agg(*[typed(F.max(F.when(F.col("metric_id") == i, F.col("metric_value"))), dtype).alias(name) for i, name, dtype in active])
+    return picked.groupBy(*(keys or ["dgo_id"])).agg(*[typed(F.max(F.when(F.col("metric_id") == i, F.col("metric_value"))), dtype).alias(name) for i, name, dtype in active])
+
+
+def location_metrics(segments: DataFrame, values: DataFrame, metrics: Sequence[tuple[int, str, str, bool]], location: Sequence[str] = ("level_path", "seg_distance"), segment: str = "dgoid") -> DataFrame:
+    """One row per location with the metrics of *all* its segments and the attributes of its first.
+
+    Locations without metrics stay, with NULLs; NULL values are ignored, of repeated ones the largest counts.
+    """
+    from headwater.operators.ranking import first_per_key
+
+    placed = segments.select(F.col(segment).alias("dgo_id"), *location)
+    known = values.filter(F.col("metric_value").isNotNull()).join(placed, "dgo_id")
+    wide = eav_to_wide(known, metrics, *location)
+    wide = wide.select(*[F.col(c).alias(f"__{c}") for c in location], *[c for c in wide.columns if c not in location])
+    first = first_per_key(segments, location, segment)
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in location])
+    return first.join(wide, same, "left").drop(*[f"__{c}" for c in location])
 
 
 def measurement_docs(tables: dict[str, DataFrame], names: Sequence[str], visit: str = "visit_id", unique: str = "row_id", chunk: int = 1000) -> DataFrame:

@@ -26,11 +26,11 @@ def layer_append(layers: dict[str, Sequence[DataFrame]]) -> dict[str, DataFrame]
 def insert_ignore(target: DataFrame, new: DataFrame, keys: Sequence[str], order: str | None = None) -> DataFrame:
     """The rows of ``new`` to append: key not in ``target``, first of its key within ``new``.
 
-    With ``order`` the row with the smallest value is the first, which makes re-runs agree.
+    With ``order`` the row with the smallest value is the first (NULL last), which makes re-runs agree.
     """
     fresh = new.join(target.select(*keys), list(keys), "left_anti")
     if order is None:
         return fresh.dropDuplicates(list(keys))
     rest = [c for c in new.columns if c not in keys]
-    first = fresh.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.col(order)).alias("__row"))
+    first = fresh.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(F.col(order).isNull(), F.col(order))).alias("__row"))
     return first.select(*keys, "__row.*").select(*new.columns)

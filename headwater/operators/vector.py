@@ -9,6 +9,7 @@ ends up in one output value (a ring, a polygon, an arc between two polygons) mee
 from __future__ import annotations
 
 import json
+import struct
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -47,14 +48,22 @@ def _flaw(geom: pa.Array) -> pa.Array:
     return pa.array([G.flaw(g) for g in geom.to_pylist()], type=pa.string())
 
 
+def _or_none(form, wkb: bytes | None):
+    """The geometry in another form; None if it cannot be read or has none there."""
+    try:
+        return None if wkb is None else form(wkb)
+    except (G.Bad, struct.error, IndexError, ValueError):
+        return None
+
+
 @F.arrow_udf(T.StringType())
 def _wkt(geom: pa.Array) -> pa.Array:
-    return pa.array([None if g is None else G.wkt(g) for g in geom.to_pylist()], type=pa.string())
+    return pa.array([_or_none(G.wkt, g) for g in geom.to_pylist()], type=pa.string())
 
 
 @F.arrow_udf(T.StringType())
 def _geojson(geom: pa.Array) -> pa.Array:
-    return pa.array([None if g is None else json.dumps(G.geojson(g)) for g in geom.to_pylist()], type=pa.string())
+    return pa.array([None if (d := _or_none(G.geojson, g)) is None else json.dumps(d) for g in geom.to_pylist()], type=pa.string())
 
 
 def box_polygon(xmin: Column, ymin: Column, xmax: Column, ymax: Column) -> Column:
@@ -288,7 +297,16 @@ def dissolve(df: DataFrame, keys: Sequence[str], single_part: bool = False, geom
     """Union of the polygons of each key, for edge-matched coverages: one row per connected part.
 
     ``part_count`` says how many parts the key has; ``single_part`` keeps keys with one part only.
-    Keys with overlapping polygons are reported as one row with ``overlap`` and no geometry.
+    NULL is a key like others. Keys with overlapping polygons are reported as one row with ``overlap``
+    and no geometry; overlaps without a common edge are not seen.
+    """
+    parts = _dissolve(df.select(F.struct(*keys).alias("__key"), geom), ["__key"], single_part, geom, digits)
+    return parts.select("__key.*", *[c for c in parts.columns if c != "__key"])
+
+
+def _dissolve(df: DataFrame, keys: Sequence[str], single_part: bool, geom: str, digits: int) -> DataFrame:
+    """:func:`dissolve` by one struct, whose fields may be NULL and still join.
+
     Every hole goes to the smallest shell of its key around it. Shells are listed under the few
     cells, of their own size, that they reach, and a hole looks in its cell of every size in use.
     """
@@ -384,7 +402,13 @@ def _rebuild(arcs: pa.Array) -> pa.Array:
     out = []
     for listed in arcs.to_pylist():
         lines = [_unpack(item["arc"])[:: -1 if item["back"] else 1] for item in listed]
-        rings = [r for r in G.walk_rings(np.concatenate([np.hstack([line[:-1], line[1:]]) for line in lines])) if len(r) > 3]
+        try:
+            walked = G.walk_rings(np.concatenate([np.hstack([line[:-1], line[1:]]) for line in lines]))
+        except G.Bad:
+            out.append(None)
+            continue
+        # rings that simplification has folded flat have no area
+        rings = [r for r in walked if len(r) > 3]
         shells = sorted((r for r in rings if G.signed_area(r) > 0), key=G.signed_area)
         parts: list[list[np.ndarray]] = [[s] for s in shells]
         for hole in (r for r in rings if G.signed_area(r) <= 0):
@@ -428,13 +452,19 @@ def simplify_coverage(df: DataFrame, key: str, tolerance: float, within: Sequenc
     """The layer with ``<geom>_simplified``, shared borders staying shared.
 
     Borders are cut at the nodes where other than two meet and each piece is simplified once, by
-    Visvalingam–Whyatt with triangles below ``tolerance`` squared removed; cut nodes stay.
+    Visvalingam–Whyatt with triangles below ``tolerance`` squared removed; cut nodes stay. Features
+    that overlap others along borders, so that their arcs do not close, get no simplified geometry.
+    NULL groups are groups like others.
     """
-    arcs = coverage_arcs(df, key, tolerance, within, geom, digits)
+    # one struct, so that NULL groups join like others; the single field keeps an empty list a struct
+    group = F.struct(F.lit(0).alias("__"), *within)
+    df = df.withColumn("__group", group)
+    arcs = coverage_arcs(df, key, tolerance, ["__group"], geom, digits)
+    within = ["__group"]
     side = lambda who, back: F.struct(F.col(who).alias("who"), F.lit(back).alias("back"))
     sides = arcs.select(*within, "arc", F.explode(F.array(side("owner", False), side("other", True))).alias("s")).filter("s.who IS NOT NULL")
     rebuilt = sides.groupBy(*within, F.col("s.who").alias(key)).agg(F.collect_list(F.struct("arc", "s.back")).alias("arcs")).select(*within, key, _rebuild(F.col("arcs")).alias(f"{geom}_simplified"))
-    return df.join(rebuilt, [*within, key], "left")
+    return df.join(rebuilt, [*within, key], "left").drop("__group")
 
 
 # --- zones ------------------------------------------------------------------------------------
@@ -537,5 +567,5 @@ def feature_collections(df: DataFrame, by: str, key: str, geom: str = "geom", pr
 
 
 def wkt_table(df: DataFrame, geom: str = "geom") -> DataFrame:
-    """The layer with text geometries."""
+    """The layer with text geometries; NULL for what cannot be read or is a mixed collection."""
     return df.withColumn(geom, _wkt(F.col(geom)))

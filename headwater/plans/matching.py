@@ -176,7 +176,8 @@ def mismatch_bounds(t):
 @query(
     "unmatched_report",
     "v_newer v_older",
-    """SELECT project_id, name, owner_name AS owner, project_type_id AS project_type, coalesce(huc10, 'UNKNOWN_HUC') AS huc, created_on, updated_on FROM v_newer s
+    """SELECT project_id, name, CASE WHEN trim(owner_name) <> '' THEN owner_name ELSE 'UNKNOWN_OWNER' END AS owner, CASE WHEN trim(project_type_id) <> '' THEN project_type_id ELSE 'UNKNOWN_TYPE' END AS project_type,
+      CASE WHEN trim(huc10) <> '' THEN huc10 ELSE 'UNKNOWN_HUC' END AS huc, tags, created_on, updated_on FROM v_newer s
     WHERE NOT EXISTS (SELECT 1 FROM v_older t WHERE t.huc10 = s.huc10)""",
 )
 def unmatched_report(t):
@@ -253,14 +254,14 @@ _VISITS = """SELECT v.visit_id, s.site_name, w.watershed_name, v.visit_year, p.g
     JOIN v_visit_projects p ON v.visit_id = p.visit_id WHERE v.program_id = 1 AND p.project_type = 1 AND p.guid IS NOT NULL AND v.aux_uploaded IS NULL"""
 
 
-@query("visit_join_optional", "v_visits v_sites v_watersheds v_visit_projects", f"{_VISITS} AND v.visit_year = 1998 AND w.watershed_name = 'NATION_7' ORDER BY ALL")
+@query("visit_join_optional", "v_visits v_sites v_watersheds v_visit_projects", f"{_VISITS} AND v.visit_year = 1998 AND w.watershed_name = 'NATION_11' ORDER BY ALL")
 def visit_join_optional(t):
-    return J.visits_to_load(t.spark, t.visits, t.sites, t.watersheds, t.visit_projects, year=1998, watershed="NATION_7")
+    return J.visits_to_load(t.visits, t.sites, t.watersheds, t.visit_projects, year=1998, watershed="NATION_11")
 
 
 @query("visit_join_all", "v_visits v_sites v_watersheds v_visit_projects", f"{_VISITS} ORDER BY ALL")
 def visit_join_all(t):
-    return J.visits_to_load(t.spark, t.visits, t.sites, t.watersheds, t.visit_projects)
+    return J.visits_to_load(t.visits, t.sites, t.watersheds, t.visit_projects)
 
 
 @query(

@@ -45,13 +45,14 @@ _EAV = ", ".join(f"{_CAST[dt].format(v=f'max(CASE WHEN metric_id = {i} THEN metr
 @query(
     "metrics_eav_to_wide",
     "v_values v_dgos",
-    f"""WITH w AS (SELECT dgo_id, {_EAV} FROM v_values WHERE metric_id IN ({', '.join(str(d[0]) for d in _DICT if d[3])}) GROUP BY 1),
+    f"""WITH w AS (SELECT level_path, seg_distance, {_EAV} FROM v_dgos JOIN v_values ON dgoid = dgo_id
+      WHERE metric_value IS NOT NULL AND metric_id IN ({', '.join(str(d[0]) for d in _DICT if d[3])}) GROUP BY 1, 2),
     f AS (SELECT level_path, seg_distance, min(dgoid) AS dgo_id, arg_min(fcode, dgoid) AS fcode, arg_min(segment_area, dgoid) AS segment_area, arg_min(centerline_length, dgoid) AS centerline_length FROM v_dgos GROUP BY 1, 2)
-    SELECT f.level_path, f.seg_distance, f.fcode, f.segment_area, f.centerline_length, w.* FROM f JOIN w ON f.dgo_id = w.dgo_id""",
+    SELECT f.*, w.* EXCLUDE (level_path, seg_distance) FROM f LEFT JOIN w
+    ON f.level_path IS NOT DISTINCT FROM w.level_path AND f.seg_distance IS NOT DISTINCT FROM w.seg_distance""",
 )
 def metrics_eav_to_wide(t):
-    first = first_per_key(t.dgos.drop("huc10"), ["level_path", "seg_distance"], "dgoid").withColumnRenamed("dgoid", "dgo_id")
-    return first.join(reshape.eav_to_wide(t.values, _DICT), "dgo_id")
+    return reshape.location_metrics(t.dgos.drop("huc10"), t.values, _DICT).withColumnRenamed("dgoid", "dgo_id")
 
 
 def _measurements(t):

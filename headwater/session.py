@@ -73,6 +73,16 @@ def _shared_root(spark: SparkSession) -> str:
     return root
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path as a URI; without a scheme it is on the default file system, as for Spark's readers."""
+    if "://" in path:
+        return path
+    if path.startswith("file:"):
+        return "file://" + path.removeprefix("file:")
+    root = spark.conf.get("spark.hadoop.fs.defaultFS", "file://")
+    return root.rstrip("/") + path if path.startswith("/") else path
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder name below ``spark.checkpoint.dir`` (a local folder in local mode).
 

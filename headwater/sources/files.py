@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import xml.etree.ElementTree as ET
 from collections.abc import Sequence
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,24 +18,33 @@ id string, name string, createdOn string, updatedOn string, visibility string, a
 ownedBy struct<id:string,name:string,__typename:string>, meta array<struct<key:string,value:string>>, tags array<string>,
 projectType struct<id:string>, totalSize bigint, bounds struct<id:string>
 """
-HUC_IN_PATH = r"(?:^|[^0-9])([0-9]{10,12})(?:[^0-9]|$)"
+HUC_IN_NAME = r"(?:^|[^0-9])([0-9]{10}(?:[0-9]{2})?)(?:[^0-9]|$)"
 
 
 def _file() -> Column:
     return F.col("_metadata.file_path")
 
 
+def huc_in_path(path: Column, pattern: str = HUC_IN_NAME) -> Column:
+    """The first run of just 10 or 12 digits in the last folder or the file name, else the empty string."""
+    return F.regexp_extract(F.regexp_extract(path, "([^/]*/)?[^/]*$", 0), pattern, 1)
+
+
 def read_project_docs(spark: SparkSession, path: str, schema: str = PROJECT_SCHEMA, one_per_line: bool = False) -> DataFrame:
     """Projects from files that each hold one JSON array.
 
     A pretty-printed array has to be parsed by one task per file. If every element is on a line of
-    its own, ``one_per_line`` reads splittable text instead, whatever the file size.
+    its own, ``one_per_line`` reads splittable text instead, whatever the file size; a line that holds
+    anything but one whole element fails the read.
     """
     if not one_per_line:
         return spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE").json(path)
-    element = F.regexp_replace(F.trim("value"), r"^\[|,$|\]$", "")
-    rows = spark.read.text(path).select(F.trim(element).alias("value")).filter(F.col("value").startswith("{"))
-    return rows.select(F.from_json("value", schema).alias("p")).select("p.*")
+    element = F.regexp_replace(F.regexp_replace(F.trim("value"), r"^\[\s*", ""), r"\s*(?:,|\]\s*)$", "")
+    rows = spark.read.text(path).select(F.trim(element).alias("value")).filter("value <> ''")
+    parsed = F.from_json("value", f"{schema}, _corrupt string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    whole = F.col("value").startswith("{") & F.col("p._corrupt").isNull()
+    checked = F.when(whole, F.col("p")).otherwise(F.raise_error(F.concat(F.lit("not one whole element on a line: "), F.left("value", F.lit(200)))))
+    return rows.select("value", parsed.alias("p")).select(checked.alias("p")).select("p.*").drop("_corrupt")
 
 
 def read_rs_context(spark: SparkSession, path: str, schema: str, hucs: DataFrame | None = None) -> DataFrame:
@@ -43,7 +53,7 @@ def read_rs_context(spark: SparkSession, path: str, schema: str, hucs: DataFrame
     The code is taken from the path. Unreadable files, and watersheds of ``hucs`` without a file,
     give an empty document.
     """
-    files = spark.read.option("wholetext", True).text(path).select(F.regexp_extract(_file(), HUC_IN_PATH, 1).alias("huc"), "value")
+    files = spark.read.option("wholetext", True).text(path).select(huc_in_path(_file()).alias("huc"), "value")
     parsed = F.from_json("value", f"rs_context struct<{schema}>, _corrupt string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
     docs = files.select("huc", parsed.alias("d")).select("huc", F.col("d.rs_context").alias("rs_context"), (F.col("d._corrupt").isNull() & F.col("d").isNotNull()).alias("readable"))
     if hucs is not None:
@@ -129,7 +139,7 @@ def read_project_xml(spark: SparkSession, path: str, pattern: str = "*.xml") ->
     Files that are not XML keep their row with ``readable`` false.
     """
     files = spark.read.option("wholetext", True).option("pathGlobFilter", pattern).option("recursiveFileLookup", True).text(path)
-    parsed = files.select(_file().alias("file"), F.nullif(F.regexp_extract(_file(), HUC_IN_PATH, 1), F.lit("")).alias("huc"), _project(F.col("value")).alias("p"))
+    parsed = files.select(_file().alias("file"), F.nullif(huc_in_path(_file()), F.lit("")).alias("huc"), _project(F.col("value")).alias("p"))
     return parsed.select("file", "huc", F.col("p").isNotNull().alias("readable"), "p.*")
 
 
@@ -172,6 +182,8 @@ TSV_COLUMNS = [
     "project_id", "name", "tags", "huc10", "model_version_int", "archived", "created_on", "created_on_date",
     "owned_by_id", "owned_by_name", "owned_by_type",
 ]
+#: Characters of a field and how they are written, the backslash first.
+TSV_ESCAPES = [("\\", "\\\\"), ("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r")]
 TSV_TYPES = {"model_version_int": "bigint", "created_on": "bigint"}
 
 
@@ -181,8 +193,9 @@ def read_projects_tsv(spark: SparkSession, path: str) -> DataFrame:
 
     def plain(i: int) -> Column:
         raw = F.get(fields, F.lit(i))
-        text = F.replace(F.replace(F.replace(F.replace(raw, F.lit("\\\\"), F.lit("\u0001")), F.lit("\\t"), F.lit("\t")), F.lit("\\n"), F.lit("\n")), F.lit("\u0001"), F.lit("\\"))
-        return F.when(raw != "\\N", text)
+        # between pairs of backslashes, which stand for one, every other sequence is read alone
+        pieces = F.transform(F.split(raw, r"\\\\", -1), lambda x: reduce(lambda y, e: F.replace(y, F.lit(e[1]), F.lit(e[0])), TSV_ESCAPES[1:], x))
+        return F.when(raw != "\\N", F.array_join(pieces, "\\"))
 
     typed = [plain(i).cast(TSV_TYPES[c]).alias(c) if c in TSV_TYPES else plain(i).alias(c) for i, c in enumerate(TSV_COLUMNS)]
     rows = spark.read.schema("value string, project_type_id string, model_version string").text(path)

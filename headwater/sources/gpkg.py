@@ -10,6 +10,7 @@ Files above ``splitBytes`` are read in several row-id ranges, small files share
 
 from __future__ import annotations
 
+import json
 import sqlite3
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -22,7 +23,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from headwater.sources.files import huc_in_path
+
 BATCH_ROWS = 10_000
+# files that the data source opens on the driver for its schema; :func:`read_gpkg` looks into all files by tasks
+LOOKED_AT = 20
 SPLIT_BYTES = 128 * 1024 * 1024
 OPEN_COST = 4 * 1024 * 1024  # bytes a file open counts as, as for Spark's own file sources
 ENVELOPE_BYTES = (0, 32, 48, 48, 64)
@@ -63,7 +68,7 @@ def list_paths(path: str) -> list[tuple[str, int]]:
     import os
     from fnmatch import fnmatch
 
-    found = []
+    found: list[tuple[str, int]] = []
     for part in path.split(","):
         part = part.strip()
         if _is_remote(part):
@@ -111,17 +116,45 @@ def _spark_type(declared: str) -> T.DataType:
     return T.StringType()
 
 
+def _wider(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The type that holds values of both: whole numbers fit doubles, anything else meets as text."""
+    if a == b:
+        return a
+    return T.DoubleType() if {a, b} == {T.LongType(), T.DoubleType()} else T.StringType()
+
+
 def table_schema(path: str, table: str) -> T.StructType:
+    """Columns of a table in one file; none if the file does not have it."""
     connection = open_database(path)
     try:
         rows = connection.execute(f"PRAGMA table_info({_name(table)})").fetchall()
     finally:
         connection.close()
-    if not rows:
-        raise ValueError(f"no table {table} in {path}")
     return T.StructType([T.StructField(row[1], _spark_type(row[2])) for row in rows])
 
 
+def union_schema(schemas: list[T.StructType]) -> T.StructType:
+    """All columns of the schemas, in order of appearance, by name ignoring case and in the widest type."""
+    found: dict[str, T.StructField] = {}
+    for schema in schemas:
+        for field in schema.fields:
+            held = found.setdefault(field.name.lower(), field)
+            found[field.name.lower()] = T.StructField(held.name, _wider(held.dataType, field.dataType))
+    return T.StructType(list(found.values()))
+
+
+def _in_tasks(spark: SparkSession, paths: list[str], look) -> list:
+    """``look(path)`` of every file, by tasks of a hundred files; what comes back is one small entry a file."""
+    files = spark.createDataFrame([(p,) for p in paths], "path string").repartition(max(1, -(-len(paths) // 100)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [json.dumps(look(p)) for p in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], ["path", "found"])
+
+    return [json.loads(r.found) for r in files.mapInArrow(run, "path string, found string").orderBy("path").collect()]
+
+
 def table_names(path: str) -> list[str]:
     """User tables of a database, without GeoPackage and SQLite bookkeeping."""
     connection = open_database(path)
@@ -173,6 +206,8 @@ class GpkgReader(DataSourceReader):
         try:
             have = {r[1].lower() for r in connection.execute(f"PRAGMA table_info({_name(self.table)})")}
             columns = ", ".join(_name(n) if n.lower() in have else f"NULL AS {_name(n)}" for n, _ in data) or "1"
+            if not have:
+                return
             text = f"SELECT {columns} FROM {_name(self.table)}"
             if parts > 1:
                 low, high = connection.execute(f"SELECT min(rowid), max(rowid) FROM {_name(self.table)}").fetchone()
@@ -191,15 +226,25 @@ class GpkgReader(DataSourceReader):
                         columns_out.append(pa.array([strip_header(v) for v in values[name]], type=dtype))
                     elif pa.types.is_string(dtype):
                         columns_out.append(pa.array([None if v is None else str(v) for v in values[name]], type=dtype))
-                    elif pa.types.is_float64(dtype):
-                        columns_out.append(pa.array([float(v) if isinstance(v, (int, float)) else None for v in values[name]], type=dtype))
                     else:
-                        columns_out.append(pa.array([int(v) if isinstance(v, (int, float)) and v == int(v) else None for v in values[name]], type=dtype))
+                        columns_out.append(pa.array([_fitting(v, pa.types.is_float64(dtype), path, self.table, name) for v in values[name]], type=dtype))
                 yield pa.RecordBatch.from_arrays(columns_out, names=[n for n, _ in fields])
         finally:
             connection.close()
 
 
+def _fitting(value: object, real: bool, path: str, table: str, column: str) -> float | int | None:
+    """A value of a number column. SQLite types values one by one: what does not fit the column is an error."""
+    if value is None:
+        return None
+    if isinstance(value, (int, float)):
+        if real:
+            return float(value)
+        if value == value and abs(value) < 2**63 and value == int(value):
+            return int(value)
+    raise ValueError(f"{value!r} in {path}, table {table}, does not fit the number column {column}; give a schema with a wider type")
+
+
 class GpkgSource(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -209,7 +254,9 @@ class GpkgSource(DataSource):
         files = list_paths(self.options["path"])
         if not files:
             raise ValueError(f"no files at {self.options['path']}")
-        found = table_schema(files[0][0], self.options["table"])
+        found = union_schema([table_schema(p, self.options["table"]) for p, _ in files[:LOOKED_AT]])
+        if not found.fields:
+            raise ValueError(f"no table {self.options['table']} in {files[0][0]} and the files after it")
         wanted = [c.strip() for c in self.options.get("columns", "").split(",") if c.strip()]
         if wanted:
             by_name = {f.name.lower(): f for f in found.fields}
@@ -227,9 +274,20 @@ def register(spark: SparkSession) -> None:
 def read_gpkg(spark: SparkSession, path: str, table: str, columns: list[str] | None = None, schema: T.StructType | None = None, split_bytes: int | None = None) -> DataFrame:
     """Rows of one table in many files, with ``source_path`` and the watershed code in it, ``huc``.
 
-    Give ``schema`` (with ``source_path``) to spare the driver a look into the first file.
+    Without a ``schema`` (with ``source_path``) tasks look into every file first: the columns are
+    those of all files, and a column is of the type that holds the values declared in each.
     """
     register(spark)
+    if schema is None:
+        files = [p for p, _ in list_paths(path)]
+        if not files:
+            raise ValueError(f"no files at {path}")
+        found = union_schema([T.StructType.fromJson(s) for s in _in_tasks(spark, files, lambda p: table_schema(p, table).jsonValue())])
+        if not found.fields:
+            raise ValueError(f"no table {table} in the files at {path}")
+        by_name = {f.name.lower(): f for f in found.fields}
+        fields = [by_name[c.lower()] for c in columns] if columns else found.fields
+        schema = T.StructType([*fields, T.StructField("source_path", T.StringType())])
     reader = spark.read.format("gpkg").option("table", table)
     if columns:
         reader = reader.option("columns", ",".join(columns))
@@ -237,13 +295,14 @@ def read_gpkg(spark: SparkSession, path: str, table: str, columns: list[str] | N
         reader = reader.option("splitBytes", str(split_bytes))
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.load(path).withColumn("huc", F.nullif(F.regexp_extract("source_path", r"(?:^|[^0-9])([0-9]{10,12})(?:[^0-9]|$)", 1), F.lit("")))
+    return reader.load(path).withColumn("huc", F.nullif(huc_in_path(F.col("source_path")), F.lit("")))
 
 
 def copy_tables(spark: SparkSession, source: str, target: str, tables: list[str] | None = None) -> dict[str, str]:
     """Every table of the source files as Parquet below ``target``; returns table -> folder."""
     if tables is None:
-        tables = table_names(list_paths(source)[0][0])
+        listed = _in_tasks(spark, [p for p, _ in list_paths(source)], table_names)
+        tables = sorted({t for names in listed for t in names})
     folders = {table: f"{target.rstrip('/')}/{table}" for table in tables}
     for table, folder in folders.items():
         read_gpkg(spark, source, table).drop("huc").write.mode("overwrite").parquet(folder)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,7 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from headwater.operators.vector import wkt_table
-from headwater.sources.files import TSV_COLUMNS
+from headwater.session import qualified
+from headwater.sources.files import TSV_COLUMNS, TSV_ESCAPES
 
 ROWS_PER_FILE = 4_000_000
 
@@ -21,8 +24,8 @@ def _rebalanced(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def _escaped(column: Column) -> Column:
-    """Text for a TSV field: backslash, tab and line feed escaped, NULL as \\N; nothing is quoted."""
-    text = F.replace(F.replace(F.replace(column.cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit("\t"), F.lit("\\t")), F.lit("\n"), F.lit("\\n"))
+    """Text for a TSV field: backslash, tab, line feed and carriage return escaped, NULL as \\N; nothing is quoted."""
+    text = reduce(lambda x, e: F.replace(x, F.lit(e[0]), F.lit(e[1])), TSV_ESCAPES, column.cast("string"))
     return F.coalesce(text, F.lit("\\N"))
 
 
@@ -64,19 +67,35 @@ def conform_to_schema(df: DataFrame, schema: T.StructType, order: Sequence[str],
     return lowered.to(schema)
 
 
-def append_conformed(df: DataFrame, table: str, schema: T.StructType, load_id: str, order: Sequence[str], location: str, crs: str | None = None, next_fid: int = 1) -> None:
+def append_conformed(df: DataFrame, table: str, schema: T.StructType, load_id: str, order: Sequence[str], location: str, crs: str | None = None, next_fid: int | None = None) -> None:
     """Append one load to a Parquet table partitioned by ``load_id``.
 
-    The load's files are written first and become visible together, when their partition is
-    registered; a failed load leaves nothing visible and can be repeated under its id.
+    The load's files go to a new folder and become visible together, when the partition is pointed
+    to it; a failed load changes nothing visible, and a load can be repeated under its id. Numbers of
+    ``fid`` continue after the largest of the other loads, unless ``next_fid`` is given. An existing
+    table with another schema is an error.
     """
     spark = df.sparkSession
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     properties = f"TBLPROPERTIES ('crs' = '{crs}')" if crs else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}, load_id string) USING parquet PARTITIONED BY (load_id) LOCATION '{location}' {properties}")
-    folder = f"{location.rstrip('/')}/load_id={load_id}"
-    conform_to_schema(df, schema, order, next_fid).write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE).parquet(folder)
-    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION (load_id = '{load_id}') LOCATION '{folder}'")
+    stored = spark.table(table)
+    there = {f.name.lower(): f.dataType for f in stored.schema.fields if f.name != "load_id"}
+    given = {f.name.lower(): f.dataType for f in schema.fields}
+    if there != given:
+        differing = sorted(n for n in {*there, *given} if there.get(n) != given.get(n))
+        raise ValueError(f"{table} has another schema; differing columns: {differing}")
+    if next_fid is None:
+        next_fid = 1
+        if "fid" in given and "fid" not in {c.lower() for c in df.columns}:
+            next_fid += stored.filter(F.col("load_id") != load_id).agg(F.max("fid")).first()[0] or 0
+    # an underscore hides the folders from partition discovery
+    folder = f"{location.rstrip('/')}/_loads/{load_id}/{uuid.uuid4().hex}"
+    conform_to_schema(df, schema, order, next_fid).write.option("maxRecordsPerFile", ROWS_PER_FILE).parquet(folder)
+    if spark.sql(f"SHOW PARTITIONS {table} PARTITION (load_id = '{load_id}')").isEmpty():
+        spark.sql(f"ALTER TABLE {table} ADD PARTITION (load_id = '{load_id}') LOCATION '{folder}'")
+    else:
+        spark.sql(f"ALTER TABLE {table} PARTITION (load_id = '{load_id}') SET LOCATION '{folder}'")
     spark.catalog.refreshTable(table)
 
 
@@ -107,13 +126,12 @@ def write_named_files(files: DataFrame, folder: str) -> int:
     the same files again.
     """
 
+    target_uri = qualified(files.sparkSession, folder)
+
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import pyarrow.fs as pafs
 
-        if "://" in folder:
-            filesystem, root = pafs.FileSystem.from_uri(folder)
-        else:
-            filesystem, root = pafs.LocalFileSystem(), folder.removeprefix("file:")
+        filesystem, root = pafs.FileSystem.from_uri(target_uri)
         for batch in batches:
             for name, content in zip(batch.column("name").to_pylist(), batch.column("content").to_pylist()):
                 path = f"{root.rstrip('/')}/{name}"
