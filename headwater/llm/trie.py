@@ -50,6 +50,22 @@ class EliasFano:
         tops = np.concatenate(([0], np.cumsum(ones))).astype("<u8")
         return struct.pack("<QQQQQ", n, low_bits, len(low), len(high), len(tops)) + low + high.tobytes() + tops.tobytes()
 
+    def values(self) -> np.ndarray:
+        """The whole sequence, decoded in one pass."""
+        i = np.arange(self.n)
+        place = np.flatnonzero(np.unpackbits(self.high.view(np.uint8), bitorder="little"))
+        return self._join(i, place)
+
+    def _join(self, i: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """The values whose ones stand at ``place``, with their low bits."""
+        value = (place - i).astype(np.uint64) << np.uint64(self.low_bits)
+        if self.low_bits:
+            at = i * self.low_bits
+            words = np.lib.stride_tricks.sliding_window_view(self.low, 8)
+            raw = words[at >> 3].copy().view("<u8")[:, 0]
+            value |= raw >> (at & 7).astype(np.uint64) & np.uint64((1 << self.low_bits) - 1)
+        return value
+
     def __getitem__(self, index: np.ndarray) -> np.ndarray:
         """The values at the given places."""
         i = index.astype(np.int64)
@@ -61,14 +77,7 @@ class EliasFano:
         octets = own[:, None] >> (np.arange(8, dtype=np.uint64) * np.uint64(8)) & np.uint64(255)
         octet, left = _find(np.bitwise_count(octets).astype(np.int64), left)
         bit = _SELECT[octets[np.arange(len(i)), octet].astype(np.int64), left]
-        place = block * 512 + word * 64 + octet * 8 + bit
-        value = (place - i).astype(np.uint64) << np.uint64(self.low_bits)
-        if self.low_bits:
-            at = i * self.low_bits
-            octet = at >> 3
-            raw = self.low[octet[:, None] + np.arange(8)].copy().view("<u8")[:, 0]
-            value |= raw >> (at & 7).astype(np.uint64) & np.uint64((1 << self.low_bits) - 1)
-        return value
+        return self._join(i, block * 512 + word * 64 + octet * 8 + bit)
 
 
 def _find(ones: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -122,11 +131,22 @@ class Trie:
         return struct.pack("<dQ", step, len(levels)) + b"".join(EliasFano.build(p) for p in parts) + levels.tobytes()
 
     def find(self, context: np.ndarray, successor: np.ndarray) -> np.ndarray:
-        """The place of each pair in level two, or -1: first the context, then the successor in its range."""
+        """The place of each pair in level two, or -1: first the context, then the successor in its range.
+
+        Many pairs are searched in levels decoded once, few by random access.
+        """
         out = np.full(len(context), -1)
         n = self.contexts.n
         if not n or not len(context):
             return out
+        if 8 * len(context) >= self.successors.n:
+            contexts, pointers, bases, successors = (x.values() for x in (self.contexts, self.pointers, self.bases, self.successors))
+            at = np.minimum(np.searchsorted(contexts, context.astype(np.uint64)), n - 1)
+            wanted = successor.astype(np.uint64) + bases[at]
+            place = np.searchsorted(successors, wanted)
+            within = (contexts[at] == context.astype(np.uint64)) & (place < pointers[at + 1].astype(np.int64))
+            within[within] = successors[place[within]] == wanted[within]
+            return np.where(within, place, -1)
         zero = np.zeros(len(context), np.uint64)
         at = _search(self.contexts, context.astype(np.uint64), np.zeros(len(context), np.int64), np.full(len(context), n), zero)
         known = np.flatnonzero(at >= 0)

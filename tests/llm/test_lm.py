@@ -62,6 +62,7 @@ def test_elias_fano_gives_back_every_value(n, top):
     values = np.sort(np.random.default_rng(n).integers(0, top, n)).astype(np.uint64)
     coded = EliasFano(memoryview(EliasFano.build(values)))
     assert np.array_equal(coded[np.arange(n)], values)
+    assert np.array_equal(coded.values(), values)
 
 
 def test_trie_finds_its_pairs_and_no_others():
@@ -72,5 +73,7 @@ def test_trie_finds_its_pairs_and_no_others():
     asked = np.arange(60_000)
     place = trie.find(asked // 1000, asked % 1000)
     assert np.array_equal(asked[place >= 0], pair)
+    for few in (asked[::997], pair[::50], np.array([59_999_999])):
+        assert np.array_equal(trie.find(few // 1000, few % 1000), np.where(np.isin(few, pair), np.searchsorted(pair, few), -1))
     assert np.abs(trie.log10(place[place >= 0]) - p).max() < 9 / 255
     assert (Trie(memoryview(Trie.build(pair[:0], pair[:0], p[:0]))).find(asked, asked) == -1).all()
