@@ -13,11 +13,16 @@ other set's.
   that has fewer cheap segments than it needs is *crowded*. A link is found by cheap segments unless both
   ends are crowded.
 * **One-deletion neighbourhoods.** Crowded sets meet again on half as many, larger segments, by their
-  subsets and all subsets with one element left out. Such a segment also matches if it differs by one
-  element, so it counts twice in the pigeonhole, and is far rarer. No bucket is left out here.
-* **Verification.** In each bucket all sets are first compared with one of them (a star). Pairs already
-  joined by such a link are not compared again; all other pairs of a cheap bucket are. All comparisons
-  count the intersection of the whole sets.
+  subsets and all subsets with one element left out. Such a segment also matches one that differs by an
+  element, so it counts twice in the pigeonhole (once if it has a single element), and is far rarer. A
+  match takes the whole subset of one side at least. Segments with dear signatures are left out again, if
+  the set has enough others; sets that have not are compared with their like in every dear bucket too.
+* **Verification.** In each bucket all sets are first compared with one of them (a star) and with the next by
+  key (a ring); buckets of one group of near copies have mostly the same stars and rings. Then all pairs that
+  links do not join yet, so a group of near copies takes a few comparisons for each of its sets. A comparison first
+  bounds the difference from below by parity sketches: bit i says whether an odd number of elements hash
+  to i, and two sketches differ in no more bits than the sets in elements. Buckets are compared in blocks
+  of sketches, and only pairs that may still link leave the task; the intersection of the whole sets decides.
 
 Equal sets are one set from the start. Signatures travel packed by slices of the hash space, one row
 per batch and slice. Elements, sets and signatures are told apart by hashes of 64, 64 and 48 bits plus
@@ -31,6 +36,7 @@ component is their own id. Repeated rows and ties are equal sets. Null ids join
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from itertools import pairwise
 
 import numpy as np
@@ -46,7 +52,13 @@ from headwater.session import cut_lineage
 GROWTH = 1.8
 SLACK = 1.25
 #: A signature shared by more distinct sets is dear.
-CAP = 64
+CAP = 8
+#: The same for one-deletion neighbourhoods.
+CAP_DELETIONS = 64
+#: Signatures that a task holds before it sends them off.
+HELD = 500_000
+#: Sets of a bucket that are compared in one block.
+BLOCK = 512
 #: Ids of one broadcast filter at most; beyond, texts are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 
@@ -83,8 +95,35 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.
     return element, owner, size, W.mix(identity + size.astype(np.uint64))
 
 
-def signatures(element: np.ndarray, owner: np.ndarray, size: np.ndarray, level: np.ndarray, needed: np.ndarray, percent: int, deletions: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Signatures of the sets at ``level`` (-1: none), the set of each, and the spare segments of each set.
+def sketch_bits(size: np.ndarray) -> np.ndarray:
+    """Bits of the sketch of a set: a power of two, at least 64, between two and four times its size."""
+    return np.where(size > 0, 1 << np.maximum(6, np.ceil(np.log2(np.maximum(size, 1) * 2)).astype(np.int64)), 0)
+
+
+def sketches(element: np.ndarray, owner: np.ndarray, size: np.ndarray) -> bytes:
+    """The parity sketches of the sets, one after the other."""
+    bits = sketch_bits(size)
+    base = np.cumsum(bits) - bits
+    place = base[owner] + (W.mix(element ^ np.uint64(0x2545F4914F6CDD1D)) & (bits[owner] - 1).astype(np.uint64)).astype(np.int64)
+    return np.packbits((np.bincount(place, minlength=int(bits.sum())) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def least_difference(x: np.ndarray, y: np.ndarray) -> int:
+    """A lower bound of the difference of two sets from their sketches; the longer is folded to the shorter."""
+    if len(x) > len(y):
+        x, y = y, x
+    return int(np.bitwise_count(np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0) ^ x).sum())
+
+
+def _half(sketch: bytes) -> bytes:
+    """The sketch folded once, if it is longer than a word."""
+    words = np.frombuffer(sketch, np.uint64)
+    return bytes(sketch) if len(words) < 2 else (words[: len(words) // 2] ^ words[len(words) // 2 :]).tobytes()
+
+
+def signatures(element: np.ndarray, owner: np.ndarray, size: np.ndarray, level: np.ndarray, needed: np.ndarray, percent: int, deletions: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Signatures of the sets at ``level`` (-1: none), the set of each, whether an element is left out, and how much
+    more the set's segments count than it needs.
 
     ``needed``: how much a set may differ from its partners at that level.
     """
@@ -96,31 +135,37 @@ def signatures(element: np.ndarray, owner: np.ndarray, size: np.ndarray, level:
     own = on[owner]
     element, owner = element[own], owner[own]
     if not len(element):
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.full(len(size), -1)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint8), np.full(len(size), -1)
     segment = ((element >> np.uint64(32)) * m[owner].astype(np.uint64) >> np.uint64(32)).astype(np.int64)
     cell = base[owner] + segment
     value = W.mix(element ^ np.uint64(0x5851F42D4C957F2D))
     sums = np.zeros(base[-1], np.uint64)
     np.add.at(sums, cell, value)
-    filled = np.flatnonzero(np.bincount(cell, minlength=base[-1]))
+    held = np.bincount(cell, minlength=base[-1])
+    filled = np.flatnonzero(held)
     set_of = np.repeat(np.arange(len(size)), m)
     place = np.arange(base[-1]) - base[set_of]
     tag = W.mix((level[set_of].astype(np.uint64) << np.uint64(40)) + place.astype(np.uint64) + np.uint64(int(deletions) << 62))
-    spare = np.bincount(set_of[filled], minlength=len(size)) - (needed // 2 + 1 if deletions else needed + 1)
+    worth = np.minimum(held[filled], 2 if deletions else 1)
+    spare = np.bincount(set_of[filled], weights=worth, minlength=len(size)).astype(np.int64) - (needed + 1)
     found, who = W.mix(sums[filled] + tag[filled]), set_of[filled]
+    less = np.zeros(len(found), np.uint8)
     if deletions:
-        found = np.concatenate((found, W.mix(sums[cell] - value + tag[cell])))
-        who = np.concatenate((who, owner))
-    return found, who, spare
+        several = held[cell] > 1
+        found = np.concatenate((found, W.mix(sums[cell] - value + tag[cell])[several]))
+        who = np.concatenate((who, owner[several]))
+        less = np.concatenate((less, np.ones(several.sum(), np.uint8)))
+    return found, who, less, spare
 
 
-_PACKED = "slice int, kind int, low binary, high binary, key_low binary, key_high binary, role binary, docs binary"
+_PACKED = "slice int, kind int, low binary, high binary, key_low binary, key_high binary, role binary, less binary, docs binary, sketches binary"
 _DOC = np.dtype([("doc", "<i8"), ("null", "?"), ("cls", "<u8"), ("n", "<i8"), ("own", "<i4"), ("below", "<i4")])
 
 
 def _pack(batches: Iterator[pa.RecordBatch], slices: int, words: int, percent: int, deletions: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids, found, keys, roles, docs, seen = batch.column("doc_id"), [], [], [], [], np.zeros(0, np.uint64)
+        ids, seen, held = batch.column("doc_id"), np.zeros(0, np.uint64), 0
+        found, keys, roles, lesses, docs, marks = ([] for _ in range(6))
         for first, end, data, offsets in W.text_chunks(batch.column("text")):
             element, owner, size, identity = shingle_sets(data, offsets, words)
             _, at = np.unique(identity, return_index=True)
@@ -136,37 +181,42 @@ def _pack(batches: Iterator[pa.RecordBatch], slices: int, words: int, percent: i
             doc["doc"], doc["null"], doc["cls"], doc["n"] = part.fill_null(0).to_numpy(), part.is_null().to_numpy(zero_copy_only=False), identity, size
             for role, (name, level, partner) in enumerate((("own", own, size * 100 // percent), ("below", below, below_top))):
                 # spare segments are a matter of the set, so copies get them as well
-                sig, who, spare = signatures(element, owner, size, level, largest_difference(size, partner, percent), percent, deletions)
+                sig, who, less, spare = signatures(element, owner, size, level, largest_difference(size, partner, percent), percent, deletions)
                 doc[name] = np.where(level >= 0, spare, 1 << 30)
                 use = fresh[who]
                 found.append(sig[use])
                 keys.append(identity[who[use]] >> np.uint64(16))
                 roles.append(np.full(use.sum(), role, np.uint8))
+                lesses.append(less[use])
             docs.append(doc)
-        if not docs:
-            continue
-        found, keys, roles = np.concatenate(found), np.concatenate(keys), np.concatenate(roles)
-        where = (found & np.uint64(0xFFFFFFFF)) % np.uint64(slices)
-        order = np.argsort(where, kind="stable")
-        found, keys, roles, where = found[order] >> np.uint64(16), keys[order], roles[order], where[order].astype(np.int64)
-        cuts = np.flatnonzero(np.diff(where, prepend=-1, append=-2)) if len(where) else np.zeros(1, np.int64)
-        rows = []
-        for a, b in pairwise(cuts):
-            f, k = found[a:b], keys[a:b]
-            split = [x.tobytes() for v in (f, k) for x in (v.astype(np.uint16), (v >> np.uint64(16)).astype(np.uint32))]
-            rows.append((int(where[a]), 1, *split, np.packbits(roles[a:b]).tobytes(), None))
-        if not deletions:
-            docs = np.concatenate(docs)
-            rows.append((int(docs["cls"][0] % np.uint64(slices)), 0, None, None, None, None, None, docs.tobytes()))
-        for a in range(0, len(rows), 512):
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[a : a + 512], strict=True), _PACKED_TYPES, strict=True)], _PACKED_NAMES)
+            marks.append(sketches(element, owner, size))
+            held += sum(len(x) for x in found[-2:])
+            if held > HELD or end == batch.num_rows:
+                yield from _packed_rows(*(np.concatenate(x) for x in (found, keys, roles, lesses, docs)), b"".join(marks), slices, deletions)
+                found, keys, roles, lesses, docs, marks = ([] for _ in range(6))
+                held = 0
+
+
+def _packed_rows(found: np.ndarray, keys: np.ndarray, roles: np.ndarray, lesses: np.ndarray, docs: np.ndarray, marks: bytes, slices: int, deletions: bool) -> Iterator[pa.RecordBatch]:
+    """One row for each slice that signatures fall into, and one with the documents."""
+    where = (found & np.uint64(0xFFFFFFFF)) % np.uint64(slices)
+    order = np.argsort(where, kind="stable")
+    found, keys, roles, lesses, where = found[order] >> np.uint64(16), keys[order], roles[order], lesses[order], where[order].astype(np.int64)
+    cuts = np.flatnonzero(np.diff(where, prepend=-1, append=-2)) if len(where) else np.zeros(1, np.int64)
+    rows = []
+    for a, b in pairwise(cuts):
+        split = [x.tobytes() for v in (found[a:b], keys[a:b]) for x in (v.astype(np.uint16), (v >> np.uint64(16)).astype(np.uint32))]
+        rows.append((int(where[a]), 1, *split, np.packbits(roles[a:b]).tobytes(), np.packbits(lesses[a:b]).tobytes() if deletions else None, None, None))
+    rows.append((int(docs["cls"][0] % np.uint64(slices)), 0, None, None, None, None, None, None, docs.tobytes(), marks))
+    for a in range(0, len(rows), 512):
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[a : a + 512], strict=True), _PACKED_TYPES, strict=True)], _PACKED_NAMES)
 
 
 _PACKED_NAMES = [f.split()[0] for f in _PACKED.split(", ")]
-_PACKED_TYPES = [pa.int32(), pa.int32(), *[pa.binary()] * 6]
+_PACKED_TYPES = [pa.int32(), pa.int32(), *[pa.binary()] * 8]
 
-_FOUND = "kind int, doc_id long, key long, cls long, n long, own int, below int, keys array<long>"
-_FOUND_SCHEMA = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("key", pa.int64()), ("cls", pa.int64()), ("n", pa.int64()), ("own", pa.int32()), ("below", pa.int32()), ("keys", pa.list_(pa.int64()))])
+_FOUND = "kind int, doc_id long, key long, cls long, n long, own int, below int, keys array<long>, sketch binary, coarse binary"
+_FOUND_SCHEMA = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("key", pa.int64()), ("cls", pa.int64()), ("n", pa.int64()), ("own", pa.int32()), ("below", pa.int32()), ("keys", pa.list_(pa.int64())), ("sketch", pa.binary()), ("coarse", pa.binary())])
 
 
 def _rows(kind: int, rows: int, **columns: pa.Array) -> pa.Table:
@@ -177,45 +227,55 @@ def _joined_bytes(column: pa.ChunkedArray, dtype: type) -> np.ndarray:
     return np.frombuffer(b"".join(x for x in column.to_pylist() if x), dtype)
 
 
-def _buckets(packed: pa.Table, cap: int) -> pa.Table:
-    """Of one slice: kind 0 documents; 1 cheap and 2 dear buckets of two or more sets, equal ones once; 3 how many dear
-    signatures a set has in a role (``own`` = role, ``n`` = count)."""
+def _buckets(packed: pa.Table, cap: int, deletions: bool) -> pa.Table:
+    """Of one slice: kind 0 documents; 1 cheap and 2 dear buckets of two or more sets, equal ones once, the ``n`` sets
+    with whole subsets first; 3 how much a set's dear segments count in a role (``own`` = role, ``n`` = count)."""
     out = []
     docs = _joined_bytes(packed["docs"], _DOC)
     if len(docs):
-        out.append(_rows(0, len(docs), doc_id=pa.array(docs["doc"], mask=docs["null"]), key=pa.array((docs["cls"] >> np.uint64(16)).astype(np.int64)), cls=pa.array(docs["cls"].astype(np.int64)), n=pa.array(docs["n"]), own=pa.array(docs["own"]), below=pa.array(docs["below"])))
+        ends = np.concatenate(([0], np.cumsum(sketch_bits(docs["n"]) // 8)))
+        sketch = pa.Array.from_buffers(pa.large_binary(), len(docs), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(b"".join(x for x in packed["sketches"].to_pylist() if x))])
+        coarse = [_half(x.as_buffer()) for x in sketch]
+        out.append(_rows(0, len(docs), sketch=sketch.cast(pa.binary()), coarse=pa.array(coarse, pa.binary()), doc_id=pa.array(docs["doc"], mask=docs["null"]), key=pa.array((docs["cls"] >> np.uint64(16)).astype(np.int64)), cls=pa.array(docs["cls"].astype(np.int64)), n=pa.array(docs["n"]), own=pa.array(docs["own"]), below=pa.array(docs["below"])))
     whole = lambda low, high: _joined_bytes(packed[low], np.uint16).astype(np.uint64) | _joined_bytes(packed[high], np.uint32).astype(np.uint64) << np.uint64(16)
     sig, key = whole("low", "high"), whole("key_low", "key_high")
     role = np.concatenate([np.zeros(0, np.uint8), *(np.unpackbits(np.frombuffer(r, np.uint8), count=len(x) // 2) for r, x in zip(packed["role"].to_pylist(), packed["low"].to_pylist(), strict=True) if x)])
+    less = np.zeros(len(role), bool)
+    if deletions:
+        less = np.concatenate([less[:0], *(np.unpackbits(np.frombuffer(r, np.uint8), count=len(x) // 2).astype(bool) for r, x in zip(packed["less"].to_pylist(), packed["low"].to_pylist(), strict=True) if x)])
     order = np.argsort(sig, kind="stable")
-    sig, key, role = sig[order], key[order], role[order]
     shared = np.zeros(len(sig), bool)
-    shared[1:] = sig[1:] == sig[:-1]
+    shared[1:] = sig[order][1:] == sig[order][:-1]
     shared[:-1] |= shared[1:]
-    sig, key, role = sig[shared], key[shared], role[shared]
-    order = np.lexsort((key, sig))
-    sig, key, role = sig[order], key[order], role[order]
-    once = np.ones(len(sig), bool)
-    once[1:] = (sig[1:] != sig[:-1]) | (key[1:] != key[:-1])
-    sig, key, role = sig[once], key[once], role[once]
+    order = order[shared]
+    # each set once a signature, by its whole subset if it has that
+    order = order[np.lexsort((less[order], key[order], sig[order]))]
+    again = np.zeros(len(order), bool)
+    again[1:] = (sig[order][1:] == sig[order][:-1]) & (key[order][1:] == key[order][:-1])
+    order = order[~again]
+    order = order[np.lexsort((key[order], less[order], sig[order]))]
+    sig, key, role, less = sig[order], key[order], role[order], less[order]
     if len(sig):
         start = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1])))
         size = np.diff(start, append=len(sig))
-        start, size = start[size > 1], size[size > 1]
+        whole_ones = np.add.reduceat((~less).astype(np.int64), start)
+        use = (size > 1) & (whole_ones > 0)
+        start, size, whole_ones = start[use], size[use], whole_ones[use]
         if len(start):
-            sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(W.mix(key))))
+            sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(W.mix(key * np.uint64(2) + less))))
             _, first = np.unique(sums[start + size] - sums[start], return_index=True)
             for kind, chosen in ((1, first[size[first] <= cap]), (2, first[size[first] > cap])):
                 if len(chosen):
                     n = size[chosen]
                     index = np.repeat(start[chosen] - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
                     lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(n))), pa.int32()), pa.array(key[index].astype(np.int64)))
-                    out.append(_rows(kind, len(chosen), keys=lists))
+                    out.append(_rows(kind, len(chosen), keys=lists, n=pa.array(whole_ones[chosen])))
             dear = size > cap
             if dear.any():
                 n = size[dear]
                 index = np.repeat(start[dear] - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
-                pairs, count = np.unique(key[index] * np.uint64(2) + role[index], return_counts=True)
+                pairs, at = np.unique(key[index] * np.uint64(2) + role[index], return_inverse=True)
+                count = np.bincount(at, weights=np.where(less[index], 1, 2 if deletions else 1)).astype(np.int64)
                 out.append(_rows(3, len(pairs), key=pa.array((pairs >> np.uint64(1)).astype(np.int64)), own=pa.array((pairs & np.uint64(1)).astype(np.int32)), n=pa.array(count)))
     return pa.concat_tables(out) if out else _FOUND_SCHEMA.empty_table()
 
@@ -224,7 +284,7 @@ def _bucket_table(docs: DataFrame, words: int, percent: int, deletions: bool, ca
     spark = docs.sparkSession
     slices = max(8, 2 * docs.rdd.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions")))
     packed = docs.mapInArrow(lambda batches: _pack(batches, slices, words, percent, deletions), _PACKED)
-    return cut_lineage(packed.groupBy("slice").applyInArrow(lambda t: _buckets(t, cap), _FOUND), "buckets")
+    return cut_lineage(packed.groupBy("slice").applyInArrow(lambda t: _buckets(t, cap, deletions), _FOUND), "buckets")
 
 
 def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
@@ -238,6 +298,16 @@ def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBa
         yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("rep"), pa.array(parts, pa.binary())], ["key", "rep", "elements"])
 
 
+def _may_link(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Pairs whose sketches do not rule out a link."""
+    for batch in batches:
+        most = largest_difference(batch.column("na").to_numpy(), batch.column("nb").to_numpy(), percent)
+        x, y = batch.column("sa"), batch.column("sb")
+        near = [least_difference(np.frombuffer(x[i].as_buffer(), np.uint8), np.frombuffer(y[i].as_buffer(), np.uint8)) <= most[i] for i in range(batch.num_rows)]
+        keep = pa.array(near, pa.bool_())
+        yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("a", "b")], ["a", "b"])
+
+
 def _verify(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         linked = np.zeros(batch.num_rows, bool)
@@ -259,69 +329,140 @@ class _Verifier:
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """(a, b, u, v): pairs of keys that link, with the smallest document ids of their sets."""
-        pairs = pairs.where("a < b").distinct()
-        size = self.classes.select("key", "n")
-        pairs = pairs.join(size.toDF("a", "na"), "a").join(size.toDF("b", "nb"), "b")
+        words, percent = self.words, self.percent
+        pairs = pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        sizes, marks = self.classes.select("key", "n"), self.classes.select("key", "sketch")
         fits = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * self.percent
-        pairs = cut_lineage(pairs.where(fits).select("a", "b").distinct(), "pairs")
+        pairs = pairs.join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b").where(fits)
+        pairs = pairs.join(marks.toDF("a", "sa"), "a").join(marks.toDF("b", "sb"), "b")
+        pairs = cut_lineage(pairs.mapInArrow(lambda b: _may_link(b, percent), "a long, b long").distinct(), "pairs")
         keys = pairs.select(F.col("a").alias("key")).unionAll(pairs.select(F.col("b").alias("key"))).distinct()
         chosen = cut_lineage(self.classes.join(keys, "key", "left_semi").select(F.col("rep").alias("doc_id"), "key"), "chosen")
         few = chosen.count() <= BROADCAST_IDS
         texts = self.docs.join(F.broadcast(chosen) if few else chosen, "doc_id").select("key", F.col("doc_id").alias("rep"), "text")
-        words, percent = self.words, self.percent
         sets = cut_lineage(texts.mapInArrow(lambda b: _sets(b, words), "key long, rep long, elements binary"), "sets")
         joined = pairs.join(sets.toDF("b", "v", "y"), "b").join(sets.toDF("a", "u", "x"), "a").select("a", "b", "u", "v", "x", "y")
         return cut_lineage(joined.mapInArrow(lambda b: _verify(b, percent), "a long, b long, u long, v long").distinct(), "linked")
 
 
-def _rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of a bucket's sets that no link to the bucket's first joins yet: other labels, neither being the first."""
+def _folded(marks: list[bytes], size: int) -> np.ndarray:
+    """Sketches of one length folded to ``size`` bytes, as rows of 64-bit words."""
+    rows = np.frombuffer(b"".join(marks), np.uint64).reshape(len(marks), -1, size // 8)
+    return np.bitwise_xor.reduce(rows, axis=1)
+
+
+def _rest(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Pairs of a block that may link: other labels, one with its whole subset, neither the bucket's first."""
     for batch in batches:
-        for keys, labels in zip(batch.column("keys").to_pylist(), batch.column("labels").to_pylist(), strict=True):
-            key, label = np.array(keys), np.array(labels)
-            order = np.argsort(key)
-            key, label = key[order][1:], label[order][1:]
-            for i in range(len(key) - 1):
-                other = key[i + 1 :][label[i + 1 :] != label[i]]
-                if len(other):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(other), key[i])), pa.array(other)], ["a", "b"])
-
-
-def _compare(verifier: _Verifier, buckets: DataFrame, rest_of: str) -> DataFrame:
-    """Links found in buckets: every set with the bucket's first, then the rest of those that ``rest_of`` selects."""
+        for cell in batch.column("members"):
+            by_size: dict[int, list[dict]] = {}
+            for m in cell.as_py():
+                if not m["first"]:
+                    by_size.setdefault(len(m["sketch"]), []).append(m)
+            sizes = sorted(by_size)
+            for i, small in enumerate(sizes):
+                for large in sizes[i:]:
+                    yield from _near(by_size[small], by_size[large], small, large, percent)
+
+
+def _near(left: list[dict], right: list[dict], small: int, large: int, percent: int) -> Iterator[pa.RecordBatch]:
+    """The pairs of ``_rest`` between members whose sketches have ``small`` and ``large`` bytes, in steps of some megabytes."""
+    y = _folded([m["sketch"] for m in right], small)
+    key2, label2, n2, whole2 = (np.array([m[f] for m in right]) for f in ("key", "label", "n", "whole"))
+    step = max(1, (1 << 22) // y.nbytes)
+    for at in range(0, len(left), step):
+        part = left[at : at + step]
+        differ = np.bitwise_count(_folded([m["sketch"] for m in part], small)[:, None, :] ^ y[None, :, :]).sum(axis=2, dtype=np.int64)
+        key, label, n, whole = (np.array([m[f] for m in part]) for f in ("key", "label", "n", "whole"))
+        fits = np.minimum(n[:, None], n2[None, :]) * 100 >= np.maximum(n[:, None], n2[None, :]) * percent
+        near = (differ <= largest_difference(n[:, None], n2[None, :], percent)) & fits & (label[:, None] != label2[None, :]) & (whole[:, None] | whole2[None, :])
+        if small == large:
+            near &= key[:, None] < key2[None, :]
+        a, b = np.nonzero(near)
+        if len(a):
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(key[a], key2[b])), pa.array(np.maximum(key[a], key2[b]))], ["a", "b"])
+
+
+def _linked_in_buckets(verifier: _Verifier, buckets: DataFrame, rest_of: str, among: DataFrame | None = None) -> DataFrame:
+    """Links found in buckets: every set with the bucket's first, then the rest of the buckets that ``rest_of`` selects.
+
+    In other buckets the sets of ``among`` (key) are compared with each other.
+    """
     stars = buckets.select(F.col("keys")[0].alias("a"), F.explode(F.slice("keys", 2, 1 << 30)).alias("b"))
-    first = verifier.links(stars)
-    # a set's label: the smallest key it is linked with, one step further where that has a smaller one
-    label = first.groupBy(F.col("b").alias("key")).agg(F.min("a").alias("label"))
-    step = label.select(F.col("key").alias("label"), F.col("label").alias("further"))
-    label = cut_lineage(label.join(step, "label", "left").select("key", F.coalesce("further", "label").alias("label")), "labels")
-    many = buckets.where(rest_of).where(F.size("keys") > 2).select(F.monotonically_increasing_id().alias("bucket"), "keys")
-    members = cut_lineage(many, "many").select("bucket", F.explode("keys").alias("key")).join(label, "key", "left").withColumn("label", F.coalesce("label", "key"))
-    groups = members.groupBy("bucket").agg(F.collect_list("key").alias("keys"), F.collect_list("label").alias("labels"), F.min("label").alias("least"), F.max("label").alias("most"))
-    rest = groups.where("least <> most").select("keys", "labels").mapInArrow(_rest, "a long, b long")
-    return first.unionAll(verifier.links(rest))
+    ordered, last = F.array_sort("keys"), F.size("keys") - 1
+    rings = buckets.where(F.size("keys") > 2).select(F.explode(F.arrays_zip(F.slice(ordered, 1, last).alias("a"), F.slice(ordered, 2, last).alias("b"))).alias("p"))
+    links = verifier.links(stars.unionAll(rings.select("p.a", "p.b")))
+    many = cut_lineage(buckets.where(F.size("keys") > 2).select(F.monotonically_increasing_id().alias("bucket"), F.expr(rest_of).alias("all"), "n", "keys"), "many")
+    members = many.select("bucket", "all", "n", F.posexplode("keys").alias("place", "key"))
+    members = members.select("bucket", "all", "key", (F.col("place") == 0).alias("first"), (F.col("place") < F.col("n")).alias("whole"))
+    if among is None:
+        members = members.where("all")
+    else:
+        members = members.join(among.select("key", F.lit(True).alias("chosen")), "key", "left").where("all OR (chosen AND NOT first)").drop("chosen")
+    return links.unionAll(verifier.links(_open_pairs(verifier, members, links)))
+
+
+def _open_pairs(verifier: _Verifier, members: DataFrame, links: DataFrame) -> DataFrame:
+    """Pairs of bucket members that no links join yet and whose sketches allow one."""
+    labels = cut_lineage(connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))).toDF("key", "label"), "labels")
+    members = members.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
+    # buckets whose sets all have one label have nothing left to compare
+    open_buckets = members.groupBy("bucket").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).where("least <> most").select("bucket", "blocks")
+    members = members.join(open_buckets, "bucket").join(verifier.classes.select("key", F.col("n").cast("long").alias("n"), F.col("coarse").alias("sketch")), "key")
+    own, blocks = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"), F.col("blocks")
+    other = F.explode(F.sequence(F.lit(0), blocks - 1))
+    blocked = members.withColumn("own", own).withColumn("other", other).withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
+    groups = blocked.groupBy("bucket", "low", "high").agg(F.collect_list(F.struct("key", "label", "n", "first", "whole", "sketch")).alias("members"))
+    percent = verifier.percent
+    return groups.select("members").mapInArrow(lambda b: _rest(b, percent), "a long, b long")
+
+
+def _crowded(classes: DataFrame, found: DataFrame) -> DataFrame:
+    """(doc_id, key) of the sets whose cheap segments do not count enough, one document each."""
+    dear = found.where("kind = 3").groupBy("key").agg(*(F.sum(F.when(F.col("own") == r, F.col("n")).otherwise(0)).alias(f"dear{r}") for r in (0, 1)))
+    few = classes.join(dear, "key", "left").where("coalesce(dear0, 0) > own OR coalesce(dear1, 0) > below")
+    return cut_lineage(few.select(F.col("rep").alias("doc_id"), "key"), "crowded")
 
 
 def similar_components(docs: DataFrame, words: int = 5, percent: int = 75, cap: int = CAP) -> DataFrame:
     """One row for each row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id."""
+    with small_batches(docs.sparkSession):
+        return _similar_components(docs, words, percent, cap)
+
+
+@contextmanager
+def small_batches(spark: SparkSession, size: str = "16m") -> Iterator[None]:
+    """Whole sets travel in Arrow batches of at most ``size`` while the jobs of the block run."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, size)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
+def _similar_components(docs: DataFrame, words: int, percent: int, cap: int) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = _bucket_table(docs, words, percent, deletions=False, cap=cap)
-    own = found.where("kind = 0").select("doc_id", "key", "cls", "n", "own", "below")
-    classes = own.where("n > 0 AND doc_id IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.first("key").alias("key"), F.first("n").alias("n"), F.first("own").alias("own"), F.first("below").alias("below"))
+    own = found.where("kind = 0").select("doc_id", "key", "cls", "n", "own", "below", "sketch", "coarse")
+    classes = own.where("n > 0 AND doc_id IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("rep"), *(F.first(c).alias(c) for c in ("key", "n", "own", "below", "sketch", "coarse")))
     classes = cut_lineage(classes, "classes")
     verifier = _Verifier(docs, classes, words, percent)
-    links = _compare(verifier, found.where("kind IN (1, 2)").select("kind", "keys"), "kind = 1")
-    dear = found.where("kind = 3").groupBy("key").agg(*(F.sum(F.when(F.col("own") == r, F.col("n")).otherwise(0)).alias(f"dear{r}") for r in (0, 1)))
-    crowded = classes.join(dear, "key", "left").where("coalesce(dear0, 0) > own OR coalesce(dear1, 0) > below").select(F.col("rep").alias("doc_id"))
-    crowded = cut_lineage(crowded, "crowded")
+    links = _linked_in_buckets(verifier, found.where("kind IN (1, 2)").select("kind", "n", "keys"), "kind = 1")
+    crowded = _crowded(classes, found)
     count = crowded.count()
     if count > 1:
         texts = docs.join(F.broadcast(crowded) if count <= BROADCAST_IDS else crowded, "doc_id", "left_semi")
-        again = _bucket_table(texts, words, percent, deletions=True, cap=1 << 40)
-        links = links.unionAll(_compare(verifier, again.where("kind = 1").select("kind", "keys"), "kind = 1"))
+        again = _bucket_table(texts, words, percent, deletions=True, cap=CAP_DELETIONS)
+        spare = again.where("kind = 0").groupBy("key").agg(F.min("own").alias("own"), F.min("below").alias("below"), F.min("doc_id").alias("rep"))
+        links = links.unionAll(_linked_in_buckets(verifier, again.where("kind IN (1, 2)").select("kind", "n", "keys"), "kind = 1", _crowded(spare, again)))
     component = connected_components(links.select("u", "v"))
     named = classes.select("cls", "rep").join(component.withColumnRenamed("node", "rep"), "rep", "left").select("cls", F.coalesce("component", "rep").alias("component"))
-    return own.join(named, "cls", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
+    return own.select("doc_id", "cls", "n").join(named, "cls", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, words: int = 5, percent: int = 75) -> DataFrame:
@@ -332,3 +473,19 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = 75) -> DataFrame
 
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+#: All pairs that share a shingle, and everything reachable by links.
+OP2_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + least(len(w), 5) - 1], ' ') AS shingle
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS common FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+l AS (SELECT u, v FROM p JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = v WHERE 100 * common >= 75 * (x.n + y.n - common)),
+link AS (SELECT u, v FROM l UNION ALL SELECT v, u FROM l),
+reach(u, v) AS (SELECT u, v FROM link UNION SELECT r.u, k.v FROM reach r JOIN link k ON r.v = k.u),
+least AS (SELECT u, min(v) AS v FROM reach GROUP BY u)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, CAST(least(d.doc_id, coalesce(v, d.doc_id)) AS BIGINT) AS component_id
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN least ON u = d.doc_id
+"""

@@ -23,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
 }
 SQL: dict[str, str] = {
+    "op2_ngram_jaccard_join": jaccard.OP2_SQL,
     "op7_decontamination": decontaminate.OP7_SQL,
     "op8_embedding_neardup": neardup.OP8_SQL,
     "op10_chat_format": chat.OP10_SQL,
