@@ -263,7 +263,9 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95, partners: int = 8)
     pairs = near.join(other, ["dim", "cell"]).where("own.interval <= partner.interval").where(gap <= 2 - 2 * cosine + _MARGIN).select("own", "partner").distinct()
     slot = F.pmod(F.xxhash64("partner.interval"), F.ceil(F.count("*").over(_by_own()) / partners))
     strips = pairs.withColumn("slot", slot).groupBy("own", "slot").agg(F.collect_list("partner").alias("partners"))
-    joined = cut_lineage(strips.select("own", "partners").mapInArrow(lambda b: _join_strips(b, folder, axes, cosine), "interval long, place int, n long, u long, v long"), "joined")
+    # rows are small but their work is not, so they are dealt out and not gathered into few tasks
+    spread = strips.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "own.interval", "slot").select("own", "partners")
+    joined = cut_lineage(spread.mapInArrow(lambda b: _join_strips(b, folder, axes, cosine), "interval long, place int, n long, u long, v long"), "joined")
     counts = joined.where("n IS NOT NULL").groupBy("interval", "place").agg(F.sum("n").alias("n_links"))
     component = connected_components(joined.where("u IS NOT NULL").select("u", "v")).withColumnRenamed("node", "vec_id")
     placed = written.where("kind = 1").select("vec_id", "interval", "place").join(counts, ["interval", "place"], "left").select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
