@@ -354,6 +354,7 @@ def _folded(marks: list[bytes], size: int) -> np.ndarray:
 def _rest(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Pairs of a block that may link: other labels, one with its whole subset, neither the bucket's first."""
     for batch in batches:
+        found = [np.zeros((0, 2), np.int64)]
         for cell in batch.column("members"):
             by_size: dict[int, list[dict]] = {}
             for m in cell.as_py():
@@ -362,10 +363,13 @@ def _rest(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Record
             sizes = sorted(by_size)
             for i, small in enumerate(sizes):
                 for large in sizes[i:]:
-                    yield from _near(by_size[small], by_size[large], small, large, percent)
+                    found += _near(by_size[small], by_size[large], small, large, percent)
+        # a pair meets in many buckets, and leaves the batch once
+        pairs = np.unique(np.concatenate(found), axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
 
-def _near(left: list[dict], right: list[dict], small: int, large: int, percent: int) -> Iterator[pa.RecordBatch]:
+def _near(left: list[dict], right: list[dict], small: int, large: int, percent: int) -> Iterator[np.ndarray]:
     """The pairs of ``_rest`` between members whose sketches have ``small`` and ``large`` bytes, in steps of some megabytes."""
     y = _folded([m["sketch"] for m in right], small)
     key2, label2, n2, whole2 = (np.array([m[f] for m in right]) for f in ("key", "label", "n", "whole"))
@@ -380,7 +384,7 @@ def _near(left: list[dict], right: list[dict], small: int, large: int, percent:
             near &= key[:, None] < key2[None, :]
         a, b = np.nonzero(near)
         if len(a):
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(key[a], key2[b])), pa.array(np.maximum(key[a], key2[b]))], ["a", "b"])
+            yield np.column_stack((np.minimum(key[a], key2[b]), np.maximum(key[a], key2[b])))
 
 
 def _linked_in_buckets(verifier: _Verifier, buckets: DataFrame, rest_of: str, among: DataFrame | None = None) -> DataFrame:
