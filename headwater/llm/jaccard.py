@@ -470,9 +470,16 @@ def _similar_components(docs: DataFrame, words: int, percent: int, cap: int) ->
 
 
 def one_of_each(docs: DataFrame, words: int = 5, percent: int = 75) -> DataFrame:
-    """The rows of ``docs`` whose id names their component (ids are expected to be distinct)."""
-    kept = similar_components(docs, words, percent).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi")
+    """One row of ``docs`` for each component: that of the smallest id, null ids last, and of its rows any one.
+
+    Rows meet by a row id, so null and repeated ids are near copies like others. Texts without elements all stay.
+    """
+    rows = cut_lineage(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    found = similar_components(rows.select(F.col("__row").alias("doc_id"), "text"), words, percent)
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").cast("long").alias("doc_id"), "__row")
+    found = found.select(F.col("doc_id").alias("__row"), "component_id").join(rows.select("__row", "doc_id"), "__row")
+    kept = found.groupBy("component_id").agg(F.min(order).alias("least")).select("least.__row")
+    return rows.join(kept, "__row", "left_semi").drop("__row")
 
 
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -53,6 +53,16 @@ def test_one_of_each_keeps_columns_and_repeated_rows_count_as_copies(spark, odd_
     assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == [("3", 1, "3"), ("3", 1, "3"), ("None", 1, "3"), ("None", 1, "None")]
 
 
+def test_one_of_each_keeps_one_row_of_null_and_repeated_ids(spark):
+    long = " ".join(f"w{i}" for i in range(40))
+    near = long + " more"
+    rows = [(3, "a b c"), (3, "a b c"), (None, "A b c"), (None, "q"), (3, "d e f"), (None, ""), (None, ""), (None, long), (None, near), (8, "x y"), (7, "X y")]
+    twice = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.text) for r in jaccard.one_of_each(twice).collect()), key=str)
+    assert [r for r in got if r[1] not in (long, near)] == sorted([(3, "a b c"), (3, "d e f"), (None, "q"), (None, ""), (None, ""), (7, "X y")], key=str)
+    assert sum(r[1] in (long, near) for r in got) == 1
+
+
 def test_sketches_bound_the_difference_from_below():
     rng = np.random.default_rng(0)
     for a, b in ((0, 5), (40, 3), (300, 20), (300, 500)):
