@@ -17,6 +17,9 @@ other set's.
   element, so it counts twice in the pigeonhole (once if it has a single element), and is far rarer. A
   match takes the whole subset of one side at least. Segments with dear signatures are left out again, if
   the set has enough others; sets that have not are compared with their like in every dear bucket too.
+* **Single elements.** Hashing may leave a small set's segments so empty or full that even all of them count less
+  than it needs, and no segment need match. Such sets meet a third time, each element its own signature: a set
+  needs H + 1 of its elements, and sets that have not enough cheap ones are compared in every dear bucket too.
 * **Verification.** In each bucket all sets are first compared with one of them (a star) and with the next by
   key (a ring); buckets of one group of near copies have mostly the same stars and rings. Then all pairs that
   links do not join yet, so a group of near copies takes a few comparisons for each of its sets. A comparison first
@@ -158,11 +161,16 @@ def signatures(element: np.ndarray, owner: np.ndarray, size: np.ndarray, level:
     return found, who, less, spare
 
 
+def element_signatures(element: np.ndarray, owner: np.ndarray, size: np.ndarray, needed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The same with each element a segment of its own, for sets of all sizes alike."""
+    return W.mix(element ^ np.uint64(0x14057B7EF767814F)), owner, np.zeros(len(element), np.uint8), size - (needed + 1)
+
+
 _PACKED = "slice int, kind int, low binary, high binary, key_low binary, key_high binary, role binary, less binary, docs binary, sketches binary"
 _DOC = np.dtype([("doc", "<i8"), ("null", "?"), ("cls", "<u8"), ("n", "<i8"), ("own", "<i4"), ("below", "<i4")])
 
 
-def _pack(batches: Iterator[pa.RecordBatch], slices: int, words: int, percent: int, deletions: bool) -> Iterator[pa.RecordBatch]:
+def _pack(batches: Iterator[pa.RecordBatch], slices: int, words: int, percent: int, deletions: bool, singly: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, seen, held = batch.column("doc_id"), np.zeros(0, np.uint64), 0
         found, keys, roles, lesses, docs, marks = ([] for _ in range(6))
@@ -175,13 +183,18 @@ def _pack(batches: Iterator[pa.RecordBatch], slices: int, words: int, percent: i
             seen = np.concatenate((seen, identity[fresh]))
             own = np.where(size > 0, np.searchsorted(EDGES, size, "right") - 1, -1)
             below_top = EDGES[np.maximum(own, 0)] - 1
-            below = np.where((own > 0) & (size * percent <= below_top * 100), own - 1, -1)
+            # single elements are the same at all levels
+            below = np.where((own > 0) & (size * percent <= below_top * 100) & (not singly), own - 1, -1)
             doc = np.zeros(end - first, _DOC)
             part = ids.slice(first, end - first)
             doc["doc"], doc["null"], doc["cls"], doc["n"] = part.fill_null(0).to_numpy(), part.is_null().to_numpy(zero_copy_only=False), identity, size
             for role, (name, level, partner) in enumerate((("own", own, size * 100 // percent), ("below", below, below_top))):
                 # spare segments are a matter of the set, so copies get them as well
-                sig, who, less, spare = signatures(element, owner, size, level, largest_difference(size, partner, percent), percent, deletions)
+                needed = largest_difference(size, partner, percent)
+                if singly and name == "own":
+                    sig, who, less, spare = element_signatures(element, owner, size, needed)
+                else:
+                    sig, who, less, spare = signatures(element, owner, size, level, needed, percent, deletions)
                 doc[name] = np.where(level >= 0, spare, 1 << 30)
                 use = fresh[who]
                 found.append(sig[use])
@@ -280,10 +293,10 @@ def _buckets(packed: pa.Table, cap: int, deletions: bool) -> pa.Table:
     return pa.concat_tables(out) if out else _FOUND_SCHEMA.empty_table()
 
 
-def _bucket_table(docs: DataFrame, words: int, percent: int, deletions: bool, cap: int) -> DataFrame:
+def _bucket_table(docs: DataFrame, words: int, percent: int, cap: int, deletions: bool = False, singly: bool = False) -> DataFrame:
     spark = docs.sparkSession
     slices = max(8, 2 * docs.rdd.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    packed = docs.mapInArrow(lambda batches: _pack(batches, slices, words, percent, deletions), _PACKED)
+    packed = docs.mapInArrow(lambda batches: _pack(batches, slices, words, percent, deletions, singly), _PACKED)
     return cut_lineage(packed.groupBy("slice").applyInArrow(lambda t: _buckets(t, cap, deletions), _FOUND), "buckets")
 
 
@@ -451,19 +464,23 @@ def small_batches(spark: SparkSession, size: str = "16m") -> Iterator[None]:
 
 def _similar_components(docs: DataFrame, words: int, percent: int, cap: int) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = _bucket_table(docs, words, percent, deletions=False, cap=cap)
+    found = _bucket_table(docs, words, percent, cap)
     own = found.where("kind = 0").select("doc_id", "key", "cls", "n", "own", "below", "sketch", "coarse")
     classes = own.where("n > 0 AND doc_id IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("rep"), *(F.first(c).alias(c) for c in ("key", "n", "own", "below", "sketch", "coarse")))
     classes = cut_lineage(classes, "classes")
     verifier = _Verifier(docs, classes, words, percent)
     links = _linked_in_buckets(verifier, found.where("kind IN (1, 2)").select("kind", "n", "keys"), "kind = 1")
     crowded = _crowded(classes, found)
-    count = crowded.count()
-    if count > 1:
+    for singly in (False, True):
+        count = crowded.count()
+        if count < 2:
+            break
         texts = docs.join(F.broadcast(crowded) if count <= BROADCAST_IDS else crowded, "doc_id", "left_semi")
-        again = _bucket_table(texts, words, percent, deletions=True, cap=CAP_DELETIONS)
+        again = _bucket_table(texts, words, percent, cap if singly else CAP_DELETIONS, deletions=not singly, singly=singly)
         spare = again.where("kind = 0").groupBy("key").agg(F.min("own").alias("own"), F.min("below").alias("below"), F.min("doc_id").alias("rep"))
         links = links.unionAll(_linked_in_buckets(verifier, again.where("kind IN (1, 2)").select("kind", "n", "keys"), "kind = 1", _crowded(spare, again)))
+        if not singly:
+            crowded = cut_lineage(spare.where("own < 0 OR below < 0").select(F.col("rep").alias("doc_id"), "key"), "short")
     component = connected_components(links.select("u", "v"))
     named = classes.select("cls", "rep").join(component.withColumnRenamed("node", "rep"), "rep", "left").select("cls", F.coalesce("component", "rep").alias("component"))
     return own.select("doc_id", "cls", "n").join(named, "cls", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))

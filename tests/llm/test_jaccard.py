@@ -63,6 +63,30 @@ def test_one_of_each_keeps_one_row_of_null_and_repeated_ids(spark):
     assert sum(r[1] in (long, near) for r in got) == 1
 
 
+def test_links_of_sets_in_one_segment(spark):
+    """Pairs of 11 words that share 6 of 8 shingles, all in one of three segments and no equal subset in one of four."""
+    rng = np.random.default_rng(5)
+    pairs = 60_000
+    w = [[f"{x:x}" for x in row] for row in rng.integers(0, 1 << 40, (pairs, 12))]
+    texts = [" ".join(x) for row in w for x in (row[:11], [*row[:10], row[11]])]
+    data, ends = "".join(texts).encode(), np.cumsum([0, *map(len, texts)])
+    element, _, size, _ = jaccard.shingle_sets(np.frombuffer(data, np.uint8), ends, 5)
+    assert (size == 7).all()
+    a, b = (element.reshape(pairs, 2, 7)[:, k] for k in (0, 1))
+    segment = lambda m: [((x >> np.uint64(32)) * np.uint64(m) >> np.uint64(32)) for x in (a, b)]
+    in_both = np.stack([np.isin(x, y) for x, y in zip(a, b, strict=True)])
+    (x, y), (u, v) = segment(3), segment(4)
+    lost = []
+    for i in np.flatnonzero((x == x[:, :1]).all(axis=1) & (y == x[:, :1]).all(axis=1)):
+        ends_in = {int(u[i][~in_both[i]][0]), int(v[i][~np.isin(b[i], a[i])][0])}
+        if set(u[i][in_both[i]].tolist()) <= ends_in:
+            lost.append(i)
+    assert len(lost) > 2
+    rows = [(2 * int(i) + k, texts[2 * i + k]) for i in lost for k in (0, 1)]
+    got = jaccard.similar_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == {i: i // 2 * 2 for i, _ in rows}
+
+
 def test_sketches_bound_the_difference_from_below():
     rng = np.random.default_rng(0)
     for a, b in ((0, 5), (40, 3), (300, 20), (300, 500)):
