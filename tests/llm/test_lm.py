@@ -48,6 +48,18 @@ def test_scores_are_those_of_plain_counts(odd_docs, monkeypatch, rare):
         assert r.score == pytest.approx(score, abs=0.02 * n)
 
 
+@pytest.mark.parametrize("frequent", [1, 30, 300])
+def test_rare_words_are_contexts_too(odd_docs, monkeypatch, frequent):
+    monkeypatch.setattr(lm, "FREQUENT", frequent)
+    train = lambda i: zlib.crc32(str(i).encode()) % 5 != 1
+    flag = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 1
+    got = {r.doc_id: r for r in lm.score_documents(odd_docs.withColumn("train", flag)).collect()}
+    for i, n, known, total, base, score in brute([(r.doc_id, r.text) for r in odd_docs.collect()], train, rare=1 << 62):
+        assert (got[i].n_tokens, got[i].n_known, got[i].train_tokens) == (n, known, total)
+        assert got[i].base_score == pytest.approx(base, abs=1e-9 * n)
+        assert got[i].score == pytest.approx(score, abs=0.02 * n)
+
+
 def test_no_training_texts_empty_tables_and_null_ids(spark, odd_docs, no_docs):
     rows = lm.score_documents(odd_docs.withColumn("train", F.lit(None).cast("boolean"))).collect()
     assert {(r.base_score, r.score, r.n_known, r.train_tokens) for r in rows} == {(0.0, 0.0, 0, 0)}
