@@ -9,7 +9,8 @@ the width. The width is the cheapest of those that fit the smallest value, half,
 
 Documents are dealt to files by ranges of ``doc_id`` and sorted there, so all files in order have all ids
 in ascending document order. Ties (repeated ids) are ordered by text; null ids come first and are written as -1. A null or
-empty text is the end id alone. Strings of special tokens in a text are ordinary text.
+empty text is the end id alone. Strings of added tokens in a text become these tokens, as the tokenizer file has it, if
+``added`` is set (the query does), and ordinary text otherwise.
 """
 
 from __future__ import annotations
@@ -45,14 +46,16 @@ class Encoder:
     """Encodes texts with a byte-level tokenizer file, each distinct piece once.
 
     The tokenizer's pattern never crosses the pieces that ``_piece_starts`` cuts, so encoding pieces and
-    joining is encoding the text. Pieces are remembered by a 64-bit hash in sorted arrays.
+    joining is encoding the text. Pieces are remembered by a 64-bit hash in sorted arrays. Texts that hold
+    ``added`` tokens are encoded whole and not remembered.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, added: bool = False) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()] if added else []
         self.clear()
 
     def clear(self) -> None:
@@ -76,8 +79,35 @@ class Encoder:
         at = np.searchsorted(self.hash, hashes)
         self.hash, self.place, self.size = np.insert(self.hash, at, hashes), np.insert(self.place, at, place), np.insert(self.size, at, size)
 
+    def _with_added(self, raw: bytes, offsets: np.ndarray) -> np.ndarray:
+        """The texts that hold an added token."""
+        found = set()
+        for token in self.added:
+            at = raw.find(token)
+            while at >= 0:
+                text = int(np.searchsorted(offsets, at, "right")) - 1
+                if at + len(token) <= offsets[text + 1]:
+                    found.add(text)
+                    at = int(offsets[text + 1]) - 1  # on with the next text
+                at = raw.find(token, at + 1)
+        return np.array(sorted(found), np.int64)
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts one after the other, each text with the end id, and the number of ids of each text."""
+        raw = data.tobytes() if self.added else b""
+        whole = self._with_added(raw, offsets)
+        if not len(whole):
+            return self._encode_pieces(data, offsets)
+        size = np.diff(offsets)
+        rest = size.copy()
+        rest[whole] = 0
+        ids, lengths = self._encode_pieces(data[np.repeat(rest > 0, size)], np.concatenate(([0], np.cumsum(rest))))
+        found, count = self._encode([raw[offsets[i] : offsets[i + 1]].decode() for i in whole])
+        ids = np.insert(ids, np.repeat(np.cumsum(lengths)[whole] - 1, count), found)
+        lengths[whole] += count
+        return ids, lengths
+
+    def _encode_pieces(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not len(data):
             return np.full(len(offsets) - 1, END_ID, np.uint32), np.ones(len(offsets) - 1, np.int64)
         starts = _piece_starts(data, offsets)
@@ -147,14 +177,14 @@ def _piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut)
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, added: bool = False) -> Encoder:
     """The worker's encoder; kept between tasks."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    if (path, added) not in _encoders:
+        _encoders[path, added] = Encoder(path, added)
+    return _encoders[path, added]
 
 
 def _pack(values: np.ndarray, width: int) -> np.ndarray:
@@ -289,7 +319,7 @@ class TokenFile:
         return decode_blocks(data, self.places[a:b] - low)[first - a * BLOCK : end - a * BLOCK]
 
 
-def write_tokens(docs: DataFrame, tokenizer: str) -> DataFrame:
+def write_tokens(docs: DataFrame, tokenizer: str, added: bool = False) -> DataFrame:
     """Writes ``docs`` (doc_id, text) as token files; returns one row a file: shard, path, documents, ids, bytes."""
     folder = new_folder(docs.sparkSession, "tokens")
     shards = max(1, docs.rdd.getNumPartitions())
@@ -299,7 +329,7 @@ def write_tokens(docs: DataFrame, tokenizer: str) -> DataFrame:
         system, root = open_folder(folder)
         system.create_dir(root, recursive=True)
         path = f"{root}/{attempt_name(f'part-{shard:06d}', 'pfor')}"
-        code, writer = encoder(tokenizer), None
+        code, writer = encoder(tokenizer, added), None
         with system.open_output_stream(path) as stream:
             writer = Writer(stream)
             for batch in batches:
@@ -355,5 +385,5 @@ def _digests(file: TokenFile, base: int, piece: int = 1 << 20) -> Iterator[pa.Re
 def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    files = write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    files = write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), added=True)
     return read_tokens(files)

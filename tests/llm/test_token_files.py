@@ -78,6 +78,26 @@ def test_files_hold_all_documents_in_order(odd_docs, tokenizer, parts):
         start += len(ids)
 
 
+def test_added_tokens_are_those_of_the_plain_tokenizer(odd_docs, monkeypatch):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(PATH)
+    end = "<|endoftext|>"
+    assert len(plain.encode(end, add_special_tokens=False).ids) == 1
+    texts = ["a b", f"a {end} b", "", end, f"{end}{end} x  {end}\n y", end[:5], end[5:], f"é\t{end}", "c d", f"x{end}"]
+    data, offsets = np.frombuffer("".join(texts).encode(), np.uint8), np.cumsum([0, *(len(t.encode()) for t in texts)])
+    ids, lengths = T.Encoder(PATH, added=True).encode(data, offsets)
+    expected = [[*plain.encode(t, add_special_tokens=False).ids, T.END_ID] for t in texts]
+    assert lengths.tolist() == [len(x) for x in expected] and ids.tolist() == sum(expected, [])
+    monkeypatch.setattr(T, "table", lambda *_: odd_docs)
+    got = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in T.op3_token_output(odd_docs.sparkSession, "").collect()}
+    start = 0
+    for doc, text in sorted((r.doc_id, r.text or "") for r in odd_docs.collect()):
+        own = np.array([*plain.encode(text, add_special_tokens=False).ids, T.END_ID], "<u4")
+        assert got[doc] == (start, len(own), zlib.crc32(own.tobytes()))
+        start += len(own)
+
+
 def test_ties_null_ids_and_empty_tables(spark, no_docs):
     assert T.read_tokens(T.write_tokens(no_docs, PATH)).count() == 0
     rows = spark.createDataFrame([(2, "b"), (2, "a"), (None, "x y"), (1, None)], "doc_id long, text string")
