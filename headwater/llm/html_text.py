@@ -3,10 +3,12 @@
 A page is cut into blocks at block-level tags. The first pass looks at each block alone: its share of
 stop words, its length and its share of linked characters, and the elements it stands in. Menus, page
 headers and footers, sidebars, forms, adverts, notices and comments, told by element or by the words of
-``class``, ``id`` and ``role``, are boilerplate; what an article or main element holds otherwise is
-content; on pages without one the three measures decide, and short or middling blocks stay open. In the
-second pass open blocks take the label of the nearest neighbour that the measures decided; between two equally near ones
-that differ, a heading follows the next block, any other the one before.
+``class``, ``id`` and ``role``, are boilerplate; such words never reject an article or main element itself, and
+parts of longer names (``content-sidebar-wrap``) none inside. What an article or main element holds otherwise is
+content; elsewhere the three measures decide, and short or middling blocks stay open. In the second pass open
+blocks take the label of the nearest neighbour that the measures decided; between two equally near ones
+that differ, a heading follows the next block, any other the one before. Without such a neighbour they are
+content, but boilerplate on pages with an article.
 
 Scripts, styles, comments of the markup and the head are no blocks. Character references are decoded,
 white space in a block becomes one space. Unclosed elements end with the page or the next block of
@@ -61,6 +63,8 @@ _LABELS = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'
 _WORD = re.compile(r"[a-z0-9]+")
 
 GOOD, OPEN, BAD = 1, 0, -1
+#: Of an element: boilerplate, but for an article or main element inside.
+DOUBTFUL = -2
 
 
 @dataclass
@@ -75,12 +79,17 @@ def _standing(tag: str, attributes: str, outer: int) -> int:
     """How an element makes its content stand, given how it stands itself."""
     if outer == BAD:
         return BAD
-    words = {w for m in _LABELS.finditer(attributes) for w in _WORD.findall((m[1] or m[2] or m[3] or "").lower())} if attributes else set()
-    if words & BOILERPLATE_WORDS and tag not in ("html", "body"):
-        return BAD
-    if tag in BOILERPLATE:
+    if tag in ("article", "main"):
+        return GOOD
+    if tag in ("html", "body"):
+        return outer
+    names = [(m[1] or m[2] or m[3] or "").lower() for m in _LABELS.finditer(attributes)] if attributes else []
+    whole, parts = {w for n in names for w in n.split()}, {w for n in names for w in _WORD.findall(n)}
+    if tag in BOILERPLATE or whole & BOILERPLATE_WORDS:
         return BAD
-    if tag in ("article", "main") or words & CONTENT_WORDS and tag not in ("html", "body"):
+    if parts & BOILERPLATE_WORDS:
+        return BAD if outer == GOOD else DOUBTFUL
+    if whole & CONTENT_WORDS or parts & CONTENT_WORDS and outer != DOUBTFUL:
         return GOOD
     return outer
 
@@ -95,7 +104,7 @@ def blocks(page: str) -> Iterator[Block]:
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
             tag, inside = stack[-1] if stack else ("", OPEN)
-            yield Block(text, linked, tag, inside)
+            yield Block(text, linked, tag, max(inside, BAD))
         parts.clear()
         linked = 0
 
@@ -154,12 +163,10 @@ def blocks(page: str) -> Iterator[Block]:
     yield from block()
 
 
-def first_pass(block: Block, has_article: bool, short: int = 70, long: int = 200, low: float = 0.15, high: float = 0.3, most_linked: float = 0.5) -> int:
+def first_pass(block: Block, short: int = 70, long: int = 200, low: float = 0.15, high: float = 0.3, most_linked: float = 0.5) -> int:
     """The label of a block by itself."""
-    if block.inside == BAD:
-        return BAD
-    if has_article:
-        return GOOD if block.inside == GOOD else BAD
+    if block.inside:
+        return block.inside
     size = len(block.text)
     if block.linked > most_linked * size:
         return BAD
@@ -175,15 +182,17 @@ def first_pass(block: Block, has_article: bool, short: int = 70, long: int = 200
 
 
 def second_pass(found: list[Block], labels: list[int]) -> list[int]:
-    """Open blocks get the label of the nearest decided neighbour; a page without decided blocks is all content."""
+    """Open blocks get the label of the nearest neighbour that the measures decided; a page without decided blocks and
+    articles is all content."""
     n = len(labels)
-    before, after = [(n, GOOD)] * n, [(n, GOOD)] * n
-    decided = [label if found[i].inside != BAD else OPEN for i, label in enumerate(labels)]
-    last = (None, GOOD)
+    other = BAD if any(b.inside == GOOD for b in found) else GOOD
+    before, after = [(n, other)] * n, [(n, other)] * n
+    decided = [label if found[i].inside == OPEN else OPEN for i, label in enumerate(labels)]
+    last = (None, other)
     for i in range(n):
         last = (i, decided[i]) if decided[i] else last
         before[i] = (i - last[0] if last[0] is not None else n, last[1])
-    last = (None, GOOD)
+    last = (None, other)
     for i in range(n - 1, -1, -1):
         last = (i, decided[i]) if decided[i] else last
         after[i] = (last[0] - i if last[0] is not None else n, last[1])
@@ -196,8 +205,7 @@ def second_pass(found: list[Block], labels: list[int]) -> list[int]:
 
 def main_text(page: str | None) -> str:
     found = list(blocks(page or ""))
-    has_article = any(b.inside == GOOD for b in found)
-    labels = second_pass(found, [first_pass(b, has_article) for b in found])
+    labels = second_pass(found, [first_pass(b) for b in found])
     return "\n".join(b.text for b, label in zip(found, labels, strict=True) if label == GOOD)
 
 

@@ -30,6 +30,17 @@ def test_pages(page, text):
     assert H.main_text(page) == text
 
 
+@pytest.mark.parametrize(("page", "text"), [
+    ("<div class='content-sidebar-wrap'><p>no</p><article><p>in</p></article></div>", "in"),
+    ("<main class='no-sidebar'><article class='category-social'><p>in</p></article></main>", "in"),
+    ("<body><article class='post related'><p>in</p></article><div class='user-comments'><p>no</p></div></body>", "in"),
+    (f"<article><p>teaser</p></article><div><p>{LONG}</p><p>short</p></div><footer>f</footer>", f"teaser\n{LONG.strip()}\nshort"),
+    (f"<article><p>a</p></article><aside><p>{LONG}</p></aside><div class=sidebar><p>{LONG}</p></div>", "a"),
+])
+def test_words_do_not_reject_articles_nor_articles_other_text(page, text):
+    assert H.main_text(page) == text
+
+
 def test_open_blocks_take_the_nearest_label():
     blocks = [H.Block("x", 0, tag, H.OPEN) for tag in ("p", "p", "h2", "p", "p")]
     assert H.second_pass(blocks, [1, 0, 0, 0, -1]) == [1, 1, -1, -1, -1]
