@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from headwater.llm import chat, decontaminate, html_text, jaccard, lm, neardup, packing, quality, token_files, toxicity
+from headwater.llm import chat, decontaminate, html_text, jaccard, lm, neardup, packing, quality, substring, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": quality.op1_quality_classifier,
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_embedding_neardup": neardup.op8_embedding_neardup,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_chat_format": chat.op10_chat_format,
+    "op11_substring_dedup": substring.op11_substring_dedup,
     "pipeline": corpus_pipeline.run,
 }
 SQL: dict[str, str] = {
@@ -27,4 +28,5 @@ SQL: dict[str, str] = {
     "op7_decontamination": decontaminate.OP7_SQL,
     "op8_embedding_neardup": neardup.OP8_SQL,
     "op10_chat_format": chat.OP10_SQL,
+    "op11_substring_dedup": substring.OP11_SQL,
 }
