@@ -279,7 +279,7 @@ def _cut_batch(rows: pa.Table, window: int) -> pa.Table:
     # kept words with one blank after each; a document's last blank is not its own
     size = words.end[left] - words.start[left] + 1
     where = _spread(words.start[left], size)
-    out = data[np.minimum(where, len(data) - 1)] if len(where) else data[:0]
+    out = data[np.minimum(where, max(0, len(data) - 1))]
     ends = np.cumsum(size)
     out[ends - 1] = 32
     owner = words.text[left]
