@@ -83,6 +83,8 @@ class FMIndex:
             if step == longest or not len(alive):
                 break
             symbol = text[ends[alive] - step]
+            inside = symbol > 0  # no run goes beyond a border
+            alive, low, high, symbol = alive[inside], low[inside], high[inside], symbol[inside]
             both = self.wavelet.move(np.concatenate((low, high)), np.concatenate((symbol, symbol)))
             low, high = both[: len(low)] + self.shift[symbol], both[len(low) :] + self.shift[symbol]
         return length
