@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from headwater.llm import chat, decontaminate, html_text, jaccard, lm, neardup, packing, quality, substring, token_files, toxicity
+from headwater.llm import chat, decontaminate, html_text, jaccard, lm, neardup, packing, quality, ranked, substring, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": quality.op1_quality_classifier,
@@ -21,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_chat_format": chat.op10_chat_format,
     "op11_substring_dedup": substring.op11_substring_dedup,
+    "op12_ranked_search": ranked.op12_ranked_search,
     "pipeline": corpus_pipeline.run,
 }
 SQL: dict[str, str] = {
@@ -29,4 +30,5 @@ SQL: dict[str, str] = {
     "op8_embedding_neardup": neardup.OP8_SQL,
     "op10_chat_format": chat.OP10_SQL,
     "op11_substring_dedup": substring.OP11_SQL,
+    "op12_ranked_search": ranked.OP12_SQL,
 }
