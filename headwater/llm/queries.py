@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from headwater.llm import chat, decontaminate, html_text, jaccard, lm, neardup, packing, quality, ranked, substring, token_files, toxicity
+from headwater.llm import chat, decontaminate, html_text, jaccard, lm, neardup, packing, quality, ranked, repair, substring, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": quality.op1_quality_classifier,
@@ -22,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_chat_format": chat.op10_chat_format,
     "op11_substring_dedup": substring.op11_substring_dedup,
     "op12_ranked_search": ranked.op12_ranked_search,
+    "op13_conversation_repair": repair.op13_conversation_repair,
     "pipeline": corpus_pipeline.run,
 }
 SQL: dict[str, str] = {
