@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import sys
 from functools import lru_cache
 from zlib import crc32
 
@@ -10,6 +11,7 @@ from headwater.llm import repair as R
 from headwater.llm.survivors import Survivors
 from headwater.llm.tables import table
 
+sys.setrecursionlimit(20_000)
 BLANKS = " \t\n\v\f\r"
 
 
