@@ -6,6 +6,7 @@ Words are runs of non-blank bytes, unchanged. All windows are judged on the inpu
    their share are common. (Only costs depend on this: common grams become anchors last.)
 2. All texts are read again. The anchor of a window is its least gram, by hash. Neighbouring windows with the anchor at
    the same place form a segment, and each segment goes to the shard of its anchor, once a batch with its count.
+   The batch itself is written to the shared folder.
    Equal windows have equal anchors, so all copies of a window meet in one shard, whatever documents they are in.
 3. A shard drops segments whose anchor occurs once: none of their windows repeats. The rest, each different one
    once with its total count, are indexed by an FM-index over a wavelet matrix. Segments that occur once are
@@ -33,6 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headwater.llm import words as W
+from headwater.llm.files import attempt_name, new_folder, open_folder
 from headwater.llm.fm_index import FMIndex
 from headwater.llm.tables import table
 from headwater.session import cut_lineage
@@ -66,7 +68,7 @@ def _table(rows: list[dict], schema: str) -> pa.Table:
 
 def _pack(*arrays: np.ndarray) -> dict:
     raw = b"".join(np.ascontiguousarray(a).tobytes() for a in arrays)
-    return {"size": len(raw), "data": pa.compress(raw, codec="zstd", asbytes=True)}
+    return {"size": len(raw), "data": pa.Codec("zstd", compression_level=3).compress(raw, asbytes=True)}
 
 
 def _unpack(row: dict) -> np.ndarray:
@@ -160,15 +162,29 @@ def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
 # --- batches: segments out --------------------------------------------------------------------------------
 
 
-def _send(batches: Iterator[pa.RecordBatch], window: int, size: int, shared: Broadcast, shards: int) -> Iterator[pa.RecordBatch]:
-    """Kind 0: a batch of documents with its segments; kind 1: the different segments of a batch that go to one shard."""
-    part, number = TaskContext.get().partitionId(), 0
-    for batch in batches:
-        for first, end, data, offsets in W.text_chunks(batch.column("text")):
-            ids = batch.column("doc_id").slice(first, end - first)
-            rows = _sent((part << 24) + number, ids, data, offsets, window, size, shared.value, shards)
-            yield _table(rows, _ROW).combine_chunks().to_batches()[0]
-            number += 1
+def _send(batches: Iterator[pa.RecordBatch], window: int, size: int, shared: Broadcast, shards: int, folder: str) -> Iterator[pa.RecordBatch]:
+    """Kind 0: where a batch of documents with its segments is written; kind 1: the different segments of a batch
+    that go to one shard. A task writes its batches into one file of the shared folder."""
+    part, number, written = TaskContext.get().partitionId(), 0, 0
+    system, root = open_folder(folder)
+    path = f"{root}/{attempt_name(f'batches-{part:06d}', 'bin')}"
+    stream = None
+    try:
+        for batch in batches:
+            for first, end, data, offsets in W.text_chunks(batch.column("text")):
+                ids = batch.column("doc_id").slice(first, end - first)
+                rows = _sent((part << 24) + number, ids, data, offsets, window, size, shared.value, shards)
+                if stream is None:
+                    system.create_dir(root, recursive=True)
+                    stream = system.open_output_stream(path)
+                stream.write(rows[0]["data"])
+                place = written, len(rows[0]["data"])
+                rows[0]["data"] = b"%d %d %s" % (*place, path.encode())
+                yield _table(rows, _ROW).combine_chunks().to_batches()[0]
+                number, written = number + 1, sum(place)
+    finally:
+        if stream is not None:
+            stream.close()
 
 
 def _sent(batch: int, ids: pa.Array, data: np.ndarray, offsets: np.ndarray, window: int, size: int, common: np.ndarray, shards: int) -> list[dict]:
@@ -260,8 +276,11 @@ def _repeating(texts: np.ndarray, begin: np.ndarray, length: np.ndarray, windows
 # --- batches: words to remove -----------------------------------------------------------------------------
 
 
-def _cut_batch(rows: pa.Table, window: int) -> pa.Table:
+def _cut_batch(rows: pa.Table, window: int, folder: str) -> pa.Table:
     rows = sorted(rows.to_pylist(), key=lambda r: (r["kind"], r["shard"]))
+    start, length, path = rows[0]["data"].split(b" ", 2)
+    with open_folder(folder)[0].open_input_file(path.decode()) as source:
+        rows[0]["data"] = source.read_at(int(length), int(start))
     reader, (docs, n) = _Reader(rows[0]), (rows[0]["n"] >> 32, rows[0]["n"] & 0xFFFFFFFF)
     ids, null, offsets = reader.take(docs, "<i8"), reader.take(docs, "?"), reader.take(docs + 1, "<i8")
     first, _, place = reader.take(n, "<u4").astype(np.int64), reader.take(n, "<u1"), reader.take(n, "<u4")
@@ -301,10 +320,10 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, shard_bytes: int = SHA
     spark, size = docs.sparkSession, GRAM if window >= 2 * GRAM else 1
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     common, volume = survey(docs, size)
-    shared, shards = spark.sparkContext.broadcast(common), -(-volume // shard_bytes) or 1
-    sent = docs.mapInArrow(lambda b: _send(b, window, size, shared, shards), _ROW)
+    shared, shards, folder = spark.sparkContext.broadcast(common), -(-volume // shard_bytes) or 1, new_folder(spark, "batches")
+    sent = docs.mapInArrow(lambda b: _send(b, window, size, shared, shards, folder), _ROW)
     found = sent.groupBy("shard").applyInArrow(lambda t: _search_shard(t, window), _BACK)
-    return found.groupBy("batch").applyInArrow(lambda t: _cut_batch(t, window), RESULT)
+    return found.groupBy("batch").applyInArrow(lambda t: _cut_batch(t, window, folder), RESULT)
 
 
 def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
