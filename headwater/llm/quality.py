@@ -104,15 +104,16 @@ def train(docs: DataFrame, labels: DataFrame, where: Column, label: str = "quali
     return fit_in_one_task(labelled_sample(docs, labels, label, "doc_id", where, rows).select("text", "label"), fit)
 
 
-def classify(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
-    """``docs`` with ``score`` (0 to 1) and ``predicted`` (1 from ``threshold`` up)."""
+def classify(docs: DataFrame, model: Model, threshold: float = 0.3, names: tuple[str, str] = ("score", "predicted")) -> DataFrame:
+    """``docs`` with a score (0 to 1) and a prediction (1 from ``threshold`` up), in columns of these names; such
+    columns of ``docs`` are replaced."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def compute(column: pa.Array) -> list[pa.Array]:
         score = score_texts(column, shared.value)
         return [pa.array(score), pa.array((score >= threshold).astype(np.int32))]
 
-    return append_columns(docs, "text", "score double, predicted int", compute)
+    return append_columns(docs, "text", f"`{names[0]}` double, `{names[1]}` int", compute)
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

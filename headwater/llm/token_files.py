@@ -15,6 +15,7 @@ empty text is the end id alone. Strings of added tokens in a text become these t
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import zlib
@@ -51,6 +52,8 @@ class Encoder:
     """
 
     def __init__(self, path: str, added: bool = False) -> None:
+        # Spark's tasks fill the cores; a pool of threads in each only takes time from the others
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)

@@ -188,8 +188,9 @@ def train(docs: DataFrame, labels: DataFrame, where: Column, label: str = "toxic
     return fit_in_one_task(sample, lambda batches: learn(batches, exceptions))
 
 
-def score(docs: DataFrame, lexicon: Lexicon, threshold: float = 0.3) -> DataFrame:
-    """``docs`` with ``score`` (0 to 1) and ``predicted`` (1 from ``threshold`` up)."""
+def score(docs: DataFrame, lexicon: Lexicon, threshold: float = 0.3, names: tuple[str, str] = ("score", "predicted")) -> DataFrame:
+    """``docs`` with a score (0 to 1) and a prediction (1 from ``threshold`` up), in columns of these names; such
+    columns of ``docs`` are replaced."""
     shared = docs.sparkSession.sparkContext.broadcast(lexicon)
 
     def compute(column: pa.Array) -> list[pa.Array]:
@@ -199,7 +200,7 @@ def score(docs: DataFrame, lexicon: Lexicon, threshold: float = 0.3) -> DataFram
         p = 1 / (1 + np.exp(-np.clip(lexicon.intercept + lexicon.slope * x, -35, 35)))
         return [pa.array(p), pa.array((p >= threshold).astype(np.int32))]
 
-    return append_columns(docs, "text", "score double, predicted int", compute)
+    return append_columns(docs, "text", f"`{names[0]}` double, `{names[1]}` int", compute)
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
