@@ -1,4 +1,8 @@
-"""The corpus pipeline: toxicity, quality, near copies, benchmark passages, packing."""
+"""The corpus pipeline: toxicity, quality, near copies, benchmark passages, packing.
+
+Filtering stages return the rows they keep as they are, columns of any names included; null, empty and repeated texts are
+judged like others, rows with a null id too, and an empty table stays empty.
+"""
 
 from __future__ import annotations
 
@@ -10,17 +14,20 @@ from headwater.llm import decontaminate, jaccard, packing, quality, toxicity
 from headwater.llm.tables import fold, table
 from headwater.session import cut_lineage
 
+#: Columns that a stage adds for itself, so that those of the documents stay as they are.
+VERDICT = ("__score", "__predicted")
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity lexicon does not reject; it is learned from labelled documents of this stage's input."""
     lexicon = toxicity.train(docs, table(spark, sf_dir, "labels"), fold("doc_id", 4) != 2)
-    return toxicity.score(docs, lexicon).where("predicted = 0").select(*docs.columns)
+    return toxicity.score(docs, lexicon, names=VERDICT).where(f"{VERDICT[1]} = 0").drop(*VERDICT)
 
 
 def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts; it is learned from labelled documents of this stage's input."""
     model = quality.train(docs, table(spark, sf_dir, "labels"), fold("doc_id", 5) != 0)
-    return quality.classify(docs, model).where("predicted = 1").select(*docs.columns)
+    return quality.classify(docs, model, names=VERDICT).where(f"{VERDICT[1]} = 1").drop(*VERDICT)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
