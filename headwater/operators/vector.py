@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from headwater.functions import geometry as G
 from headwater.functions.projection import transform
+from headwater.operators.noding import contract_chains, crossing_keys, split_at_vertices
 from headwater.session import cut_lineage
 
 DIGITS = 6  # coordinates are compared after rounding to this many decimals
@@ -203,26 +204,48 @@ def _undirected(edges: DataFrame) -> DataFrame:
 def outline_edges(df: DataFrame, keys: Sequence[str], geom: str = "geom", digits: int = DIGITS) -> DataFrame:
     """Edges on the outline of each key's union: those not run both ways by polygons of the key.
 
-    ``overlap`` marks edges that several polygons run the same way.
+    Borders that two polygons run with different vertices are cut at the vertices of both first; only edges that are still open after the
+    first count take part, so inner borders that match are gone by then. ``overlap`` marks edges that several polygons run
+    the same way.
     """
-    net = _undirected(explode_edges(df, keys, geom, digits)).groupBy(*keys, "lo", "hi").agg(F.sum("dir").alias("net"))
-    forward = F.col("net") > 0
+    ways = F.count_if(F.col("dir") > 0).alias("forward"), F.count_if(F.col("dir") < 0).alias("back")
+    sides = _undirected(explode_edges(df, keys, geom, digits)).groupBy(*keys, "lo", "hi").agg(*ways)
+    pieces = split_at_vertices(sides.filter("forward <> back OR forward > 1"), keys, _near(digits))
+    # a vertex a little beside an edge can turn the order of a piece's ends
+    turned = F.col("lo") > F.col("hi")
+    swap = lambda x, y: F.when(turned, F.col(y)).otherwise(F.col(x))
+    pieces = pieces.select(*keys, *(swap(x, y).alias(x) for x, y in (("lo", "hi"), ("hi", "lo"), ("forward", "back"), ("back", "forward"))))
+    net = pieces.groupBy(*keys, "lo", "hi").agg(F.sum("forward").alias("forward"), F.sum("back").alias("back"))
+    forward = F.col("forward") > F.col("back")
     a, b = F.when(forward, F.col("lo")).otherwise(F.col("hi")), F.when(forward, F.col("hi")).otherwise(F.col("lo"))
-    return net.filter("net <> 0").select(*keys, a.alias("a"), b.alias("b"), (F.abs("net") > 1).alias("overlap"))
+    overlap = F.greatest("forward", "back") > 1
+    return net.filter((F.col("forward") != F.col("back")) | overlap).select(*keys, a.alias("a"), b.alias("b"), overlap.alias("overlap"))
 
 
-def _ring_labels(outline: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Number the rings of the outline edges: adds ``id`` and the ring's smallest edge id, ``ring``.
+def _near(digits: int) -> float:
+    """How far a vertex may lie beside an edge that it cuts: rounding moves it by no more."""
+    return 10.0**-digits
 
-    Also returns the keys with overlapping polygons, whose edges are left out.
 
-    Every edge first finds the next edge of its ring: of the edges leaving its end the first one
+#: Edges of mean length that a cell of the chain contraction is wide.
+CHAIN_CELL = 64
+
+
+def _ring_labels(outline: DataFrame, keys: Sequence[str], digits: int) -> tuple[DataFrame, DataFrame]:
+    """Number the loops of the outline edges: adds ``id`` and the loop's smallest edge id, ``ring``.
+
+    Also returns the keys with overlapping polygons, whose edges are left out: some polygons run an edge the same way, or
+    edges cross.
+
+    Every edge first finds the next edge of its loop: of the edges leaving its end the first one
     met when turning clockwise from the way back, which keeps areas that touch in a point apart.
-    Then each edge looks twice as far along its ring per round, so the rounds grow with the
-    logarithm of the longest ring. Each round is written to the shared folder.
+    Runs of edges that are near each other are contracted to chains inside the tasks. Then each chain looks twice as far
+    along its loop per round, so the rounds grow with the logarithm of the most chains of a loop; only
+    chains are written to the shared folder.
     """
     edges = cut_lineage(outline.withColumn("id", F.monotonically_increasing_id()), "edges")
-    overlapping = edges.filter("overlap").select(*keys).distinct()
+    crossing = crossing_keys(edges.select(*keys, F.col("a").alias("lo"), F.col("b").alias("hi")), keys, 2 * _near(digits))
+    overlapping = cut_lineage(edges.filter("overlap").select(*keys).unionByName(crossing).distinct(), "overlapping")
     edges = edges.join(overlapping, list(keys), "left_anti")
     angle = lambda p, q: F.atan2(q["y"] - p["y"], q["x"] - p["x"])
     a, b = F.col("a"), F.col("b")
@@ -234,7 +257,11 @@ def _ring_labels(outline: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Da
         clockwise = F.pmod(F.col("back") - option["angle"], F.lit(two_pi))
         return F.struct(F.when(clockwise < 1e-12, two_pi).otherwise(clockwise).alias("turn"), option["id"].alias("id"))
 
-    state = arriving.join(leaving, [*keys, "node"]).select("id", F.array_min(F.transform("leaving", turn))["id"].alias("next"), F.col("id").alias("ring"))
+    size = edges.agg(F.avg(F.hypot(b["x"] - a["x"], b["y"] - a["y"]))).first()[0] or 1.0
+    place = lambda c: F.floor(F.col(f"node.{c}") / (size * CHAIN_CELL)).cast("bigint")
+    links = arriving.join(leaving, [*keys, "node"]).select("id", F.array_min(F.transform("leaving", turn))["id"].alias("next"), place("x").alias("cx"), place("y").alias("cy"))
+    chained = cut_lineage(contract_chains(links.repartition("cx", "cy").sortWithinPartitions("cx", "cy", "id")), "chains")
+    state = chained.filter("next IS NOT NULL").select("id", "next", F.col("least").alias("ring"))
     moved = 1
     while moved:
         # the count of changed labels rides along with the write
@@ -243,7 +270,8 @@ def _ring_labels(outline: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Da
         looked = state.join(ahead, "next").observe(seen, F.count_if(F.col("ring_ahead") < F.col("ring")).alias("n"))
         state = cut_lineage(looked.select("id", F.col("after").alias("next"), F.least("ring", "ring_ahead").alias("ring")), "rings")
         moved = seen.get["n"]
-    return edges.join(state.select("id", "ring"), "id").drop("overlap"), overlapping
+    found = chained.join(state.select(F.col("id").alias("head"), "ring"), "head", "left").select("id", F.coalesce("ring", "least").alias("ring"))
+    return edges.join(found, "id").drop("overlap"), overlapping
 
 
 _RING_NUMBERS, _RING_NUMBERS_ARROW = _doubles("signed_area", "px", "py", "xmin", "ymin", "xmax", "ymax")
@@ -253,6 +281,7 @@ _RING_ARROW = pa.struct([pa.field("ring", pa.binary()), *_RING_NUMBERS_ARROW])
 
 @F.arrow_udf(T.ArrayType(_RING))
 def _assemble(edges: pa.Array) -> pa.Array:
+    """The simple rings of each loop; ``px``, ``py`` is the middle of an edge."""
     out = []
     for table in _lists(edges, _EDGE_FIELDS):
         rings = []
@@ -261,30 +290,68 @@ def _assemble(edges: pa.Array) -> pa.Array:
         except G.Bad:
             walked = []
         for ring in walked:
-            px, py = G.inner_point(ring)
+            px, py = (ring[0] + ring[1]) / 2
             (xmin, ymin), (xmax, ymax) = ring.min(axis=0), ring.max(axis=0)
             rings.append({"ring": _pack(ring), "signed_area": G.signed_area(ring), "px": px, "py": py, "xmin": xmin, "ymin": ymin, "xmax": xmax, "ymax": ymax})
         out.append(rings)
     return pa.array(out, type=pa.list_(_RING_ARROW))
 
 
-def outline_rings(df: DataFrame, keys: Sequence[str], geom: str = "geom", digits: int = DIGITS) -> DataFrame:
-    """Rings of each key's union; shells have positive, holes negative ``signed_area``.
+def _loops(df: DataFrame, keys: Sequence[str], geom: str, digits: int) -> tuple[DataFrame, DataFrame]:
+    """Loops of each key's outline (keys, ``loop``, ``rings``, ``area``, ``home``), and the keys whose polygons overlap.
 
-    A key whose polygons overlap, so that the input is no coverage, has a row without ring.
+    A loop with positive area is the border of a part: its one shell and the holes that touch it. Any other loop is holes, and ``home``
+    is the loop they lie in: the smallest around them. Keys overlap too if a loop has several shells, a part lies inside another or
+    a hole outside of all.
     """
-    labeled, overlapping = _ring_labels(outline_edges(df, keys, geom, digits), keys)
+    labeled, overlapping = _ring_labels(outline_edges(df, keys, geom, digits), keys, digits)
     edge = F.struct(F.col("a.x").alias("x1"), F.col("a.y").alias("y1"), F.col("b.x").alias("x2"), F.col("b.y").alias("y2"))
-    loops = labeled.groupBy(*keys, "ring").agg(F.collect_list(edge).alias("edges"))
-    rings = loops.select(*keys, F.col("ring").alias("label"), F.inline_outer(_assemble(F.col("edges"))))
-    rings = rings.withColumn("ring_id", F.xxhash64("label", "ring")).drop("label")
-    return rings.unionByName(overlapping, allowMissingColumns=True)
-
-
-@F.arrow_udf(T.BooleanType())
-def _covers(ring: pa.Array, x: pa.Array, y: pa.Array) -> pa.Array:
-    rows = zip(ring.to_pylist(), x.to_pylist(), y.to_pylist())
-    return pa.array([G.contains(_unpack(r), px, py) for r, px, py in rows], type=pa.bool_())
+    rings = labeled.groupBy(*keys, F.col("ring").alias("loop")).agg(F.collect_list(edge).alias("edges")).select(*keys, "loop", _assemble("edges").alias("rings"))
+    total = F.aggregate("rings", F.lit(0.0), lambda s, r: s + r["signed_area"])
+    loops = cut_lineage(rings.withColumn("area", total), "loops")
+    around = _windings(loops, labeled, keys)
+    shells = F.size(F.filter("rings", lambda r: r["signed_area"] > 0))
+    placed = loops.join(around, [*keys, "loop"], "left").withColumn("inside", F.coalesce("inside", F.lit(0)))
+    right = F.when(F.col("area") > 0, (F.col("inside") == 0) & (shells == 1)).otherwise((F.col("inside") == 1) & (shells == 0) & (F.size("rings") > 0))
+    placed = cut_lineage(placed.withColumn("right", right).drop("inside"), "placed")
+    flawed = overlapping.unionByName(placed.filter("NOT right").select(*keys)).distinct()
+    return placed.join(flawed, list(keys), "left_anti").drop("right"), flawed
+
+
+def _windings(loops: DataFrame, labeled: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """For each loop inside others: how many parts less holes are around it (``inside``), and the smallest part (``home``).
+
+    A point of the loop is tried against the loops whose box holds it, found in grid cells by size class. Edges that a ray from the point to
+    the right crosses upwards count 1, downwards -1, summed per pair of loops; points meet edges in bands of each loop's
+    height, as high as its edges are on average. No ring is moved.
+    """
+    box = {c: f(f"rings.{c}") for c, f in (("xmin", F.array_min), ("ymin", F.array_min), ("xmax", F.array_max), ("ymax", F.array_max))}
+    shapes = loops.filter(F.size("rings") > 0).select(*keys, "loop", "area", F.col("rings")[0]["px"].alias("px"), F.col("rings")[0]["py"].alias("py"), *(c.alias(n) for n, c in box.items()))
+    rise = F.abs(F.col("b.y") - F.col("a.y"))
+    bands = labeled.groupBy(*keys, F.col("ring").alias("outer")).agg((2 * F.avg(rise)).alias("high"))
+    level = F.ceil(F.log2(F.greatest(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin")))).cast("int")
+    boxes = shapes.select(*keys, F.col("loop").alias("outer"), F.col("area").alias("outer_area"), "xmin", "ymin", "xmax", "ymax").withColumn("level", level)
+    cell = lambda c: F.floor(c / F.pow(F.lit(2.0), F.col("level"))).cast("bigint")
+    listed = boxes.withColumn("cx", F.explode(F.sequence(cell(F.col("xmin")), cell(F.col("xmax")))))
+    listed = listed.withColumn("cy", F.explode(F.sequence(cell(F.col("ymin")), cell(F.col("ymax")))))
+    # one row per size class, some tens in all
+    levels = boxes.groupBy(*keys).agg(F.collect_set("level").alias("levels"))
+    looking = shapes.select(*keys, "loop", "px", "py").join(levels, list(keys)).withColumn("level", F.explode("levels")).drop("levels")
+    looking = looking.withColumn("cx", cell(F.col("px"))).withColumn("cy", cell(F.col("py")))
+    boxed = F.col("px").between(F.col("xmin"), F.col("xmax")) & F.col("py").between(F.col("ymin"), F.col("ymax")) & (F.col("loop") != F.col("outer"))
+    pairs = looking.join(listed, [*keys, "level", "cx", "cy"]).filter(boxed).select(*keys, "loop", "px", "py", "outer", "outer_area")
+    band = lambda y: F.floor(y / F.col("high")).cast("bigint")
+    pairs = pairs.join(bands, [*keys, "outer"]).withColumn("band", band(F.col("py"))).drop("high")
+    low, top = F.least("a.y", "b.y"), F.greatest("a.y", "b.y")
+    edges = labeled.withColumnRenamed("ring", "outer").join(bands, [*keys, "outer"]).filter(low < top)
+    edges = edges.select(*keys, "outer", "a", "b", F.explode(F.sequence(band(low), band(top))).alias("band"))
+    a, b = F.col("a"), F.col("b")
+    crossed = (a["y"] <= F.col("py")) != (b["y"] <= F.col("py"))
+    right = F.col("px") < a["x"] + (F.col("py") - a["y"]) / (b["y"] - a["y"]) * (b["x"] - a["x"])
+    hits = pairs.join(edges, [*keys, "outer", "band"]).filter(crossed & right)
+    each = hits.groupBy(*keys, "loop", "outer", "outer_area").agg(F.sum(F.when(b["y"] > a["y"], 1).otherwise(-1)).alias("turns"))
+    home = F.when((F.col("turns") > 0) & (F.col("outer_area") > 0), F.struct("outer_area", "outer"))
+    return each.groupBy(*keys, "loop").agg(F.sum("turns").alias("inside"), F.min(home)["outer"].alias("home"))
 
 
 @F.arrow_udf(T.BinaryType())
@@ -294,58 +361,49 @@ def _polygon(shell: pa.Array, holes: pa.Array) -> pa.Array:
 
 
 def dissolve(df: DataFrame, keys: Sequence[str], single_part: bool = False, geom: str = "geom", digits: int = DIGITS) -> DataFrame:
-    """Union of the polygons of each key, for edge-matched coverages: one row per connected part.
+    """Union of the polygons of each key, for coverages: one row per connected part.
 
-    ``part_count`` says how many parts the key has; ``single_part`` keeps keys with one part only.
-    NULL is a key like others. Keys with overlapping polygons are reported as one row with ``overlap``
-    and no geometry; overlaps without a common edge are not seen.
+    Borders may have different vertices on both sides. ``part_count`` says how many parts the key has; ``single_part`` keeps
+    keys with one part only. NULL is a key like others. Keys with polygons that overlap, whether they share edges, cross or lie inside
+    each other, are reported as one row with ``overlap`` and no geometry.
     """
     parts = _dissolve(df.select(F.struct(*keys).alias("__key"), geom), ["__key"], single_part, geom, digits)
     return parts.select("__key.*", *[c for c in parts.columns if c != "__key"])
 
 
 def _dissolve(df: DataFrame, keys: Sequence[str], single_part: bool, geom: str, digits: int) -> DataFrame:
-    """:func:`dissolve` by one struct, whose fields may be NULL and still join.
-
-    Every hole goes to the smallest shell of its key around it. Shells are listed under the few
-    cells, of their own size, that they reach, and a hole looks in its cell of every size in use.
-    """
-    found = cut_lineage(outline_rings(df, keys, geom, digits), "outline")
-    flawed = found.filter("ring IS NULL").select(*keys).distinct().withColumn("overlap", F.lit(True))
-    rings = found.join(flawed.select(*keys), list(keys), "left_anti")
-    shells = rings.filter("signed_area > 0").select(*keys, "ring_id", "ring", F.col("signed_area").alias("shell_area"), "xmin", "ymin", "xmax", "ymax")
-    level = F.ceil(F.log2(F.greatest(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin")))).cast("int")
-    leveled = shells.withColumn("level", level)
-    cell = lambda c: F.floor(c / F.pow(F.lit(2.0), F.col("level"))).cast("bigint")
-    placed = leveled.withColumn("cx", F.explode(F.sequence(cell(F.col("xmin")), cell(F.col("xmax")))))
-    placed = placed.withColumn("cy", F.explode(F.sequence(cell(F.col("ymin")), cell(F.col("ymax")))))
-    # one row per size class, some tens in all
-    levels = leveled.groupBy(*keys).agg(F.collect_set("level").alias("levels"))
-    holes = rings.filter("signed_area < 0").select(*keys, F.col("ring").alias("hole"), F.col("signed_area").alias("hole_area"), F.col("ring_id").alias("hole_id"), "px", "py")
-    looking = holes.join(levels, list(keys)).withColumn("level", F.explode("levels")).withColumn("cx", cell(F.col("px"))).withColumn("cy", cell(F.col("py")))
-    boxed = F.col("px").between(F.col("xmin"), F.col("xmax")) & F.col("py").between(F.col("ymin"), F.col("ymax")) & (F.col("shell_area") > -F.col("hole_area"))
-    around = looking.join(placed, [*keys, "level", "cx", "cy"]).filter(boxed).filter(_covers(F.col("ring"), F.col("px"), F.col("py")))
-    owner = around.groupBy(*keys, "hole_id").agg(F.min_by(F.struct("ring_id", "hole", "hole_area"), F.struct("shell_area", "ring_id")).alias("o"))
-    held = owner.groupBy(*keys, F.col("o.ring_id").alias("ring_id")).agg(F.collect_list("o.hole").alias("holes"), F.sum("o.hole_area").alias("hole_area"))
+    """:func:`dissolve` by one struct, whose fields may be NULL and still join."""
+    loops, flawed = _loops(df, keys, geom, digits)
+    negative = F.transform(F.filter("rings", lambda r: r["signed_area"] < 0), lambda r: r["ring"])
+    shell = F.filter("rings", lambda r: r["signed_area"] > 0)[0]["ring"]
+    shells = loops.filter("area > 0").select(*keys, "loop", shell.alias("shell"), negative.alias("own"), "area")
+    held = loops.filter("area <= 0").select(*keys, F.col("home").alias("loop"), negative.alias("holes"), F.col("area").alias("hole_area"))
+    held = held.groupBy(*keys, "loop").agg(F.flatten(F.collect_list("holes")).alias("holes"), F.sum("hole_area").alias("hole_area"))
     counts = shells.groupBy(*keys).agg(F.count(F.lit(1)).alias("part_count"))
-    parts = shells.join(held, [*keys, "ring_id"], "left").join(counts, list(keys))
+    parts = shells.join(held, [*keys, "loop"], "left").join(counts, list(keys))
     if single_part:
         parts = parts.filter("part_count = 1")
+    every = F.concat("own", F.coalesce("holes", F.array().cast("array<binary>")))
     whole = parts.select(
         *keys,
         "part_count",
         F.lit(False).alias("overlap"),
-        (F.col("shell_area") + F.coalesce("hole_area", F.lit(0.0))).alias("area"),
-        F.coalesce(F.size("holes"), F.lit(0)).alias("hole_count"),
-        _polygon(F.col("ring"), F.col("holes")).alias(geom),
+        (F.col("area") + F.coalesce("hole_area", F.lit(0.0))).alias("area"),
+        F.size(every).alias("hole_count"),
+        _polygon(F.col("shell"), every).alias(geom),
     )
-    return whole.unionByName(flawed, allowMissingColumns=True)
+    return whole.unionByName(flawed.withColumn("overlap", F.lit(True)), allowMissingColumns=True)
 
 
 def dissolved_counts(df: DataFrame, keys: Sequence[str], geom: str = "geom") -> DataFrame:
-    """How many keys dissolve to one part and how many to several."""
-    per_key = outline_rings(df, keys, geom).filter("signed_area > 0").groupBy(*keys).agg(F.count(F.lit(1)).alias("parts"))
-    return per_key.agg(F.count(F.lit(1)).alias("n_keys"), F.count_if(F.col("parts") == 1).alias("n_single"), F.count_if(F.col("parts") > 1).alias("n_multi"))
+    """How many keys dissolve to one part and how many to several; keys with overlaps are ``n_overlapping``."""
+    loops, flawed = _loops(df.select(F.struct(*keys).alias("__key"), geom), ["__key"], geom, DIGITS)
+    per_key = loops.filter("area > 0").groupBy("__key").agg(F.count(F.lit(1)).alias("parts"))
+    per_key = per_key.unionByName(flawed.withColumn("parts", F.lit(0).cast("long")))
+    return per_key.agg(
+        F.count_if(F.col("parts") > 0).alias("n_keys"), F.count_if(F.col("parts") == 1).alias("n_single"),
+        F.count_if(F.col("parts") > 1).alias("n_multi"), F.count_if(F.col("parts") == 0).alias("n_overlapping"),
+    )
 
 
 def bounds_rollup(df: DataFrame, keys: Sequence[str], geom: str = "geom", tolerance: float | None = None, feature: str | None = None) -> DataFrame:

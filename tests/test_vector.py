@@ -11,6 +11,7 @@ from hypothesis import strategies as st
 from headwater.functions import geometry as G
 from headwater.functions import projection
 from headwater.operators import vector as V
+from headwater.operators.noding import contract_chains
 
 
 def ring(*points):
@@ -112,7 +113,7 @@ def test_dissolve_with_holes_and_touching_corners(spark):
     assert [(p[0], p[1], p[2]) for p in got] == [(3, 1.0, 0), (3, 1.0, 0), (3, 38.0, 3)]
     assert all(p[1] == pytest.approx(p[3]) for p in got)
     assert V.dissolve(df, ["key"], single_part=True).count() == 0
-    assert tuple(V.dissolved_counts(df, ["key"]).first()) == (1, 0, 1)
+    assert tuple(V.dissolved_counts(df, ["key"]).first()) == (1, 0, 1, 0)
 
 
 @settings(max_examples=4, deadline=None)
@@ -141,6 +142,108 @@ def test_overlapping_input_is_reported(spark):
     assert not out["b"].overlap and out["b"].area == pytest.approx(1)
 
 
+def box(x, y, w, h):
+    return [ring((x, y), (x + w, y), (x + w, y + h), (x, y + h))]
+
+
+def test_borders_whose_vertices_do_not_line_up(spark):
+    """A square with two half squares beside it; a row of thin boxes along a slanted long edge."""
+    df = layer(spark, [box(0, 0, 2, 2), box(2, 0, 1, 1), box(2, 1, 1, 1)], key=["a"] * 3)
+    out = V.dissolve(df, ["key"], single_part=True).collect()
+    assert [(r.part_count, r.area, r.overlap) for r in out] == [(1, 6.0, False)]
+    assert V.dissolve(layer(spark, [box(0, 0, 1, 2), box(1, 0, 1, 1), box(1, 1, 1, 1)], key=[1] * 3), ["key"]).first().area == 4
+    cut = [k / 7 for k in range(8)]
+    low, high = np.array([(30 * k, 10 * k) for k in cut]), np.array([(30 * k - 4, 10 * k + 9) for k in cut])
+    thin = [[ring(tuple(low[i]), tuple(low[i + 1]), tuple(high[i + 1]), tuple(high[i]))] for i in range(7)]
+    below = [ring((0, 0), (20, -10), (30, 10))]
+    out = V.dissolve(layer(spark, [*thin, below], key=[1] * 8), ["key"]).collect()
+    assert [(r.part_count, r.hole_count, r.overlap) for r in out] == [(1, 0, False)]
+    assert out[0].area == pytest.approx(sum(abs(G.signed_area(p[0])) for p in [*thin, below]), abs=1e-4)
+
+
+@settings(max_examples=3, deadline=None)
+@given(st.integers(0, 10_000))
+def test_any_tiling_dissolves_to_its_outline(spark, seed):
+    """A rectangle cut into random rectangles, whose corners lie on the sides of others."""
+    rng = np.random.default_rng(seed)
+    tiles, work = [], [(0.0, 0.0, 64.0, 48.0)]
+    while work:
+        x, y, w, h = work.pop()
+        if len(tiles) + len(work) > 40 or min(w, h) < 2:
+            tiles.append((x, y, w, h))
+            continue
+        k = float(np.round(rng.uniform(0.2, 0.8), 3))
+        work += [(x, y, w * k, h), (x + w * k, y, w - w * k, h)] if w > h else [(x, y, w, h * k), (x, y + h * k, w, h - h * k)]
+    out = V.dissolve(layer(spark, [box(*t) for t in tiles], key=[1] * len(tiles)), ["key"]).collect()
+    assert [(r.part_count, r.hole_count) for r in out] == [(1, 0)]
+    assert out[0].area == pytest.approx(64 * 48, abs=1e-3)
+
+
+OVERLAPS = {
+    "corner": [box(0, 0, 2, 2), box(1, 1, 2, 2)],
+    "inside": [box(0, 0, 9, 9), box(3, 3, 1, 1)],
+    "inside, touching a side": [box(0, 0, 9, 9), box(3, 0, 1, 1)],
+    "inside, one corner on a side": [box(0, 0, 9, 9), [ring((3, 0), (5, 2), (3, 4), (1, 2))]],
+    "over an inner border": [box(0, 0, 4, 4), box(4, 0, 4, 4), box(3, 1, 2, 2)],
+    "along a part of a side": [box(0, 0, 4, 4), box(2, 0, 4, 4)],
+    "the same": [box(0, 0, 4, 4), box(0, 0, 4, 4)],
+    "across": [box(0, 3, 9, 1), box(3, 0, 1, 9)],
+    "in the middle of the smallest": [box(0, 0, 100, 100), box(10, 10, 0.01, 0.01)],
+}
+
+
+def test_overlaps_of_all_kinds_are_reported(spark):
+    polygons = [(name, p) for name, ps in OVERLAPS.items() for p in ps] + [("apart", box(0, 0, 2, 2)), ("apart", box(2, 2, 2, 2)), ("apart", box(7, 0, 1, 1))]
+    df = layer(spark, [p for _, p in polygons], key=[k for k, _ in polygons])
+    out = V.dissolve(df, ["key"]).collect()
+    assert {r.key for r in out if r.overlap} == set(OVERLAPS)
+    assert all(r.geom is None for r in out if r.overlap)
+    assert sorted(r.area for r in out if not r.overlap) == [1, 4, 4]
+    assert tuple(V.dissolved_counts(df, ["key"]).first()) == (1, 0, 1, len(OVERLAPS))
+
+
+def test_islands_in_holes_in_islands(spark):
+    """Frames inside each other, with one more part in the middle: every hole goes to the frame around it."""
+    frames = [[*box(k, k, 40 - 2 * k, 40 - 2 * k), box(k + 1, k + 1, 38 - 2 * k, 38 - 2 * k)[0][::-1]] for k in range(0, 18, 3)]
+    out = V.dissolve(layer(spark, [*frames, box(19, 19, 1, 1)], key=[1] * 7), ["key"]).orderBy("area").collect()
+    assert [(r.part_count, r.hole_count) for r in out] == [(7, 0)] + [(7, 1)] * 6
+    assert [r.area for r in out] == [1.0] + sorted((40 - 2 * k) ** 2 - (38 - 2 * k) ** 2 for k in range(0, 18, 3))
+
+
+def test_no_ring_is_joined_but_with_its_own_polygon(spark):
+    """Windings come from numbers and edges alone."""
+    loops = spark.createDataFrame([], "key int, loop long, rings array<struct<ring:binary,signed_area:double,px:double,py:double,xmin:double,ymin:double,xmax:double,ymax:double>>, area double")
+    labeled = spark.createDataFrame([], "key int, id long, a struct<x:double,y:double>, b struct<x:double,y:double>, ring long")
+    plan = V._windings(loops, labeled, ["key"])._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert joins
+    assert all("binary" not in line for line in joins)
+
+
+@pytest.mark.parametrize("batch", [3, 10_000])
+def test_chains_are_runs_of_links(spark, batch):
+    """Rings of many sizes in any order: chains cover all links, and following heads leads around each ring."""
+    rng = np.random.default_rng(batch)
+    links, at = {}, 0
+    for size in (1, 2, 3, 10, 200, 1000):
+        ids = at + rng.permutation(size)
+        links |= dict(zip(ids.tolist(), np.roll(ids, -1).tolist()))
+        at += size
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    rows = contract_chains(spark.createDataFrame(list(links.items()), "id long, next long")).collect()
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(r.id for r in rows) == sorted(links)
+    head, tail, least = {r.id: r.head for r in rows}, {r.id: r.next for r in rows if r.next is not None}, {r.head: r.least for r in rows}
+    for r in rows:
+        if head[r.id] != head[links[r.id]]:
+            assert tail[head[r.id]] == links[r.id] == head[links[r.id]]
+    for h in set(head.values()):
+        own = [i for i, x in head.items() if x == h]
+        assert least[h] == min(own)
+    if batch > 1216:
+        assert len(set(head.values())) <= 6 * 8
+
+
 def wavy_coverage():
     """A row of four polygons with wavy shared borders."""
     ys = np.linspace(0, 10, 41)
