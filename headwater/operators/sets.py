@@ -3,24 +3,32 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from headwater.sources.gpkg import read_layers
 
-def union_huc_tables(tables: dict[str, DataFrame], huc: str = "huc10", drop: Sequence[str] = ()) -> DataFrame:
-    """Same-named tables of many sources under one another, each row with its source key.
 
-    Columns a source lacks are NULL; ``drop`` leaves columns out (a geometry, say).
+def union_huc_tables(files: DataFrame, table: str, huc: str = "huc10", drop: Sequence[str] = ()) -> DataFrame:
+    """The same-named table of many GeoPackages (path) under one another, each row with the watershed code in its file's path.
+
+    Columns a file lacks are NULL; ``drop`` leaves columns out (a geometry, say). Raises if no file has the table.
     """
-    parts = [df.drop(*drop, huc).withColumn(huc, F.lit(key)) for key, df in tables.items()]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    layers = read_layers(files, [table])
+    if table not in layers:
+        raise ValueError(f"no file has the table {table}")
+    return layers[table].drop("source_path", *drop, huc).withColumnRenamed("huc", huc)
+
 
+def layer_append(files: DataFrame, inventory: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Per layer its rows in all GeoPackages (path), with the union of their columns.
 
-def layer_append(layers: dict[str, Sequence[DataFrame]]) -> dict[str, DataFrame]:
-    """Per layer id the rows of that layer in all projects, with the union of their columns."""
-    return {layer: reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts) for layer, parts in layers.items()}
+    ``inventory`` (``layer``), as :func:`~headwater.sources.files.dataset_inventory` lists it, says which layers; by default all
+    there are. The list of different layer names comes to the driver, rows do not.
+    """
+    wanted = None if inventory is None else [r[0] for r in inventory.select("layer").filter("layer IS NOT NULL").distinct().collect()]
+    return read_layers(files, wanted)
 
 
 def insert_ignore(target: DataFrame, new: DataFrame, keys: Sequence[str], order: str | None = None) -> DataFrame:

@@ -79,6 +79,16 @@ def box_polygon(xmin: Column, ymin: Column, xmax: Column, ymax: Column) -> Colum
     return build(xmin, ymin, xmax, ymax)
 
 
+def point(x: Column, y: Column) -> Column:
+    """WKB of a point."""
+
+    @F.arrow_udf(T.BinaryType())
+    def build(a: pa.Array, b: pa.Array) -> pa.Array:
+        return pa.array([None if None in r else G.point_wkb(*r) for r in zip(a.to_pylist(), b.to_pylist())], type=pa.binary())
+
+    return build(x, y)
+
+
 def as_wkt(geom: Column) -> Column:
     return _wkt(geom)
 
@@ -228,7 +238,7 @@ def _near(digits: int) -> float:
 
 
 #: Edges of mean length that a cell of the chain contraction is wide.
-CHAIN_CELL = 64
+CHAIN_CELL = 512
 
 
 def _ring_labels(outline: DataFrame, keys: Sequence[str], digits: int) -> tuple[DataFrame, DataFrame]:

@@ -70,8 +70,8 @@ SELECT project_id, pos, key, value FROM (
 CTES["v_tags"] = ("v_projects", "SELECT project_id, unnest(string_split(tags, '|')) AS tag FROM v_projects")
 
 # projects of the newer campaign, to be matched with older ones by watershed
-CTES["v_newer"] = ("v_projects", "SELECT * FROM v_projects WHERE CAST(project_id AS BIGINT) % 4 = 1 AND CAST(project_id AS BIGINT) % 10 < 3 AND CAST(owner_id AS BIGINT) % 6 <> 0")
-CTES["v_older"] = ("v_projects", "SELECT * FROM v_projects WHERE CAST(project_id AS BIGINT) % 4 = 0")
+CTES["v_newer"] = ("v_projects", "SELECT * FROM v_projects WHERE tags LIKE '2025CONUS%'")
+CTES["v_older"] = ("v_projects", "SELECT * FROM v_projects WHERE tags LIKE '2024CONUS%'")
 
 CTES["v_loaded"] = ("", """
 SELECT CAST(1700000000 + (c_custkey % 300) * 1000003 AS VARCHAR) AS huc,
@@ -119,7 +119,9 @@ CTES["v_boxes"] = ("", """
 SELECT c_custkey AS feature_id, c_custkey % 40 // 8 AS dissolve_key, c_custkey % 40 AS gx, c_custkey // 40 AS gy,
        (c_custkey % 40) * 100e0 AS xmin, (c_custkey // 40) * 100e0 AS ymin,
        (c_custkey % 40) * 100e0 + 100e0 AS xmax, (c_custkey // 40) * 100e0 + 100e0 AS ymax
-FROM customer WHERE c_custkey % 11 <> 5""")
+FROM customer""")
+# the squares with gaps, for outlines with holes and several parts
+CTES["v_tiles"] = ("v_boxes", "SELECT * FROM v_boxes WHERE feature_id % 11 <> 5")
 
 _FILES = "(SELECT 'outputs/metrics.gpkg' AS f, 0 AS k UNION ALL SELECT 'Project.rs.xml', 1 UNION ALL SELECT NULL, 2)"
 CTES["v_manifest_new"] = ("", f"""
@@ -266,12 +268,11 @@ class Tables:
 
     @cached_property
     def newer(self) -> DataFrame:
-        k = F.col("project_id").cast("bigint")
-        return self.projects.filter((k % 4 == 1) & (k % 10 < 3) & (F.col("owner_id").cast("bigint") % 6 != 0))
+        return self.projects.filter(F.col("tags").startswith("2025CONUS"))
 
     @cached_property
     def older(self) -> DataFrame:
-        return self.projects.filter(F.col("project_id").cast("bigint") % 4 == 0)
+        return self.projects.filter(F.col("tags").startswith("2024CONUS"))
 
     @cached_property
     def loaded(self) -> DataFrame:
@@ -349,12 +350,16 @@ class Tables:
     def boxes(self) -> DataFrame:
         c = F.col("c_custkey")
         gx, gy = c % 40, F.floor(c / 40).cast("bigint")
-        return self.raw("customer").filter(c % 11 != 5).select(
+        return self.raw("customer").select(
             c.alias("feature_id"), F.floor(gx / 8).cast("bigint").alias("dissolve_key"), gx.alias("gx"), gy.alias("gy"),
             (gx * 100.0).alias("xmin"), (gy * 100.0).alias("ymin"),
             (gx * 100.0 + 100.0).alias("xmax"), (gy * 100.0 + 100.0).alias("ymax"),
         )
 
+    @cached_property
+    def tiles(self) -> DataFrame:
+        return self.boxes.filter("feature_id % 11 <> 5")
+
     def _manifest(self, moved: bool, changed: bool) -> DataFrame:
         page = F.col("page_id")
         prefix = F.when(page % 23 == 2, "gone/").otherwise("") if moved else F.lit("")

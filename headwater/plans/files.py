@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from headwater.functions.columns import version_int
 from headwater.operators import projects as P
-from headwater.operators import quality
+from headwater.operators import quality, sets
 from headwater.operators.vector import as_wkt, feature_collections
 from headwater.plans.bindings import huc_from
 from headwater.plans.catalogue import _INDEX_SQL
@@ -76,6 +76,23 @@ def table_copy_all(t):
     return counts[0].unionByName(counts[1])
 
 
+@query("union_huc_tables", "v_boxes", f"SELECT feature_id AS fid, 'L' || gx AS level_path, {_SQUARE_HUC} AS huc10 FROM v_boxes")
+def union_huc_tables(t):
+    return sets.union_huc_tables(gpkg.list_files(t.spark, geopackages(t)), "dgos", drop=["geom"])
+
+
+@query(
+    "layer_append",
+    "v_boxes",
+    f"""SELECT 'dgos' AS layer, feature_id AS fid, 'L' || gx AS level_path, CAST(NULL AS DOUBLE) AS width, {_SQUARE_HUC} AS huc FROM v_boxes
+    UNION ALL SELECT 'dgo_desc', feature_id, NULL, gx / 4e0, {_SQUARE_HUC} FROM v_boxes""",
+)
+def layer_append(t):
+    merged = sets.layer_append(gpkg.list_files(t.spark, geopackages(t)))
+    rows = [df.drop("geom", "unused", "source_path").withColumn("layer", F.lit(name)) for name, df in merged.items()]
+    return rows[0].unionByName(rows[1], allowMissingColumns=True)
+
+
 # --- documents --------------------------------------------------------------------------------
 
 

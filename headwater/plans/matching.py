@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from headwater.operators import joins as J
-from headwater.plans.bindings import SIDES
+from headwater.plans.bindings import SIDES, huc_from
 from headwater.plans.registry import query
 
 _SIDE_COLS = ["n_obs", "first_obs", "width_sum", "veg_max", "flow_min", "impact_max", "dam_min"]
@@ -197,13 +197,12 @@ def pair_required_types(t):
 
 def _batches(t):
     k = F.col("c_custkey")
-    hucs = t.raw("customer").filter(k < 300).select((k % 3).alias("batch_id"), F.lit(1700000000).cast("bigint").alias("b"), k)
-    hucs = hucs.select("batch_id", (F.col("b") + F.col("c_custkey") * 1000003).cast("string").alias("huc10"))
+    hucs = t.raw("customer").select((k % 3).alias("batch_id"), huc_from(k).alias("huc10")).distinct()
     batches = t.raw("region").filter("r_regionkey < 3").select(F.col("r_regionkey").alias("batch_id"), F.col("r_name").alias("name"))
     return batches, hucs
 
 
-_BATCH_HUCS = "bh AS (SELECT c_custkey % 3 AS batch_id, CAST(1700000000 + c_custkey * 1000003 AS VARCHAR) AS huc10 FROM customer WHERE c_custkey < 300)"
+_BATCH_HUCS = "bh AS (SELECT DISTINCT c_custkey % 3 AS batch_id, CAST(1700000000 + (c_custkey % 300) * 1000003 AS VARCHAR) AS huc10 FROM customer)"
 
 
 @query(

@@ -44,6 +44,8 @@ def with_views(uses: str, body: str) -> str:
     if not views:
         return body
     stripped = body.lstrip()
+    if stripped[:15].upper() == "WITH RECURSIVE ":
+        return f"WITH RECURSIVE {views},\n{stripped[15:]}"
     if stripped[:5].upper() == "WITH ":
         return f"WITH {views},\n{stripped[5:]}"
     return f"WITH {views}\n{body}"

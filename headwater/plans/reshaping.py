@@ -297,45 +297,24 @@ def content_hash(t):
 @query(
     "artifact_status",
     "v_projects",
-    """WITH c AS (SELECT huc10, bool_or(bounds_id IS NOT NULL) AS b FROM v_projects WHERE project_type_id = 'context' AND CAST(project_id AS BIGINT) % 20 = 0 AND huc10 IS NOT NULL GROUP BY 1),
-    g AS (SELECT huc10, bool_or(bounds_id IS NOT NULL AND CAST(project_id AS BIGINT) % 3 = 0) AS b, bool_or(archived) AS m FROM v_projects WHERE project_type_id = 'metrics' AND CAST(project_id AS BIGINT) % 25 = 1 AND huc10 IS NOT NULL GROUP BY 1)
+    """WITH c AS (SELECT CAST(CAST(huc10 AS BIGINT) + CAST(owner_id AS BIGINT) * 100000000 AS VARCHAR) AS huc10, bool_or(bounds_id IS NOT NULL) AS b FROM v_projects WHERE project_type_id = 'context' AND huc10 IS NOT NULL GROUP BY 1),
+    g AS (SELECT CAST(CAST(huc10 AS BIGINT) + CAST(owner_id AS BIGINT) * 100000000 AS VARCHAR) AS huc10, bool_or(bounds_id IS NOT NULL AND CAST(project_id AS BIGINT) % 3 = 0) AS b, bool_or(archived) AS m FROM v_projects WHERE project_type_id = 'metrics' AND huc10 IS NOT NULL GROUP BY 1)
     SELECT coalesce(c.huc10, g.huc10) AS huc10, CASE WHEN c.huc10 IS NULL THEN 'missing_context' WHEN g.huc10 IS NULL THEN 'missing_target' WHEN NOT c.b THEN 'no_bounds' WHEN NOT g.m THEN 'inserted_no_meta' WHEN g.b THEN 'replaced' ELSE 'inserted' END AS status
     FROM c FULL JOIN g ON c.huc10 = g.huc10""",
 )
 def artifact_status(t):
     k = F.col("project_id").cast("bigint")
-    p = t.projects.withColumn("huc10", F.coalesce("huc10", F.lit("n/a")))
-    context = p.filter((F.col("project_type_id") == "context") & (k % 20 == 0)).groupBy("huc10").agg(F.bool_or(F.col("bounds_id").isNotNull()).alias("has_bounds"), F.lit(True).alias("has_meta"))
-    target = p.filter((F.col("project_type_id") == "metrics") & (k % 25 == 1)).groupBy("huc10").agg(F.bool_or(F.col("bounds_id").isNotNull() & (k % 3 == 0)).alias("has_bounds"), F.bool_or("archived").alias("has_meta"))
+    # a code for the projects of one owner in one watershed
+    code = (F.col("huc10").cast("bigint") + F.col("owner_id").cast("bigint") * 100000000).cast("string")
+    p = t.projects.withColumn("huc10", F.coalesce(code, F.lit("n/a")))
+    context = p.filter(F.col("project_type_id") == "context").groupBy("huc10").agg(F.bool_or(F.col("bounds_id").isNotNull()).alias("has_bounds"), F.lit(True).alias("has_meta"))
+    target = p.filter(F.col("project_type_id") == "metrics").groupBy("huc10").agg(F.bool_or(F.col("bounds_id").isNotNull() & (k % 3 == 0)).alias("has_bounds"), F.bool_or("archived").alias("has_meta"))
     return quality.artifact_status(context, target)
 
 
 # --- sets -------------------------------------------------------------------------------------
 
 
-@query(
-    "union_huc_tables",
-    "v_dgos",
-    """SELECT dgoid, level_path, fcode, CAST(NULL AS DOUBLE) AS seg_distance, 'a' AS huc10 FROM v_dgos WHERE fcode = 'PROMO' UNION ALL SELECT dgoid, level_path, NULL, seg_distance, 'b' FROM v_dgos WHERE fcode = 'SMALL'""",
-)
-def union_huc_tables(t):
-    a = t.dgos.filter("fcode = 'PROMO'").select("dgoid", "level_path", "fcode", "segment_area", "huc10")
-    b = t.dgos.filter("fcode = 'SMALL'").select("dgoid", "level_path", "seg_distance", "segment_area")
-    return sets.union_huc_tables({"a": a, "b": b}, drop=["segment_area"])
-
-
-@query(
-    "layer_append",
-    "v_dgos",
-    "SELECT 'segments' AS layer, dgoid, fcode, CAST(NULL AS DOUBLE) AS seg_distance FROM v_dgos WHERE dgoid % 2 = 0 UNION ALL SELECT 'segments', dgoid, NULL, seg_distance FROM v_dgos WHERE dgoid % 2 = 1 UNION ALL SELECT 'points', igoid, NULL, NULL FROM (SELECT min(dgoid) AS igoid FROM v_dgos GROUP BY huc10, level_path, seg_distance)",
-)
-def layer_append(t):
-    even = t.dgos.filter("dgoid % 2 = 0").select("dgoid", "fcode")
-    odd = t.dgos.filter("dgoid % 2 = 1").select("dgoid", "seg_distance")
-    merged = sets.layer_append({"segments": [even, odd], "points": [t.igos.select(F.col("igoid").alias("dgoid"))]})
-    return merged["segments"].withColumn("layer", F.lit("segments")).unionByName(merged["points"].withColumn("layer", F.lit("points")), allowMissingColumns=True)
-
-
 @query(
     "insert_ignore",
     "v_projects",

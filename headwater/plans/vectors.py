@@ -4,14 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from headwater.operators import segments
 from headwater.operators import vector as V
+from headwater.plans.bindings import SIDES
 from headwater.plans.registry import query
 from headwater.plans.reporting import rounded
 
 
-def squares(t):
+def squares(t, layer=None):
     box = V.box_polygon(*[F.col(c) for c in ("xmin", "ymin", "xmax", "ymax")])
-    return t.boxes.select("feature_id", "dissolve_key", "gx", "gy", box.alias("geom"))
+    return (t.boxes if layer is None else layer).select("feature_id", "dissolve_key", "gx", "gy", box.alias("geom"))
+
+
+def uneven(t):
+    """The tiles, a third of them as two halves, so that corners lie on the sides of neighbours."""
+    halved = F.col("feature_id") % 3 == 0
+    middle = (F.col("ymin") + F.col("ymax")) / 2
+    halves = F.when(halved, F.array(F.struct(F.col("ymin").alias("a"), middle.alias("b")), F.struct(middle.alias("a"), F.col("ymax").alias("b"))))
+    rows = t.tiles.withColumn("half", F.explode(F.coalesce(halves, F.array(F.struct(F.col("ymin").alias("a"), F.col("ymax").alias("b"))))))
+    return squares(t, rows.withColumns({"ymin": F.col("half.a"), "ymax": F.col("half.b")}))
 
 
 def near_squares(t):
@@ -89,27 +100,43 @@ def vec_reproject(t):
     return back.select("feature_id", *sides, comes_back.alias("comes_back"))
 
 
+#: Parts are the squares of one key that sides connect; of a part, squares + corners - sides count 1 less its holes.
+_PARTS = """WITH RECURSIVE near AS (SELECT a.feature_id AS u, b.feature_id AS v FROM v_tiles a JOIN v_tiles b ON a.dissolve_key = b.dissolve_key AND abs(a.gx - b.gx) + abs(a.gy - b.gy) <= 1),
+reach(u, v) AS (SELECT u, v FROM near UNION SELECT r.u, n.v FROM reach r JOIN near n ON r.v = n.u),
+part AS (SELECT t.*, p.part FROM v_tiles t JOIN (SELECT u, min(v) AS part FROM reach GROUP BY u) p ON p.u = t.feature_id),
+corners AS (SELECT part, count(*) AS n FROM (SELECT DISTINCT part, gx + dx AS x, gy + dy AS y FROM part, (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) AS d(dx, dy)) GROUP BY 1),
+sides AS (SELECT part, count(*) AS n, count(*) FILTER (times = 1) AS outer_sides FROM (SELECT part, x, y, d, count(*) AS times FROM (SELECT part, gx AS x, gy AS y, 'h' AS d FROM part UNION ALL SELECT part, gx, gy + 1, 'h' FROM part
+      UNION ALL SELECT part, gx, gy, 'v' FROM part UNION ALL SELECT part, gx + 1, gy, 'v' FROM part) GROUP BY ALL) GROUP BY 1),
+parts AS (SELECT dissolve_key, part, count(*) AS squares, min(xmin) AS xmin, min(ymin) AS ymin, max(xmax) AS xmax, max(ymax) AS ymax FROM part GROUP BY 1, 2)"""
+
+
 @query(
     "vec_dissolve",
-    "v_boxes",
-    "SELECT dissolve_key, count(*) * 10000e0 AS area, false AS overlap FROM v_boxes GROUP BY 1",
+    "v_tiles",
+    f"""{_PARTS} SELECT dissolve_key, count(*) OVER (PARTITION BY dissolve_key) AS part_count, CAST(1 - (squares + corners.n - sides.n) AS INTEGER) AS hole_count, squares * 10000e0 AS area, outer_sides * 100e0 AS perimeter,
+      xmin, ymin, xmax, ymax, false AS overlap FROM parts JOIN corners USING (part) JOIN sides USING (part)""",
 )
 def vec_dissolve(t):
-    parts = V.dissolve(squares(t), ["dissolve_key"])
-    return parts.groupBy("dissolve_key").agg(F.round(F.sum("area"), 4).alias("area"), F.bool_or("overlap").alias("overlap"))
+    parts = V.dissolve(uneven(t), ["dissolve_key"])
+    # what the geometry itself has, not what dissolve says of it
+    edges = V.explode_edges(parts.withColumn("part", F.xxhash64("geom")), ["part"])
+    length = F.hypot(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))
+    around = edges.groupBy("part").agg(F.round(F.sum(length), 4).alias("perimeter"))
+    measured = V.layer_measures(parts.drop("area").withColumn("part", F.xxhash64("geom"))).join(around, "part")
+    return measured.select("dissolve_key", "part_count", "hole_count", F.round("area", 4).alias("area"), "perimeter", "bbox.*", "overlap")
 
 
 @query(
     "vec_outline_edges",
-    "v_boxes",
-    """WITH e AS (SELECT dissolve_key, gx AS a, gy AS b, 'h' AS side FROM v_boxes UNION ALL SELECT dissolve_key, gx, gy + 1, 'h' FROM v_boxes
-      UNION ALL SELECT dissolve_key, gx, gy, 'v' FROM v_boxes UNION ALL SELECT dissolve_key, gx + 1, gy, 'v' FROM v_boxes),
+    "v_tiles",
+    """WITH e AS (SELECT dissolve_key, gx AS a, gy AS b, 'h' AS side FROM v_tiles UNION ALL SELECT dissolve_key, gx, gy + 1, 'h' FROM v_tiles
+      UNION ALL SELECT dissolve_key, gx, gy, 'v' FROM v_tiles UNION ALL SELECT dissolve_key, gx + 1, gy, 'v' FROM v_tiles),
     o AS (SELECT dissolve_key, a, b, side FROM e GROUP BY ALL HAVING count(*) = 1) SELECT dissolve_key, count(*) AS n_edges, count(*) * 100e0 AS perimeter FROM o GROUP BY 1""",
 )
 def vec_outline_edges(t):
     a, b = F.col("a"), F.col("b")
     length = F.abs(b["x"] - a["x"]) + F.abs(b["y"] - a["y"])
-    return V.outline_edges(squares(t), ["dissolve_key"]).groupBy("dissolve_key").agg(F.count(F.lit(1)).alias("n_edges"), F.sum(length).alias("perimeter"))
+    return V.outline_edges(squares(t, t.tiles), ["dissolve_key"]).groupBy("dissolve_key").agg(F.count(F.lit(1)).alias("n_edges"), F.sum(length).alias("perimeter"))
 
 
 @query(
@@ -127,28 +154,35 @@ def vec_simplify_coverage(t):
 
 @query(
     "vec_bounds_rollup",
-    "v_boxes",
-    """SELECT dissolve_key, count(*) * 10000e0 AS area, min(xmin) AS xmin, min(ymin) AS ymin, max(xmax) AS xmax, max(ymax) AS ymax, round(avg(xmin + 50), 4) AS centroid_x, round(avg(ymin + 50), 4) AS centroid_y FROM v_boxes GROUP BY 1""",
+    "v_tiles",
+    """SELECT dissolve_key, count(*) * 10000e0 AS area, min(xmin) AS xmin, min(ymin) AS ymin, max(xmax) AS xmax, max(ymax) AS ymax, round(avg(xmin + 50), 4) AS centroid_x, round(avg(ymin + 50), 4) AS centroid_y FROM v_tiles GROUP BY 1""",
 )
 def vec_bounds_rollup(t):
-    out = V.bounds_rollup(squares(t), ["dissolve_key"])
+    out = V.bounds_rollup(squares(t, t.tiles), ["dissolve_key"])
     totals = ["xmin", "ymin", "xmax", "ymax", "centroid_x", "centroid_y"]
     return rounded(out.groupBy("dissolve_key", *totals).agg(F.sum("area").alias("area")), 4, "area", "centroid_x", "centroid_y")
 
 
 @query(
     "rme_wide_dissolved",
-    "v_boxes",
-    """WITH g AS (SELECT gx // 2 AS level_path, gy // 2 AS seg_distance, count(*) AS n, count(*) FILTER ((gx + gy) % 2 = 0) AS diag, sum(feature_id) AS total FROM v_boxes GROUP BY 1, 2)
-    SELECT level_path, seg_distance, n * 10000e0 AS area, CAST(total AS BIGINT) AS metric, 'p' || level_path || '-' || seg_distance AS point FROM g WHERE NOT (n = 2 AND diag IN (0, 2))""",
+    f"v_tiles {' '.join(f'v_dgo_{s}' for s in SIDES)}",
+    f"""WITH g AS (SELECT gx // 2 AS level_path, gy // 2 AS seg_distance, count(*) AS n, count(*) FILTER ((gx + gy) % 2 = 0) AS diag, min(feature_id) AS dgoid, arg_min(dissolve_key, feature_id) AS fcode FROM v_tiles GROUP BY 1, 2)
+    SELECT level_path, seg_distance, dgoid, fcode, level_path * 200e0 + 100 AS longitude, seg_distance * 200e0 + 100 AS latitude, n * 10000e0 AS area, '1.2.3' AS rme_version,
+      n_obs, strftime(first_obs, '%Y-%m-%d') AS first_obs, width_sum, veg_max, flow_min, impact_max, dam_min
+    FROM g {' '.join(f'JOIN v_dgo_{s} USING (dgoid)' for s in SIDES)} WHERE NOT (n = 2 AND diag IN (0, 2))""",
 )
 def rme_wide_dissolved(t):
-    """Two by two blocks of squares as segments; blocks left with two diagonal squares are multi-part."""
+    """Two by two blocks of squares as segments of one place; blocks left with two diagonal squares are multi-part."""
     half = lambda c: F.floor(F.col(c) / 2).cast("bigint")
-    polygons = squares(t).select(half("gx").alias("level_path"), half("gy").alias("seg_distance"), "feature_id", "geom")
-    place = ["level_path", "seg_distance"]
-    points = polygons.groupBy(*place).agg(F.sum("feature_id").alias("metric")).withColumn("point", F.concat(F.lit("p"), F.col("level_path").cast("string"), F.lit("-"), F.col("seg_distance").cast("string")))
-    return V.dissolve(polygons, place, single_part=True).select(*place, F.round("area", 4).alias("area")).join(points, place)
+    dgos = uneven(t).select(F.col("feature_id").alias("dgoid"), half("gx").alias("level_path"), half("gy").alias("seg_distance"), F.col("dissolve_key").alias("fcode"), "geom")
+    places = t.tiles.select(half("gx").alias("level_path"), half("gy").alias("seg_distance")).distinct()
+    igos = places.withColumn("geom", V.point(F.col("level_path") * 200.0 + 100, F.col("seg_distance") * 200.0 + 100))
+    wide = segments.rme_wide_dissolved(dgos, [t.side(s) for s in SIDES], igos, {"rme_version": F.lit("1.2.3")})
+    # the area is that of the text
+    pairs = F.expr(r"transform(split(regexp_extract(dgo_geom, '[(][(](.*)[)][)]', 1), ', '), p -> transform(split(p, ' '), x -> CAST(x AS DOUBLE)))")
+    shoelace = F.expr("aggregate(sequence(1, size(ps) - 1), 0e0, (s, i) -> s + ps[i - 1][0] * ps[i][1] - ps[i][0] * ps[i - 1][1])")
+    wide = wide.withColumn("ps", pairs).withColumn("area", F.round(shoelace / 2, 4)).drop("ps", "dgo_geom")
+    return wide.withColumn("first_obs", F.date_format("first_obs", "yyyy-MM-dd"))
 
 
 @query(

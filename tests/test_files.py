@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from headwater.functions import geometry as G
+from headwater.operators import sets
 from headwater.operators.quality import list_files, schema_diff
 from headwater.session import scratch_dir
 from headwater.sources import files as S
@@ -44,6 +45,80 @@ def test_gpkg_scan(spark, tmp_path):
     assert pruned.rdd.getNumPartitions() == 1  # two small files share a task
 
 
+def watersheds(folder, n):
+    """Files of n watersheds, and a file that is no database for every other code asked for."""
+    for i in range(n):
+        database(folder / f"17060304{i:02d}" / f"m{i}.gpkg", [(k, None, k / 2, k, "Ab" if k % 2 else "ab") for k in range(1, 51)])
+
+
+def test_gpkg_opens_only_the_watersheds_wanted(spark, tmp_path):
+    watersheds(tmp_path, 8)
+    wanted = ["1706030401", "1706030403", "1706030406"]
+    # the other files cannot be opened, so reading any of them fails
+    for i in range(8):
+        if f"17060304{i:02d}" not in wanted:
+            (tmp_path / f"17060304{i:02d}" / f"m{i}.gpkg").write_bytes(b"no database at all, but long enough to be looked at" * 100)
+    df = gpkg.read_gpkg(spark, str(tmp_path), "dgos", hucs=wanted)
+    assert {(r.huc, r["count"]) for r in df.groupBy("huc").count().collect()} == {(h, 50) for h in wanted}
+    one, other = (gpkg.read_gpkg(spark, str(tmp_path), "dgos", schema=df.schema, hucs=[h]) for h in wanted[:2])
+    assert one.unionByName(other).filter("fid < 11").count() == 20
+    assert gpkg.read_gpkg(spark, str(tmp_path), "dgos", schema=df.schema, hucs=["1"]).count() == 0
+    with pytest.raises(PySparkException):
+        gpkg.read_gpkg(spark, str(tmp_path), "dgos", schema=df.schema).count()
+    with pytest.raises(ValueError, match="watersheds"):
+        gpkg.read_gpkg(spark, str(tmp_path), "dgos", hucs=["1"])
+
+
+def test_gpkg_tests_become_conditions(spark, tmp_path):
+    watersheds(tmp_path, 2)
+    everything = gpkg.read_gpkg(spark, str(tmp_path), "dgos")
+    tests = {"fid > 40": ("fid", ">", 40), "width <= 3": ("width", "<=", 3), "label = 'ab'": ("label", "=", "ab"), "label > 'Zz'": ("label", ">", "Zz"), "label IN ('Ab', 'x')": ("label", "in", ["Ab", "x"]), "FID IN (3, 4)": ("FID", "in", [3, 4])}
+    for text, test in tests.items():
+        got = gpkg.read_gpkg(spark, str(tmp_path), "dgos", schema=everything.schema, where=[test, ("n", "<", 48)])
+        assert sorted(map(str, got.collect())) == sorted(map(str, everything.filter(text).filter("n < 48").collect())), text
+    declared = {"fid": T.LongType(), "label": T.StringType()}
+    assert gpkg.row_condition(("FID", ">", 3), declared) == ('"FID" > ?', [3])
+    assert gpkg.row_condition(("label", "in", ["a", "b"]), declared) == ('"label" COLLATE BINARY IN (?, ?)', ["a", "b"])
+    # a number that a file holds as text compares by other rules
+    assert gpkg.row_condition(("label", "=", 3), declared) is None
+    assert gpkg.row_condition(("other", "=", 3), declared) is None
+
+
+def test_gpkg_load_wants_a_schema_for_many_files(spark, tmp_path):
+    for i in range(gpkg.LOOKED_AT + 2):
+        database(tmp_path / f"{i}.gpkg", [(i, None, 1.0, 1, "a")], ", late TEXT" if i > gpkg.LOOKED_AT else "")
+    gpkg.register(spark)
+    with pytest.raises((PySparkException, ValueError), match="schema"):
+        spark.read.format("gpkg").option("table", "dgos").load(str(tmp_path)).count()
+    df = gpkg.read_gpkg(spark, str(tmp_path), "dgos")
+    assert "late" in df.columns
+    assert df.count() == gpkg.LOOKED_AT + 2
+    assert spark.read.format("gpkg").option("table", "dgos").schema("late string, huc string").load(str(tmp_path)).count() == gpkg.LOOKED_AT + 2
+
+
+def test_all_layers_of_all_files_in_one_scan(spark, tmp_path):
+    watersheds(tmp_path, 3)
+    db = sqlite3.connect(tmp_path / "1706030401" / "m1.gpkg")
+    db.execute("CREATE TABLE extra (a INTEGER, b TEXT)")
+    db.execute("INSERT INTO extra VALUES (1, 'x')")
+    db.execute("ALTER TABLE dgos ADD COLUMN more REAL")
+    db.commit()
+    db.close()
+    files = gpkg.list_files(spark, str(tmp_path))
+    layers = sets.layer_append(files)
+    assert set(layers) == {"dgos", "extra"}
+    assert [tuple(r) for r in layers["extra"].drop("source_path").collect()] == [(1, "x", "1706030401")]
+    assert layers["dgos"].columns == ["fid", "geom", "width", "n", "label", "more", "source_path", "huc"]
+    assert layers["dgos"].groupBy("huc").count().count() == 3
+    inventory = spark.createDataFrame([("extra",), (None,), ("extra",), ("unknown",)], "layer string")
+    assert set(sets.layer_append(files, inventory)) == {"extra"}
+    rows = sets.union_huc_tables(files, "dgos", drop=["geom", "more"])
+    assert rows.columns == ["fid", "width", "n", "label", "huc10"]
+    assert rows.count() == 150
+    with pytest.raises(ValueError):
+        sets.union_huc_tables(files, "nothing")
+
+
 def test_gpkg_unknown_table_raises(spark, tmp_path):
     database(tmp_path / "a.gpkg", [])
     with pytest.raises((PySparkException, ValueError)):
