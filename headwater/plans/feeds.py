@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from headwater.functions.columns import to_ms
+from headwater.operators.vector import layer_measures
+from headwater.plans.files import _SQUARE_HUC, geopackages
 from headwater.plans.registry import query
 from headwater.session import scratch_dir
+from headwater.sources import gpkg
 from headwater.streaming import feeds
-from headwater.streaming.incremental import Paths, run_incremental
+from headwater.streaming.incremental import Paths, load_segments, run_incremental
 from headwater.streaming.incremental import query as run_sql
 
 EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
@@ -80,6 +83,33 @@ def incremental_driver(t):
     return good.unionByName(bad)
 
 
+@query(
+    "incremental_segments",
+    "v_projects v_boxes",
+    f"""WITH c AS (SELECT huc10, arg_max(project_id, created_on // 86400000 * 10000000 + rk) AS project_id FROM (SELECT *, row_number() OVER (ORDER BY project_id) AS rk FROM v_projects WHERE project_type_id = 'metrics' AND huc10 IS NOT NULL) GROUP BY 1),
+    s AS (SELECT {_SQUARE_HUC} AS huc, count(*) AS n, CAST(sum(feature_id) AS BIGINT) AS fids, sum(gx / 4e0) AS width, min('L' || gx) AS first_path, bool_or(gx = 3) AS bad FROM v_boxes GROUP BY 1)
+    SELECT c.huc10 AS huc, c.project_id, CASE WHEN s.huc IS NULL THEN 'no input' WHEN bad THEN 'third column' ELSE 'loaded' END AS status,
+      coalesce(CASE WHEN NOT bad THEN n END, 0) AS n, CASE WHEN NOT bad THEN fids END AS fids, CASE WHEN NOT bad THEN width END AS width, CASE WHEN NOT bad THEN first_path END AS first_path, CASE WHEN NOT bad THEN n * 10000e0 END AS area, true AS again_nothing
+    FROM c LEFT JOIN s ON s.huc = c.huc10""",
+)
+def incremental_segments(t):
+    """The segment load over GeoPackages, run twice; rejected watersheds are tried again, loaded ones are not opened."""
+    root = scratch_dir(t.spark, "segments")
+    paths = Paths(f"{root}/data", f"{root}/ledger", f"{root}/rejects")
+    catalogue = t.projects.filter("project_type_id = 'metrics' AND huc10 IS NOT NULL").select("project_id", F.col("huc10").alias("huc"), "created_on")
+    files = gpkg.list_files(t.spark, geopackages(t))
+    dictionary = [{"name": "fid", "dtype": "INTEGER"}, {"name": "WIDTH", "dtype": "REAL"}, {"name": "level_path", "dtype": "STRING"}, {"name": "not_there", "dtype": "STRING"}]
+    checks = {"third column": F.col("level_path") != "L3"}
+    run = lambda: load_segments(catalogue, files, "dgos", ["dgo_desc"], "fid", dictionary, checks, paths, tolerance=11.0)
+    run()
+    again = run()["loaded"] == 0
+    loaded = t.spark.read.schema("project_id string, fid bigint, WIDTH double, level_path string, not_there string, geom binary, huc string").parquet(paths.data)
+    area = layer_measures(loaded).filter("not_there IS NULL").groupBy("huc", "project_id")
+    good = area.agg(F.lit("loaded").alias("status"), F.count(F.lit(1)).alias("n"), F.sum("fid").alias("fids"), F.sum("WIDTH").alias("width"), F.min("level_path").alias("first_path"), F.round(F.sum("area"), 4).alias("area"))
+    bad = t.spark.read.parquet(paths.rejects).select("huc", "project_id", F.col("reason").alias("status"), F.lit(0).alias("n"))
+    return good.unionByName(bad, allowMissingColumns=True).withColumn("again_nothing", F.lit(again))
+
+
 @query("sql_entry", "v_projects", "SELECT project_type_id, count(*) AS n, max(total_size) AS largest FROM v_projects WHERE owner_id = '3' AND created_on >= 900000000000 GROUP BY 1")
 def sql_entry(t):
     text = "SELECT project_type_id, count(*) AS n, max(total_size) AS largest FROM {projects} WHERE owner_id = :owner AND created_on >= :since GROUP BY 1"

@@ -15,7 +15,7 @@ from headwater.session import scratch_dir
 from headwater.sources import files as S
 from headwater.sources import gpkg, sinks
 from headwater.streaming import feeds
-from headwater.streaming.incremental import Paths, query, run_incremental
+from headwater.streaming.incremental import Paths, load_segments, query, run_incremental
 
 
 def database(path, rows, extra=""):
@@ -222,6 +222,26 @@ def test_schema_diff_finds_uneven_columns(spark):
     assert got == {("id", "int64"): (1, 2), ("id", "string"): (1, 2), ("v", "int64"): (1, 2)}
 
 
+def test_segment_load_opens_only_what_is_missing(spark, tmp_path):
+    watersheds(tmp_path / "in", 4)
+    root = scratch_dir(spark, "load")
+    paths = Paths(f"{root}/data", f"{root}/ledger", f"{root}/rejects")
+    files = gpkg.list_files(spark, str(tmp_path / "in"))
+    dictionary = [{"name": "fid", "dtype": "INTEGER"}, {"name": "Width", "dtype": "REAL"}, {"name": "gone", "dtype": "STRING"}]
+    load = lambda hucs, created: load_segments(spark.createDataFrame([(f"p{h}", h, created) for h in hucs], "project_id string, huc string, created_on long"), files, "dgos", ["none"], "fid", dictionary, {"wide": F.col("width") < 30}, paths)
+    assert load(["1706030400", "1706030401", "1799999999"], 5000) == {"loaded": 2, "rejected": 1}
+    rows = spark.read.schema("project_id string, fid bigint, Width double, gone string, geom binary, huc string").parquet(paths.data)
+    assert rows.groupBy("huc", "project_id").count().orderBy("huc").collect() == [("1706030400", "p1706030400", 50), ("1706030401", "p1706030401", 50)]
+    assert rows.agg(F.sum("Width")).first()[0] == 2 * sum(k / 2 for k in range(1, 51))
+    # what is loaded, or not in the catalogue, is not opened: it could not be
+    for i in (0, 1, 3):
+        (tmp_path / "in" / f"17060304{i:02d}" / f"m{i}.gpkg").write_bytes(b"no database at all, but long enough to be looked at" * 100)
+    assert load(["1706030400", "1706030401"], 5000) == {"loaded": 0, "rejected": 0}
+    assert load(["1706030400", "1706030402"], 5000) == {"loaded": 1, "rejected": 0}
+    with pytest.raises(PySparkException):
+        load(["1706030400"], 9000)
+
+
 # --- incremental ------------------------------------------------------------------------------
 
 
