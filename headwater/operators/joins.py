@@ -8,6 +8,7 @@ from combinable aggregates that are joined back; lists of a whole group are neve
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -295,6 +296,13 @@ def merge_remap(parents: DataFrame, children: dict[str, DataFrame], key: str, hu
     return renewed, moved
 
 
+def orphan_counts(parents: DataFrame, children: dict[str, DataFrame], key: str, huc: str = "huc10") -> DataFrame:
+    """(child, ``huc``, orphans): rows of child tables that :func:`merge_remap` drops, as their source has no such parent."""
+    known = parents.select(huc, key).distinct()
+    counts = [child.join(known, [huc, key], "left_anti").groupBy(huc).agg(F.count(F.lit(1)).alias("orphans")).select(F.lit(name).alias("child"), huc, "orphans") for name, child in sorted(children.items())]
+    return reduce(lambda a, b: a.unionByName(b), counts)
+
+
 def sync_compare(local: DataFrame, remote: DataFrame, key: str, fields: Sequence[str], meta: str = "meta") -> DataFrame:
     """Per key: same, update (a text field or the metadata differs), create, or remote_only.
 

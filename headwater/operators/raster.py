@@ -81,7 +81,11 @@ def nest_bins(binned: DataFrame, label: str) -> DataFrame:
 
 
 def context_summary(docs: DataFrame, elevation: DataFrame, vegetation: DataFrame) -> DataFrame:
-    """Documents (one per watershed, ``raster_id``) with both histograms attached as structs."""
+    """Documents (one per watershed, ``raster_id``) with both histograms attached as structs.
+
+    ``project_id`` and ``model_version`` (as text) say where a document comes from; ``docs`` have to have them.
+    """
+    docs = docs.withColumn("project_id", F.col("project_id")).withColumn("model_version", F.col("model_version").cast("string"))
 
     def nested(binned: DataFrame, label: str, name: str) -> DataFrame:
         rows = nest_bins(binned, label)

@@ -1,12 +1,14 @@
-"""Unions and insert-if-absent."""
+"""Unions, merged databases and insert-if-absent."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from headwater.operators.joins import merge_remap, orphan_counts
 from headwater.sources.gpkg import read_layers
 
 
@@ -31,6 +33,23 @@ def layer_append(files: DataFrame, inventory: DataFrame | None = None) -> dict[s
     return read_layers(files, wanted)
 
 
+def merge_databases(files: DataFrame, parent: str, child_pattern: str, key: str) -> tuple[DataFrame, dict[str, DataFrame], DataFrame]:
+    """Many GeoPackages (path) as one: parents under new ids, child tables that point at these, and the counts of orphans.
+
+    Child tables are those whose whole name matches ``child_pattern``, ignoring case, and that have the key; they are found in the
+    files. Each file is opened once, and its watershed code is ``huc``.
+    """
+    layers = read_layers(files)
+    if parent not in layers:
+        raise ValueError(f"no file has the table {parent}")
+    rows = {name: df.drop("source_path") for name, df in layers.items()}
+    found = {n: df for n, df in rows.items() if n != parent and re.fullmatch(child_pattern, n, re.IGNORECASE) and key.lower() in map(str.lower, df.columns)}
+    children = {n: df.withColumnsRenamed({c: key for c in df.columns if c.lower() == key.lower()}) for n, df in found.items()}
+    renewed, moved = merge_remap(rows[parent], children, key, "huc")
+    none = files.sparkSession.createDataFrame([], "child string, huc string, orphans long")
+    return renewed, moved, orphan_counts(rows[parent], children, key, "huc") if children else none
+
+
 def insert_ignore(target: DataFrame, new: DataFrame, keys: Sequence[str], order: str | None = None) -> DataFrame:
     """The rows of ``new`` to append: key not in ``target``, first of its key within ``new``.
 

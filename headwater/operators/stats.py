@@ -8,7 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from headwater.functions.columns import day_floor, ms_text
+from headwater.functions.columns import day_floor, is_blank, ms_text
+from headwater.session import cut_lineage
 
 STATE_METRIC = 2
 OWNER_METRIC = 1
@@ -185,16 +186,17 @@ def meta_stats(projects: DataFrame, meta: DataFrame, key: str) -> DataFrame:
     )
 
 
+# fixed values: the price list of the task service
 CPU_PRICE = 0.04048  # per 1024 units and hour
 MEMORY_PRICE = 0.004445  # per 1000 MB and hour
 
 
-def task_cost(jobs: DataFrame, tasks: DataFrame, script_id: str) -> DataFrame:
-    """Seconds and price of every task of one kind of job."""
+def task_cost(jobs: DataFrame, tasks: DataFrame, script_id: str, def_id: str) -> DataFrame:
+    """Seconds and price of every task of the jobs of one script and task definition."""
     millis = F.col("ended_on") - F.col("started_on")
     rate = F.col("cpu") / 1024.0 * CPU_PRICE + F.col("memory") / 1000.0 * MEMORY_PRICE
     return (
-        tasks.join(jobs.filter(F.col("script_id") == script_id).select("jid", "job_name"), "jid")
+        tasks.join(jobs.filter((F.col("script_id") == script_id) & (F.col("task_def_id") == def_id)).select("jid", "job_name"), "jid")
         .withColumn("duration_s", F.round(millis / 1000.0, 0))
         .withColumn("estimated_cost", F.round(rate * (millis / 3600000.0), 2))
     )
@@ -224,13 +226,16 @@ def size_stats(projects: DataFrame) -> DataFrame:
     return both.withColumn("mean_bytes", F.try_divide("bytes", "n_sized")).drop("n_sized")
 
 
-def group_counts(df: DataFrame, dims: dict[str, int | None]) -> DataFrame:
+def group_counts(df: DataFrame, dims: dict[str, int | None], unknown: dict[str, str] | None = None) -> DataFrame:
     """Counts per value of several dimensions, the ``k`` largest of each (``None`` = all).
 
-    One pass: every row is expanded to its (dimension, value) pairs and map-side combined.
+    ``unknown`` names what NULL and blank values of a dimension count as; elsewhere NULL is a value of its own. One scan: every row is
+    expanded to its (dimension, value) pairs and map-side combined, and the counts are written before the longest are picked.
     """
-    pairs = F.array(*[F.struct(F.lit(d).alias("dim"), F.col(d).cast("string").alias("value")) for d in dims])
-    counts = df.select(F.explode(pairs).alias("p")).groupBy("p.dim", "p.value").agg(F.count(F.lit(1)).alias("n"))
+    unknown = unknown or {}
+    value = lambda d: F.when(is_blank(F.col(d)), unknown[d]).otherwise(F.col(d)) if d in unknown else F.col(d)
+    pairs = F.array(*[F.struct(F.lit(d).alias("dim"), value(d).cast("string").alias("value")) for d in dims])
+    counts = cut_lineage(df.select(F.explode(pairs).alias("p")).groupBy("p.dim", "p.value").agg(F.count(F.lit(1)).alias("n")), "counts")
     limits = {dim: k for dim, k in dims.items() if k is not None}
     unlimited = counts.filter(F.col("dim").isin([d for d in dims if d not in limits]))
     if not limits:

@@ -150,7 +150,7 @@ CTES["v_watersheds"] = ("", "SELECT n_nationkey AS watershed_id, n_name AS water
 CTES["v_visit_projects"] = ("", """
 SELECT o_orderkey AS visit_id, o_orderkey % 3 AS project_type, CASE WHEN o_orderkey % 5 <> 0 THEN 'g' || o_orderkey END AS guid FROM orders""")
 
-CTES["v_jobs"] = ("", "SELECT o_orderkey AS jid, 'job ' || o_orderkey AS job_name, CASE WHEN o_orderkey % 4 = 2 THEN 'valley' ELSE 'other' END AS script_id FROM orders")
+CTES["v_jobs"] = ("", "SELECT o_orderkey AS jid, 'job ' || o_orderkey AS job_name, CASE WHEN o_orderkey % 4 = 2 THEN 'valley' ELSE 'other' END AS script_id, o_orderpriority AS task_def_id FROM orders")
 CTES["v_tasks"] = ("", """
 SELECT l_orderkey AS jid, l_linenumber AS task_no, l_partkey AS task_ref, CAST(l_quantity * 64 AS BIGINT) AS cpu, l_partkey % 30 * 512 AS memory,
        epoch_ms(l_shipdate) AS started_on, epoch_ms(l_shipdate) + CAST(l_quantity * 60250 AS BIGINT) AS ended_on FROM lineitem""")
@@ -425,8 +425,9 @@ class Tables:
     def jobs(self) -> DataFrame:
         k = F.col("o_orderkey")
         return self.raw("orders").select(
-            k.alias("jid"), F.concat(F.lit("job "), _text(k)).alias("job_name"), F.when(k % 4 == 2, "valley").otherwise("other").alias("script_id")
-        )
+            k.alias("jid"), F.concat(F.lit("job "), _text(k)).alias("job_name"), F.when(k % 4 == 2, "valley").otherwise("other").alias("script_id"),
+            F.col("o_orderpriority").alias("task_def_id"),
+        )
 
     @cached_property
     def tasks(self) -> DataFrame:

@@ -26,8 +26,11 @@ from headwater.sources import gpkg, sinks
 # --- GeoPackages ------------------------------------------------------------------------------
 
 
-def geopackages(t) -> str:
-    """Folder of GeoPackages with the squares and a metrics table, one per watershed and Arrow batch."""
+def geopackages(t, orphans: bool = False) -> str:
+    """Folder of GeoPackages with the squares and a metrics table, one per watershed and Arrow batch.
+
+    ``orphans``: every tenth square has a second metrics row, for a square that is not there.
+    """
     folder = scratch_dir(t.spark, "gpkg")
     rows = squares(t).select(huc_from(F.col("feature_id")).alias("huc"), "feature_id", "gx", "geom").hint("rebalance", "huc")
 
@@ -47,6 +50,8 @@ def geopackages(t) -> str:
                 db.execute("CREATE TABLE dgo_desc (fid INTEGER PRIMARY KEY, width DOUBLE, unused TEXT)")
                 db.executemany("INSERT INTO dgos VALUES (?, ?, ?)", [(m["feature_id"], gpkg.add_header(m["geom"], 5070), f"L{m['gx']}") for m in members])
                 db.executemany("INSERT INTO dgo_desc VALUES (?, ?, ?)", [(m["feature_id"], m["gx"] / 4, "x") for m in members])
+                if orphans:
+                    db.executemany("INSERT INTO dgo_desc VALUES (?, ?, ?)", [(-1 - m["feature_id"], 0, "x") for m in members if m["feature_id"] % 10 == 0])
                 db.commit()
                 names.append(f"{huc}/metrics-t{task}-b{number}.gpkg")
                 contents.append(db.serialize())
@@ -93,6 +98,19 @@ def layer_append(t):
     return rows[0].unionByName(rows[1], allowMissingColumns=True)
 
 
+@query(
+    "merge_databases",
+    "v_boxes",
+    f"""WITH b AS (SELECT feature_id, gx, {_SQUARE_HUC} AS huc FROM v_boxes)
+    SELECT 'row' AS kind, row_number() OVER (ORDER BY huc, feature_id) AS fid, huc, gx / 4e0 AS width, CAST(NULL AS BIGINT) AS orphans FROM b
+    UNION ALL SELECT 'dgo_desc', NULL, huc, NULL, count(*) FROM b WHERE feature_id % 10 = 0 GROUP BY huc""",
+)
+def merge_databases(t):
+    _, children, orphans = sets.merge_databases(gpkg.list_files(t.spark, geopackages(t, orphans=True)), "dgos", "dgo_.*", "fid")
+    rows = children["dgo_desc"].select(F.lit("row").alias("kind"), "fid", "huc", "width")
+    return rows.unionByName(orphans.withColumnRenamed("child", "kind"), allowMissingColumns=True)
+
+
 # --- documents --------------------------------------------------------------------------------
 
 

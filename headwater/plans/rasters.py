@@ -50,16 +50,19 @@ def ras_bin_categorical(t):
 
 @query(
     "ras_context_summary",
-    "v_valid v_headers",
-    f"""WITH {_BINS}, {_CATS} SELECT hd.raster_id, 'h' || hd.raster_id AS huc, b.lo AS dem_min, b.n AS dem_count,
+    "v_valid v_headers v_projects",
+    f"""WITH {_BINS}, {_CATS}, pr AS (SELECT CAST(owner_id AS BIGINT) % 8 AS raster_id, max(project_id) AS project_id, arg_max(model_version, project_id) AS model_version FROM v_projects WHERE project_type_id = 'context' GROUP BY 1)
+    SELECT hd.raster_id, 'h' || hd.raster_id AS huc, pr.project_id, pr.model_version, b.lo AS dem_min, b.n AS dem_count,
       (SELECT string_agg(e.i * 1000 || ':' || coalesce(cell_count, 0), ',' ORDER BY e.i) FROM e LEFT JOIN h ON e.raster_id = h.raster_id AND e.i = h.i WHERE e.raster_id = hd.raster_id) AS dem,
-      (SELECT string_agg(category || ':' || cell_count, ',' ORDER BY category) FROM cnt WHERE cnt.raster_id = hd.raster_id) AS veg FROM v_headers hd JOIN b ON b.raster_id = hd.raster_id""",
+      (SELECT string_agg(category || ':' || cell_count, ',' ORDER BY category) FROM cnt WHERE cnt.raster_id = hd.raster_id) AS veg FROM v_headers hd JOIN b ON b.raster_id = hd.raster_id LEFT JOIN pr ON pr.raster_id = hd.raster_id""",
 )
 def ras_context_summary(t):
-    docs = t.headers.select("raster_id", F.concat(F.lit("h"), F.col("raster_id").cast("string")).alias("huc"))
+    p = t.projects.filter("project_type_id = 'context'").groupBy((F.col("owner_id").cast("bigint") % 8).alias("raster_id"))
+    source = p.agg(F.max("project_id").alias("project_id"), F.max_by("model_version", "project_id").alias("model_version"))
+    docs = t.headers.join(source, "raster_id", "left").select("project_id", "model_version", "raster_id", F.concat(F.lit("h"), F.col("raster_id").cast("string")).alias("huc"))
     out = R.context_summary(docs, R.bin_continuous(valid_cells(t), 1000), R.bin_categorical(categories(t)))
     shown = lambda c: F.array_join(F.transform(c, lambda x: F.concat_ws(":", x["bin"].cast("bigint").cast("string"), x["cell_count"].cast("string"))), ",")
-    return out.select("raster_id", "huc", F.col("dem_bins.min").alias("dem_min"), F.col("dem_bins.value_count").alias("dem_count"), shown("dem_bins.bins").alias("dem"), shown("existing_veg_bins.bins").alias("veg"))
+    return out.select("raster_id", "huc", "project_id", "model_version", F.col("dem_bins.min").alias("dem_min"), F.col("dem_bins.value_count").alias("dem_count"), shown("dem_bins.bins").alias("dem"), shown("existing_veg_bins.bins").alias("veg"))
 
 
 @query(

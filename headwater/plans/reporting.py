@@ -129,10 +129,10 @@ def proc_time_stats(t):
     "v_jobs v_tasks",
     """SELECT jid, task_no, task_ref, job_name, cpu, memory, round((ended_on - started_on) / 1000.0e0, 0) AS duration_s,
       round((cpu / 1024.0e0 * 0.04048e0 + memory / 1000.0e0 * 0.004445e0) * ((ended_on - started_on) / 3600000.0e0), 2) AS estimated_cost
-    FROM v_tasks JOIN v_jobs USING (jid) WHERE script_id = 'valley'""",
+    FROM v_tasks JOIN v_jobs USING (jid) WHERE script_id = 'valley' AND task_def_id = '1-URGENT'""",
 )
 def task_cost(t):
-    return stats.task_cost(t.jobs, t.tasks, "valley").select("jid", "task_no", "task_ref", "job_name", "cpu", "memory", "duration_s", "estimated_cost")
+    return stats.task_cost(t.jobs, t.tasks, "valley", "1-URGENT").select("jid", "task_no", "task_ref", "job_name", "cpu", "memory", "duration_s", "estimated_cost")
 
 
 @query(
@@ -148,7 +148,8 @@ def size_stats(t):
 @query(
     "group_counts_topk",
     "v_projects",
-    """WITH m AS (SELECT * FROM v_projects WHERE bounds_id IS NULL OR trim(bounds_id) = ''),
+    """WITH m AS (SELECT CASE WHEN trim(coalesce(owner_name, '')) = '' THEN 'UNKNOWN_OWNER' ELSE owner_name END AS owner_name, coalesce(project_type_id, 'UNKNOWN_TYPE') AS project_type_id, coalesce(huc10, 'UNKNOWN_HUC') AS huc10
+      FROM v_projects WHERE bounds_id IS NULL OR trim(bounds_id) = ''),
     c AS (SELECT 'owner_name' AS dim, owner_name AS value, count(*) AS n FROM m GROUP BY 2 UNION ALL SELECT 'project_type_id', project_type_id, count(*) FROM m GROUP BY 2
       UNION ALL SELECT 'huc10', huc10, count(*) FROM m GROUP BY 2),
     r AS (SELECT *, row_number() OVER (PARTITION BY dim ORDER BY n DESC, value NULLS FIRST) AS rn FROM c)
@@ -156,7 +157,8 @@ def size_stats(t):
 )
 def group_counts_topk(t):
     missing = t.projects.filter("bounds_id IS NULL OR trim(bounds_id) = ''")
-    return stats.group_counts(missing, {"owner_name": 20, "project_type_id": None, "huc10": 30})
+    unknown = {"owner_name": "UNKNOWN_OWNER", "project_type_id": "UNKNOWN_TYPE", "huc10": "UNKNOWN_HUC"}
+    return stats.group_counts(missing, {"owner_name": 20, "project_type_id": None, "huc10": 30}, unknown)
 
 
 @query(
