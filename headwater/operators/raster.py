@@ -155,16 +155,26 @@ def overviews(cells: DataFrame, headers: DataFrame, blocksize: int, how: str = "
 
     NEAREST keeps the first cell of each block and needs no shuffle; AVERAGE takes the mean of the
     block's valid cells. The factors of a raster follow from its own size.
+
+    For AVERAGE cells are dealt once, by the blocks of their raster's largest factor. Blocks of smaller factors lie inside these, so
+    sums and counts of factor 2 are made where the cells are, and those of all other factors from these, without another exchange.
     """
     side = F.least("n_rows", "n_cols")
     steps = F.filter(F.transform(F.sequence(F.lit(1), F.lit(30)), lambda k: F.pow(F.lit(2), k).cast("int")), lambda f: F.floor(side / f) > blocksize)
-    leveled = cells.join(headers.select("raster_id", steps.alias("factors")), "raster_id").withColumn("factor", F.explode("factors")).drop("factors")
+    sized = cells.join(headers.select("raster_id", steps.alias("factors")).filter(F.size("factors") > 0), "raster_id")
+    up = lambda c, f: F.floor(F.col(c) / f).cast("bigint")
     factor = F.col("factor")
-    up = lambda c: F.floor(F.col(c) / factor).cast("bigint").alias(c)
     if how == "NEAREST":
-        return leveled.filter((F.col("r") % factor == 0) & (F.col("c") % factor == 0)).select("raster_id", "factor", up("r"), up("c"), "value")
+        leveled = sized.withColumn("factor", F.explode("factors")).filter((F.col("r") % factor == 0) & (F.col("c") % factor == 0))
+        return leveled.select("raster_id", "factor", up("r", factor).alias("r"), up("c", factor).alias("c"), "value")
     if how == "AVERAGE":
-        return leveled.groupBy("raster_id", "factor", up("r"), up("c")).agg(F.avg("value").alias("value"))
+        largest = F.array_max("factors")
+        dealt = sized.withColumn("block_r", up("r", largest)).withColumn("block_c", up("c", largest)).repartition("raster_id", "block_r", "block_c")
+        block = ["raster_id", "block_r", "block_c"]
+        halves = dealt.groupBy(*block, "factors", up("r", 2).alias("r"), up("c", 2).alias("c")).agg(F.sum("value").alias("total"), F.count("value").alias("n"))
+        leveled = halves.withColumn("factor", F.explode("factors"))
+        sums = leveled.groupBy(*block, "factor", up("r", factor / 2).alias("r"), up("c", factor / 2).alias("c")).agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+        return sums.select("raster_id", "factor", "r", "c", F.try_divide("total", "n").alias("value"))
     raise ValueError(f"unknown resampling: {how}")
 
 

@@ -60,6 +60,25 @@ def test_epochs_without_repeats_need_no_shuffle(spark):
     assert plan(reshape.epoch_table(df)).count("Exchange") == 1
 
 
+def test_cells_cross_one_exchange_for_all_averages(spark):
+    """Ragged edges, several factors: the averages are those of the cells, and cells are dealt once."""
+    cells = spark.range(37 * 23).select((F.col("id") % 2).cast("int").alias("raster_id"), F.floor(F.col("id") / 23).alias("r"), (F.col("id") % 23).alias("c"), (F.col("id") * 7 % 31).cast("double").alias("value"))
+    cells = cells.unionByName(cells.withColumn("raster_id", F.lit(3)).limit(50))
+    head = spark.createDataFrame([(0, 37, 23), (1, 90, 99), (3, 5, 5)], "raster_id int, n_rows int, n_cols int")
+    out = R.overviews(cells, head, 2, "AVERAGE")
+    rows, want = cells.collect(), {}
+    for raster, factors in ((0, R.overview_levels(37, 23, 2)), (1, R.overview_levels(90, 99, 2)), (3, R.overview_levels(5, 5, 2))):
+        for f in factors:
+            for x in rows:
+                if x.raster_id == raster:
+                    want.setdefault((raster, f, x.r // f, x.c // f), []).append(x.value)
+    assert {(x.raster_id, x.factor, x.r, x.c): round(x.value, 9) for x in out.collect()} == {k: round(sum(v) / len(v), 9) for k, v in want.items()}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    found = plan(R.overviews(cells, head, 2, "AVERAGE"))
+    spark.conf.unset("spark.sql.adaptive.enabled")
+    assert found.count("Exchange hashpartitioning") == 1
+
+
 def test_nearest_overviews_need_no_shuffle(spark):
     cells = spark.createDataFrame([(1, 0, 0, 1.0)], "raster_id int, r int, c int, value double")
     head = spark.createDataFrame([(1, 512, 512)], "raster_id int, n_rows int, n_cols int").hint("broadcast")
