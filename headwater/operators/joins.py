@@ -68,9 +68,13 @@ def missing_or_stale_semi(catalogue: DataFrame, loaded: DataFrame, metrics: Data
     return missing_or_stale(catalogue, loaded.join(metrics.select("project_id"), "project_id", "left_semi"))
 
 
-def missing_or_newer(projects: DataFrame, loaded: DataFrame) -> DataFrame:
-    """Projects whose watershed is not loaded, or was loaded from an older project."""
-    ours = projects.select("project_id", "huc", "created_on")
+def missing_or_newer(projects: DataFrame, loaded: DataFrame, type_id: str | None = None) -> DataFrame:
+    """Projects whose watershed is not loaded, or was loaded from an older project.
+
+    With ``type_id`` only projects of that type with a known watershed are looked at; a load may come from any type.
+    """
+    ours = projects if type_id is None else projects.filter((F.col("project_type_id") == type_id) & F.col("huc").isNotNull())
+    ours = ours.select("project_id", "huc", "created_on")
     theirs = loaded.select("huc", F.col("project_id").alias("loaded_project_id"))
     origin = projects.select(F.col("project_id").alias("loaded_project_id"), F.col("created_on").alias("loaded_created_on"))
     dated = theirs.join(origin, "loaded_project_id", "left").withColumn("loaded_huc", F.col("huc"))
@@ -129,10 +133,11 @@ def match_lists(target: DataFrame, huc: str = "huc10", chunk: int = 1000) -> Dat
     return chunked_lists(target.filter(~C.is_blank(F.col(huc))), [huc], "project_id", ["name", "bounds_id", "created_on", "updated_on"], "matches", chunk)
 
 
-def match_summary(matches: DataFrame) -> DataFrame:
-    """Totals of a match run."""
+def match_summary(matches: DataFrame, target: DataFrame, huc: str = "huc10") -> DataFrame:
+    """Totals of a match run: of the sources, of their watersheds, and of the targets looked at and matched."""
     count = F.col("match_count")
-    return matches.agg(
+    needed = matches.filter(~C.is_blank(F.col(huc))).select(huc).distinct()
+    totals = matches.agg(
         F.count(F.lit(1)).alias("sources"),
         F.count_if(F.col("huc10").isNull()).alias("without_huc"),
         F.count_if(count > 0).alias("matched"),
@@ -141,6 +146,8 @@ def match_summary(matches: DataFrame) -> DataFrame:
         F.sum("match_count").alias("pairs"),
         F.max("match_count").alias("max_matches"),
     )
+    rows = lambda df: df.agg(F.count(F.lit(1))).scalar()
+    return totals.withColumns({"unique_hucs": rows(needed), "targets_scanned": rows(target), "targets_matched": rows(target.join(needed, huc, "left_semi"))})
 
 
 def with_matches(matches: DataFrame) -> DataFrame:

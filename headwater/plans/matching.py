@@ -85,8 +85,7 @@ def missing_or_stale_semi(t):
 def missing_or_newer_self(t):
     projects = t.projects.select("project_id", F.col("huc10").alias("huc"), "created_on", "project_type_id")
     one = t.loaded.groupBy("huc").agg(F.min("project_id").alias("project_id"))
-    wanted = projects.filter((F.col("project_type_id") == "context") & F.col("huc").isNotNull()).select("project_id")
-    return J.missing_or_newer(projects, one).join(wanted, "project_id", "left_semi")
+    return J.missing_or_newer(projects, one, "context")
 
 
 @query(
@@ -142,10 +141,11 @@ def match_lists(t):
     "match_summary",
     "v_newer v_older",
     f"""WITH {_MATCH} SELECT count(*) AS sources, count(*) FILTER (huc10 IS NULL) AS without_huc, count(*) FILTER (match_count > 0) AS matched, count(*) FILTER (match_count = 0) AS unmatched,
-      count(*) FILTER (match_count > 1) AS multiple, CAST(sum(match_count) AS BIGINT) AS pairs, max(match_count) AS max_matches FROM m""",
+      count(*) FILTER (match_count > 1) AS multiple, CAST(sum(match_count) AS BIGINT) AS pairs, max(match_count) AS max_matches, count(DISTINCT huc10) AS unique_hucs,
+      (SELECT count(*) FROM v_older) AS targets_scanned, (SELECT count(*) FROM v_older WHERE huc10 IN (SELECT huc10 FROM v_newer)) AS targets_matched FROM m""",
 )
 def match_summary(t):
-    return J.match_summary(_matches(t))
+    return J.match_summary(_matches(t), t.older)
 
 
 @query("match_nonempty", "v_newer v_older", f"WITH {_MATCH} SELECT project_id, match_count FROM m WHERE match_count > 0")
