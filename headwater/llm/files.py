@@ -27,3 +27,10 @@ def open_folder(uri: str) -> tuple[fs.FileSystem, str]:
 def attempt_name(stem: str, suffix: str) -> str:
     """A name no other attempt of the task uses; only names that a finished task returns count."""
     return f"{stem}-{uuid.uuid4().hex[:12]}.{suffix}"
+
+
+def delete_folder(uri: str) -> None:
+    """Deletes a folder whose results are in written tables; one that no task made is none."""
+    system, root = open_folder(uri)
+    if system.get_file_info(root).type == fs.FileType.Directory:
+        system.delete_dir(root)

@@ -25,10 +25,13 @@ other set's.
   links do not join yet, so a group of near copies takes a few comparisons for each of its sets. A comparison first
   bounds the difference from below by parity sketches: bit i says whether an odd number of elements hash
   to i, and two sketches differ in no more bits than the sets in elements. Buckets are compared in blocks
-  of sketches, and only pairs that may still link leave the task; the intersection of the whole sets decides.
+  of sketches, and only the sets that may still link with another leave the task, not the pairs. Their whole
+  sets are written once to the shared folder, look-alikes side by side (by least element), and the buckets are
+  compared again in blocks that hold places in these files: the intersection of the whole sets decides, and a
+  task sends off a spanning forest of its links.
 
 Equal sets are one set from the start. Signatures travel packed by slices of the hash space, one row
-per batch and slice. Elements, sets and signatures are told apart by hashes of 64, 64 and 48 bits plus
+per batch and slice. Elements, sets and signatures are told apart by hashes of 64, 64 and 32 bits plus
 slice; signatures only propose pairs.
 
 A text's elements: its distinct runs of ``words`` consecutive words, A-Z as a-z; with fewer words, the
@@ -38,6 +41,7 @@ component is their own id. Repeated rows and ties are equal sets. Null ids join
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from itertools import pairwise
@@ -49,6 +53,8 @@ from pyspark.sql import functions as F
 
 from headwater.llm import words as W
 from headwater.llm.components import connected_components
+from headwater.llm.files import delete_folder, new_folder, open_folder
+from headwater.llm.neardup import forest
 from headwater.llm.tables import table
 from headwater.session import cut_lineage
 
@@ -60,8 +66,17 @@ CAP = 8
 CAP_DELETIONS = 64
 #: Signatures that a task holds before it sends them off.
 HELD = 500_000
-#: Sets of a bucket that are compared in one block.
+#: Sets of a bucket that are compared in one block, and the elements of these sets on average at most.
 BLOCK = 512
+BLOCK_ELEMENTS = 1 << 20
+#: Members of a block that are compared pair by pair, not by a matrix.
+FEW = 16
+#: Elements of sets that a task holds at once, or those of one pair or block.
+STEP_ELEMENTS = 1 << 22
+#: Bytes between two sets in a file that are read along rather than skipped.
+GAP = 1 << 16
+#: Sets with one least element that are written to one file.
+SIDE_BY_SIDE = 4096
 #: Ids of one broadcast filter at most; beyond, texts are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 
@@ -166,8 +181,8 @@ def element_signatures(element: np.ndarray, owner: np.ndarray, size: np.ndarray,
     return W.mix(element ^ np.uint64(0x14057B7EF767814F)), owner, np.zeros(len(element), np.uint8), size - (needed + 1)
 
 
-_PACKED = "slice int, kind int, low binary, high binary, key_low binary, key_high binary, role binary, less binary, docs binary, sketches binary"
-_DOC = np.dtype([("doc", "<i8"), ("null", "?"), ("cls", "<u8"), ("n", "<i8"), ("own", "<i4"), ("below", "<i4")])
+_PACKED = "slice int, kind int, signature binary, key binary, role binary, less binary, docs binary, sketches binary"
+_DOC = np.dtype([("doc", "<i8"), ("null", "?"), ("key", "<u8"), ("n", "<i8"), ("least", "<i8"), ("own", "<i4"), ("below", "<i4")])
 
 
 def _pack(batches: Iterator[pa.RecordBatch], slices: int, words: int, percent: int, deletions: bool, singly: bool) -> Iterator[pa.RecordBatch]:
@@ -187,7 +202,8 @@ def _pack(batches: Iterator[pa.RecordBatch], slices: int, words: int, percent: i
             below = np.where((own > 0) & (size * percent <= below_top * 100) & (not singly), own - 1, -1)
             doc = np.zeros(end - first, _DOC)
             part = ids.slice(first, end - first)
-            doc["doc"], doc["null"], doc["cls"], doc["n"] = part.fill_null(0).to_numpy(), part.is_null().to_numpy(zero_copy_only=False), identity, size
+            doc["doc"], doc["null"], doc["key"], doc["n"] = part.fill_null(0).to_numpy(), part.is_null().to_numpy(zero_copy_only=False), identity, size
+            doc["least"][size > 0] = np.minimum.reduceat(element, np.searchsorted(owner, np.flatnonzero(size))).astype(np.int64) if len(element) else 0
             for role, (name, level, partner) in enumerate((("own", own, size * 100 // percent), ("below", below, below_top))):
                 # spare segments are a matter of the set, so copies get them as well
                 needed = largest_difference(size, partner, percent)
@@ -198,7 +214,7 @@ def _pack(batches: Iterator[pa.RecordBatch], slices: int, words: int, percent: i
                 doc[name] = np.where(level >= 0, spare, 1 << 30)
                 use = fresh[who]
                 found.append(sig[use])
-                keys.append(identity[who[use]] >> np.uint64(16))
+                keys.append(identity[who[use]])
                 roles.append(np.full(use.sum(), role, np.uint8))
                 lesses.append(less[use])
             docs.append(doc)
@@ -214,22 +230,21 @@ def _packed_rows(found: np.ndarray, keys: np.ndarray, roles: np.ndarray, lesses:
     """One row for each slice that signatures fall into, and one with the documents."""
     where = (found & np.uint64(0xFFFFFFFF)) % np.uint64(slices)
     order = np.argsort(where, kind="stable")
-    found, keys, roles, lesses, where = found[order] >> np.uint64(16), keys[order], roles[order], lesses[order], where[order].astype(np.int64)
+    found, keys, roles, lesses, where = (found[order] >> np.uint64(32)).astype(np.uint32), keys[order], roles[order], lesses[order], where[order].astype(np.int64)
     cuts = np.flatnonzero(np.diff(where, prepend=-1, append=-2)) if len(where) else np.zeros(1, np.int64)
     rows = []
     for a, b in pairwise(cuts):
-        split = [x.tobytes() for v in (found[a:b], keys[a:b]) for x in (v.astype(np.uint16), (v >> np.uint64(16)).astype(np.uint32))]
-        rows.append((int(where[a]), 1, *split, np.packbits(roles[a:b]).tobytes(), np.packbits(lesses[a:b]).tobytes() if deletions else None, None, None))
-    rows.append((int(docs["cls"][0] % np.uint64(slices)), 0, None, None, None, None, None, None, docs.tobytes(), marks))
+        rows.append((int(where[a]), 1, found[a:b].tobytes(), keys[a:b].tobytes(), np.packbits(roles[a:b]).tobytes(), np.packbits(lesses[a:b]).tobytes() if deletions else None, None, None))
+    rows.append((int(docs["key"][0] % np.uint64(slices)), 0, None, None, None, None, docs.tobytes(), marks))
     for a in range(0, len(rows), 512):
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[a : a + 512], strict=True), _PACKED_TYPES, strict=True)], _PACKED_NAMES)
 
 
 _PACKED_NAMES = [f.split()[0] for f in _PACKED.split(", ")]
-_PACKED_TYPES = [pa.int32(), pa.int32(), *[pa.binary()] * 8]
+_PACKED_TYPES = [pa.int32(), pa.int32(), *[pa.binary()] * 6]
 
-_FOUND = "kind int, doc_id long, key long, cls long, n long, own int, below int, keys array<long>, sketch binary, coarse binary"
-_FOUND_SCHEMA = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("key", pa.int64()), ("cls", pa.int64()), ("n", pa.int64()), ("own", pa.int32()), ("below", pa.int32()), ("keys", pa.list_(pa.int64())), ("sketch", pa.binary()), ("coarse", pa.binary())])
+_FOUND = "kind int, doc_id long, key long, n long, least long, own int, below int, keys array<long>, sketch binary, coarse binary"
+_FOUND_SCHEMA = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("key", pa.int64()), ("n", pa.int64()), ("least", pa.int64()), ("own", pa.int32()), ("below", pa.int32()), ("keys", pa.list_(pa.int64())), ("sketch", pa.binary()), ("coarse", pa.binary())])
 
 
 def _rows(kind: int, rows: int, **columns: pa.Array) -> pa.Table:
@@ -249,13 +264,12 @@ def _buckets(packed: pa.Table, cap: int, deletions: bool) -> pa.Table:
         ends = np.concatenate(([0], np.cumsum(sketch_bits(docs["n"]) // 8)))
         sketch = pa.Array.from_buffers(pa.large_binary(), len(docs), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(b"".join(x for x in packed["sketches"].to_pylist() if x))])
         coarse = [_half(x.as_buffer()) for x in sketch]
-        out.append(_rows(0, len(docs), sketch=sketch.cast(pa.binary()), coarse=pa.array(coarse, pa.binary()), doc_id=pa.array(docs["doc"], mask=docs["null"]), key=pa.array((docs["cls"] >> np.uint64(16)).astype(np.int64)), cls=pa.array(docs["cls"].astype(np.int64)), n=pa.array(docs["n"]), own=pa.array(docs["own"]), below=pa.array(docs["below"])))
-    whole = lambda low, high: _joined_bytes(packed[low], np.uint16).astype(np.uint64) | _joined_bytes(packed[high], np.uint32).astype(np.uint64) << np.uint64(16)
-    sig, key = whole("low", "high"), whole("key_low", "key_high")
-    role = np.concatenate([np.zeros(0, np.uint8), *(np.unpackbits(np.frombuffer(r, np.uint8), count=len(x) // 2) for r, x in zip(packed["role"].to_pylist(), packed["low"].to_pylist(), strict=True) if x)])
+        out.append(_rows(0, len(docs), sketch=sketch.cast(pa.binary()), coarse=pa.array(coarse, pa.binary()), doc_id=pa.array(docs["doc"], mask=docs["null"]), key=pa.array(docs["key"].astype(np.int64)), n=pa.array(docs["n"]), least=pa.array(docs["least"]), own=pa.array(docs["own"]), below=pa.array(docs["below"])))
+    sig, key = _joined_bytes(packed["signature"], np.uint32), _joined_bytes(packed["key"], np.uint64)
+    role = np.concatenate([np.zeros(0, np.uint8), *(np.unpackbits(np.frombuffer(r, np.uint8), count=len(x) // 4) for r, x in zip(packed["role"].to_pylist(), packed["signature"].to_pylist(), strict=True) if x)])
     less = np.zeros(len(role), bool)
     if deletions:
-        less = np.concatenate([less[:0], *(np.unpackbits(np.frombuffer(r, np.uint8), count=len(x) // 2).astype(bool) for r, x in zip(packed["less"].to_pylist(), packed["low"].to_pylist(), strict=True) if x)])
+        less = np.concatenate([less[:0], *(np.unpackbits(np.frombuffer(r, np.uint8), count=len(x) // 4).astype(bool) for r, x in zip(packed["less"].to_pylist(), packed["signature"].to_pylist(), strict=True) if x)])
     order = np.argsort(sig, kind="stable")
     shared = np.zeros(len(sig), bool)
     shared[1:] = sig[order][1:] == sig[order][:-1]
@@ -275,7 +289,7 @@ def _buckets(packed: pa.Table, cap: int, deletions: bool) -> pa.Table:
         use = (size > 1) & (whole_ones > 0)
         start, size, whole_ones = start[use], size[use], whole_ones[use]
         if len(start):
-            sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(W.mix(key * np.uint64(2) + less))))
+            sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(W.mix(key + less * np.uint64(0x9E3779B97F4A7C15)))))
             _, first = np.unique(sums[start + size] - sums[start], return_index=True)
             for kind, chosen in ((1, first[size[first] <= cap]), (2, first[size[first] > cap])):
                 if len(chosen):
@@ -287,9 +301,11 @@ def _buckets(packed: pa.Table, cap: int, deletions: bool) -> pa.Table:
             if dear.any():
                 n = size[dear]
                 index = np.repeat(start[dear] - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
-                pairs, at = np.unique(key[index] * np.uint64(2) + role[index], return_inverse=True)
-                count = np.bincount(at, weights=np.where(less[index], 1, 2 if deletions else 1)).astype(np.int64)
-                out.append(_rows(3, len(pairs), key=pa.array((pairs >> np.uint64(1)).astype(np.int64)), own=pa.array((pairs & np.uint64(1)).astype(np.int32)), n=pa.array(count)))
+                for r in (0, 1):
+                    of_role = index[role[index] == r]
+                    sets, at = np.unique(key[of_role], return_inverse=True)
+                    count = np.bincount(at, weights=np.where(less[of_role], 1, 2 if deletions else 1), minlength=len(sets)).astype(np.int64)
+                    out.append(_rows(3, len(sets), key=pa.array(sets.astype(np.int64)), own=pa.array(np.full(len(sets), r, np.int32)), n=pa.array(count)))
     return pa.concat_tables(out) if out else _FOUND_SCHEMA.empty_table()
 
 
@@ -301,14 +317,67 @@ def _bucket_table(docs: DataFrame, words: int, percent: int, cap: int, deletions
 
 
 def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    """The sets of texts that are those of the key, once a task; a repeated id may have other texts."""
+    seen = np.zeros(0, np.uint64)
     for batch in batches:
-        parts = []
-        for _, _, data, offsets in W.text_chunks(batch.column("text")):
-            element, owner, size, _ = shingle_sets(data, offsets, words)
+        keys, others = batch.column("key").to_numpy().astype(np.uint64), ["key", "rep", "least", "salt"]
+        for first, end, data, offsets in W.text_chunks(batch.column("text")):
+            element, owner, size, identity = shingle_sets(data, offsets, words)
             order = np.lexsort((element, owner))
             element, cuts = element[order], np.concatenate(([0], np.cumsum(size)))
-            parts += [element[a:b].tobytes() for a, b in pairwise(cuts)]
-        yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("rep"), pa.array(parts, pa.binary())], ["key", "rep", "elements"])
+            own = np.flatnonzero((identity == keys[first:end]) & ~np.isin(identity, seen))
+            own = own[np.unique(identity[own], return_index=True)[1]]
+            seen = np.concatenate((seen, identity[own]))
+            sets = pa.array([element[cuts[i] : cuts[i + 1]].tobytes() for i in own], pa.binary())
+            chosen = pa.array(own + first)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(chosen) for c in others), sets], [*others, "elements"])
+
+
+_STORED = "key long, rep long, n long, file long, at long"
+
+
+def _store(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
+    """Writes the sets of a partition to one file, whose name is a number that no other attempt uses."""
+    system, root = open_folder(folder)
+    system.create_dir(root, recursive=True)
+    name, at, stream = uuid.uuid4().int >> 65, 0, None
+    for batch in batches:
+        if stream is None:
+            stream = system.open_output_stream(f"{root}/{name:016x}")
+        sets = [x.as_buffer() for x in batch.column("elements")]
+        size = np.array([len(x) for x in sets], np.int64)
+        for x in sets:
+            stream.write(x)
+        places = at + np.cumsum(size) - size
+        at += int(size.sum())
+        columns = [batch.column("key"), batch.column("rep"), pa.array(size // 8), pa.array(np.full(len(sets), name)), pa.array(places)]
+        yield pa.RecordBatch.from_arrays(columns, ["key", "rep", "n", "file", "at"])
+    if stream is not None:
+        stream.close()
+
+
+def _fetch(folder: str, file: np.ndarray, at: np.ndarray, n: np.ndarray) -> list[np.ndarray]:
+    """The sets at these places; equal places are read once, and near ones together."""
+    system, root = open_folder(folder)
+    out: list[np.ndarray] = [np.zeros(0, np.uint64)] * len(file)
+    order = np.lexsort((at, file))
+    ends = (at + 8 * n)[order]
+    cut = np.flatnonzero(np.concatenate(([True], (np.diff(file[order]) != 0) | (at[order][1:] > ends[:-1] + GAP)))) if len(order) else []
+    source, opened = None, None
+    for a, b in pairwise([*cut, len(order)]):
+        first = order[a]
+        if opened != file[first]:
+            if source is not None:
+                source.close()
+            source, opened = system.open_input_file(f"{root}/{file[first]:016x}"), file[first]
+        start = int(at[first])
+        data = np.frombuffer(source.read_at(int(ends[a:b].max()) - start, start), np.uint64)
+        for i in order[a:b]:
+            x = (int(at[i]) - start) // 8
+            out[i] = data[x : x + int(n[i])]
+    if source is not None:
+        source.close()
+    return out
 
 
 def _may_link(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -321,15 +390,30 @@ def _may_link(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Re
         yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("a", "b")], ["a", "b"])
 
 
-def _verify(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+def _link(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    at = np.searchsorted(x, y)
+    same = int((x[np.minimum(at, len(x) - 1)] == y).sum())
+    return 100 * same >= percent * (len(x) + len(y) - same)
+
+
+def _steps(weights: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of rows with ``STEP_ELEMENTS`` elements, or one row of more."""
+    sums, first = np.concatenate(([0], np.cumsum(weights))), 0
+    while first < len(weights):
+        end = max(first + 1, int(np.searchsorted(sums, sums[first] + STEP_ELEMENTS, "right")) - 1)
+        yield first, end
+        first = end
+
+
+def _verify(batches: Iterator[pa.RecordBatch], folder: str, percent: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
+        place = {c: batch.column(c).to_numpy() for c in ("fa", "aa", "na", "fb", "ab", "nb")}
         linked = np.zeros(batch.num_rows, bool)
-        left, right = batch.column("x"), batch.column("y")
-        for i in range(batch.num_rows):
-            a, b = np.frombuffer(left[i].as_buffer(), np.uint64), np.frombuffer(right[i].as_buffer(), np.uint64)
-            at = np.searchsorted(a, b)
-            same = int((a[np.minimum(at, len(a) - 1)] == b).sum())
-            linked[i] = 100 * same >= percent * (len(a) + len(b) - same)
+        for first, end in _steps(place["na"] + place["nb"]):
+            both = [np.concatenate((place[c + "a"][first:end], place[c + "b"][first:end])) for c in "fan"]
+            sets = _fetch(folder, *both)
+            for i in range(end - first):
+                linked[first + i] = _link(sets[i], sets[end - first + i], percent)
         keep = pa.array(linked)
         yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("a", "b", "u", "v")], ["a", "b", "u", "v"])
 
@@ -340,22 +424,37 @@ class _Verifier:
     def __init__(self, docs: DataFrame, classes: DataFrame, words: int, percent: int) -> None:
         self.docs, self.classes, self.words, self.percent = docs, classes, words, percent
 
+    def store(self, keys: DataFrame, folder: str) -> DataFrame:
+        """(key, rep, n, file, at) of the sets of the distinct ``keys``, written to ``folder``, those with one least
+        element side by side. A least element that very many sets have is split over files."""
+        words = self.words
+        chosen = cut_lineage(self.classes.join(keys, "key", "left_semi").select("rep", "key", "least"), "chosen")
+        few = chosen.count() <= BROADCAST_IDS
+        hot = chosen.groupBy("least").agg(F.ceil(F.count("*") / SIDE_BY_SIDE).alias("files")).where("files > 1")
+        salted = chosen.join(hot, "least", "left").select("rep", "key", "least", F.pmod(F.xxhash64("key"), F.coalesce("files", F.lit(1))).cast("int").alias("salt"))
+        texts = self.docs.withColumnRenamed("doc_id", "rep").join(F.broadcast(salted) if few else salted, "rep").select("key", "rep", "least", "salt", "text")
+        sets = texts.mapInArrow(lambda b: _sets(b, words), "key long, rep long, least long, salt int, elements binary")
+        dealt = sets.repartition("least", "salt").sortWithinPartitions("least", "salt").select("key", "rep", "elements")
+        stored = cut_lineage(dealt.mapInArrow(lambda b: _store(b, folder), _STORED), "stored")
+        # equal rows of several tasks are written several times
+        return stored.groupBy("key").agg(F.min(F.struct("rep", "n", "file", "at")).alias("place")).select("key", "place.*")
+
     def links(self, pairs: DataFrame) -> DataFrame:
         """(a, b, u, v): pairs of keys that link, with the smallest document ids of their sets."""
-        words, percent = self.words, self.percent
+        percent, folder = self.percent, new_folder(self.docs.sparkSession, "elements")
         pairs = pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         sizes, marks = self.classes.select("key", "n"), self.classes.select("key", "sketch")
         fits = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * self.percent
         pairs = pairs.join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b").where(fits)
         pairs = pairs.join(marks.toDF("a", "sa"), "a").join(marks.toDF("b", "sb"), "b")
         pairs = cut_lineage(pairs.mapInArrow(lambda b: _may_link(b, percent), "a long, b long").distinct(), "pairs")
-        keys = pairs.select(F.col("a").alias("key")).unionAll(pairs.select(F.col("b").alias("key"))).distinct()
-        chosen = cut_lineage(self.classes.join(keys, "key", "left_semi").select(F.col("rep").alias("doc_id"), "key"), "chosen")
-        few = chosen.count() <= BROADCAST_IDS
-        texts = self.docs.join(F.broadcast(chosen) if few else chosen, "doc_id").select("key", F.col("doc_id").alias("rep"), "text")
-        sets = cut_lineage(texts.mapInArrow(lambda b: _sets(b, words), "key long, rep long, elements binary"), "sets")
-        joined = pairs.join(sets.toDF("b", "v", "y"), "b").join(sets.toDF("a", "u", "x"), "a").select("a", "b", "u", "v", "x", "y")
-        return cut_lineage(joined.mapInArrow(lambda b: _verify(b, percent), "a long, b long, u long, v long").distinct(), "linked")
+        stored = self.store(pairs.select(F.col("a").alias("key")).unionAll(pairs.select(F.col("b").alias("key"))).distinct(), folder)
+        joined = pairs.join(stored.toDF("b", "v", "nb", "fb", "ab"), "b").join(stored.toDF("a", "u", "na", "fa", "aa"), "a")
+        # pairs of one file meet in a few tasks, in the order of the file
+        near = joined.repartition(F.col("fa"), F.pmod(F.xxhash64("b"), F.lit(8))).sortWithinPartitions("fa", "aa")
+        linked = cut_lineage(near.mapInArrow(lambda b: _verify(b, folder, percent), "a long, b long, u long, v long").distinct(), "linked")
+        delete_folder(folder)
+        return linked
 
 
 def _folded(marks: list[bytes], size: int) -> np.ndarray:
@@ -364,44 +463,114 @@ def _folded(marks: list[bytes], size: int) -> np.ndarray:
     return np.bitwise_xor.reduce(rows, axis=1)
 
 
+class _Cells:
+    """The members of the blocks of a batch as arrays; block i has the members ``cuts[i]`` to ``cuts[i + 1]``."""
+
+    def __init__(self, column: pa.Array) -> None:
+        values = column.flatten()
+        self.cuts = np.concatenate(([0], np.cumsum(column.value_lengths().to_numpy())))
+        self.fields = {f.name: values.field(k) for k, f in enumerate(values.type)}
+        self.of = {name: x.to_numpy(zero_copy_only=False) for name, x in self.fields.items() if name != "sketch"}
+
+
+def _open(of: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs may still link: other labels, one with its whole subset, neither the bucket's first, sizes near."""
+    label, n, whole, first = (of[f] for f in ("label", "n", "whole", "first"))
+    fits = np.minimum(n[i], n[j]) * 100 >= np.maximum(n[i], n[j]) * percent
+    return fits & (label[i] != label[j]) & (whole[i] | whole[j]) & ~first[i] & ~first[j]
+
+
 def _rest(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Pairs of a block that may link: other labels, one with its whole subset, neither the bucket's first."""
+    """Keys of the members of blocks that sketches do not keep from a link with another member."""
+    for batch in batches:
+        cells, found = _Cells(batch.column("members")), [np.zeros(0, np.int64)]
+        marks, of = cells.fields["sketch"].to_pylist(), cells.of
+        length = np.array([len(x) for x in marks])
+        for first, end in pairwise(cells.cuts):
+            by_size = [(size, first + np.flatnonzero(length[first:end] == size)) for size in np.unique(length[first:end])]
+            for k, (small, left) in enumerate(by_size):
+                for _, right in by_size[k:]:
+                    y = _folded([marks[j] for j in right], small)
+                    step = max(1, (1 << 22) // y.nbytes)
+                    for a in range(0, len(left), step):
+                        part = left[a : a + step]
+                        differ = np.bitwise_count(_folded([marks[i] for i in part], small)[:, None, :] ^ y[None, :, :]).sum(axis=2, dtype=np.int64)
+                        i, j = part[:, None], right[None, :]
+                        near = _open(of, i, j, percent) & (differ <= largest_difference(of["n"][i], of["n"][j], percent))
+                        found += [of["key"][part[near.any(axis=1)]], of["key"][right[near.any(axis=0)]]]
+        yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(found)))], ["key"])
+
+
+def _common(sets: list[np.ndarray]) -> np.ndarray:
+    """How many elements each two of the sets share, by products of their incidence matrix; elements that the same sets
+    hold are one column, with their number as its weight."""
+    k, size = len(sets), np.array([len(x) for x in sets])
+    element, owner = np.concatenate(sets), np.repeat(np.arange(k), size)
+    _, at, held = np.unique(element, return_inverse=True, return_counts=True)
+    several = held[at] > 1
+    at, owner = at[several], owner[several]
+    holders = np.zeros(len(held), np.uint64)
+    np.add.at(holders, at, W.mix(owner.astype(np.uint64) + np.uint64(1)))
+    shown = np.flatnonzero(held > 1)
+    _, first, weight = np.unique(holders[shown], return_index=True, return_counts=True)
+    column = np.full(len(held), -1)
+    column[shown[first]] = np.arange(len(first))
+    use = column[at] >= 0
+    at, owner = column[at[use]], owner[use]
+    order = np.argsort(at, kind="stable")
+    at, owner = at[order], owner[order]
+    common = np.zeros((k, k), np.int64)
+    for low in range(0, len(weight), 4096):
+        high = min(low + 4096, len(weight))
+        a, b = np.searchsorted(at, (low, high))
+        matrix = np.zeros((k, high - low))
+        matrix[owner[a:b], at[a:b] - low] = 1
+        common += np.rint((matrix * weight[low:high]) @ matrix.T).astype(np.int64)
+    common[np.arange(k), np.arange(k)] = size
+    return common
+
+
+def _links_in_blocks(batches: Iterator[pa.RecordBatch], folder: str, percent: int) -> Iterator[pa.RecordBatch]:
+    """(u, v): a spanning forest of the links between members of the blocks of a task."""
+    us, vs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for batch in batches:
-        found = [np.zeros((0, 2), np.int64)]
-        for cell in batch.column("members"):
-            by_size: dict[int, list[dict]] = {}
-            for m in cell.as_py():
-                if not m["first"]:
-                    by_size.setdefault(len(m["sketch"]), []).append(m)
-            sizes = sorted(by_size)
-            for i, small in enumerate(sizes):
-                for large in sizes[i:]:
-                    found += _near(by_size[small], by_size[large], small, large, percent)
-        # a pair meets in many buckets, and leaves the batch once
-        pairs = np.unique(np.concatenate(found), axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
-
-
-def _near(left: list[dict], right: list[dict], small: int, large: int, percent: int) -> Iterator[np.ndarray]:
-    """The pairs of ``_rest`` between members whose sketches have ``small`` and ``large`` bytes, in steps of some megabytes."""
-    y = _folded([m["sketch"] for m in right], small)
-    key2, label2, n2, whole2 = (np.array([m[f] for m in right]) for f in ("key", "label", "n", "whole"))
-    step = max(1, (1 << 22) // y.nbytes)
-    for at in range(0, len(left), step):
-        part = left[at : at + step]
-        differ = np.bitwise_count(_folded([m["sketch"] for m in part], small)[:, None, :] ^ y[None, :, :]).sum(axis=2, dtype=np.int64)
-        key, label, n, whole = (np.array([m[f] for m in part]) for f in ("key", "label", "n", "whole"))
-        fits = np.minimum(n[:, None], n2[None, :]) * 100 >= np.maximum(n[:, None], n2[None, :]) * percent
-        near = (differ <= largest_difference(n[:, None], n2[None, :], percent)) & fits & (label[:, None] != label2[None, :]) & (whole[:, None] | whole2[None, :])
-        if small == large:
-            near &= key[:, None] < key2[None, :]
-        a, b = np.nonzero(near)
-        if len(a):
-            yield np.column_stack((np.minimum(key[a], key2[b]), np.maximum(key[a], key2[b])))
+        cells = _Cells(batch.column("members"))
+        of = cells.of
+        weights = np.add.reduceat(np.append(of["n"], 0), cells.cuts[:-1]) if len(cells.cuts) > 1 else np.zeros(0, np.int64)
+        for low, high in _steps(weights):
+            first, end = cells.cuts[low], cells.cuts[high]
+            # a set is in many blocks, and read once
+            _, at, code = np.unique(of["key"][first:end], return_index=True, return_inverse=True)
+            sets = _fetch(folder, *(of[f][first:end][at] for f in ("file", "at", "n")))
+            rep, n, pairs = of["rep"][first:end][at], of["n"][first:end][at], [np.zeros((0, 2), np.int64)]
+            for a, b in pairwise(cells.cuts[low : high + 1]):
+                i, j = (x + a for x in np.triu_indices(b - a, 1))
+                keep = _open(of, i, j, percent)
+                i, j = code[i[keep] - first], code[j[keep] - first]
+                if b - a > FEW:
+                    members = np.unique(np.concatenate((i, j)))
+                    if len(members):
+                        common = _common([sets[m] for m in members])
+                        same = common[np.searchsorted(members, i), np.searchsorted(members, j)]
+                        linked = 100 * same >= percent * (n[i] + n[j] - same)
+                        us.append(rep[i[linked]])
+                        vs.append(rep[j[linked]])
+                elif len(i):
+                    pairs.append(np.column_stack((np.minimum(i, j), np.maximum(i, j))))
+            # a pair meets in many small buckets, and is compared once
+            several = np.unique(np.concatenate(pairs), axis=0)
+            linked = np.array([_link(sets[i], sets[j], percent) for i, j in several], bool)
+            us.append(rep[several[linked, 0]])
+            vs.append(rep[several[linked, 1]])
+            u, v = forest(np.concatenate(us), np.concatenate(vs))
+            us, vs = [u], [v]
+    u, v = us[0], vs[0]
+    if len(u):
+        yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
 
 
 def _linked_in_buckets(verifier: _Verifier, buckets: DataFrame, rest_of: str, among: DataFrame | None = None) -> DataFrame:
-    """Links found in buckets: every set with the bucket's first, then the rest of the buckets that ``rest_of`` selects.
+    """(u, v): links in buckets, every set with the bucket's first, then the rest of the buckets that ``rest_of`` selects.
 
     In other buckets the sets of ``among`` (key) are compared with each other.
     """
@@ -410,28 +579,46 @@ def _linked_in_buckets(verifier: _Verifier, buckets: DataFrame, rest_of: str, am
     rings = buckets.where(F.size("keys") > 2).select(F.explode(F.arrays_zip(F.slice(ordered, 1, last).alias("a"), F.slice(ordered, 2, last).alias("b"))).alias("p"))
     links = verifier.links(stars.unionAll(rings.select("p.a", "p.b")))
     many = cut_lineage(buckets.where(F.size("keys") > 2).select(F.monotonically_increasing_id().alias("bucket"), F.expr(rest_of).alias("all"), "n", "keys"), "many")
-    members = many.select("bucket", "all", "n", F.posexplode("keys").alias("place", "key"))
-    members = members.select("bucket", "all", "key", (F.col("place") == 0).alias("first"), (F.col("place") < F.col("n")).alias("whole"))
+    members = many.select("bucket", F.col("keys")[0].alias("star"), "all", "n", F.posexplode("keys").alias("place", "key"))
+    members = members.select("bucket", "star", "all", "key", (F.col("place") == 0).alias("first"), (F.col("place") < F.col("n")).alias("whole"))
     if among is None:
         members = members.where("all")
     else:
         members = members.join(among.select("key", F.lit(True).alias("chosen")), "key", "left").where("all OR (chosen AND NOT first)").drop("chosen")
-    return links.unionAll(verifier.links(_open_pairs(verifier, members, links)))
+    return links.select("u", "v").unionAll(_links_of_rest(verifier, members, links))
 
 
-def _open_pairs(verifier: _Verifier, members: DataFrame, links: DataFrame) -> DataFrame:
-    """Pairs of bucket members that no links join yet and whose sketches allow one."""
+def _links_of_rest(verifier: _Verifier, members: DataFrame, links: DataFrame) -> DataFrame:
+    """(u, v): links between bucket members that ``links`` do not join yet."""
+    percent, folder = verifier.percent, new_folder(verifier.docs.sparkSession, "elements")
     labels = cut_lineage(connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))).toDF("key", "label"), "labels")
     members = members.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
-    # buckets whose sets all have one label have nothing left to compare
-    open_buckets = members.groupBy("bucket").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).where("least <> most").select("bucket", "blocks")
-    members = members.join(open_buckets, "bucket").join(verifier.classes.select("key", F.col("n").cast("long").alias("n"), F.col("coarse").alias("sketch")), "key")
+    members = members.join(verifier.classes.select("key", F.col("n").cast("long").alias("n")), "key")
+    members = cut_lineage(_open_members(members), "open")
+    sketched = members.join(verifier.classes.select("key", F.col("coarse").alias("sketch")), "key")
+    near = _blocks(sketched, ["key", "label", "n", "first", "whole", "sketch"]).mapInArrow(lambda b: _rest(b, percent), "key long")
+    stored = verifier.store(near.distinct(), folder)
+    placed = _open_members(members.join(stored.drop("n"), "key"))
+    blocks = _blocks(placed, ["key", "label", "n", "first", "whole", "rep", "file", "at"])
+    joined = cut_lineage(blocks.mapInArrow(lambda b: _links_in_blocks(b, folder, percent), "u long, v long"), "joined")
+    delete_folder(folder)
+    return joined
+
+
+def _open_members(members: DataFrame) -> DataFrame:
+    """Members of buckets with more than one label; in others nothing is left to compare."""
+    blocks = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_ELEMENTS)).cast("int").alias("blocks")
+    labels = members.groupBy("bucket").agg(F.min("label").alias("least"), F.max("label").alias("most"), blocks)
+    return members.drop("blocks").join(labels.where("least <> most").select("bucket", "blocks"), "bucket")
+
+
+def _blocks(members: DataFrame, fields: list[str]) -> DataFrame:
+    """(members): each two blocks of a bucket together; those of buckets with one star are dealt to the same task."""
     own, blocks = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"), F.col("blocks")
     other = F.explode(F.sequence(F.lit(0), blocks - 1))
     blocked = members.withColumn("own", own).withColumn("other", other).withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
-    groups = blocked.groupBy("bucket", "low", "high").agg(F.collect_list(F.struct("key", "label", "n", "first", "whole", "sketch")).alias("members"))
-    percent = verifier.percent
-    return groups.select("members").mapInArrow(lambda b: _rest(b, percent), "a long, b long")
+    dealt = blocked.select("star", "bucket", "low", "high", F.struct(*fields).alias("member")).repartition("star", "low", "high")
+    return dealt.groupBy("star", "bucket", "low", "high").agg(F.collect_list("member").alias("members")).select("members")
 
 
 def _crowded(classes: DataFrame, found: DataFrame) -> DataFrame:
@@ -465,8 +652,8 @@ def small_batches(spark: SparkSession, size: str = "16m") -> Iterator[None]:
 def _similar_components(docs: DataFrame, words: int, percent: int, cap: int) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = _bucket_table(docs, words, percent, cap)
-    own = found.where("kind = 0").select("doc_id", "key", "cls", "n", "own", "below", "sketch", "coarse")
-    classes = own.where("n > 0 AND doc_id IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("rep"), *(F.first(c).alias(c) for c in ("key", "n", "own", "below", "sketch", "coarse")))
+    own = found.where("kind = 0").select("doc_id", "key", "n", "least", "own", "below", "sketch", "coarse")
+    classes = own.where("n > 0 AND doc_id IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("rep"), *(F.first(c).alias(c) for c in ("n", "least", "own", "below", "sketch", "coarse")))
     classes = cut_lineage(classes, "classes")
     verifier = _Verifier(docs, classes, words, percent)
     links = _linked_in_buckets(verifier, found.where("kind IN (1, 2)").select("kind", "n", "keys"), "kind = 1")
@@ -482,8 +669,8 @@ def _similar_components(docs: DataFrame, words: int, percent: int, cap: int) ->
         if not singly:
             crowded = cut_lineage(spare.where("own < 0 OR below < 0").select(F.col("rep").alias("doc_id"), "key"), "short")
     component = connected_components(links.select("u", "v"))
-    named = classes.select("cls", "rep").join(component.withColumnRenamed("node", "rep"), "rep", "left").select("cls", F.coalesce("component", "rep").alias("component"))
-    return own.select("doc_id", "cls", "n").join(named, "cls", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
+    named = classes.select("key", "rep").join(component.withColumnRenamed("node", "rep"), "rep", "left").select("key", F.coalesce("component", "rep").alias("component"))
+    return own.select("doc_id", "key", "n").join(named, "key", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, words: int = 5, percent: int = 75) -> DataFrame:

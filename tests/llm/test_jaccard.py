@@ -114,3 +114,39 @@ def test_connected_components_of_paths_stars_and_noise(spark):
     found = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "u long, v long")).collect()}
     linked = {x for a, b in edges if a is not None and a != b for x in (a, b)}
     assert found == {x: root(x) for x in linked}
+
+
+def test_common_elements_of_sets():
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 300, n).astype(np.uint64)) for n in (1, 5, 40, 90, 200)] + [np.arange(300, 310).astype(np.uint64)] * 2
+    expected = [[len(np.intersect1d(x, y)) for y in sets] for x in sets]
+    assert jaccard._common(sets).tolist() == expected
+
+
+def look_alikes(n, seed=2):
+    """Texts of 60 words that differ from one text in a passage: near in most segments, and some of them linked."""
+    rng = np.random.default_rng(seed)
+    base = [f"b{i}" for i in range(60)]
+    texts = []
+    for k in range(n):
+        own, at = list(base), int(rng.integers(0, 50))
+        own[at : at + 8] = [f"x{k}y{i}" for i in range(8)]
+        texts.append(" ".join(own))
+    return texts
+
+
+def test_groups_of_look_alikes_leave_tasks_as_forests(spark, monkeypatch):
+    n, seen = 240, []
+    cut = jaccard.cut_lineage
+
+    def counted(df, label):
+        table = cut(df, label)
+        if label in ("joined", "pairs"):
+            seen.append((label, table.count()))
+        return table
+
+    monkeypatch.setattr(jaccard, "cut_lineage", counted)
+    rows = list(enumerate(look_alikes(n)))
+    got = jaccard.similar_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(rows, 5, 75)
+    assert sum(rows for label, rows in seen if label == "joined") < 20 * n
