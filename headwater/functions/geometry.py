@@ -248,12 +248,13 @@ def flaw(wkb: bytes | None) -> str | None:
     return None
 
 
-def directed_edges(wkb: bytes, digits: int) -> np.ndarray:
-    """Edges (x1, y1, x2, y2) with the interior on their left, coordinates rounded; zero-length ones dropped."""
+def directed_edges(wkb: bytes, digits: int | None) -> np.ndarray:
+    """Edges (x1, y1, x2, y2) with the interior on their left, coordinates rounded to ``digits`` if given; zero-length ones dropped."""
     out = []
     for rings in polygons_of(wkb):
         for i, ring in enumerate(rings):
-            ring = np.round(ring, digits) + 0.0
+            if digits is not None:
+                ring = np.round(ring, digits) + 0.0
             if (signed_area(ring) > 0) != (i == 0):
                 ring = ring[::-1]
             pairs = np.hstack([ring[:-1], ring[1:]])

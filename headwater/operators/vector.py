@@ -14,7 +14,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -165,7 +165,7 @@ def reproject_layer(df: DataFrame, src: int, dst: int, geom: str = "geom") -> Da
 
 # --- edges ------------------------------------------------------------------------------------
 
-def _edge_arrays(digits: int):
+def _edge_arrays(digits: int | None):
     @F.arrow_udf(T.ArrayType(_EDGE))
     def split(geom: pa.Array) -> pa.Array:
         found = []
@@ -537,82 +537,57 @@ def simplify_coverage(df: DataFrame, key: str, tolerance: float, within: Sequenc
 
 # --- zones ------------------------------------------------------------------------------------
 
-STRIP = 64
-
-
-def _touched(wkb: bytes, first: int, last: int, head: dict) -> list[tuple[int, int, int]]:
-    """(row, first column, last column) runs of the cells a polygon touches in some raster rows."""
-    runs: list[tuple[int, int, int]] = []
-    edges = np.concatenate([np.hstack([r[:-1], r[1:]]) for rings in G.polygons_of(wkb) for r in rings])
-    col = (edges[:, [0, 2]] - head["left_x"]) / head["cell_width"]
-    row = (edges[:, [1, 3]] - head["top_y"]) / head["cell_height"]
-    first, last = max(first, 0, int(np.floor(row.min()))), min(last, head["n_rows"] - 1, int(np.floor(row.max())))
-    for r in range(first, last + 1):
-        lo, hi = row.min(axis=1), row.max(axis=1)
-        hit = (lo < r + 1) & (hi > r)
-        spans = []
-        if hit.any():
-            r1, r2, c1, c2 = row[hit, 0], row[hit, 1], col[hit, 0], col[hit, 1]
-            with np.errstate(divide="ignore", invalid="ignore"):
-                slope = np.where(r2 != r1, (c2 - c1) / (r2 - r1), 0.0)
-            ra, rb = np.clip(r1, r, r + 1), np.clip(r2, r, r + 1)
-            ca = np.where(r1 != r2, c1 + (ra - r1) * slope, c1)
-            cb = np.where(r1 != r2, c1 + (rb - r1) * slope, c2)
-            left, right = np.minimum(ca, cb), np.maximum(ca, cb)
-            starts = np.floor(left)
-            stops = np.maximum(np.ceil(right) - 1, starts)
-            # an upright edge on a column line touches neither neighbour by itself
-            upright = (left == right) & (left == starts)
-            spans += [(int(a), int(b)) for a, b, skip in zip(starts, stops, upright) if not skip]
-            across = (r1 > r + 0.5) != (r2 > r + 0.5)
-            cuts = np.sort((c1 + (r + 0.5 - r1) * slope)[across])
-            for a, b in zip(cuts[::2], cuts[1::2]):
-                c0, c9 = int(np.ceil(a - 0.5)), int(np.floor(b - 0.5))
-                if c0 <= c9:
-                    spans.append((c0, c9))
-        merged: list[list[int]] = []
-        for a, b in sorted((max(a, 0), min(b, head["n_cols"] - 1)) for a, b in spans):
-            if a > b:
-                continue
-            if merged and a <= merged[-1][1] + 1:
-                merged[-1][1] = max(merged[-1][1], b)
-            else:
-                merged.append([a, b])
-        runs += [(r, a, b) for a, b in merged]
-    return runs
-
-
 def zone_cells(polygons: DataFrame, headers: DataFrame, key: str, attribute: str | None = None, geom: str = "geom") -> DataFrame:
     """Raster cells each polygon touches: (raster_id, key, [attribute], r, c).
 
-    Polygons carry ``raster_id``. They are cut into strips of raster rows first, so one polygon
-    over a whole raster is worked on by many tasks.
+    Polygons carry ``raster_id``. Their edges are dealt by raster row, so one polygon over a whole raster is worked on by many
+    tasks and is not copied to any. An edge marks the cells it passes through; where edges cross the middle of a row, the cells
+    whose middle lies between an odd crossing and the next are inside. Overlapping polygons each give their cells, a repeated row
+    gives them once; unreadable geometries, other types than polygons and edges without finite ends give none.
     """
-    fields = ["raster_id", key] + ([attribute] if attribute else [])
+    fields = list(dict.fromkeys(["raster_id", key, *([attribute] if attribute else [])]))
     head = ["left_x", "top_y", "cell_width", "cell_height", "n_rows", "n_cols"]
-    measured = polygons.select(*fields, geom, _measures(F.col(geom)).alias("m")).filter("m IS NOT NULL").join(headers.select("raster_id", *head), "raster_id")
-    row = lambda y: F.floor((y - F.col("top_y")) / F.col("cell_height"))
-    first, last = F.greatest(row(F.col("m.ymax")), F.lit(0)), F.least(row(F.col("m.ymin")), F.col("n_rows") - 1)
-    strips = measured.filter(last >= first).withColumn("strip", F.explode(F.sequence(F.floor(first / STRIP), F.floor(last / STRIP)))).drop("m")
-    spread = strips.repartition("raster_id", key, "strip")
-    types = {f.name: f.dataType.simpleString() for f in polygons.schema.fields}
-    schema = ", ".join([*[f"{f} {types[f]}" for f in fields], "r int, c_first int, c_last int"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            source, rows = [], []
-            table = {name: batch.column(name).to_pylist() for name in batch.schema.names}
-            for i in range(batch.num_rows):
-                at = {name: table[name][i] for name in head}
-                found = _touched(table[geom][i], table["strip"][i] * STRIP, table["strip"][i] * STRIP + STRIP - 1, at)
-                source += [i] * len(found)
-                rows += found
-            kept = batch.select(fields).take(pa.array(source, type=pa.int64()))
-            columns = np.array(rows, dtype="i4").reshape(-1, 3)
-            yield pa.RecordBatch.from_arrays([*kept.columns, *[pa.array(columns[:, j]) for j in range(3)]], names=[*fields, "r", "c_first", "c_last"])
-
-    touched = spread.select(*fields, "strip", geom, *head).mapInArrow(run, schema)
-    return touched.select(*fields, "r", F.explode(F.sequence("c_first", "c_last")).alias("c"))
+    shapes = polygons.select(*fields, F.xxhash64(geom).alias("__shape"), _edge_arrays(None)(F.col(geom)).alias("__edges")).join(headers.select("raster_id", *head), "raster_id")
+    sides = shapes.select(*fields, "__shape", *head, F.posexplode("__edges").alias("__side", "e"))
+    place = lambda at, origin, size: (F.col(f"e.{at}") - F.col(origin)) / F.col(size)
+    sides = sides.select(
+        *fields, "__shape", "__side", "n_rows", "n_cols",
+        place("x1", "left_x", "cell_width").alias("c1"), place("y1", "top_y", "cell_height").alias("r1"),
+        place("x2", "left_x", "cell_width").alias("c2"), place("y2", "top_y", "cell_height").alias("r2"),
+    )
+    # NaN is above every number
+    for end in ("c1", "r1", "c2", "r2"):
+        sides = sides.filter(F.abs(end) < 1e15)
+    top, bottom = F.greatest(F.floor(F.least("r1", "r2")), F.lit(0)), F.least(F.ceil(F.greatest("r1", "r2")), F.col("n_rows")) - 1
+    rows = sides.filter(top <= bottom).withColumn("r", F.explode(F.sequence(top.cast("int"), bottom.cast("int"))))
+
+    slope = F.coalesce(F.try_divide(F.col("c2") - F.col("c1"), F.col("r2") - F.col("r1")), F.lit(0.0))
+    within = lambda at: F.least(F.greatest(F.col(at), F.col("r")), F.col("r") + 1)
+    at_row = lambda y, level: F.when(F.col("r1") == F.col("r2"), level).otherwise(F.col("c1") + (y - F.col("r1")) * F.col("slope"))
+    middle = F.col("r") + 0.5
+    rows = rows.withColumn("slope", slope)
+    rows = rows.withColumns({"a": at_row(within("r1"), F.col("c1")), "b": at_row(within("r2"), F.col("c2"))})
+    left, right = F.least("a", "b"), F.greatest("a", "b")
+    # an upright edge on a column line touches neither neighbour by itself
+    passed = ~((left == right) & (left == F.floor(left)))
+    run = lambda first, last: F.struct(first.cast("bigint").alias("first"), last.cast("bigint").alias("last"))
+    rows = rows.select(
+        *fields, "__shape", "__side", "r", "n_cols",
+        F.when(passed, run(F.floor(left), F.greatest(F.ceil(right) - 1, F.floor(left)))).alias("touched"),
+        F.when((F.col("r1") > middle) != (F.col("r2") > middle), at_row(middle, F.lit(None))).alias("cut"),
+    )
+    one_row = [*fields, "__shape", "r"]
+    dealt = rows.repartition(*one_row).distinct()
+
+    along = Window.partitionBy(*one_row).orderBy("cut", "__side")
+    numbered = dealt.withColumns({"nth": F.count("cut").over(along.rowsBetween(Window.unboundedPreceding, 0)), "next": F.lead("cut").over(along)})
+    inside = F.when(F.col("cut").isNotNull() & (F.col("nth") % 2 == 1), run(F.ceil(F.col("cut") - 0.5), F.floor(F.col("next") - 0.5)))
+    runs = numbered.select(*one_row, "n_cols", F.explode(F.array("touched", inside)).alias("x")).select(*one_row, F.greatest("x.first", F.lit(0)).alias("first"), F.least(F.col("x.last"), F.col("n_cols") - 1).alias("last"), "x")
+    runs = runs.filter(F.col("x").isNotNull() & (F.col("first") <= F.col("last"))).drop("x")
+    # of runs that overlap, each gives the cells past those before it
+    before = F.max("last").over(Window.partitionBy(*one_row).orderBy("first", "last").rowsBetween(Window.unboundedPreceding, -1))
+    runs = runs.withColumn("from", F.greatest("first", before + 1)).filter("from <= last")
+    return runs.select(*fields, "r", F.explode(F.sequence(F.col("from").cast("int"), F.col("last").cast("int"))).alias("c"))
 
 
 def zone_mask(cells: DataFrame, polygons: DataFrame, headers: DataFrame, key: str, attribute: str | None = None, geom: str = "geom") -> DataFrame:

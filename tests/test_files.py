@@ -285,6 +285,34 @@ def test_stream_index_equals_batch_over_restarts(spark):
     assert got == [("a", "2024-01-01", "t"), ("b", "2024-01-01", "u"), ("c", "2024-01-05", "t"), ("d", "2024-01-06", "t")]
 
 
+def test_stream_index_knows_keys_without_reading_the_index(spark):
+    source, target, elsewhere, checkpoint = (scratch_dir(spark, n) for n in ("src", "dst", "else", "cp"))
+    run = lambda where, cp: feeds.stream_index(feeds.project_stream(spark, source, FEED, 1), where, cp, lambda d: d, order="ts").awaitTermination()
+    got = lambda where: sorted((r.project_id or "", str(r.ts)[:10]) for r in spark.read.schema(FEED).parquet(where).collect())
+    feed(spark, source, [("a", "2024-01-03", "t"), (None, "2024-01-01", "t")], [("b", "2024-01-02", "t"), ("b", None, "t")])
+    run(target, checkpoint)
+    assert got(target) == [("", "2024-01-01"), ("a", "2024-01-03"), ("b", "2024-01-02")]
+    # the index is out of sight, its keys are still known: also to a row with a smaller order
+    feed(spark, source, [("a", "2024-01-01", "t"), (None, "2024-01-01", "t"), ("c", "2024-01-04", "t")])
+    run(elsewhere, checkpoint)
+    assert got(elsewhere) == [("c", "2024-01-04")]
+
+
+def test_stream_index_survives_a_lost_checkpoint(spark):
+    source, target = scratch_dir(spark, "src"), scratch_dir(spark, "dst")
+    run = lambda cp: feeds.stream_index(feeds.project_stream(spark, source, FEED, 1), target, cp, lambda d: d, order="ts").awaitTermination()
+    got = lambda: sorted((r.project_id, str(r.ts)[:10]) for r in spark.read.schema(FEED).parquet(target).collect())
+    feed(spark, source, [("a", "2024-01-01", "t")], [("b", "2024-01-02", "t")])
+    run(scratch_dir(spark, "cp"))
+    feed(spark, source, [("a", "2024-01-05", "t"), ("c", "2024-01-05", "t")])
+    again = scratch_dir(spark, "cp")
+    run(again)
+    assert got() == [("a", "2024-01-01"), ("b", "2024-01-02"), ("c", "2024-01-05")]
+    feed(spark, source, [("b", "2024-01-07", "t"), ("d", "2024-01-07", "t")])
+    run(again)
+    assert got() == [("a", "2024-01-01"), ("b", "2024-01-02"), ("c", "2024-01-05"), ("d", "2024-01-07")]
+
+
 def test_stream_dedup_over_batches(spark):
     source, target, checkpoint = (scratch_dir(spark, n) for n in ("src", "dst", "cp"))
     feed(spark, source, [("a", "2024-01-01 10:00:00", "t"), ("a", "2024-01-01 11:00:00", "t")], [("a", "2024-01-01 12:00:00", "t"), ("b", "2024-01-01 12:00:00", "t")])

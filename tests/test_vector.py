@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from headwater.functions import geometry as G
 from headwater.functions import projection
@@ -304,6 +305,31 @@ def test_zone_cells_against_brute_force(spark):
     assert len(got - touched) <= 6  # corners grazed between the sample points
 
 
+def test_zone_cells_of_holes_parts_repeats_and_odd_rows(spark):
+    head = spark.createDataFrame([(1, 0.0, 10.0, 1.0, -1.0, 10, 10), (2, 0.0, 5.0, 0.5, -0.5, 4, 4)], "raster_id int, left_x double, top_y double, cell_width double, cell_height double, n_rows int, n_cols int")
+    ringed = [ring((1, 1), (9, 1), (9, 9), (1, 9)), ring((3, 3), (3, 7), (7, 7), (7, 3))]
+    block = [ring((-5, 2.5), (20, 2.5), (20, 3.5), (-5, 3.5))]
+    over = [ring((0, 0), (99, 0), (99, 99), (0, 99))]
+    df = layer(spark, [ringed, ringed, block, None, [], over, over], raster_id=[1, 1, 1, 1, 1, 2, 9])
+    df = df.withColumn("id", F.when(F.col("id") < 2, F.lit(0).cast(df.schema["id"].dataType)).otherwise(F.col("id")))
+    df = df.unionByName(spark.createDataFrame([(None, bytearray(G.polygon_wkb(ringed)), 1), (77, bytearray(G.point_wkb(1.0, 2.0)), 1), (78, bytearray(b"no geometry"), 1)], "id long, geom binary, raster_id long").select([F.col(f.name).cast(f.dataType) for f in df.schema]))
+    got = {}
+    for r in V.zone_cells(df, head, "id").collect():
+        got.setdefault((r.raster_id, r.id), []).append((r.r, r.c))
+    square_ring = sorted((9 - y, x) for x in range(1, 9) for y in range(1, 9) if not (3 <= x < 7 and 3 <= y < 7))
+    want = {(1, 0): square_ring, (1, None): square_ring, (1, 2): sorted((r, c) for r in (6, 7) for c in range(10)), (2, 5): sorted((r, c) for r in range(4) for c in range(4))}
+    assert {k: sorted(v) for k, v in got.items()} == want
+
+
+def test_zone_edges_cross_one_exchange_and_polygons_none(spark):
+    head = spark.createDataFrame([(1, 0.0, 10.0, 1.0, -1.0, 10, 10)], "raster_id int, left_x double, top_y double, cell_width double, cell_height double, n_rows int, n_cols int").hint("broadcast")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    text = V.zone_cells(layer(spark, [square(0, 0)], raster_id=[1]), head, "id")._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.adaptive.enabled")
+    exchanges = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(exchanges) == 1 and "geom" not in exchanges[0]
+
+
 def test_profile_and_first_invalid(spark):
     bow = [ring((0, 0), (2, 2), (2, 0), (0, 1))]
     df = layer(spark, [square(0, 0), None, bow, []])
