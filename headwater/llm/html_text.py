@@ -12,7 +12,8 @@ content, but boilerplate on pages with an article.
 
 Scripts, styles, comments of the markup and the head are no blocks. Character references are decoded,
 white space in a block becomes one space. Unclosed elements end with the page or the next block of
-their kind; a tag cut off by the end of the page is dropped. Null, empty and tagless pages give their
+their kind; a tag cut off by the end of the page is dropped. A quote opens a value only after ``=``, and only if it is closed
+further on. Null, empty and tagless pages give their
 text, which may be empty. Repeated rows are treated alike; other columns are kept, and columns named
 ``text`` or ``n_chars`` are replaced.
 """
@@ -55,7 +56,7 @@ STOP_WORDS = frozenset(
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+(?:\"[^\"]*\"|'[^']*')?)*+)(?:>|\Z)",
     re.S,
 )
 _RAW_END = {t: re.compile(rf"</{t}\s*(?:>|\Z)", re.I) for t in RAW}

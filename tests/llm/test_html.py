@@ -64,3 +64,10 @@ def test_other_columns_stay_and_clashing_ones_go(spark):
     pages = spark.createDataFrame([(1, "u", "<p>a</p>", "old", 7), (2, None, None, None, None)], "page_id long, url string, html string, text string, tag int")
     assert sorted(tuple(r) for r in H.extract(pages).select("page_id", "url", "tag", "text", "n_chars").fillna("-").collect()) == [(1, "u", 7, "a", 1), (2, "-", None, "", 0)]
     assert H.extract(pages.limit(0)).count() == 0
+
+
+def test_quotes_open_values_only_after_equals():
+    assert H.main_text("<article><p class=it's>One two three</p><p>Four don't five</p><p>Six</p></article>") == "One two three\nFour don't five\nSix"
+    assert H.main_text('<p title="x>Hello</p>') == "Hello"
+    assert H.main_text("<p 5\">One</p><p title = 'a > b' x=\"c > 'd\">Two</p><p a==\"e\">Three</p>") == "One\nTwo\nThree"
+    assert H.main_text("<p " + "=  " * 200_000 + ">One</p>") == "One"
