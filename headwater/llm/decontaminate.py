@@ -175,12 +175,14 @@ def _runs(hit: str):
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, mode: str = "documents", window: int = WINDOW, share: int = 20) -> DataFrame:
     """``docs`` without contaminated documents (mode ``documents``) or without all hit words (mode ``spans``)."""
-    # the findings travel in one column, so that columns of the same names stay as they are
+    # findings and other columns travel in one column each, so that columns of the same names stay as they are; the text goes to
+    # the Python workers and back once
     found = ["n_words", "n_hit", "items", "runs", "contaminated"]
-    own = docs.select(F.struct(*docs.columns).alias("__own"), F.col("text"))
-    marked = annotate(own, benchmark, window, share).select("__own.*", F.struct(*found).alias("__found"))
+    own = docs.select(F.struct(F.lit(0).alias("__"), *[f"`{c}`" for c in docs.columns if c.lower() != "text"]).alias("__own"), F.col("text"))
+    back = [F.col("text").alias(c) if c.lower() == "text" else F.col(f"__own.`{c}`") for c in docs.columns]
+    marked = annotate(own, benchmark, window, share).select(*back, F.struct(*found).alias("__found"))
     if mode == "documents":
-        return marked.where(~F.col("__found.contaminated")).select(*docs.columns)
+        return marked.where(~F.col("__found.contaminated")).select(*[f"`{c}`" for c in docs.columns])
     if mode != "spans":
         raise ValueError(f"unknown mode {mode!r}")
     names = docs.columns
