@@ -11,7 +11,7 @@ from headwater.plans.registry import query
 from headwater.session import scratch_dir
 from headwater.sources import gpkg
 from headwater.streaming import feeds
-from headwater.streaming.incremental import Paths, load_segments, run_incremental
+from headwater.streaming.incremental import Paths, load_segments, read_or_empty, run_incremental
 from headwater.streaming.incremental import query as run_sql
 
 EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
@@ -77,7 +77,7 @@ def incremental_driver(t):
     root = scratch_dir(t.spark, "incremental")
     paths = Paths(f"{root}/data", f"{root}/ledger", f"{root}/rejects")
     incremental(t, paths)
-    loaded = t.spark.read.schema("project_id string, dgoid bigint, segment_area double, huc string").parquet(paths.data)
+    loaded = read_or_empty(t.spark, paths.data, "project_id string, dgoid bigint, segment_area double, huc string")
     good = loaded.groupBy("huc", "project_id").agg(F.lit("loaded").alias("status"), F.count(F.lit(1)).alias("n"))
     bad = t.spark.read.parquet(paths.rejects).select("huc", "project_id", F.col("reason").alias("status"), F.lit(0).alias("n"))
     return good.unionByName(bad)
@@ -103,7 +103,7 @@ def incremental_segments(t):
     run = lambda: load_segments(catalogue, files, "dgos", ["dgo_desc"], "fid", dictionary, checks, paths, tolerance=11.0)
     run()
     again = run()["loaded"] == 0
-    loaded = t.spark.read.schema("project_id string, fid bigint, WIDTH double, level_path string, not_there string, geom binary, huc string").parquet(paths.data)
+    loaded = read_or_empty(t.spark, paths.data, "project_id string, fid bigint, WIDTH double, level_path string, not_there string, geom binary, huc string")
     area = layer_measures(loaded).filter("not_there IS NULL").groupBy("huc", "project_id")
     good = area.agg(F.lit("loaded").alias("status"), F.count(F.lit(1)).alias("n"), F.sum("fid").alias("fids"), F.sum("WIDTH").alias("width"), F.min("level_path").alias("first_path"), F.round(F.sum("area"), 4).alias("area"))
     bad = t.spark.read.parquet(paths.rejects).select("huc", "project_id", F.col("reason").alias("status"), F.lit(0).alias("n"))
