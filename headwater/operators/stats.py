@@ -191,12 +191,15 @@ CPU_PRICE = 0.04048  # per 1024 units and hour
 MEMORY_PRICE = 0.004445  # per 1000 MB and hour
 
 
-def task_cost(jobs: DataFrame, tasks: DataFrame, script_id: str, def_id: str) -> DataFrame:
-    """Seconds and price of every task of the jobs of one script and task definition."""
+def task_cost(jobs: DataFrame, tasks: DataFrame, script_id: str, def_id: str | None = None) -> DataFrame:
+    """Seconds and price of every task of the jobs of one script, of one task definition if given."""
+    wanted = F.col("script_id") == script_id
+    if def_id is not None:
+        wanted &= F.col("task_def_id") == def_id
     millis = F.col("ended_on") - F.col("started_on")
     rate = F.col("cpu") / 1024.0 * CPU_PRICE + F.col("memory") / 1000.0 * MEMORY_PRICE
     return (
-        tasks.join(jobs.filter((F.col("script_id") == script_id) & (F.col("task_def_id") == def_id)).select("jid", "job_name"), "jid")
+        tasks.join(jobs.filter(wanted).select("jid", "job_name"), "jid")
         .withColumn("duration_s", F.round(millis / 1000.0, 0))
         .withColumn("estimated_cost", F.round(rate * (millis / 3600000.0), 2))
     )
