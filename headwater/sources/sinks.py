@@ -133,12 +133,16 @@ def write_named_files(files: DataFrame, folder: str) -> int:
 
         filesystem, root = pafs.FileSystem.from_uri(target_uri)
         for batch in batches:
-            for name, content in zip(batch.column("name").to_pylist(), batch.column("content").to_pylist()):
-                path = f"{root.rstrip('/')}/{name}"
+            # straight from the batch, which may be files of many MB: no copy of them all
+            for name, content in zip(batch.column("name"), batch.column("content")):
+                path = f"{root.rstrip('/')}/{name.as_py()}"
                 filesystem.create_dir(path.rsplit("/", 1)[0], recursive=True)
                 with filesystem.open_output_stream(path) as target:
-                    target.write(content.encode() if isinstance(content, str) else content)
-            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], type=pa.int64())], names=["n"])
+                    target.write(content.as_buffer())
+            done = pa.RecordBatch.from_arrays([pa.array([batch.num_rows], type=pa.int64())], names=["n"])
+            # not held while the next one comes
+            batch = content = None
+            yield done
 
     written = files.select("name", "content").mapInArrow(put, "n bigint")
     return written.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
