@@ -289,7 +289,7 @@ def set_field_changes(t):
 @query("content_hash", sql="SELECT count(*) AS rows_a, count(*) - 1 AS rows_b, false AS equal FROM lineitem UNION ALL SELECT count(*), count(*), true FROM lineitem")
 def content_hash(t):
     lines = t.raw("lineitem")
-    shuffled = lines.select(*reversed(lines.columns)).repartition(7, "l_shipdate")
+    shuffled = lines.select(*reversed(lines.columns)).hint("rebalance", "l_shipdate")
     smallest = lines.agg(F.min(F.struct("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")).alias("r")).select("r.*")
     return quality.same_content(lines, lines.exceptAll(smallest)).unionByName(quality.same_content(lines, shuffled))
 
