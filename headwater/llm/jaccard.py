@@ -52,9 +52,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headwater.llm import words as W
-from headwater.llm.components import connected_components
+from headwater.llm.components import connected_components, forest
 from headwater.llm.files import delete_folder, new_folder, open_folder
-from headwater.llm.neardup import forest
 from headwater.llm.tables import table
 from headwater.session import cut_lineage
 

@@ -27,7 +27,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headwater.llm.components import connected_components
+from headwater.llm.components import connected_components, forest
 from headwater.llm.files import attempt_name, new_folder, open_folder
 from headwater.llm.tables import fit_in_one_task, table
 from headwater.session import cut_lineage
@@ -188,24 +188,6 @@ def _join(x: _Interval, y: _Interval, a: int, b: int, c: int, d: int, cosine: fl
         yield i[exact], j[exact]
 
 
-def forest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(node, smallest node of its component) for every other node of the links."""
-    nodes, flat = np.unique(np.concatenate((u, v)), return_inverse=True)
-    a, b = flat[: len(u)], flat[len(u) :]
-    label = np.arange(len(nodes))
-    while True:
-        least = np.minimum(label[a], label[b])
-        new = label.copy()
-        np.minimum.at(new, a, least)
-        np.minimum.at(new, b, least)
-        np.minimum.at(new, label, new)
-        new = new[new]
-        if (new == label).all():
-            other = label != np.arange(len(nodes))
-            return nodes[other], nodes[label[other]]
-        label = new
-
-
 def _join_strips(batches: Iterator[pa.RecordBatch], folder: str, axes: Broadcast, cosine: float) -> Iterator[pa.RecordBatch]:
     """For an interval and some partners: (interval, place, n) counts and (u, v) links of a forest."""
     schema = pa.schema([("interval", pa.int64()), ("place", pa.int32()), ("n", pa.int64()), ("u", pa.int64()), ("v", pa.int64())])
