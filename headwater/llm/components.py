@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from headwater.llm.tables import tidy
 from headwater.session import cut_lineage
 
 #: Links that a task holds at once.
@@ -75,9 +76,9 @@ def connected_components(links: DataFrame, held: int = HELD) -> DataFrame:
     the node itself are ignored.
     """
     edges = links.where("u <> v").select(F.col("u").cast("long").alias("u"), F.col("v").cast("long").alias("v"))
-    edges = cut_lineage(edges.mapInArrow(lambda b: _contracted(b, held), _LINK), "links")
+    edges = cut_lineage(edges.mapInArrow(tidy(lambda b: _contracted(b, held)), _LINK), "links")
     if edges.count() <= held:
-        return cut_lineage(edges.coalesce(1).mapInArrow(lambda b: _with_roots(b, held), "node long, component long"), "components")
+        return cut_lineage(edges.coalesce(1).mapInArrow(tidy(lambda b: _with_roots(b, held)), "node long, component long"), "components")
     edges = cut_lineage(edges.distinct(), "links")
     before = _state(edges)
     while before[0]:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headwater.llm import words as W
-from headwater.llm.tables import append_columns, table
+from headwater.llm.tables import append_columns, table, tidy
 
 WINDOW = 13
 BLOCK_CHARS = 8_000_000
@@ -88,7 +88,7 @@ def _joined(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> bytes:
 def find(column: pa.Array, index: Index) -> list[pa.Array]:
     """The columns of ``FOUND`` for each text; ``runs``: first and end word of each hit run, one after the other."""
     totals, hits, items, runs = [], [], [], []
-    for first, end, data, offsets in W.text_chunks(column):
+    for first, end, data, offsets in W.text_chunks(column, W.SMALL_CHUNK_BYTES):
         words = W.words_of(data, offsets, W.ALNUM)
         n = len(words.hash)
         change, own_items = np.zeros(n + 1, np.int64), {}
@@ -193,7 +193,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, mode: str = "documents"
             texts = [cut_words(t, r) for t, r in zip(batch.column(at).to_pylist(), batch.column(len(names)).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:at], pa.array(texts, pa.string()), *batch.columns[at + 1 : len(names)]], names)
 
-    return marked.select(*names, F.col("__found.runs").alias("__runs")).mapInArrow(run, docs.schema)
+    return marked.select(*names, F.col("__found.runs").alias("__runs")).mapInArrow(tidy(run), docs.schema)
 
 
 def cut_words(text: str | None, runs: list[int]) -> str | None:

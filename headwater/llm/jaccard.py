@@ -54,7 +54,7 @@ from pyspark.sql import functions as F
 from headwater.llm import words as W
 from headwater.llm.components import connected_components, forest
 from headwater.llm.files import delete_folder, new_folder, open_folder
-from headwater.llm.tables import table
+from headwater.llm.tables import give_back, table, tidy
 from headwater.session import cut_lineage
 
 GROWTH = 1.8
@@ -188,7 +188,7 @@ def _pack(batches: Iterator[pa.RecordBatch], slices: int, words: int, percent: i
     for batch in batches:
         ids, seen, held = batch.column("doc_id"), np.zeros(0, np.uint64), 0
         found, keys, roles, lesses, docs, marks = ([] for _ in range(6))
-        for first, end, data, offsets in W.text_chunks(batch.column("text")):
+        for first, end, data, offsets in W.text_chunks(batch.column("text"), W.SMALL_CHUNK_BYTES):
             element, owner, size, identity = shingle_sets(data, offsets, words)
             _, at = np.unique(identity, return_index=True)
             fresh = np.zeros(len(size), bool)
@@ -311,8 +311,14 @@ def _buckets(packed: pa.Table, cap: int, deletions: bool) -> pa.Table:
 def _bucket_table(docs: DataFrame, words: int, percent: int, cap: int, deletions: bool = False, singly: bool = False) -> DataFrame:
     spark = docs.sparkSession
     slices = max(8, 2 * docs.rdd.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    packed = docs.mapInArrow(lambda batches: _pack(batches, slices, words, percent, deletions, singly), _PACKED)
-    return cut_lineage(packed.groupBy("slice").applyInArrow(lambda t: _buckets(t, cap, deletions), _FOUND), "buckets")
+
+    def gathered(packed: pa.Table) -> pa.Table:
+        made = _buckets(packed, cap, deletions)
+        give_back()
+        return made
+
+    packed = docs.mapInArrow(tidy(lambda batches: _pack(batches, slices, words, percent, deletions, singly)), _PACKED)
+    return cut_lineage(packed.groupBy("slice").applyInArrow(gathered, _FOUND), "buckets")
 
 
 def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
@@ -320,7 +326,7 @@ def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBa
     seen = np.zeros(0, np.uint64)
     for batch in batches:
         keys, others = batch.column("key").to_numpy().astype(np.uint64), ["key", "rep", "least", "salt"]
-        for first, end, data, offsets in W.text_chunks(batch.column("text")):
+        for first, end, data, offsets in W.text_chunks(batch.column("text"), W.SMALL_CHUNK_BYTES):
             element, owner, size, identity = shingle_sets(data, offsets, words)
             order = np.lexsort((element, owner))
             element, cuts = element[order], np.concatenate(([0], np.cumsum(size)))
@@ -432,9 +438,9 @@ class _Verifier:
         hot = chosen.groupBy("least").agg(F.ceil(F.count("*") / SIDE_BY_SIDE).alias("files")).where("files > 1")
         salted = chosen.join(hot, "least", "left").select("rep", "key", "least", F.pmod(F.xxhash64("key"), F.coalesce("files", F.lit(1))).cast("int").alias("salt"))
         texts = self.docs.withColumnRenamed("doc_id", "rep").join(F.broadcast(salted) if few else salted, "rep").select("key", "rep", "least", "salt", "text")
-        sets = texts.mapInArrow(lambda b: _sets(b, words), "key long, rep long, least long, salt int, elements binary")
+        sets = texts.mapInArrow(tidy(lambda b: _sets(b, words)), "key long, rep long, least long, salt int, elements binary")
         dealt = sets.repartition("least", "salt").sortWithinPartitions("least", "salt").select("key", "rep", "elements")
-        stored = cut_lineage(dealt.mapInArrow(lambda b: _store(b, folder), _STORED), "stored")
+        stored = cut_lineage(dealt.mapInArrow(tidy(lambda b: _store(b, folder)), _STORED), "stored")
         # equal rows of several tasks are written several times
         return stored.groupBy("key").agg(F.min(F.struct("rep", "n", "file", "at")).alias("place")).select("key", "place.*")
 
@@ -446,12 +452,12 @@ class _Verifier:
         fits = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * self.percent
         pairs = pairs.join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b").where(fits)
         pairs = pairs.join(marks.toDF("a", "sa"), "a").join(marks.toDF("b", "sb"), "b")
-        pairs = cut_lineage(pairs.mapInArrow(lambda b: _may_link(b, percent), "a long, b long").distinct(), "pairs")
+        pairs = cut_lineage(pairs.mapInArrow(tidy(lambda b: _may_link(b, percent)), "a long, b long").distinct(), "pairs")
         stored = self.store(pairs.select(F.col("a").alias("key")).unionAll(pairs.select(F.col("b").alias("key"))).distinct(), folder)
         joined = pairs.join(stored.toDF("b", "v", "nb", "fb", "ab"), "b").join(stored.toDF("a", "u", "na", "fa", "aa"), "a")
         # pairs of one file meet in a few tasks, in the order of the file
         near = joined.repartition(F.col("fa"), F.pmod(F.xxhash64("b"), F.lit(8))).sortWithinPartitions("fa", "aa")
-        linked = cut_lineage(near.mapInArrow(lambda b: _verify(b, folder, percent), "a long, b long, u long, v long").distinct(), "linked")
+        linked = cut_lineage(near.mapInArrow(tidy(lambda b: _verify(b, folder, percent)), "a long, b long, u long, v long").distinct(), "linked")
         delete_folder(folder)
         return linked
 
@@ -595,11 +601,11 @@ def _links_of_rest(verifier: _Verifier, members: DataFrame, links: DataFrame) ->
     members = members.join(verifier.classes.select("key", F.col("n").cast("long").alias("n")), "key")
     members = cut_lineage(_open_members(members), "open")
     sketched = members.join(verifier.classes.select("key", F.col("coarse").alias("sketch")), "key")
-    near = _blocks(sketched, ["key", "label", "n", "first", "whole", "sketch"]).mapInArrow(lambda b: _rest(b, percent), "key long")
+    near = _blocks(sketched, ["key", "label", "n", "first", "whole", "sketch"]).mapInArrow(tidy(lambda b: _rest(b, percent)), "key long")
     stored = verifier.store(near.distinct(), folder)
     placed = _open_members(members.join(stored.drop("n"), "key"))
     blocks = _blocks(placed, ["key", "label", "n", "first", "whole", "rep", "file", "at"])
-    joined = cut_lineage(blocks.mapInArrow(lambda b: _links_in_blocks(b, folder, percent), "u long, v long"), "joined")
+    joined = cut_lineage(blocks.mapInArrow(tidy(lambda b: _links_in_blocks(b, folder, percent)), "u long, v long"), "joined")
     delete_folder(folder)
     return joined
 

@@ -39,7 +39,7 @@ def measure(docs: DataFrame) -> DataFrame:
 
     def compute(column: pa.Array) -> list[pa.Array]:
         counts, clusters = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for _, _, data, offsets in W.text_chunks(column):
+        for _, _, data, offsets in W.text_chunks(column, W.SMALL_CHUNK_BYTES):
             words = W.words_of(data, offsets)
             firsts = words.firsts
             counts.append(words.counts)

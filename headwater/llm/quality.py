@@ -58,7 +58,7 @@ def fit(batches: Iterator[pa.RecordBatch], epochs: int = 4, alpha: float = 0.3,
     examples = []
     for batch in batches:
         labels = batch.column("label").to_numpy()
-        for first, _, data, offsets in W.text_chunks(batch.column("text")):
+        for first, _, data, offsets in W.text_chunks(batch.column("text"), W.SMALL_CHUNK_BYTES):
             bucket, owner, grams = features(data, offsets)
             cells, times = np.unique(owner * BUCKETS + bucket, return_counts=True)
             cuts = np.searchsorted(cells, np.arange(len(offsets)) * BUCKETS)
@@ -92,7 +92,7 @@ def fit(batches: Iterator[pa.RecordBatch], epochs: int = 4, alpha: float = 0.3,
 
 def score_texts(column: pa.Array, model: Model) -> np.ndarray:
     parts = []
-    for _, _, data, offsets in W.text_chunks(column):
+    for _, _, data, offsets in W.text_chunks(column, W.SMALL_CHUNK_BYTES):
         bucket, owner, grams = features(data, offsets)
         total = np.bincount(owner, weights=model.weights[bucket], minlength=len(grams))
         parts.append(model.bias + total * SCALE / np.maximum(grams, 1))

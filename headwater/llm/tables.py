@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import pickle
 from collections.abc import Callable, Iterator
 
@@ -22,6 +23,23 @@ def fold(key: str, parts: int) -> Column:
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % parts, F.lit(0))
 
 
+def give_back() -> None:
+    """Returns the memory that this process has freed, which its allocators keep else, to the system."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc
+        trim(0)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for a Python worker that Spark keeps after the task: what the task has freed does not stay with the worker."""
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return tidied
+
+
 def append_columns(df: DataFrame, text: str, fields: str, compute: Callable[[pa.Array], list[pa.Array]]) -> DataFrame:
     """``df`` with the columns of ``fields`` (DDL) that ``compute`` makes of the column ``text``, batch by batch.
 
@@ -37,7 +55,7 @@ def append_columns(df: DataFrame, text: str, fields: str, compute: Callable[[pa.
             made = compute(batch.column(batch.schema.get_field_index(text)))
             yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in carried), *made], [*carried, *new.names])
 
-    return df.mapInArrow(run, StructType([*kept, *new.fields]))
+    return df.mapInArrow(tidy(run), StructType([*kept, *new.fields]))
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, key: str, train: Column, rows: int) -> DataFrame:
@@ -60,5 +78,5 @@ def fit_in_one_task(sample: DataFrame, fit: Callable[[Iterator[pa.RecordBatch]],
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(batches))], pa.binary())], ["model"])
 
-    rows = sample.repartition(1).mapInArrow(run, "model binary").collect()
+    rows = sample.repartition(1).mapInArrow(tidy(run), "model binary").collect()
     return pickle.loads(rows[0].model) if rows else fit(iter(()))

@@ -14,6 +14,8 @@ import numpy as np
 import pyarrow as pa
 
 CHUNK_BYTES = 2 << 20
+#: The same for steps that keep little of a chunk: their arrays take up to 60 bytes a byte of text.
+SMALL_CHUNK_BYTES = 1 << 18
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
